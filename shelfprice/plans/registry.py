@@ -91,3 +91,60 @@ SELECT count(*) AS n_rows, count(DISTINCT article) AS n_distinct FROM weekly_row
 """)
 def q_profile_counts(spark, d):
     return profile(SI.weekly_rows(spark, d), "article")
+
+
+# ------------------------------------------------------------ competitor matrix
+
+from shelfprice.plans import competitors as C  # noqa: E402
+
+# Custom cluster order of the stand-in (a parameter; unlisted clusters rank 999)
+CLUSTER_ORDER = ("EUROPE", "ASIA", "AMERICA")
+_ORDER_VALUES = ", ".join(f"('{c}', {i})" for i, c in enumerate(CLUSTER_ORDER))
+_COMP_COLS = f"""
+latest AS (SELECT * FROM competitor_rows
+           WHERE week IN (SELECT DISTINCT week FROM competitor_rows WHERE week IS NOT NULL
+                          ORDER BY week DESC LIMIT 1)),
+ord(cluster, rnk) AS (VALUES {_ORDER_VALUES}),
+cols AS (
+  SELECT cluster, competitor, CAST(COALESCE(rnk, 999) AS INTEGER) AS cluster_rank,
+         CAST(row_number() OVER (ORDER BY COALESCE(rnk, 999), cluster, competitor) - 1 AS INTEGER) AS col_pos
+  FROM (SELECT DISTINCT cluster, competitor FROM latest
+        WHERE cluster IS NOT NULL AND competitor IS NOT NULL) LEFT JOIN ord USING (cluster)
+)"""
+
+
+@register("competitor_matrix", f"""{S.with_ctes(S.LINE_CUSTOMER, S.COMPETITOR_ROWS)},{_COMP_COLS},
+first_row AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cod_art ORDER BY {S.SEQ_ORDER}) AS rn
+                             FROM latest) WHERE rn = 1),
+cells AS (SELECT cod_art, cluster, competitor, price FROM (
+            SELECT *, row_number() OVER (PARTITION BY cod_art, cluster, competitor ORDER BY {S.SEQ_ORDER}) AS rn
+            FROM latest WHERE price IS NOT NULL AND cod_art IS NOT NULL
+              AND cluster IS NOT NULL AND competitor IS NOT NULL) WHERE rn = 1)
+SELECT c.cod_art, f.description, f.category, f.article_type, c.cluster, c.competitor,
+       cols.cluster_rank, cols.col_pos, c.price
+FROM cells c JOIN cols USING (cluster, competitor) JOIN first_row f USING (cod_art)
+""")
+def q_competitor_matrix(spark, d):
+    return C.matrix_long(SI.competitor_rows(spark, d), CLUSTER_ORDER, n_weeks=1)
+
+
+@register("competitor_columns", f"""{S.with_ctes(S.LINE_CUSTOMER, S.COMPETITOR_ROWS, S.COMPETITOR_FACT_ROWS)},{_COMP_COLS},
+dates AS (SELECT cluster, trim(competencia) AS competitor, max(fecha_modificacion) AS modified_on
+          FROM competitor_fact_rows WHERE fecha_modificacion IS NOT NULL GROUP BY 1, 2)
+SELECT cols.cluster, cols.competitor, cols.cluster_rank, cols.col_pos, dates.modified_on,
+       strftime(dates.modified_on, '%d/%m/%Y') AS modified_text
+FROM cols LEFT JOIN dates ON cols.cluster = dates.cluster AND trim(cols.competitor) = dates.competitor
+""")
+def q_competitor_columns(spark, d):
+    return C.columns_with_dates(SI.competitor_rows(spark, d), SI.competitor_fact_rows(spark, d),
+                                CLUSTER_ORDER, n_weeks=1)
+
+
+@register("competitor_spans", f"""{S.with_ctes(S.LINE_CUSTOMER, S.COMPETITOR_ROWS)},{_COMP_COLS}
+SELECT cluster, cluster_rank, min(col_pos) AS first_pos, max(col_pos) AS last_pos,
+       count(*) AS n_columns
+FROM cols GROUP BY cluster, cluster_rank
+""")
+def q_competitor_spans(spark, d):
+    rows = last_n_periods(SI.competitor_rows(spark, d), "week", 1)
+    return C.header_spans(C.competitor_columns(rows, CLUSTER_ORDER))
