@@ -127,3 +127,64 @@ SELECT {by_sel}{rk}, week, slot, value, prev_value, pct_change,
        lower(strftime(week, '%d-%b')) AS week_label
 FROM j
 """
+
+
+# --------------------------------------------------- scalar cleaning in SQL
+
+def clean_price(x: str) -> str:
+    s1 = f"replace(replace(trim(CAST({x} AS VARCHAR)), '$', ''), ' ', '')"
+    s2 = (f"(CASE WHEN contains({s1}, ',') AND contains({s1}, '.') "
+          f"THEN replace(replace({s1}, '.', ''), ',', '.') "
+          f"WHEN contains({s1}, ',') THEN replace({s1}, ',', '.') ELSE {s1} END)")
+    v = f"(CASE WHEN regexp_matches({s2}, '{NUM_RE}') THEN TRY_CAST({s2} AS DOUBLE) END)"
+    return price_from_double(v)
+
+
+def price_from_double(v: str) -> str:
+    return f"(CASE WHEN {v} <> 0 THEN TRY_CAST(round_even({v}, 4) AS DECIMAL(18,4)) END)"
+
+
+def normalise_ratio(x: str) -> str:
+    s = f"replace(replace(CAST({x} AS VARCHAR), '%', ''), ',', '.')"
+    n = to_number(s)
+    return f"(CASE WHEN abs({n}) <= 1 THEN {n} ELSE {n} / 100 END)"
+
+
+def norm_key(x: str) -> str:
+    return f"lower(trim(regexp_replace(COALESCE(CAST({x} AS VARCHAR), ''), '\\s+', ' ', 'g')))"
+
+
+def safe_name(x: str) -> str:
+    return (f"regexp_replace(regexp_replace(trim({x}), '[\\\\/:*?\"<>|]', '_', 'g'), "
+            f"'\\s+', ' ', 'g')")
+
+
+def strip_cluster(x: str, upper: bool = False) -> str:
+    s = f"upper({x})" if upper else x
+    return f"trim(replace({s}, 'CLUSTER', ''))"
+
+
+def clean_str(x: str) -> str:
+    return f"(CASE WHEN {x} IS NULL OR lower(trim({x})) = 'nan' THEN '' ELSE trim({x}) END)"
+
+
+def blank_to_null(x: str) -> str:
+    return f"(CASE WHEN trim({x}) <> '' THEN {x} END)"
+
+
+def code_or_zero(x: str) -> str:
+    return f"COALESCE({trunc_bigint(to_number(x))}, 0)"
+
+
+def code_or_null(x: str) -> str:
+    return trunc_bigint(to_number(x))
+
+
+DAYFIRST_FORMATS = ("%d/%m/%Y %H:%M:%S", "%d/%m/%Y %H:%M", "%d/%m/%Y", "%d-%m-%Y %H:%M:%S",
+                    "%d-%m-%Y", "%d.%m.%Y", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S",
+                    "%Y-%m-%d %H:%M", "%Y-%m-%d")
+
+
+def parse_dayfirst(x: str) -> str:
+    t = f"trim(CAST({x} AS VARCHAR))"
+    return "COALESCE(" + ", ".join(f"try_strptime({t}, '{f}')" for f in DAYFIRST_FORMATS) + ")"

@@ -148,3 +148,82 @@ FROM cols GROUP BY cluster, cluster_rank
 def q_competitor_spans(spark, d):
     rows = last_n_periods(SI.competitor_rows(spark, d), "week", 1)
     return C.header_spans(C.competitor_columns(rows, CLUSTER_ORDER))
+
+
+# ------------------------------------------------------------ scalar cleaning
+
+from shelfprice.functions import dates as FD  # noqa: E402
+from shelfprice.functions import text as FT  # noqa: E402
+
+
+@register("clean_price_text", f"""{S.with_ctes(S.PRICE_TEXT_ROWS)}
+SELECT l_orderkey, l_linenumber, price_text, {O.clean_price('price_text')} AS precio
+FROM price_text_rows
+""")
+def q_clean_price_text(spark, d):
+    t = SI.price_text_rows(spark, d)
+    return t.select("l_orderkey", "l_linenumber", "price_text",
+                    FT.clean_price("price_text").alias("precio"))
+
+
+@register("clean_ratio", f"""{S.with_ctes(S.RATIO_TEXT_ROWS)}
+SELECT l_orderkey, l_linenumber, ratio_text, {O.normalise_ratio('ratio_text')} AS ratio
+FROM ratio_text_rows
+""")
+def q_clean_ratio(spark, d):
+    t = SI.ratio_text_rows(spark, d)
+    return t.select("l_orderkey", "l_linenumber", "ratio_text",
+                    FT.normalise_ratio("ratio_text").alias("ratio"))
+
+
+@register("clean_keys", f"""{S.with_ctes(S.KEY_TEXT_ROWS)}
+SELECT p_partkey, key_text, code_text,
+       {O.norm_key('key_text')} AS key_norm,
+       {O.safe_name(O.strip_cluster('key_text'))} AS file_name,
+       {O.strip_cluster('key_text', upper=True)} AS cluster_upper,
+       {O.clean_str('key_text')} AS key_clean,
+       {O.blank_to_null('key_text')} AS key_or_null,
+       {O.code_or_zero('code_text')} AS code,
+       {O.code_or_null('code_text')} AS code_checked
+FROM key_text_rows
+""")
+def q_clean_keys(spark, d):
+    t = SI.key_text_rows(spark, d)
+    return t.select(
+        "p_partkey", "key_text", "code_text",
+        FT.norm_key("key_text").alias("key_norm"),
+        FT.safe_name(FT.strip_cluster_word("key_text")).alias("file_name"),
+        FT.strip_cluster_word("key_text", upper=True).alias("cluster_upper"),
+        FT.clean_str("key_text").alias("key_clean"),
+        FT.blank_to_null("key_text").alias("key_or_null"),
+        FT.code_or_zero("code_text").alias("code"),
+        FT.code_or_null("code_text").alias("code_checked"))
+
+
+@register("clean_dates", f"""{S.with_ctes(S.DATE_TEXT_ROWS)},
+p AS (SELECT o_orderkey, date_text, {O.parse_dayfirst('date_text')} AS ts FROM date_text_rows)
+SELECT o_orderkey, date_text, ts, date_trunc('minute', ts) AS ts_minute,
+       CAST(year(ts) AS INTEGER) AS anio, CAST(weekofyear(ts) AS INTEGER) AS semana,
+       CAST(isoyear(ts) AS INTEGER) AS iso_anio,
+       lower(strftime(ts, '%d-%b')) AS week_label, strftime(ts, '%d/%m/%Y') AS date_out
+FROM p
+""")
+def q_clean_dates(spark, d):
+    t = SI.date_text_rows(spark, d).withColumn("ts", FD.parse_dayfirst("date_text"))
+    anio, semana = FD.calendar_year_iso_week("ts")
+    iso_anio, _ = FD.calendar_year_iso_week("ts", iso_year=True)
+    return t.select("o_orderkey", "date_text", "ts", FD.floor_minute("ts").alias("ts_minute"),
+                    anio.alias("anio"), semana.alias("semana"), iso_anio.alias("iso_anio"),
+                    FD.week_label("ts").alias("week_label"), FD.date_text("ts").alias("date_out"))
+
+
+@register("split_list_cell", f"""{S.with_ctes(S.LIST_TEXT_ROWS)},
+a AS (SELECT c_custkey,
+             list_filter(list_transform(string_split_regex({O.clean_str('list_text')}, '[;,]'),
+                                        lambda x: trim(x)), lambda x: x <> '') AS arr
+      FROM list_text_rows)
+SELECT c_custkey, CAST(unnest(range(len(arr))) AS INTEGER) AS pos, unnest(arr) AS item FROM a
+""")
+def q_split_list_cell(spark, d):
+    t = SI.list_text_rows(spark, d)
+    return t.select("c_custkey", F.posexplode(FT.split_list("list_text")).alias("pos", "item"))

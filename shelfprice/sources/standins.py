@@ -225,3 +225,60 @@ def price_text_rows(spark: SparkSession, d: str) -> DataFrame:
                   .otherwise(F.lit("s/p")))
             .otherwise(F.concat(plain, F.lit("e1"))))
     return li.select("l_orderkey", "l_linenumber", "l_extendedprice", text.alias("price_text"))
+
+
+def ratio_text_rows(spark: SparkSession, d: str) -> DataFrame:
+    """'vs previous list' text in several layouts (FN5 input)."""
+    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_discount")
+    t = F.round(F.col("l_discount") * 1000).cast("bigint")   # tenths of a percent
+    whole = F.floor(t / 10).cast("string")
+    text = (F.when(F.col("l_linenumber") == 1,
+                   F.concat(whole, F.lit(","), (t % 10).cast("string"), F.lit("%")))
+            .when(F.col("l_linenumber") == 2, F.concat(F.lit("0."), F.lpad(t.cast("string"), 3, "0")))
+            .when(F.col("l_linenumber") == 3, F.concat(F.lit("-"), whole))
+            .when(F.col("l_linenumber") == 4, F.lit("abc"))
+            .when(F.col("l_linenumber") == 5, F.concat(whole, F.lit(".5%")))
+            .when(F.col("l_linenumber") == 6, F.lit("0.5%")))
+    return li.select("l_orderkey", "l_linenumber", text.alias("ratio_text"))
+
+
+def key_text_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Names and codes in messy layouts (FN7-FN9, FN14, FN15 input)."""
+    p = _part(spark, d)
+    key = (F.when(F.col("p_type") == "ECONOMY",
+                  F.concat(F.lit("  "), F.upper("p_name"), F.lit("  ")))
+           .when(F.col("p_type") == "LARGE",
+                 F.concat(F.col("p_name"), F.lit(" / CLUSTER: "), F.col("p_brand")))
+           .when(F.col("p_type") == "MEDIUM", F.lit("nan"))
+           .when(F.col("p_type") == "PROMO", F.lit(""))
+           .when(F.col("p_type") == "STANDARD",
+                 F.concat(F.lit("Mayoristas   CLUSTER  "), F.col("p_name"), F.lit("?"))))
+    pk = F.col("p_partkey").cast("string")
+    code = (F.when(F.col("p_size") <= 10, F.concat(pk, F.lit(".7")))
+            .when(F.col("p_size") <= 20, F.concat(F.lit("X"), pk))
+            .when(F.col("p_size") <= 30, F.lit(""))
+            .when(F.col("p_size") <= 40, F.concat(F.lit(" "), pk, F.lit(" ")))
+            .otherwise(pk))
+    return p.select("p_partkey", key.alias("key_text"), code.alias("code_text"))
+
+
+def date_text_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Date text: day-first with and without time, ISO, padded, invalid (FN11-13, FN20)."""
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    ts = F.expr("o_orderdate + make_dt_interval(0, CAST(o_orderkey % 24 AS INT), "
+                "CAST(o_orderkey % 60 AS INT), CAST(o_orderkey % 60 AS INT))")
+    pr = F.col("o_orderpriority")
+    text = (F.when(pr == "1-URGENT", F.date_format("o_orderdate", "d/M/yyyy"))
+            .when(pr == "2-HIGH", F.date_format(ts, "d/M/yyyy H:mm"))
+            .when(pr == "3-MEDIUM", F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+            .when(pr == "4-NOT SPECIFIED", F.date_format("o_orderdate", "dd/MM/yyyy"))
+            .otherwise(F.concat(F.lit("31/2/"), F.year("o_orderdate").cast("string"))))
+    return o.select("o_orderkey", text.alias("date_text"))
+
+
+def list_text_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Multi-valued cells separated by ';' or ',' with blanks (FN10 input)."""
+    c = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    tail = F.when(F.col("c_acctbal") < 0, F.lit(" ")).otherwise(F.lit(" x@y.com "))
+    return c.select("c_custkey", F.concat(F.col("c_name"), F.lit("; "), F.col("c_mktsegment"),
+                                         F.lit(",,"), tail).alias("list_text"))

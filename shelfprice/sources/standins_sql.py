@@ -90,3 +90,74 @@ history_rows AS (
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
+
+
+PLAIN = "CAST(cents // 100 AS VARCHAR) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0')"
+THOUSANDS = ("'$ ' || CASE WHEN cents // 100 >= 1000 THEN CAST(cents // 100000 AS VARCHAR) || '.' || "
+             "lpad(CAST((cents // 100) % 1000 AS VARCHAR), 3, '0') ELSE CAST(cents // 100 AS VARCHAR) END"
+             " || ',' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0')")
+
+PRICE_TEXT_ROWS = f"""
+price_text_rows AS (
+  SELECT l_orderkey, l_linenumber, l_extendedprice,
+    CASE l_linenumber
+      WHEN 1 THEN {PLAIN}
+      WHEN 2 THEN replace({PLAIN}, '.', ',')
+      WHEN 3 THEN {THOUSANDS}
+      WHEN 4 THEN ' $' || {PLAIN} || ' '
+      WHEN 5 THEN CAST(cents // 100000 AS VARCHAR) || '.' || lpad(CAST((cents // 100) % 1000 AS VARCHAR), 3, '0')
+      WHEN 6 THEN CASE l_returnflag WHEN 'R' THEN '0' WHEN 'A' THEN '' ELSE 's/p' END
+      ELSE {PLAIN} || 'e1' END AS price_text
+  FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem)
+)"""
+
+RATIO_TEXT_ROWS = """
+ratio_text_rows AS (
+  SELECT l_orderkey, l_linenumber,
+    CASE l_linenumber
+      WHEN 1 THEN CAST(t // 10 AS VARCHAR) || ',' || CAST(t % 10 AS VARCHAR) || '%'
+      WHEN 2 THEN '0.' || lpad(CAST(t AS VARCHAR), 3, '0')
+      WHEN 3 THEN '-' || CAST(t // 10 AS VARCHAR)
+      WHEN 4 THEN 'abc'
+      WHEN 5 THEN CAST(t // 10 AS VARCHAR) || '.5%'
+      WHEN 6 THEN '0.5%' END AS ratio_text
+  FROM (SELECT *, CAST(round(l_discount * 1000) AS BIGINT) AS t FROM lineitem)
+)"""
+
+KEY_TEXT_ROWS = """
+key_text_rows AS (
+  SELECT p_partkey,
+    CASE p_type
+      WHEN 'ECONOMY' THEN '  ' || upper(p_name) || '  '
+      WHEN 'LARGE' THEN p_name || ' / CLUSTER: ' || p_brand
+      WHEN 'MEDIUM' THEN 'nan'
+      WHEN 'PROMO' THEN ''
+      WHEN 'STANDARD' THEN 'Mayoristas   CLUSTER  ' || p_name || '?' END AS key_text,
+    CASE WHEN p_size <= 10 THEN CAST(p_partkey AS VARCHAR) || '.7'
+         WHEN p_size <= 20 THEN 'X' || CAST(p_partkey AS VARCHAR)
+         WHEN p_size <= 30 THEN ''
+         WHEN p_size <= 40 THEN ' ' || CAST(p_partkey AS VARCHAR) || ' '
+         ELSE CAST(p_partkey AS VARCHAR) END AS code_text
+  FROM part
+)"""
+
+DATE_TEXT_ROWS = """
+date_text_rows AS (
+  SELECT o_orderkey,
+    CASE o_orderpriority
+      WHEN '1-URGENT' THEN strftime(o_orderdate, '%-d/%-m/%Y')
+      WHEN '2-HIGH' THEN strftime(ts, '%-d/%-m/%Y %-H:%M')
+      WHEN '3-MEDIUM' THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+      WHEN '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%d/%m/%Y')
+      ELSE '31/2/' || CAST(year(o_orderdate) AS VARCHAR) END AS date_text
+  FROM (SELECT *, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER))
+               + to_minutes(CAST(o_orderkey % 60 AS INTEGER))
+               + to_seconds(CAST(o_orderkey % 60 AS INTEGER)) AS ts FROM orders)
+)"""
+
+LIST_TEXT_ROWS = """
+list_text_rows AS (
+  SELECT c_custkey, c_name || '; ' || c_mktsegment || ',,' ||
+         CASE WHEN c_acctbal < 0 THEN ' ' ELSE ' x@y.com ' END AS list_text
+  FROM customer
+)"""
