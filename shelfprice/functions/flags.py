@@ -58,3 +58,36 @@ def valid_price(c: ColumnOrName, round_first: bool) -> tuple[Column, Column]:
     if round_first:
         x = F.bround(x, 0)
     return x, x.isNotNull() & (x != 0)
+
+
+# Veltkamp splitting constant (2^27 + 1) for the exact product error below
+_SPLITTER = 134217729.0
+
+
+def _product_error(a: Column, b: float) -> Column:
+    """e such that a*b == fl(a*b) + e exactly (Dekker's two-product; plain IEEE
+    double arithmetic, which Spark evaluates without re-association)."""
+    p = a * b
+    c = a * _SPLITTER
+    ah = c - (c - a)
+    al = a - ah
+    bc = b * _SPLITTER
+    bh = bc - (bc - b)
+    bl = b - bh
+    return ((ah * bh - p) + ah * bl + al * bh) + al * bl
+
+
+def round_half_even_exact(c: ColumnOrName, scale: int) -> Column:
+    """Round a double half-even on its exact binary value (what Python's
+    ``round(x, n)`` does): 94.67875 is stored just below the tie, so it rounds
+    down. ``bround`` would round the shortest decimal text instead."""
+    x = _col(c).cast("double")
+    m = float(10 ** scale)
+    p = x * m
+    err = _product_error(x, m)
+    fl = F.floor(p).cast("double")
+    tie = (p - fl) == 0.5
+    r = (F.when(tie & (err > 0), fl + 1)
+         .when(tie & (err < 0), fl)
+         .otherwise(F.rint(p)))
+    return r / m

@@ -107,8 +107,10 @@ def clean_price(c: ColumnOrName) -> Column:
 
 
 def price_from_double(value: Column) -> Column:
-    """0 → null; half-even to 4 decimals; values outside decimal(18,4) → null."""
-    rounded = F.bround(value, 4)
+    """0 → null; half-even to 4 decimals (on the exact binary value); values
+    outside decimal(18,4) → null."""
+    from shelfprice.functions.flags import round_half_even_exact
+    rounded = round_half_even_exact(value, 4)
     return F.when(value != 0, rounded.try_cast(PRICE_TYPE))
 
 

@@ -10,17 +10,7 @@ from shelfprice.sources import standins_sql as S
 
 SEQ = S.SEQ_ORDER
 
-# to_number(): plain decimal text only, else NULL; integers truncate like a cast in Spark
-NUM_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-
-
-def to_number(x: str) -> str:
-    t = f"trim(CAST({x} AS VARCHAR))"
-    return f"(CASE WHEN regexp_matches({t}, '{NUM_RE}') THEN TRY_CAST({t} AS DOUBLE) END)"
-
-
-def trunc_bigint(x: str) -> str:
-    return f"TRY_CAST(trunc({x}) AS BIGINT)"
+from shelfprice.sources.sql_scalar import NUM_RE, price_from_double, round_exact, to_number, trunc_bigint  # noqa: F401
 
 
 def _slot_cols(n: int) -> list[str]:
@@ -140,10 +130,6 @@ def clean_price(x: str) -> str:
     return price_from_double(v)
 
 
-def price_from_double(v: str) -> str:
-    return f"(CASE WHEN {v} <> 0 THEN TRY_CAST(round_even({v}, 4) AS DECIMAL(18,4)) END)"
-
-
 def normalise_ratio(x: str) -> str:
     s = f"replace(replace(CAST({x} AS VARCHAR), '%', ''), ',', '.')"
     n = to_number(s)

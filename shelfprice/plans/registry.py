@@ -227,3 +227,120 @@ SELECT c_custkey, CAST(unnest(range(len(arr))) AS INTEGER) AS pos, unnest(arr) A
 def q_split_list_cell(spark, d):
     t = SI.list_text_rows(spark, d)
     return t.select("c_custkey", F.posexplode(FT.split_list("list_text")).alias("pos", "item"))
+
+
+# ------------------------------------------------------------ loads and merges
+
+from shelfprice.operators import merge as M  # noqa: E402
+from shelfprice.operators.periods import keep_last  # noqa: E402
+from shelfprice.plans import weekly as WK  # noqa: E402
+
+_HIST_COLS = ", ".join(M.HISTORY_COLUMNS)
+_HIST_KEYS = ", ".join(M.HISTORY_KEYS)
+_MERGE_CTES = f"""{S.with_ctes(S.PRICE_LISTS, S.LINE_CUSTOMER, S.HISTORY_ROWS)},
+tgt AS (SELECT {_HIST_COLS} FROM (
+          SELECT *, row_number() OVER (PARTITION BY {_HIST_KEYS} ORDER BY {S.SEQ_ORDER}) AS rn
+          FROM history_rows WHERE l_shipdate < TIMESTAMP '{SI.MERGE_CUTOFF}') WHERE rn = 1),
+src AS (SELECT * FROM history_rows
+        WHERE l_shipdate >= TIMESTAMP '{SI.MERGE_CUTOFF}' - INTERVAL {SI.MERGE_OVERLAP_DAYS} DAY),
+src_first AS (SELECT * FROM (
+          SELECT *, row_number() OVER (PARTITION BY {_HIST_KEYS} ORDER BY {S.SEQ_ORDER}) AS rn
+          FROM src) WHERE rn = 1),
+src_last AS (SELECT * FROM (
+          SELECT *, row_number() OVER (PARTITION BY {_HIST_KEYS} ORDER BY {S.SEQ_ORDER.replace(',', ' DESC,')} DESC) AS rn
+          FROM src) WHERE rn = 1),
+src_n AS (SELECT {_HIST_KEYS}, count(*) AS n FROM src GROUP BY {_HIST_KEYS}),
+hit AS (SELECT n.*, EXISTS (SELECT 1 FROM tgt t WHERE t.id_lista = n.id_lista AND t.cod_art = n.cod_art
+                              AND t.fecha = n.fecha) AS in_t FROM src_n n)"""
+
+
+@register("dedup_keep_last", f"""{S.with_ctes(S.LINE_CUSTOMER, S.COMPETITOR_ROWS, S.COMPETITOR_FACT_ROWS)}
+SELECT {', '.join(M.COMPETITOR_COLUMNS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY {', '.join(M.COMPETITOR_KEYS)}
+                               ORDER BY {S.SEQ_ORDER.replace(',', ' DESC,')} DESC) AS rn
+  FROM competitor_fact_rows) WHERE rn = 1
+""")
+def q_dedup_keep_last(spark, d):
+    rows = SI.competitor_fact_rows(spark, d)
+    return keep_last(rows, M.COMPETITOR_KEYS, ["precio", "fecha_modificacion"], "seq").select(
+        *M.COMPETITOR_COLUMNS)
+
+
+@register("merge_insert_only", f"""{_MERGE_CTES}
+SELECT * FROM tgt
+UNION ALL
+SELECT {_HIST_COLS} FROM src_first s
+WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.id_lista = s.id_lista AND t.cod_art = s.cod_art
+                  AND t.fecha = s.fecha)
+""")
+def q_merge_insert_only(spark, d):
+    target, source = SI.merge_target_source(spark, d)
+    return M.merge_insert_only(target, source, M.HISTORY_KEYS, "seq")
+
+
+def _upsert_select() -> str:
+    out = []
+    for c in M.HISTORY_COLUMNS:
+        if c in M.HISTORY_KEYS:
+            out.append(c)
+        elif c in M.HISTORY_UPDATE_COLS:
+            out.append(f"CASE WHEN s.in_s THEN s.{c} ELSE t.{c} END AS {c}")
+        else:
+            out.append(f"CASE WHEN t.in_t THEN t.{c} ELSE s.{c} END AS {c}")
+    return ", ".join(out)
+
+
+@register("merge_upsert", f"""{_MERGE_CTES},
+s AS (SELECT f.id_lista, f.cod_art, f.fecha, f.origen, f.lista, f.product_id, f.producto, f.uom,
+             f.unidad_me, f.invoicing_type, f.contenido, f.box_kgs,
+             l.precio, l.precioxkg, l.ing_hora, true AS in_s
+      FROM src_first f JOIN src_last l USING ({_HIST_KEYS})),
+t AS (SELECT *, true AS in_t FROM tgt)
+SELECT {_upsert_select()}
+FROM t FULL OUTER JOIN s USING ({_HIST_KEYS})
+""")
+def q_merge_upsert(spark, d):
+    target, source = SI.merge_target_source(spark, d)
+    return M.merge_upsert(target, source, M.HISTORY_KEYS, M.HISTORY_UPDATE_COLS, "seq")
+
+
+@register("merge_stats", f"""{_MERGE_CTES}
+SELECT 'upsert' AS mode, CAST(sum(n) AS BIGINT) AS rows_total,
+       CAST(sum(CASE WHEN in_t THEN 0 ELSE 1 END) AS BIGINT) AS rows_inserted,
+       CAST(sum(n - CASE WHEN in_t THEN 0 ELSE 1 END) AS BIGINT) AS rows_updated,
+       CAST(0 AS BIGINT) AS rows_skipped
+FROM hit
+UNION ALL
+SELECT 'insert_only', CAST(sum(n) AS BIGINT), CAST(sum(CASE WHEN in_t THEN 0 ELSE 1 END) AS BIGINT),
+       CAST(0 AS BIGINT), CAST(sum(n - CASE WHEN in_t THEN 0 ELSE 1 END) AS BIGINT)
+FROM hit
+""")
+def q_merge_stats(spark, d):
+    target, source = SI.merge_target_source(spark, d)
+    up = M.merge_stats(target, source, M.HISTORY_KEYS, upsert=True)
+    ins = M.merge_stats(target, source, M.HISTORY_KEYS, upsert=False)
+    return (up.select(F.lit("upsert").alias("mode"), "*")
+            .unionByName(ins.select(F.lit("insert_only").alias("mode"), "*")))
+
+
+@register("weekly_price_fact", f"""{S.with_ctes(S.PRICE_LISTS, S.LINE_CUSTOMER, S.HISTORY_ROWS)}
+SELECT id_lista, cod_art, week, precio, fecha AS last_fecha, CAST(n_rows AS BIGINT) AS n_rows FROM (
+  SELECT *, CAST(date_trunc('week', fecha) AS DATE) AS week,
+         row_number() OVER (PARTITION BY id_lista, cod_art, date_trunc('week', fecha)
+                            ORDER BY fecha DESC, {S.SEQ_ORDER.replace(',', ' DESC,')} DESC) AS rn,
+         count(*) OVER (PARTITION BY id_lista, cod_art, date_trunc('week', fecha)) AS n_rows
+  FROM history_rows WHERE fecha IS NOT NULL) WHERE rn = 1
+""")
+def q_weekly_price_fact(spark, d):
+    return WK.weekly_price_fact(SI.history_rows(spark, d).drop("_shipdate"))
+
+
+@register("weekly_cost_fact", f"""{S.with_ctes(S.WEEKLY_ROWS)}
+SELECT article, week, cost, commercial_cost, CAST(n_rows AS BIGINT) AS n_rows FROM (
+  SELECT *, row_number() OVER (PARTITION BY article, week
+                               ORDER BY {S.SEQ_ORDER.replace(',', ' DESC,')} DESC) AS rn,
+         count(*) OVER (PARTITION BY article, week) AS n_rows
+  FROM weekly_rows WHERE week IS NOT NULL AND article IS NOT NULL) WHERE rn = 1
+""")
+def q_weekly_cost_fact(spark, d):
+    return WK.weekly_cost_fact(SI.weekly_rows(spark, d))

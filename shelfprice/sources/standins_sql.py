@@ -60,11 +60,16 @@ competitor_rows AS (
   JOIN supplier ON l_suppkey = s_suppkey
 )"""
 
-# decimal(18,4) price: 0 → null; half-even to 4 places
+# decimal(18,4) price: 0 → null; half-even to 4 places on the exact value
+def _price(v: str) -> str:
+    from shelfprice.sources.sql_scalar import price_from_double
+    return price_from_double(v)
+
+
 COMPETITOR_FACT_ROWS = f"""
 competitor_fact_rows AS (
   SELECT cod_art, cluster, competitor AS competencia,
-         CASE WHEN price <> 0 THEN TRY_CAST(round_even(price, 4) AS DECIMAL(18,4)) END AS precio,
+         {_price('price')} AS precio,
          CAST(year(l_shipdate) AS INTEGER) AS anio,
          CAST(weekofyear(l_shipdate) AS INTEGER) AS semana,
          modified_on AS fecha_modificacion,
