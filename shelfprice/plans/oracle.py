@@ -174,3 +174,186 @@ DAYFIRST_FORMATS = ("%d/%m/%Y %H:%M:%S", "%d/%m/%Y %H:%M", "%d/%m/%Y", "%d-%m-%Y
 def parse_dayfirst(x: str) -> str:
     t = f"trim(CAST({x} AS VARCHAR))"
     return "COALESCE(" + ", ".join(f"try_strptime({t}, '{f}')" for f in DAYFIRST_FORMATS) + ")"
+
+
+# ------------------------------------------------------------- grid oracles
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def block_records_ctes(cells: str, aliases: dict, contains: bool, search_rows: int,
+                       prefix: str, name_row: int = 1) -> str:
+    """CTEs ending in ``{prefix}rec``: one row per block record with the
+    canonical fields and has_<field> flags."""
+    p = prefix
+    match = (f"contains({norm_key('c.value')}, 'rubro')" if contains
+             else f"{norm_key('c.value')} = 'rubro'")
+    al_rows = ", ".join(f"({_sql_str(f)}, {_sql_str(c)}, {i})"
+                        for f, cands in aliases.items() for i, c in enumerate(cands))
+    fields = list(aliases)
+    pick = ", ".join(f"max(CASE WHEN r.field = {_sql_str(f)} THEN c.value END) AS {f}" for f in fields)
+    has = ", ".join(f"COALESCE(bool_or(r.field = {_sql_str(f)}), false) AS has_{f}" for f in fields)
+    return f"""
+{p}last AS (SELECT workbook, sheet, max(col_idx) AS last_col FROM {cells} GROUP BY 1, 2),
+{p}blocks AS (
+  SELECT n.workbook, n.sheet, n.col_idx AS block_start,
+         COALESCE(lead(n.col_idx) OVER (PARTITION BY n.workbook, n.sheet ORDER BY n.col_idx) - 1,
+                  l.last_col) AS block_end,
+         trim(n.value) AS block_name
+  FROM {cells} n JOIN {p}last l USING (workbook, sheet)
+  WHERE n.row_idx = {name_row} AND trim(n.value) <> ''
+),
+{p}hdr AS (
+  SELECT b.*, h.header_row FROM {p}blocks b JOIN (
+    SELECT c.workbook, c.sheet, c.col_idx AS block_start, min(c.row_idx) AS header_row
+    FROM {cells} c JOIN {p}blocks b
+      ON c.workbook = b.workbook AND c.sheet = b.sheet AND c.col_idx = b.block_start
+    WHERE c.row_idx < {search_rows} AND c.value IS NOT NULL AND trim(c.value) <> '' AND {match}
+    GROUP BY 1, 2, 3) h USING (workbook, sheet, block_start)
+),
+{p}colmap AS (
+  SELECT workbook, sheet, block_start, header_row,
+         CAST(unnest(generate_series(block_start, block_end)) AS INTEGER) AS col_idx
+  FROM {p}hdr
+),
+{p}al AS (SELECT DISTINCT field, {norm_key('cand')} AS cand_key, cand_rank
+          FROM (VALUES {al_rows}) t(field, cand, cand_rank)),
+{p}head AS (
+  SELECT c.workbook, c.sheet, m.block_start, c.col_idx, {norm_key('c.value')} AS hkey
+  FROM {cells} c JOIN {p}colmap m USING (workbook, sheet, col_idx)
+  WHERE c.row_idx = m.header_row
+),
+{p}resolved AS (
+  SELECT workbook, sheet, block_start, field, col_idx FROM (
+    SELECT h.*, a.field, row_number() OVER (PARTITION BY h.workbook, h.sheet, h.block_start, a.field
+                                             ORDER BY a.cand_rank, h.col_idx DESC) AS rn
+    FROM {p}head h JOIN {p}al a ON h.hkey = a.cand_key) WHERE rn = 1
+),
+{p}recs AS (
+  SELECT c.workbook, c.sheet, m.block_start, c.row_idx, {pick}
+  FROM {cells} c JOIN {p}colmap m USING (workbook, sheet, col_idx)
+  LEFT JOIN {p}resolved r ON r.workbook = c.workbook AND r.sheet = c.sheet
+       AND r.block_start = m.block_start AND r.col_idx = c.col_idx
+  WHERE c.value IS NOT NULL AND c.row_idx > m.header_row
+  GROUP BY 1, 2, 3, 4
+),
+{p}has AS (
+  SELECT h.workbook, h.sheet, h.block_start, h.block_name, {has}
+  FROM {p}hdr h LEFT JOIN {p}resolved r USING (workbook, sheet, block_start)
+  GROUP BY 1, 2, 3, 4
+),
+{p}rec AS (SELECT * FROM {p}recs JOIN {p}has USING (workbook, sheet, block_start))"""
+
+
+def publication_export_sql(prefix: str = "pub_") -> str:
+    from shelfprice.plans.exports import PUBLICATION_TABS
+    p = prefix
+    tabs = ", ".join(f"({_sql_str(t)}, {_sql_str(r)})" for t, r in PUBLICATION_TABS.items())
+    v = f"round_even({to_number('sin_iva')}, 0)"
+    pr = f"round_even({to_number('precio')}, 0)"
+    ratio = normalise_ratio("vs_lista")
+    return f""",
+{p}src AS (SELECT * FROM {p}rec WHERE has_tipo AND has_codigo AND codigo IS NOT NULL),
+{p}fb AS (SELECT workbook, sheet, min(block_start) AS block_start FROM {p}src GROUP BY 1, 2),
+{p}tmap AS (SELECT workbook, sheet, codigo, tipo AS map_tipo FROM (
+    SELECT s.*, row_number() OVER (PARTITION BY s.workbook, s.sheet, s.codigo ORDER BY s.row_idx) AS rn
+    FROM {p}src s JOIN {p}fb USING (workbook, sheet, block_start)) WHERE rn = 1),
+{p}enr AS (
+  SELECT r.* REPLACE (CASE WHEN NOT r.has_tipo AND r.has_codigo AND fb.block_start IS NOT NULL
+                           THEN COALESCE(t.map_tipo, '') ELSE r.tipo END AS tipo)
+  FROM {p}rec r LEFT JOIN {p}tmap t USING (workbook, sheet, codigo)
+  LEFT JOIN {p}fb fb ON fb.workbook = r.workbook AND fb.sheet = r.sheet
+),
+{p}out AS (
+  SELECT e.*, tabs.tab, tabs.tab_rubro FROM {p}enr e CROSS JOIN (VALUES {tabs}) tabs(tab, tab_rubro)
+  WHERE (NOT e.has_rubro OR e.rubro = tabs.tab_rubro)
+    AND (NOT e.has_sin_iva OR ({v} IS NOT NULL AND {v} <> 0))
+)
+SELECT {safe_name(strip_cluster('block_name'))} AS cluster, tab, workbook, sheet, block_start, row_idx,
+       rubro, tipo, codigo, descripcion,
+       TRY_CAST({v} AS BIGINT) AS sin_iva, TRY_CAST({pr} AS BIGINT) AS precio,
+       {ratio} AS vs_lista, unidad_me,
+       COALESCE(abs(TRY_CAST({v} AS BIGINT)) % 100 = 99, false) AS sin_iva_ends_99,
+       COALESCE(abs(TRY_CAST({pr} AS BIGINT)) % 100 = 99, false) AS precio_ends_99,
+       CAST(sign({ratio}) AS INTEGER) AS vs_sign
+FROM {p}out"""
+
+
+def sales_export_ctes(list_codes: dict, date_text: str, prefix: str = "sal_") -> str:
+    from shelfprice.plans.exports import SALES_CATEGORIES
+    p = prefix
+    cats = ", ".join(f"({_sql_str(c)}, {_sql_str(v)})" for c, v in SALES_CATEGORIES.items())
+    codes = ", ".join(f"({_sql_str(k)}, {_sql_str(v)})" for k, v in list_codes.items())
+    price = to_number("sin_iva")
+    cluster = safe_name(strip_cluster("trim(block_name)"))
+    return f""",
+{p}base AS (
+  SELECT r.*, upper(trim(COALESCE(rubro, 'None'))) AS rub_u, {price} AS price_v, {cluster} AS cluster
+  FROM {p}rec r WHERE has_rubro AND has_codigo AND has_sin_iva
+),
+{p}export AS (
+  SELECT b.cluster, c.category, COALESCE(k.list_code, '') AS list_code, b.workbook, b.sheet,
+         b.block_start, b.row_idx, b.codigo, b.price_v AS precio, CAST(0.0 AS DOUBLE) AS cero,
+         {_sql_str(date_text)} AS fecha_texto
+  FROM {p}base b JOIN (VALUES {cats}) c(category, cat_value) ON b.rub_u = c.cat_value
+  LEFT JOIN (VALUES {codes}) k(code_key, list_code) ON {strip_cluster('b.cluster', upper=True)} = k.code_key
+  WHERE b.price_v IS NOT NULL AND b.price_v <> 0
+)"""
+
+
+def history_parsed_ctes(cells: str = "history_cells") -> str:
+    return f""",
+hp_prices AS (SELECT workbook, sheet, row_idx, col_idx, value AS price_value FROM {cells}
+              WHERE row_idx >= 4 AND col_idx >= 3 AND (col_idx - 3) % 3 = 0 AND value IS NOT NULL),
+hp_dates AS (SELECT workbook, sheet, col_idx, value AS date_value FROM {cells}
+             WHERE row_idx = 3 AND col_idx >= 3 AND (col_idx - 3) % 3 = 0),
+hp_base AS (SELECT workbook, sheet, row_idx,
+                   max(CASE WHEN col_idx = 0 THEN value END) AS rubro,
+                   max(CASE WHEN col_idx = 1 THEN value END) AS cod_text,
+                   max(CASE WHEN col_idx = 2 THEN value END) AS producto
+            FROM {cells} WHERE row_idx >= 4 AND col_idx < 3 GROUP BY 1, 2, 3),
+hp_raw AS (SELECT p.*, d.date_value, b.rubro, b.cod_text, b.producto
+           FROM hp_prices p LEFT JOIN hp_dates d USING (workbook, sheet, col_idx)
+           LEFT JOIN hp_base b USING (workbook, sheet, row_idx)),
+hp_tagged AS (
+  SELECT *, CASE WHEN _precio IS NULL THEN 'no_price'
+                 WHEN _code IS NULL AND producto IS NULL THEN 'no_code_no_product'
+                 WHEN _fecha IS NULL THEN 'bad_date' END AS reject_reason
+  FROM (SELECT *, {to_number('price_value')} AS _precio,
+               date_trunc('minute', {parse_dayfirst('date_value')}) AS _fecha,
+               {blank_to_null('cod_text')} AS _code FROM hp_raw)
+)"""
+
+
+def template_load_ctes(sheets, as_of: str, cells: str = "template_cells") -> str:
+    order = ", ".join(f"({_sql_str(s)}, {i})" for i, s in enumerate(sheets))
+    return f""",
+tl_ord(sheet, sheet_rank) AS (VALUES {order}),
+tl_sc AS (SELECT c.* FROM {cells} c JOIN tl_ord USING (sheet)),
+tl_codes AS (SELECT workbook, sheet, row_idx, {code_or_null('value')} AS cod_art FROM tl_sc
+             WHERE row_idx >= 3 AND col_idx = 0 AND {code_or_null('value')} IS NOT NULL),
+tl_heads AS (SELECT workbook, sheet, col_idx, value AS competencia FROM tl_sc
+             WHERE row_idx = 2 AND col_idx >= 3 AND value IS NOT NULL AND trim(value) <> ''
+               AND trim(value) NOT IN ('Código', 'Descripción')),
+tl_dates AS (SELECT workbook, sheet, col_idx, CAST({parse_dayfirst('value')} AS DATE) AS fecha_modificacion
+             FROM tl_sc WHERE row_idx = 1),
+tl_vals AS (SELECT v.workbook, v.sheet, v.row_idx, v.col_idx, v.value AS price_value, k.cod_art
+            FROM tl_sc v JOIN tl_codes k USING (workbook, sheet, row_idx)
+            WHERE v.row_idx >= 3 AND v.col_idx >= 3),
+tl_filled AS (SELECT DISTINCT workbook, sheet, col_idx FROM tl_vals WHERE price_value IS NOT NULL),
+tl_rows AS (
+  SELECT v.cod_art, v.sheet AS cluster, h.competencia, {clean_price('v.price_value')} AS precio,
+         CAST(year(DATE '{as_of}') AS INTEGER) AS anio, CAST(weekofyear(DATE '{as_of}') AS INTEGER) AS semana,
+         d.fecha_modificacion, o.sheet_rank, v.col_idx, v.row_idx
+  FROM tl_vals v JOIN tl_filled USING (workbook, sheet, col_idx)
+  JOIN tl_heads h USING (workbook, sheet, col_idx)
+  LEFT JOIN tl_dates d USING (workbook, sheet, col_idx)
+  JOIN tl_ord o ON o.sheet = v.sheet
+),
+tl_final AS (
+  SELECT cod_art, cluster, competencia, precio, anio, semana, fecha_modificacion FROM (
+    SELECT *, row_number() OVER (PARTITION BY cod_art, cluster, competencia, anio, semana
+                                 ORDER BY sheet_rank DESC, col_idx DESC, row_idx DESC) AS rn
+    FROM tl_rows) WHERE rn = 1
+)"""

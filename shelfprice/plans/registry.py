@@ -344,3 +344,113 @@ SELECT article, week, cost, commercial_cost, CAST(n_rows AS BIGINT) AS n_rows FR
 """)
 def q_weekly_cost_fact(spark, d):
     return WK.weekly_cost_fact(SI.weekly_rows(spark, d))
+
+
+# ------------------------------------------------------------ spreadsheet grids
+
+from shelfprice.operators.grid import detect_blocks  # noqa: E402
+from shelfprice.plans import exports as EX  # noqa: E402
+from shelfprice.plans import loads as LD  # noqa: E402
+from shelfprice.sources import grid_standins as GS  # noqa: E402
+from shelfprice.sources import grid_standins_sql as GQ  # noqa: E402
+
+# stand-in parameters: list code per cluster (cluster name without the word CLUSTER)
+LIST_CODES = {"NORTE": "PubNOR", "SUR": "PubSUR", "MAYORISTAS": "MayMAY", "HORECA": "HorHOR"}
+PROCESS_DATE = "2024-06-03"
+_CLUSTER = S.with_ctes(GQ.CLUSTER_CELLS)
+_PUB = O.block_records_ctes("cluster_cells", EX.PUBLICATION_ALIASES, False,
+                            EX.PUBLICATION_SEARCH_ROWS, "pub_")
+_SAL = O.block_records_ctes("cluster_cells", EX.SALES_ALIASES, True, EX.SALES_SEARCH_ROWS, "sal_")
+_PUB_FIELDS = list(EX.PUBLICATION_ALIASES)
+
+
+@register("detect_blocks", f"""{_CLUSTER},{_PUB}
+SELECT workbook, sheet, block_start, block_end, block_name FROM pub_blocks
+""")
+def q_detect_blocks(spark, d):
+    return detect_blocks(GS.cluster_sheet_cells(spark, d))
+
+
+@register("block_records", f"""{_CLUSTER},{_PUB}
+SELECT workbook, sheet, block_start, block_name, row_idx, {', '.join(_PUB_FIELDS)},
+       {', '.join('has_' + f for f in _PUB_FIELDS)}
+FROM pub_rec
+""")
+def q_block_records(spark, d):
+    return EX.publication_records(GS.cluster_sheet_cells(spark, d))
+
+
+@register("publication_export", f"""{_CLUSTER},{_PUB}{O.publication_export_sql()}
+""")
+def q_publication_export(spark, d):
+    return EX.publication_export(GS.cluster_sheet_cells(spark, d))
+
+
+@register("sales_export", f"""{_CLUSTER},{_SAL}{O.sales_export_ctes(LIST_CODES, EX.SALES_DATE_TEXT)}
+SELECT * FROM sal_export
+""")
+def q_sales_export(spark, d):
+    return EX.sales_export(GS.cluster_sheet_cells(spark, d), LIST_CODES)
+
+
+@register("export_manifest", f"""{_CLUSTER},{_SAL}{O.sales_export_ctes(LIST_CODES, EX.SALES_DATE_TEXT)}
+SELECT cluster, category, count(*) AS n_rows, DATE '{PROCESS_DATE}' AS process_date
+FROM sal_export GROUP BY cluster, category
+""")
+def q_export_manifest(spark, d):
+    out = EX.sales_export(GS.cluster_sheet_cells(spark, d), LIST_CODES)
+    return EX.export_manifest(out, ["cluster", "category"], PROCESS_DATE)
+
+
+_HIST = f"{S.with_ctes(S.PRICE_LISTS, S.LINE_CUSTOMER, GQ.HISTORY_CELLS)}{O.history_parsed_ctes()}"
+
+
+@register("unpivot_price_history", f"""{_HIST}
+SELECT 'excel' AS origen, l.list_id AS id_lista, t.sheet AS lista, t._fecha AS fecha,
+       0 AS product_id, {O.code_or_zero('t._code')} AS cod_art, COALESCE(t.producto, '') AS producto,
+       t._precio AS precio, '' AS uom, '' AS unidad_me, '' AS invoicing_type,
+       CAST(0.0 AS DOUBLE) AS contenido, CAST(0.0 AS DOUBLE) AS box_kgs, CAST(0.0 AS DOUBLE) AS precioxkg,
+       t._fecha AS ing_hora
+FROM hp_tagged t JOIN price_lists l ON l.list_name = t.sheet
+WHERE t.reject_reason IS NULL
+""")
+def q_unpivot_price_history(spark, d):
+    cells = GS.history_sheet_cells(spark, d)
+    return LD.history_load(cells, SI.price_lists(spark, d)).drop("seq")
+
+
+@register("split_rejects", f"""{_HIST}
+SELECT workbook, sheet, row_idx, col_idx, price_value, date_value, reject_reason
+FROM hp_tagged WHERE reject_reason IS NOT NULL
+""")
+def q_split_rejects(spark, d):
+    return LD.history_rejects(GS.history_sheet_cells(spark, d))
+
+
+_TPL = (f"{S.with_ctes(S.LINE_CUSTOMER, GQ.TEMPLATE_CELLS)}"
+        f"{O.template_load_ctes(GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)}")
+
+
+@register("melt_competitor_template", f"""{_TPL}
+SELECT * FROM tl_final
+""")
+def q_melt_competitor_template(spark, d):
+    return LD.template_load(GS.template_cells(spark, d), GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)
+
+
+@register("replace_week_slice", f"""{_TPL}, {S.COMPETITOR_ROWS}, {S.COMPETITOR_FACT_ROWS},
+existing AS (
+  SELECT {', '.join(M.COMPETITOR_COLUMNS)} FROM (
+    SELECT *, row_number() OVER (PARTITION BY {', '.join(M.COMPETITOR_KEYS)}
+                                 ORDER BY {S.SEQ_ORDER.replace(',', ' DESC,')} DESC) AS rn
+    FROM competitor_fact_rows) WHERE rn = 1)
+SELECT * FROM existing e
+WHERE NOT EXISTS (SELECT 1 FROM tl_final f WHERE f.anio = e.anio AND f.semana = e.semana)
+UNION ALL
+SELECT * FROM tl_final
+""")
+def q_replace_week_slice(spark, d):
+    existing = keep_last(SI.competitor_fact_rows(spark, d), M.COMPETITOR_KEYS,
+                         ["precio", "fecha_modificacion"], "seq").select(*M.COMPETITOR_COLUMNS)
+    new = LD.template_load(GS.template_cells(spark, d), GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)
+    return M.replace_slices(existing, new, M.COMPETITOR_SLICE)
