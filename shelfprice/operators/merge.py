@@ -123,7 +123,7 @@ def replace_slices(existing: DataFrame, new: DataFrame, slice_cols: Sequence[str
     slices = new.select(*slice_cols).distinct()
     # the slice keys of one load are a handful of calendar weeks: a bounded set
     kept = existing.join(F.broadcast(slices), list(slice_cols), "left_anti")
-    return kept.unionByName(new.select(*existing.columns))
+    return kept.select(*existing.columns).unionByName(new.select(*existing.columns))
 
 
 # ------------------------------------------------------------------ writes
