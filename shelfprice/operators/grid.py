@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def detect_blocks(cells: DataFrame, name_row: int = 1) -> DataFrame:
     last_col = cells.groupBy(*SHEET).agg(F.max("col_idx").alias("_last"))
     w = Window.partitionBy(*SHEET).orderBy("col_idx")
     return (names.withColumn("_next", F.lead("col_idx").over(w))
-            .join(last_col, list(SHEET))
+            .join(F.broadcast(last_col), list(SHEET))
             .select(*SHEET, F.col("col_idx").alias("block_start"),
                     F.coalesce(F.col("_next") - 1, F.col("_last")).alias("block_end"),
                     "block_name"))
@@ -72,8 +73,11 @@ def detect_header(cells: DataFrame, blocks: DataFrame, contains: bool = False,
 
     Returns the block columns plus ``header_row``."""
     first = blocks.select(*SHEET, F.col("block_start").alias("col_idx"))
+    # layout tables (blocks, block columns, header/date columns) hold one row per
+    # sheet column at most: bounded by sheets × sheet width, never by the row count,
+    # so they are the broadcast side of every join with the cell table
     hits = (cells.where(F.col("row_idx") < search_rows)
-            .join(first, [*SHEET, "col_idx"])
+            .join(F.broadcast(first), [*SHEET, "col_idx"])
             .where(F.col("value").isNotNull() & (F.trim(F.col("value")) != "")
                    & header_match(F.col("value"), contains))
             .groupBy(*SHEET, F.col("col_idx").alias("block_start"))
@@ -105,7 +109,7 @@ def resolve_columns(cells: DataFrame, headers: DataFrame,
     Returns (workbook, sheet, block_start, field, col_idx)."""
     spark = cells.sparkSession
     colmap = block_column_map(headers)
-    head = (cells.join(colmap, [*SHEET, "col_idx"])
+    head = (cells.join(F.broadcast(colmap), [*SHEET, "col_idx"])
             .where(F.col("row_idx") == F.col("header_row"))
             .select(*SHEET, "block_start", "col_idx", norm_key("value").alias("key")))
     # the alias parameter is a literal list of a few dozen names
@@ -124,11 +128,14 @@ def block_records(cells: DataFrame, headers: DataFrame,
     Returns (workbook, sheet, block_start, block_name, row_idx, <fields>,
     has_<fields>)."""
     fields = list(aliases)
-    resolved = resolve_columns(cells, headers, aliases)
+    # the layout tables are bounded by sheets × blocks × block width and are read by
+    # several branches below: keep them instead of re-deriving them from the cells
+    headers = headers.persist(StorageLevel.MEMORY_AND_DISK)
+    resolved = resolve_columns(cells, headers, aliases).persist(StorageLevel.MEMORY_AND_DISK)
     colmap = block_column_map(headers).join(
         resolved, [*SHEET, "block_start", "col_idx"], "left")
     data = (cells.where(F.col("value").isNotNull())
-            .join(colmap, [*SHEET, "col_idx"])
+            .join(F.broadcast(colmap), [*SHEET, "col_idx"])
             .where(F.col("row_idx") > F.col("header_row")))
     recs = data.groupBy(*SHEET, "block_start", "row_idx").agg(
         *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields])
@@ -136,7 +143,7 @@ def block_records(cells: DataFrame, headers: DataFrame,
         *[F.max(F.col("field") == f).alias(f"has_{f}") for f in fields])
     info = headers.select(*SHEET, "block_start", "block_name").join(
         has, [*SHEET, "block_start"], "left").fillna(False, [f"has_{f}" for f in fields])
-    return recs.join(info, [*SHEET, "block_start"]).select(
+    return recs.join(F.broadcast(info), [*SHEET, "block_start"]).select(
         *SHEET, "block_start", "block_name", "row_idx", *fields,
         *[f"has_{f}" for f in fields])
 
@@ -164,7 +171,7 @@ def unpivot_history(cells: DataFrame, date_row: int = 3, data_row: int = 4,
             .agg(F.max(F.when(F.col("col_idx") == 0, F.col("value"))).alias("rubro"),
                  F.max(F.when(F.col("col_idx") == 1, F.col("value"))).alias("cod_text"),
                  F.max(F.when(F.col("col_idx") == 2, F.col("value"))).alias("producto")))
-    return (prices.join(dates, [*SHEET, "col_idx"], "left")
+    return (prices.join(F.broadcast(dates), [*SHEET, "col_idx"], "left")
             .join(base, [*SHEET, "row_idx"], "left"))
 
 
@@ -210,8 +217,8 @@ def melt_template(cells: DataFrame, code_col: int = 0, data_row: int = 3,
             .join(codes, [*SHEET, "row_idx"]))
     filled = (vals.where(F.col("price_value").isNotNull())
               .select(*SHEET, "col_idx").distinct())
-    return (vals.join(filled, [*SHEET, "col_idx"], "left_semi")
-            .join(cols, [*SHEET, "col_idx"]))
+    return (vals.join(F.broadcast(filled), [*SHEET, "col_idx"], "left_semi")
+            .join(F.broadcast(cols), [*SHEET, "col_idx"]))
 
 
 def blank_code_flags(code_text: Column, product: Column) -> Column:

@@ -353,6 +353,22 @@ from shelfprice.plans import exports as EX  # noqa: E402
 from shelfprice.plans import loads as LD  # noqa: E402
 from shelfprice.sources import grid_standins as GS  # noqa: E402
 from shelfprice.sources import grid_standins_sql as GQ  # noqa: E402
+from shelfprice.session import land  # noqa: E402
+
+
+def _cluster_cells(spark, d):
+    """The derived cluster sheets, landed once as a Parquet table (the plans read
+    the cell table in several branches; a stored landing table is what a real
+    load would read)."""
+    return land(GS.cluster_sheet_cells(spark, d), "cluster-cells")
+
+
+def _history_cells(spark, d):
+    return land(GS.history_sheet_cells(spark, d), "history-cells")
+
+
+def _template_cells(spark, d):
+    return land(GS.template_cells(spark, d), "template-cells")
 
 # stand-in parameters: list code per cluster (cluster name without the word CLUSTER)
 LIST_CODES = {"NORTE": "PubNOR", "SUR": "PubSUR", "MAYORISTAS": "MayMAY", "HORECA": "HorHOR"}
@@ -368,7 +384,7 @@ _PUB_FIELDS = list(EX.PUBLICATION_ALIASES)
 SELECT workbook, sheet, block_start, block_end, block_name FROM pub_blocks
 """)
 def q_detect_blocks(spark, d):
-    return detect_blocks(GS.cluster_sheet_cells(spark, d))
+    return detect_blocks(_cluster_cells(spark, d))
 
 
 @register("block_records", f"""{_CLUSTER},{_PUB}
@@ -377,20 +393,20 @@ SELECT workbook, sheet, block_start, block_name, row_idx, {', '.join(_PUB_FIELDS
 FROM pub_rec
 """)
 def q_block_records(spark, d):
-    return EX.publication_records(GS.cluster_sheet_cells(spark, d))
+    return EX.publication_records(_cluster_cells(spark, d))
 
 
 @register("publication_export", f"""{_CLUSTER},{_PUB}{O.publication_export_sql()}
 """)
 def q_publication_export(spark, d):
-    return EX.publication_export(GS.cluster_sheet_cells(spark, d))
+    return EX.publication_export(_cluster_cells(spark, d))
 
 
 @register("sales_export", f"""{_CLUSTER},{_SAL}{O.sales_export_ctes(LIST_CODES, EX.SALES_DATE_TEXT)}
 SELECT * FROM sal_export
 """)
 def q_sales_export(spark, d):
-    return EX.sales_export(GS.cluster_sheet_cells(spark, d), LIST_CODES)
+    return EX.sales_export(_cluster_cells(spark, d), LIST_CODES)
 
 
 @register("export_manifest", f"""{_CLUSTER},{_SAL}{O.sales_export_ctes(LIST_CODES, EX.SALES_DATE_TEXT)}
@@ -398,7 +414,7 @@ SELECT cluster, category, count(*) AS n_rows, DATE '{PROCESS_DATE}' AS process_d
 FROM sal_export GROUP BY cluster, category
 """)
 def q_export_manifest(spark, d):
-    out = EX.sales_export(GS.cluster_sheet_cells(spark, d), LIST_CODES)
+    out = EX.sales_export(_cluster_cells(spark, d), LIST_CODES)
     return EX.export_manifest(out, ["cluster", "category"], PROCESS_DATE)
 
 
@@ -415,7 +431,7 @@ FROM hp_tagged t JOIN price_lists l ON l.list_name = t.sheet
 WHERE t.reject_reason IS NULL
 """)
 def q_unpivot_price_history(spark, d):
-    cells = GS.history_sheet_cells(spark, d)
+    cells = _history_cells(spark, d)
     return LD.history_load(cells, SI.price_lists(spark, d)).drop("seq")
 
 
@@ -424,7 +440,7 @@ SELECT workbook, sheet, row_idx, col_idx, price_value, date_value, reject_reason
 FROM hp_tagged WHERE reject_reason IS NOT NULL
 """)
 def q_split_rejects(spark, d):
-    return LD.history_rejects(GS.history_sheet_cells(spark, d))
+    return LD.history_rejects(_history_cells(spark, d))
 
 
 _TPL = (f"{S.with_ctes(S.LINE_CUSTOMER, GQ.TEMPLATE_CELLS)}"
@@ -435,7 +451,7 @@ _TPL = (f"{S.with_ctes(S.LINE_CUSTOMER, GQ.TEMPLATE_CELLS)}"
 SELECT * FROM tl_final
 """)
 def q_melt_competitor_template(spark, d):
-    return LD.template_load(GS.template_cells(spark, d), GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)
+    return LD.template_load(_template_cells(spark, d), GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)
 
 
 @register("replace_week_slice", f"""{_TPL}, {S.COMPETITOR_ROWS}, {S.COMPETITOR_FACT_ROWS},
@@ -452,5 +468,5 @@ SELECT * FROM tl_final
 def q_replace_week_slice(spark, d):
     existing = keep_last(SI.competitor_fact_rows(spark, d), M.COMPETITOR_KEYS,
                          ["precio", "fecha_modificacion"], "seq").select(*M.COMPETITOR_COLUMNS)
-    new = LD.template_load(GS.template_cells(spark, d), GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)
+    new = LD.template_load(_template_cells(spark, d), GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)
     return M.replace_slices(existing, new, M.COMPETITOR_SLICE)

@@ -16,6 +16,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # keep post-shuffle parallelism for CPU-heavy stages over small shuffles
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
@@ -60,3 +62,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def land(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it
+    back: lineage is cut (executor loss re-reads files, never recomputes the
+    producer) and later scans get column pruning and filter pushdown."""
+    path = staging_path(df.sparkSession, name)
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        # a narrow producer would give one file and a one-task scan downstream
+        df = df.repartition(parallelism)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
