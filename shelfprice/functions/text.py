@@ -90,20 +90,45 @@ def clean_price(c: ColumnOrName) -> Column:
     and '.', the dots are thousands separators and the comma is the decimal mark;
     with only ',', it is the decimal mark; with only '.', it is the decimal point.
     Zero, blank, unparsable and out-of-range values give null; 4 decimals, half even.
+
+    On a DataFrame prefer :func:`with_clean_price`, which parses once and rounds
+    in a second projection (the rounding reads its input several times).
     """
-    col = _col(c)
-    s = F.trim(col.cast("string"))
-    s = F.replace(F.replace(s, F.lit("$"), F.lit("")), F.lit(" "), F.lit(""))
+    return price_from_double(parse_price_text(c))
+
+
+def _strip_price(c: ColumnOrName) -> Column:
+    s = F.trim(_col(c).cast("string"))
+    return F.replace(F.replace(s, F.lit("$"), F.lit("")), F.lit(" "), F.lit(""))
+
+
+def _normalise_separators(s: Column) -> Column:
     has_comma = F.instr(s, ",") > 0
     has_dot = F.instr(s, ".") > 0
-    normalised = (
-        F.when(has_comma & has_dot,
-               F.replace(F.replace(s, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
-        .when(has_comma, F.replace(s, F.lit(","), F.lit(".")))
-        .otherwise(s)
-    )
-    value = F.when(normalised.rlike(NUMERIC_PATTERN), normalised.try_cast("double"))
-    return price_from_double(value)
+    return (F.when(has_comma & has_dot,
+                   F.replace(F.replace(s, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
+            .when(has_comma, F.replace(s, F.lit(","), F.lit(".")))
+            .otherwise(s))
+
+
+def _plain_to_double(s: Column) -> Column:
+    return F.when(s.rlike(NUMERIC_PATTERN), s.try_cast("double"))
+
+
+def parse_price_text(c: ColumnOrName) -> Column:
+    """The text → double step of :func:`clean_price` (null when unparsable)."""
+    return _plain_to_double(_normalise_separators(_strip_price(c)))
+
+
+def with_clean_price(df, source: str, out: str):
+    """``df`` plus ``out`` = clean_price(``source``). Each stage is its own
+    projection, so every intermediate value is computed once per row (inside
+    CASE branches Catalyst would otherwise re-evaluate the shared parts)."""
+    a, b, v = f"_{out}_s", f"_{out}_n", f"_{out}_v"
+    return (df.withColumn(a, _strip_price(source))
+              .withColumn(b, _normalise_separators(F.col(a)))
+              .withColumn(v, _plain_to_double(F.col(b)))
+              .withColumn(out, price_from_double(F.col(v))).drop(a, b, v))
 
 
 def price_from_double(value: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfprice.functions.dates import calendar_year_iso_week, floor_minute, parse_dayfirst
-from shelfprice.functions.text import blank_to_null, clean_price, code_or_zero, to_number
+from shelfprice.functions.text import blank_to_null, code_or_zero, to_number, with_clean_price
 from shelfprice.operators.grid import melt_template, unpivot_history
 from shelfprice.operators.merge import COMPETITOR_COLUMNS, COMPETITOR_KEYS, HISTORY_COLUMNS
 from shelfprice.operators.periods import keep_last
@@ -77,9 +77,9 @@ def template_load(cells: DataFrame, sheets: Sequence[str], as_of: str,
     scoped = cells.join(F.broadcast(order), "sheet")
     melted = melt_template(scoped.drop("sheet_rank")).join(F.broadcast(order), "sheet")
     anio, semana = calendar_year_iso_week(F.lit(as_of).cast("date"), iso_year)
-    rows = melted.select(
+    rows = with_clean_price(melted, "price_value", "precio").select(
         "cod_art", F.col("sheet").alias("cluster"), "competencia",
-        clean_price("price_value").alias("precio"), anio.alias("anio"), semana.alias("semana"),
+        "precio", anio.alias("anio"), semana.alias("semana"),
         "fecha_modificacion", F.struct("sheet_rank", "col_idx", "row_idx").alias("seq"))
     return keep_last(rows, COMPETITOR_KEYS, ["precio", "fecha_modificacion"], "seq").select(
         *COMPETITOR_COLUMNS)

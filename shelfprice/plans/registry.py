@@ -161,9 +161,8 @@ SELECT l_orderkey, l_linenumber, price_text, {O.clean_price('price_text')} AS pr
 FROM price_text_rows
 """)
 def q_clean_price_text(spark, d):
-    t = SI.price_text_rows(spark, d)
-    return t.select("l_orderkey", "l_linenumber", "price_text",
-                    FT.clean_price("price_text").alias("precio"))
+    t = SI.price_text_rows(spark, d).select("l_orderkey", "l_linenumber", "price_text")
+    return FT.with_clean_price(t, "price_text", "precio")
 
 
 @register("clean_ratio", f"""{S.with_ctes(S.RATIO_TEXT_ROWS)}
