@@ -1,0 +1,52 @@
+"""Incremental weekly price fact refresh with Structured Streaming.
+
+The price-history table grows by loads (appends and partition rewrites, each
+as new files). A file stream over the table picks up the new files; for every
+micro-batch the (list, week) slices it touches are recomputed from the whole
+current history of those slices and replaced in the weekly fact (dynamic
+partition overwrite), so a replayed batch gives the same state. Run it with
+``availableNow`` after each load, or continuously.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfprice.functions.dates import week_start
+from shelfprice.operators.merge import write_slices
+from shelfprice.plans.weekly import weekly_last
+
+FACT_SLICE = ("id_lista", "week")
+
+
+def refresh_slices(spark: SparkSession, batch: DataFrame, history_path: str,
+                   fact_path: str, order: str = "ing_hora") -> None:
+    touched = batch.select("id_lista", week_start("fecha").alias("week")).distinct()
+    history = spark.read.parquet(history_path)
+    scope = (history.withColumn("week", week_start("fecha"))
+             .join(touched, list(FACT_SLICE), "left_semi").drop("week"))
+    fact = weekly_last(scope, ["id_lista", "cod_art"], "fecha", ["precio"], seq=order)
+    write_slices(fact.select("cod_art", "precio", "last_fecha", "n_rows", *FACT_SLICE),
+                 fact_path, FACT_SLICE)
+
+
+def start_weekly_refresh(spark: SparkSession, history_path: str, fact_path: str,
+                         checkpoint_path: str, available_now: bool = True,
+                         max_files_per_trigger: int | None = None):
+    """Start the refresh stream; returns the StreamingQuery."""
+    schema = spark.read.parquet(history_path).schema
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.parquet(history_path)
+
+    def on_batch(df: DataFrame, _batch_id: int) -> None:
+        if not df.isEmpty():
+            refresh_slices(spark, df, history_path, fact_path)
+
+    writer = (stream.writeStream.foreachBatch(on_batch)
+              .option("checkpointLocation", checkpoint_path))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+        processingTime="1 minute")
+    return writer.start()
