@@ -15,8 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfprice.functions.flags import single_unit_numeric, single_unit_text
-from shelfprice.operators.periods import add_changes, change_long
+from shelfprice.functions.flags import direction, period_ratio, single_unit_numeric, single_unit_text
+from shelfprice.operators.periods import change_long
 
 ATTRS = ("description", "category", "article_type", "unit")
 DEFAULT_WEEKS = 4
@@ -74,19 +74,22 @@ def period_report(rows: DataFrame, *, value: str, n: int = DEFAULT_WEEKS,
     keep = F.coalesce(*[F.col(f"wk_{k}") for k in range(n)]).isNotNull()
     for k in [*by, *row_keys]:
         keep = keep & F.col(k).isNotNull()
-    wide = agg.where(keep).withColumns({f"wk_{k}": F.bround(f"wk_{k}", 0) for k in range(n)})
-    wide = add_changes(wide, n)
-    keep_keys = [k for k in row_keys if k not in attrs]
-    slots_cols = []
+    # one projection for rounding, changes, flags and attributes (cheap to analyse)
+    wk = [F.bround(F.col(f"wk_{k}"), 0) for k in range(n)]
+    cols, flags = [], []
     for k in range(n):
-        slots_cols.append(f"wk_{k}")
+        cols.append(wk[k].alias(f"wk_{k}"))
         if k < n - 1:
-            slots_cols.append(f"pct_{k}")
-    flags = [f"dir_{k}" for k in range(n - 1)] + [f"prev_zero_{k}" for k in range(n - 1)]
+            cols.append(period_ratio(wk[k], wk[k + 1]).alias(f"pct_{k}"))
+    flags += [direction(period_ratio(wk[k], wk[k + 1])).alias(f"dir_{k}") for k in range(n - 1)]
+    flags += [F.coalesce(wk[k].isNotNull() & (wk[k + 1] == 0), F.lit(False)).alias(f"prev_zero_{k}")
+              for k in range(n - 1)]
+    keep_keys = [k for k in row_keys if k not in attrs]
     lead_attrs = [a for a in attrs if a != unit]
-    return wide.select(*by, *keep_keys, *[F.col(f"_first.{a}").alias(a) for a in lead_attrs],
-                       *slots_cols, F.col(f"_first.{unit}").alias(unit),
-                       unit_flag(F.col(f"_first.{unit}")).alias("single_unit"), *flags)
+    return agg.where(keep).select(
+        *by, *keep_keys, *[F.col(f"_first.{a}").alias(a) for a in lead_attrs], *cols,
+        F.col(f"_first.{unit}").alias(unit), unit_flag(F.col(f"_first.{unit}")).alias("single_unit"),
+        *flags)
 
 
 def period_long(rows: DataFrame, *, value: str, n: int | None = DEFAULT_WEEKS,

@@ -7,7 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     """``{base_dir}/{name}.parquet``; Catalyst prunes columns and pushes filters
-    into the scan, so callers select only what they use."""
-    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+    into the scan, so callers select only what they use. The input tables are
+    read-only, so the (immutable) DataFrame is reused per session instead of
+    listing files and reading footers again for every query."""
+    path = f"{base_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READS.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _READS[key] = df
+    return df
