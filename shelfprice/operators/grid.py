@@ -43,15 +43,25 @@ def cells_from_wide(df: DataFrame, row_idx: str, columns: Sequence[str],
 
 # ------------------------------------------------------------ cluster blocks
 
-def detect_blocks(cells: DataFrame, name_row: int = 1) -> DataFrame:
+def last_columns(cells: DataFrame) -> DataFrame:
+    """(workbook, sheet, _last): the last used column of every sheet (a narrow
+    aggregate: two columns of the cell table are read)."""
+    return cells.groupBy(*SHEET).agg(F.max("col_idx").alias("_last"))
+
+
+def detect_blocks(cells: DataFrame, name_row: int = 1,
+                  last_col: DataFrame | None = None) -> DataFrame:
     """Blocks laid out side by side: on ``name_row`` a non-empty cell opens a
     block that extends over the following empty cells, up to the next name or the
     sheet's last used column. Leading empty columns belong to no block.
+    ``cells`` may be just the header zone when ``last_col`` (from
+    :func:`last_columns` over all cells) is given.
 
     Returns (workbook, sheet, block_start, block_end, block_name)."""
     names = (cells.where((F.col("row_idx") == name_row) & (F.trim(F.col("value")) != ""))
              .select(*SHEET, "col_idx", F.trim(F.col("value")).alias("block_name")))
-    last_col = cells.groupBy(*SHEET).agg(F.max("col_idx").alias("_last"))
+    if last_col is None:
+        last_col = last_columns(cells)
     w = Window.partitionBy(*SHEET).orderBy("col_idx")
     return (names.withColumn("_next", F.lead("col_idx").over(w))
             .join(F.broadcast(last_col), list(SHEET))
@@ -119,19 +129,32 @@ def resolve_columns(cells: DataFrame, headers: DataFrame,
     return m.groupBy(*SHEET, "block_start", "field").agg(pick.alias("col_idx"))
 
 
+def header_zone(cells: DataFrame, search_rows: int, name_row: int = 1) -> DataFrame:
+    """The cells above the header search depth, persisted: every layout step
+    (names, header search, header texts) reads only these. Bounded by
+    sheets × search depth × sheet width, whatever the row count."""
+    return cells.where(F.col("row_idx") < max(search_rows, name_row + 1)) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def block_records(cells: DataFrame, headers: DataFrame,
-                  aliases: Mapping[str, Sequence[str]]) -> DataFrame:
+                  aliases: Mapping[str, Sequence[str]],
+                  zone: DataFrame | None = None) -> DataFrame:
     """Each block as a table: the rows below its header row become records with
     one column per canonical field (null when the block lacks it); rows whose
     cells in the block are all empty are dropped. Adds ``has_<field>`` flags.
 
+    Header rows lie above the search depth, so ``zone`` (the persisted
+    :func:`header_zone`) can stand in for ``cells`` when resolving headers.
+
     Returns (workbook, sheet, block_start, block_name, row_idx, <fields>,
     has_<fields>)."""
     fields = list(aliases)
     # the layout tables are bounded by sheets × blocks × block width and are read by
     # several branches below: keep them instead of re-deriving them from the cells
     headers = headers.persist(StorageLevel.MEMORY_AND_DISK)
-    resolved = resolve_columns(cells, headers, aliases).persist(StorageLevel.MEMORY_AND_DISK)
+    resolved = resolve_columns(zone if zone is not None else cells, headers, aliases) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     colmap = block_column_map(headers).join(
         resolved, [*SHEET, "block_start", "col_idx"], "left")
     data = (cells.where(F.col("value").isNotNull())

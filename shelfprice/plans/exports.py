@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from shelfprice.functions.flags import ends_in_99, sign_class, valid_price
 from shelfprice.functions.text import normalise_ratio, safe_name, strip_cluster_word, to_number
-from shelfprice.operators.grid import block_records, detect_blocks, detect_header
+from shelfprice.operators.grid import (block_records, detect_blocks, detect_header, header_zone,
+                                       last_columns)
 
 # Fixed values (must equal the reference's behaviour).
 # Header aliases of the publication export, in priority order per field:
@@ -50,16 +51,22 @@ def _pairs(spark: SparkSession, mapping: Mapping[str, str], schema: str) -> Data
     return spark.createDataFrame(list(mapping.items()), schema)
 
 
+def _records(cells: DataFrame, contains: bool, search_rows: int,
+             aliases: Mapping[str, Sequence[str]], name_row: int) -> DataFrame:
+    """Layout from the persisted header zone (one pass), then one pass over all
+    cells for the records."""
+    zone = header_zone(cells, search_rows, name_row)
+    blocks = detect_blocks(zone, name_row, last_col=last_columns(cells))
+    headers = detect_header(zone, blocks, contains=contains, search_rows=search_rows)
+    return block_records(cells, headers, aliases, zone=zone)
+
+
 def publication_records(cells: DataFrame, name_row: int = 1) -> DataFrame:
-    blocks = detect_blocks(cells, name_row)
-    headers = detect_header(cells, blocks, contains=False, search_rows=PUBLICATION_SEARCH_ROWS)
-    return block_records(cells, headers, PUBLICATION_ALIASES)
+    return _records(cells, False, PUBLICATION_SEARCH_ROWS, PUBLICATION_ALIASES, name_row)
 
 
 def sales_records(cells: DataFrame, name_row: int = 1) -> DataFrame:
-    blocks = detect_blocks(cells, name_row)
-    headers = detect_header(cells, blocks, contains=True, search_rows=SALES_SEARCH_ROWS)
-    return block_records(cells, headers, SALES_ALIASES)
+    return _records(cells, True, SALES_SEARCH_ROWS, SALES_ALIASES, name_row)
 
 
 def enrich_missing_type(records: DataFrame) -> DataFrame:

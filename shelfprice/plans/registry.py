@@ -363,11 +363,12 @@ def _cluster_cells(spark, d):
 
 
 def _history_cells(spark, d):
-    return land(GS.history_sheet_cells(spark, d), "history-cells")
+    # read twice at most by its plan: cheaper to derive than to land (measured)
+    return GS.history_sheet_cells(spark, d)
 
 
 def _template_cells(spark, d):
-    return land(GS.template_cells(spark, d), "template-cells")
+    return GS.template_cells(spark, d)
 
 # stand-in parameters: list code per cluster (cluster name without the word CLUSTER)
 LIST_CODES = {"NORTE": "PubNOR", "SUR": "PubSUR", "MAYORISTAS": "MayMAY", "HORECA": "HorHOR"}
