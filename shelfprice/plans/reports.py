@@ -124,12 +124,23 @@ def weekly_commercial_report(rows: DataFrame, n: int = DEFAULT_WEEKS) -> DataFra
 
 
 def price_list_report(rows: DataFrame, n: int = DEFAULT_WEEKS,
-                      list_id: int | None = None) -> DataFrame:
+                      list_id: int | None = None, lists: DataFrame | None = None,
+                      validate: bool = False) -> DataFrame:
     """Price-list report; every list at once (``list_id`` leading key), or one
     list when ``list_id`` is given (pruned at the scan when the table is
-    partitioned by list)."""
+    partitioned by list). With ``validate`` (one list only) the input must be
+    non-empty, hold exactly that one list id and, given ``lists``, the id must be
+    a known list — three small actions before the plan runs."""
     if list_id is not None:
         rows = rows.where(F.col("list_id") == list_id)
+        if validate:
+            from shelfprice.operators.quality import (DataQualityError, require_columns,
+                                                      require_rows, single_value)
+            require_columns(rows, ["unit"])
+            require_rows(rows, f"list {list_id}")
+            single_value(rows, "list_id")
+            if lists is not None and lists.where(F.col("list_id") == list_id).isEmpty():
+                raise DataQualityError(f"unknown list id {list_id}")
     return period_report(rows, value="price", n=n, by=("list_id",),
                          unit_flag=single_unit_text)
 
