@@ -68,9 +68,12 @@ def period_report(rows: DataFrame, *, value: str, n: int = DEFAULT_WEEKS,
              F.min(seq).alias("_first_seq")]
     agg = j.groupBy(*by, *row_keys).agg(*aggs)
     if list(row_keys) != [master_key]:
-        # first row of the master key across its row-key groups (a few per key)
-        w = Window.partitionBy(*by, master_key)
-        agg = agg.withColumn("_first", F.min_by(F.col("_first"), F.col("_first_seq")).over(w))
+        # first row of the master key across its row-key groups: an aggregate (map-side
+        # partial, so a key with many groups is not gathered in one task) joined back
+        master = (agg.groupBy(*by, master_key)
+                  .agg(F.min_by(F.col("_first"), F.col("_first_seq")).alias("_master")))
+        agg = (agg.join(master, [*by, master_key], "left")
+               .withColumn("_first", F.col("_master")).drop("_master"))
     keep = F.coalesce(*[F.col(f"wk_{k}") for k in range(n)]).isNotNull()
     for k in [*by, *row_keys]:
         keep = keep & F.col(k).isNotNull()
