@@ -22,9 +22,14 @@ def stamp(df: DataFrame, report_id: str, title: str, n_weeks: int | None,
 
 
 def publish_report(report: DataFrame, header: DataFrame, path: str, report_id: str,
-                   title: str, n_weeks: int | None) -> None:
-    """Write the report rows and its column header (slot → week, label) under
-    ``path/rows`` and ``path/header``, replacing only this report id."""
+                   title: str, n_weeks: int | None,
+                   order_by: tuple[str, ...] = ("article",)) -> None:
+    """Write the report rows (sorted by ``order_by``, e.g. ascending article) and
+    its column header (slot → week, label) under ``path/rows`` and
+    ``path/header``, replacing only this report id."""
+    keys = [c for c in order_by if c in report.columns]
+    if keys:
+        report = report.orderBy(*keys)
     for part, df in (("rows", report), ("header", header)):
         (stamp(df, report_id, title, n_weeks).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("report_id")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[str, str], DataFrame] = {}
 
 
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
@@ -16,9 +16,9 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     read-only, so the (immutable) DataFrame is reused per session instead of
     listing files and reading footers again for every query."""
     path = f"{base_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     df = _READS.get(key)
-    if df is None:
+    if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)
         _READS[key] = df
     return df
