@@ -171,6 +171,85 @@ def block_records(cells: DataFrame, headers: DataFrame,
         *[f"has_{f}" for f in fields])
 
 
+# ------------------------------------------------------------- sheet rows
+#
+# A sheet reader emits a sheet row by row: (workbook, sheet, row_idx,
+# values ARRAY<STRING>) with values[i] the cell in column i (null when blank).
+# Layout detection only needs the rows above the header search depth, which are
+# exploded to cells; the records are then a narrow projection of every data row
+# (``try_element_at`` per field) after a join with the per-block layout. There is
+# no aggregate or shuffle over the data rows, and string cells never reach an
+# aggregation buffer (which would force a sort-based aggregate).
+
+def is_row_form(grid: DataFrame) -> bool:
+    return "values" in grid.columns
+
+
+def cells_from_rows(rows: DataFrame) -> DataFrame:
+    """Row form → cell table (non-null cells only)."""
+    return (rows.select(*SHEET, "row_idx", F.posexplode("values").alias("col_idx", "value"))
+            .where(F.col("value").isNotNull())
+            .select(*SHEET, "row_idx", F.col("col_idx").cast("int").alias("col_idx"), "value"))
+
+
+def rows_from_cells(cells: DataFrame) -> DataFrame:
+    """Cell table → row form (one aggregate; for inputs that arrive as cells).
+    A repeated (row, column) keeps the largest value, as the cell path does."""
+    cells = cells.where(F.col("value").isNotNull())
+    got = cells.groupBy(*SHEET, "row_idx").agg(
+        F.collect_list(F.struct("col_idx", "value")).alias("_c"),
+        F.max("col_idx").alias("_w"))
+    values = F.transform(
+        F.sequence(F.lit(0), F.col("_w")),
+        lambda i: F.array_max(F.transform(F.filter("_c", lambda c: c["col_idx"] == i),
+                                          lambda c: c["value"])))
+    return got.select(*SHEET, "row_idx", values.alias("values"))
+
+
+def last_columns_rows(rows: DataFrame) -> DataFrame:
+    """(workbook, sheet, _last): last column holding a value in each sheet."""
+    last = F.array_max(F.transform("values", lambda x, i: F.when(x.isNotNull(), i)))
+    return rows.groupBy(*SHEET).agg(F.max(last).alias("_last"))
+
+
+def header_zone_rows(rows: DataFrame, search_rows: int, name_row: int = 1) -> DataFrame:
+    """Cells of the rows above the header search depth, persisted (bounded by
+    sheets × search depth × sheet width, whatever the row count)."""
+    top = rows.where(F.col("row_idx") < max(search_rows, name_row + 1))
+    return cells_from_rows(top).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def block_layout(headers: DataFrame, resolved: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """One row per block: its span, name, header row and, per canonical field,
+    the resolved column (``_c_<field>``, null when absent) and ``has_<field>``."""
+    cols = resolved.groupBy(*SHEET, "block_start").agg(
+        *[F.max(F.when(F.col("field") == f, F.col("col_idx"))).alias(f"_c_{f}") for f in fields])
+    return (headers.select(*SHEET, "block_start", "block_end", "block_name", "header_row")
+            .join(cols, [*SHEET, "block_start"], "left")
+            .select("*", *[F.col(f"_c_{f}").isNotNull().alias(f"has_{f}") for f in fields]))
+
+
+def block_records_rows(rows: DataFrame, headers: DataFrame,
+                       aliases: Mapping[str, Sequence[str]], zone: DataFrame) -> DataFrame:
+    """:func:`block_records` over sheet rows; same output. ``zone`` is the
+    persisted :func:`header_zone_rows` (header rows lie above the search depth)."""
+    from shelfprice.operators.sizing import broadcast_if_small
+    fields = list(aliases)
+    headers = headers.persist(StorageLevel.MEMORY_AND_DISK)
+    resolved = resolve_columns(zone, headers, aliases)
+    layout = block_layout(headers, resolved, fields).persist(StorageLevel.MEMORY_AND_DISK)
+    # one row per block: a handful per sheet; broadcast after a bounded count,
+    # otherwise a shuffle join on the sheet (AQE splits a hot sheet)
+    j = (rows.join(broadcast_if_small(layout), list(SHEET))
+         .where(F.col("row_idx") > F.col("header_row")))
+    span = F.slice("values", F.col("block_start") + 1, F.col("block_end") - F.col("block_start") + 1)
+    j = j.where(F.exists(span, lambda x: x.isNotNull()))
+    return j.select(
+        *SHEET, "block_start", "block_name", "row_idx",
+        *[F.try_element_at("values", F.col(f"_c_{f}") + 1).alias(f) for f in fields],
+        *[f"has_{f}" for f in fields])
+
+
 # ------------------------------------------------------ dated price history
 
 def unpivot_history(cells: DataFrame, date_row: int = 3, data_row: int = 4,

@@ -1,0 +1,27 @@
+"""Broadcast only behind a measured size.
+
+Layout tables (blocks, block columns, header and date columns) grow with the
+number of sheets, not with the row count, but the number of sheets itself
+grows with the data (one sheet per supplier in the stand-ins). So every such
+table is counted before it is hinted: up to ``max_rows`` rows it is broadcast;
+beyond that the join is left to the shuffle planner, where AQE can still turn
+it into a broadcast after measuring it or split a skewed sheet.
+
+The count is bounded (``limit(max_rows + 1)``) and callers pass tables that are
+persisted or cheap to derive, so the check costs one small job.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A layout row is a few short strings and ints: 1M rows stay well under the
+# 8 GiB broadcast ceiling and the default executor memory.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it holds at most ``max_rows`` rows, else ``df``."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

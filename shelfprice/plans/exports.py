@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from shelfprice.functions.flags import ends_in_99, sign_class, valid_price
 from shelfprice.functions.text import normalise_ratio, safe_name, strip_cluster_word, to_number
-from shelfprice.operators.grid import (block_records, detect_blocks, detect_header, header_zone,
-                                       last_columns)
+from shelfprice.operators.grid import (block_records, block_records_rows, detect_blocks,
+                                       detect_header, header_zone, header_zone_rows, is_row_form,
+                                       last_columns, last_columns_rows)
 
 # Fixed values (must equal the reference's behaviour).
 # Header aliases of the publication export, in priority order per field:
@@ -51,14 +52,20 @@ def _pairs(spark: SparkSession, mapping: Mapping[str, str], schema: str) -> Data
     return spark.createDataFrame(list(mapping.items()), schema)
 
 
-def _records(cells: DataFrame, contains: bool, search_rows: int,
+def _records(grid: DataFrame, contains: bool, search_rows: int,
              aliases: Mapping[str, Sequence[str]], name_row: int) -> DataFrame:
-    """Layout from the persisted header zone (one pass), then one pass over all
-    cells for the records."""
-    zone = header_zone(cells, search_rows, name_row)
-    blocks = detect_blocks(zone, name_row, last_col=last_columns(cells))
+    """Layout from the persisted header zone (one pass), then one pass over the
+    grid for the records. ``grid`` is a cell table or sheet rows (``values``
+    array per row); sheet rows need no aggregate over the data rows."""
+    if is_row_form(grid):
+        zone = header_zone_rows(grid, search_rows, name_row)
+        blocks = detect_blocks(zone, name_row, last_col=last_columns_rows(grid))
+        headers = detect_header(zone, blocks, contains=contains, search_rows=search_rows)
+        return block_records_rows(grid, headers, aliases, zone)
+    zone = header_zone(grid, search_rows, name_row)
+    blocks = detect_blocks(zone, name_row, last_col=last_columns(grid))
     headers = detect_header(zone, blocks, contains=contains, search_rows=search_rows)
-    return block_records(cells, headers, aliases, zone=zone)
+    return block_records(grid, headers, aliases, zone=zone)
 
 
 def publication_records(cells: DataFrame, name_row: int = 1) -> DataFrame:

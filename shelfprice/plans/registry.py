@@ -347,7 +347,7 @@ def q_weekly_cost_fact(spark, d):
 
 # ------------------------------------------------------------ spreadsheet grids
 
-from shelfprice.operators.grid import detect_blocks  # noqa: E402
+from shelfprice.operators.grid import cells_from_rows, detect_blocks, last_columns_rows  # noqa: E402
 from shelfprice.plans import exports as EX  # noqa: E402
 from shelfprice.plans import loads as LD  # noqa: E402
 from shelfprice.sources import grid_standins as GS  # noqa: E402
@@ -356,10 +356,10 @@ from shelfprice.session import land  # noqa: E402
 
 
 def _cluster_cells(spark, d):
-    """The derived cluster sheets, landed once as a Parquet table (the plans read
-    the cell table in several branches; a stored landing table is what a real
-    load would read)."""
-    return land(GS.cluster_sheet_cells(spark, d), "cluster-cells")
+    """The derived cluster sheets as sheet rows, landed as a Parquet table (the
+    plans read the grid in several branches; a stored landing table of sheet
+    rows is what a real load would read)."""
+    return land(GS.cluster_sheet_rows(spark, d), "cluster-rows")
 
 
 def _history_cells(spark, d):
@@ -384,7 +384,10 @@ _PUB_FIELDS = list(EX.PUBLICATION_ALIASES)
 SELECT workbook, sheet, block_start, block_end, block_name FROM pub_blocks
 """)
 def q_detect_blocks(spark, d):
-    return detect_blocks(_cluster_cells(spark, d))
+    rows = _cluster_cells(spark, d)
+    # block names sit on the name row: only that row is exploded to cells
+    names = cells_from_rows(rows.where(F.col("row_idx") == 1))
+    return detect_blocks(names, 1, last_col=last_columns_rows(rows))
 
 
 @register("block_records", f"""{_CLUSTER},{_PUB}

@@ -49,7 +49,10 @@ def _cells(base: DataFrame, wb: Column, sheet: Column, row: Column,
                         row.cast("bigint").alias("row_idx"), F.inline(arr)))
 
 
-def cluster_sheet_cells(spark: SparkSession, d: str) -> DataFrame:
+def cluster_sheet_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Cluster sheets as sheet rows (workbook, sheet, row_idx, values): one sheet
+    per supplier, the cluster-name and header rows on top, then one row per part
+    the supplier sold. ``values[i]`` is the cell in column i (null when blank)."""
     li = read_table(spark, d, "lineitem").select("l_suppkey", "l_partkey").distinct()
     s = read_table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     p = _part(spark, d)
@@ -73,30 +76,42 @@ def cluster_sheet_cells(spark: SparkSession, d: str) -> DataFrame:
         "unidad": F.col("p_size").cast("string"),
         "notas": F.col("p_type"),
     }
-    cells = []
+    width = max(c for c, _hr, _h, _k in CLUSTER_LAYOUT) + 1
+    data_cells: dict[int, Column] = {}
     for col, _hr, _h, key in CLUSTER_LAYOUT:
         v = values[key]
         if col == 6:
             v = F.when(F.col("p_size") <= 45, v)
         if 15 <= col <= 18:
             v = F.when(F.col("p_size") <= 40, v)
-        cells.append((col, v))
+        data_cells[col] = v.cast("string")
     wb = F.lit("clusters")
-    data = _cells(base, wb, F.col("s_name"), F.col("p_partkey") + CLUSTER_FIRST_DATA_ROW, cells)
+    data = base.select(wb.alias("workbook"), F.col("s_name").alias("sheet"),
+                       (F.col("p_partkey") + CLUSTER_FIRST_DATA_ROW).cast("bigint").alias("row_idx"),
+                       _row_array(data_cells, width).alias("values"))
     sheets = s.join(li.select("l_suppkey").distinct(), F.col("l_suppkey") == F.col("s_suppkey"),
                     "left_semi")
-    # header and cluster-name cells of every sheet, emitted in one pass
-    fixed = []
+    # the cluster-name row and the header rows of every sheet, emitted in one pass
+    fixed: dict[int, dict[int, Column]] = {CLUSTER_NAME_ROW: {c: F.lit(n) for c, n in CLUSTER_NAMES}}
     for col, hr, h, _k in CLUSTER_LAYOUT:
         text = F.lit(h) if h is not None else \
             F.when(F.col("s_nationkey") >= 20, F.lit("Grupo")).otherwise(F.lit(" rubro"))
-        fixed.append((hr, col, text))
-    fixed += [(CLUSTER_NAME_ROW, col, F.lit(name)) for col, name in CLUSTER_NAMES]
+        fixed.setdefault(hr, {})[col] = text
     arr = F.array(*[F.struct(F.lit(r).cast("bigint").alias("row_idx"),
-                             F.lit(c).cast("int").alias("col_idx"), t.alias("value"))
-                    for r, c, t in fixed])
+                             _row_array(cells, width).alias("values"))
+                    for r, cells in sorted(fixed.items())])
     heads = sheets.select(wb.alias("workbook"), F.col("s_name").alias("sheet"), F.inline(arr))
-    return data.unionByName(heads).where(F.col("value").isNotNull())
+    return data.unionByName(heads)
+
+
+def _row_array(cells: dict[int, Column], width: int) -> Column:
+    return F.array(*[cells[i] if i in cells else F.lit(None).cast("string") for i in range(width)])
+
+
+def cluster_sheet_cells(spark: SparkSession, d: str) -> DataFrame:
+    """The cluster sheets as a cell table (non-null cells)."""
+    from shelfprice.operators.grid import cells_from_rows
+    return cells_from_rows(cluster_sheet_rows(spark, d))
 
 
 def _month_index(ts: Column) -> Column:

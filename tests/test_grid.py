@@ -113,3 +113,22 @@ def test_global_position_matches_rank(spark):
     df = spark.createDataFrame([(i % 5, "c%03d" % i) for i in range(300)], "r int, c string")
     got = sorted((r.r, r.c, r.pos) for r in global_position(df, ["r", "c"], "pos", 7).collect())
     assert [g[2] for g in got] == list(range(300))
+
+
+def test_row_form_matches_cell_form(spark):
+    """Sheet rows (values array per row) give the same records and exports as
+    the cell table they come from."""
+    from shelfprice.operators.grid import cells_from_rows, rows_from_cells
+    rows = [(1, 0, "CLUSTER A"), (1, 3, "CLUSTER B"), (1, 6, "C"),
+            (2, 0, "Rubro"), (2, 1, "Tipo"), (2, 2, "Cód."),
+            (2, 3, "Rubro"), (2, 4, "Cod"), (2, 5, "sin iva"), (3, 6, " rubro"), (3, 7, "Código"),
+            (3, 0, "Carnes"), (3, 1, "T1"), (3, 2, "7"),
+            (3, 3, "Carnes"), (3, 4, "7"), (3, 5, "0.4"),
+            (4, 3, "Dira"), (4, 4, "8"), (4, 5, "12.6"), (4, 8, "x"),
+            (5, 1, "only tipo"), (6, 3, "Fiambres"), (6, 4, "9"), (6, 5, "199"), (7, 9, "late")]
+    df = cells(spark, rows)
+    sheet_rows = rows_from_cells(df)
+    assert sorted(map(tuple, cells_from_rows(sheet_rows).collect())) == \
+        sorted(map(tuple, df.collect()))
+    for fn in (publication_export, lambda g: sales_export(g, {"B": "PubB"})):
+        assert sorted(map(tuple, fn(sheet_rows).collect())) == sorted(map(tuple, fn(df).collect()))
