@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,20 +80,28 @@ def sales_records(cells: DataFrame, name_row: int = 1) -> DataFrame:
 def enrich_missing_type(records: DataFrame) -> DataFrame:
     """Blocks without a type column but with a code column get the type from the
     first block of the same sheet that has both (first row per code; unknown
-    code → ''). Blocks with a type column are left as they are."""
+    code → ''). Blocks with a type column are left as they are.
+
+    Only the records that need a fill go through the (sheet, code) join; the
+    per-sheet flag is one row per sheet (size-checked broadcast)."""
+    from shelfprice.operators.sizing import broadcast_if_small
+    # records are a narrow projection of the landed rows: the branches re-derive
+    # them instead of caching a table that grows with the data
     src = records.where(F.col("has_tipo") & F.col("has_codigo") & F.col("codigo").isNotNull())
-    first_block = src.groupBy("workbook", "sheet").agg(F.min("block_start").alias("block_start"))
-    type_map = (src.join(first_block, ["workbook", "sheet", "block_start"], "left_semi")
+    first_block = (src.groupBy("workbook", "sheet").agg(F.min("block_start").alias("block_start"))
+                   .persist(StorageLevel.MEMORY_AND_DISK))
+    type_map = (src.join(broadcast_if_small(first_block), ["workbook", "sheet", "block_start"],
+                         "left_semi")
                 .groupBy("workbook", "sheet", "codigo")
                 .agg(F.min_by("tipo", "row_idx").alias("_map_tipo")))
-    has_map = first_block.select("workbook", "sheet", F.lit(True).alias("_has_map"))
-    out = (records.join(type_map, ["workbook", "sheet", "codigo"], "left")
-           .join(has_map, ["workbook", "sheet"], "left"))
+    sheets = broadcast_if_small(first_block.select("workbook", "sheet", F.lit(True).alias("_has_map")))
+    flagged = records.join(sheets, ["workbook", "sheet"], "left")
     fill = ~F.col("has_tipo") & F.col("has_codigo") & F.coalesce(F.col("_has_map"), F.lit(False))
-    return (out.withColumn("tipo", F.when(fill, F.coalesce(F.col("_map_tipo"), F.lit("")))
-                           .otherwise(F.col("tipo")))
-            .withColumn("has_tipo", F.col("has_tipo") | fill)
-            .drop("_map_tipo", "_has_map"))
+    filled = (flagged.where(fill).join(type_map, ["workbook", "sheet", "codigo"], "left")
+              .withColumn("tipo", F.coalesce(F.col("_map_tipo"), F.lit("")))
+              .withColumn("has_tipo", F.lit(True)))
+    return (flagged.where(~fill).select(*records.columns)
+            .unionByName(filled.select(*records.columns)))
 
 
 def publication_export(cells: DataFrame) -> DataFrame:

@@ -352,14 +352,14 @@ from shelfprice.plans import exports as EX  # noqa: E402
 from shelfprice.plans import loads as LD  # noqa: E402
 from shelfprice.sources import grid_standins as GS  # noqa: E402
 from shelfprice.sources import grid_standins_sql as GQ  # noqa: E402
-from shelfprice.session import land  # noqa: E402
+from shelfprice.session import land_once  # noqa: E402
 
 
 def _cluster_cells(spark, d):
     """The derived cluster sheets as sheet rows, landed as a Parquet table (the
     plans read the grid in several branches; a stored landing table of sheet
     rows is what a real load would read)."""
-    return land(GS.cluster_sheet_rows(spark, d), "cluster-rows")
+    return land_once(spark, f"cluster-rows{d}", lambda: GS.cluster_sheet_rows(spark, d))
 
 
 def _history_cells(spark, d):

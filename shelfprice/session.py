@@ -75,3 +75,18 @@ def land(df: DataFrame, name: str) -> DataFrame:
         df = df.repartition(parallelism)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_LANDED: dict[tuple[str, str], DataFrame] = {}
+
+
+def land_once(spark: SparkSession, key: str, build) -> DataFrame:
+    """:func:`land` the DataFrame ``build()`` once per application and ``key``,
+    then reuse the landed table: a derived input that several plans read is
+    staged one time, as a real landing table would be."""
+    k = (spark.sparkContext.applicationId, key)
+    df = _LANDED.get(k)
+    if df is None or df.sparkSession is not spark:
+        df = land(build(), key.replace("/", "_"))
+        _LANDED[k] = df
+    return df
