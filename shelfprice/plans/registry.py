@@ -363,12 +363,13 @@ def _cluster_cells(spark, d):
 
 
 def _history_cells(spark, d):
-    # read twice at most by its plan: cheaper to derive than to land (measured)
-    return GS.history_sheet_cells(spark, d)
+    """The derived price-history sheets as a cell table, landed once per session."""
+    return land_once(spark, f"history-cells{d}", lambda: GS.history_sheet_cells(spark, d))
 
 
 def _template_cells(spark, d):
-    return GS.template_cells(spark, d)
+    """The derived competitor templates as a cell table, landed once per session."""
+    return land_once(spark, f"template-cells{d}", lambda: GS.template_cells(spark, d))
 
 # stand-in parameters: list code per cluster (cluster name without the word CLUSTER)
 LIST_CODES = {"NORTE": "PubNOR", "SUR": "PubSUR", "MAYORISTAS": "MayMAY", "HORECA": "HorHOR"}
