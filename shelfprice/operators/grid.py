@@ -1,7 +1,9 @@
 """Spreadsheet grids as a long cell table and the reshapes over it.
 
-A sheet lands as rows ``(workbook, sheet, row_idx, col_idx, value STRING)``
-(0-based positions; blank cells may be absent or carry a null value). Every
+A sheet lands as cells ``(workbook, sheet, row_idx, col_idx, value STRING)``
+(0-based positions; blank cells may be absent or carry a null value), or, for
+dense sheets, as sheet rows ``(workbook, sheet, row_idx, values ARRAY<STRING>)``
+(see "sheet rows" below). Every
 layout rule (cluster blocks side by side, a header row per block, a dated price
 sheet, a competitor template) becomes joins and aggregates on that table, so
 any number of sheets and rows is processed in one distributed job.
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 
 from shelfprice.functions.dates import parse_dayfirst
 from shelfprice.functions.text import blank_to_null, norm_key
+from shelfprice.operators.sizing import broadcast_if_small
 
 SHEET = ("workbook", "sheet")
 
@@ -64,7 +67,7 @@ def detect_blocks(cells: DataFrame, name_row: int = 1,
         last_col = last_columns(cells)
     w = Window.partitionBy(*SHEET).orderBy("col_idx")
     return (names.withColumn("_next", F.lead("col_idx").over(w))
-            .join(F.broadcast(last_col), list(SHEET))
+            .join(broadcast_if_small(last_col), list(SHEET))
             .select(*SHEET, F.col("col_idx").alias("block_start"),
                     F.coalesce(F.col("_next") - 1, F.col("_last")).alias("block_end"),
                     "block_name"))
@@ -84,10 +87,10 @@ def detect_header(cells: DataFrame, blocks: DataFrame, contains: bool = False,
     Returns the block columns plus ``header_row``."""
     first = blocks.select(*SHEET, F.col("block_start").alias("col_idx"))
     # layout tables (blocks, block columns, header/date columns) hold one row per
-    # sheet column at most: bounded by sheets × sheet width, never by the row count,
-    # so they are the broadcast side of every join with the cell table
+    # sheet column at most: bounded by sheets × sheet width, never by the row count.
+    # The sheet count grows with the data, so each is counted before it is broadcast
     hits = (cells.where(F.col("row_idx") < search_rows)
-            .join(F.broadcast(first), [*SHEET, "col_idx"])
+            .join(broadcast_if_small(first), [*SHEET, "col_idx"])
             .where(F.col("value").isNotNull() & (F.trim(F.col("value")) != "")
                    & header_match(F.col("value"), contains))
             .groupBy(*SHEET, F.col("col_idx").alias("block_start"))
@@ -119,7 +122,7 @@ def resolve_columns(cells: DataFrame, headers: DataFrame,
     Returns (workbook, sheet, block_start, field, col_idx)."""
     spark = cells.sparkSession
     colmap = block_column_map(headers)
-    head = (cells.join(F.broadcast(colmap), [*SHEET, "col_idx"])
+    head = (cells.join(broadcast_if_small(colmap), [*SHEET, "col_idx"])
             .where(F.col("row_idx") == F.col("header_row"))
             .select(*SHEET, "block_start", "col_idx", norm_key("value").alias("key")))
     # the alias parameter is a literal list of a few dozen names
@@ -158,7 +161,7 @@ def block_records(cells: DataFrame, headers: DataFrame,
     colmap = block_column_map(headers).join(
         resolved, [*SHEET, "block_start", "col_idx"], "left")
     data = (cells.where(F.col("value").isNotNull())
-            .join(F.broadcast(colmap), [*SHEET, "col_idx"])
+            .join(broadcast_if_small(colmap), [*SHEET, "col_idx"])
             .where(F.col("row_idx") > F.col("header_row")))
     recs = data.groupBy(*SHEET, "block_start", "row_idx").agg(
         *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields])
@@ -166,7 +169,7 @@ def block_records(cells: DataFrame, headers: DataFrame,
         *[F.max(F.col("field") == f).alias(f"has_{f}") for f in fields])
     info = headers.select(*SHEET, "block_start", "block_name").join(
         has, [*SHEET, "block_start"], "left").fillna(False, [f"has_{f}" for f in fields])
-    return recs.join(F.broadcast(info), [*SHEET, "block_start"]).select(
+    return recs.join(broadcast_if_small(info), [*SHEET, "block_start"]).select(
         *SHEET, "block_start", "block_name", "row_idx", *fields,
         *[f"has_{f}" for f in fields])
 
@@ -233,7 +236,6 @@ def block_records_rows(rows: DataFrame, headers: DataFrame,
                        aliases: Mapping[str, Sequence[str]], zone: DataFrame) -> DataFrame:
     """:func:`block_records` over sheet rows; same output. ``zone`` is the
     persisted :func:`header_zone_rows` (header rows lie above the search depth)."""
-    from shelfprice.operators.sizing import broadcast_if_small
     fields = list(aliases)
     headers = headers.persist(StorageLevel.MEMORY_AND_DISK)
     resolved = resolve_columns(zone, headers, aliases)
@@ -273,7 +275,7 @@ def unpivot_history(cells: DataFrame, date_row: int = 3, data_row: int = 4,
             .agg(F.max(F.when(F.col("col_idx") == 0, F.col("value"))).alias("rubro"),
                  F.max(F.when(F.col("col_idx") == 1, F.col("value"))).alias("cod_text"),
                  F.max(F.when(F.col("col_idx") == 2, F.col("value"))).alias("producto")))
-    return (prices.join(F.broadcast(dates), [*SHEET, "col_idx"], "left")
+    return (prices.join(broadcast_if_small(dates), [*SHEET, "col_idx"], "left")
             .join(base, [*SHEET, "row_idx"], "left"))
 
 
@@ -317,10 +319,12 @@ def melt_template(cells: DataFrame, code_col: int = 0, data_row: int = 3,
     vals = (cells.where((F.col("row_idx") >= data_row) & (F.col("col_idx") >= first_col))
             .select(*SHEET, "row_idx", "col_idx", F.col("value").alias("price_value"))
             .join(codes, [*SHEET, "row_idx"]))
+    # one row per filled column: persisted so that its size check and the join
+    # share one pass over the cells
     filled = (vals.where(F.col("price_value").isNotNull())
-              .select(*SHEET, "col_idx").distinct())
-    return (vals.join(F.broadcast(filled), [*SHEET, "col_idx"], "left_semi")
-            .join(F.broadcast(cols), [*SHEET, "col_idx"]))
+              .select(*SHEET, "col_idx").distinct().persist(StorageLevel.MEMORY_AND_DISK))
+    return (vals.join(broadcast_if_small(filled), [*SHEET, "col_idx"], "left_semi")
+            .join(broadcast_if_small(cols), [*SHEET, "col_idx"]))
 
 
 def blank_code_flags(code_text: Column, product: Column) -> Column:
