@@ -132,3 +132,14 @@ def test_row_form_matches_cell_form(spark):
         sorted(map(tuple, df.collect()))
     for fn in (publication_export, lambda g: sales_export(g, {"B": "PubB"})):
         assert sorted(map(tuple, fn(sheet_rows).collect())) == sorted(map(tuple, fn(df).collect()))
+
+
+def test_broadcast_only_below_measured_size(spark):
+    """Layout tables are hinted for broadcast only after a bounded count."""
+    from shelfprice.operators.sizing import broadcast_if_small
+    df = spark.range(5)
+    assert broadcast_if_small(df, max_rows=4) is df            # too big: left to the planner
+    hinted = broadcast_if_small(df, max_rows=5)
+    assert hinted is not df
+    plan = spark.range(100).join(hinted, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan.lower()
