@@ -143,3 +143,15 @@ def test_broadcast_only_below_measured_size(spark):
     assert hinted is not df
     plan = spark.range(100).join(hinted, "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan.lower()
+
+
+def test_row_form_last_column_ignores_trailing_blanks(spark):
+    from shelfprice.operators.grid import cells_from_rows, last_columns_rows
+    rows = spark.createDataFrame(
+        [("w", "s", 1, ["A", None, "B", None, None]), ("w", "s", 2, [None, "x"]),
+         ("w", "t", 1, [None, None, None])],
+        "workbook string, sheet string, row_idx long, values array<string>")
+    last = {r.sheet: r._last for r in last_columns_rows(rows).collect()}
+    assert last == {"s": 2, "t": None}
+    assert sorted((r.row_idx, r.col_idx, r.value) for r in cells_from_rows(rows).collect()) == \
+        [(1, 0, "A"), (1, 2, "B"), (2, 1, "x")]
