@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe
+from . import bpe, warc
 
 QUERIES = {
     "op1_byte_level_bpe": bpe.query,
+    "op10_warc": warc.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_warc": warc.SQL,
+}
