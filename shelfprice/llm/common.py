@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,3 +45,13 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def join_spread(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join on ``key`` where ``right`` is an aggregate by ``key`` and ``left`` may hold
+    most of its rows under one key. The second join column follows from ``key``, but
+    neither side is partitioned by both, so both are exchanged for the join itself
+    and adaptive execution can split a hot key of ``left`` over many tasks."""
+    c = "_spread"
+    return (left.withColumn(c, F.xxhash64(key)).join(right.withColumn(c, F.xxhash64(key)), [key, c], how)
+            .drop(c))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, warc
+from . import bpe, simhash, warc
 
 QUERIES = {
     "op1_byte_level_bpe": bpe.query,
+    "op5_simhash": simhash.query,
     "op10_warc": warc.query,
 }
 
