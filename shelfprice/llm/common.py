@@ -47,11 +47,11 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def join_spread(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def join_spread(left: DataFrame, right: DataFrame, key: str | list[str], how: str = "inner") -> DataFrame:
     """Join on ``key`` where ``right`` is an aggregate by ``key`` and ``left`` may hold
-    most of its rows under one key. The second join column follows from ``key``, but
+    most of its rows under one key. The added join column follows from ``key``, but
     neither side is partitioned by both, so both are exchanged for the join itself
     and adaptive execution can split a hot key of ``left`` over many tasks."""
-    c = "_spread"
-    return (left.withColumn(c, F.xxhash64(key)).join(right.withColumn(c, F.xxhash64(key)), [key, c], how)
-            .drop(c))
+    c, keys = "_spread", [key] if isinstance(key, str) else list(key)
+    return (left.withColumn(c, F.xxhash64(*keys))
+            .join(right.withColumn(c, F.xxhash64(*keys)), [*keys, c], how).drop(c))

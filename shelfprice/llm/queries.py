@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, simhash, warc
+from . import bpe, linededup, simhash, warc
 
 QUERIES = {
     "op1_byte_level_bpe": bpe.query,
+    "op4_line_dedup": linededup.query,
     "op5_simhash": simhash.query,
     "op10_warc": warc.query,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_line_dedup": linededup.SQL,
     "op10_warc": warc.SQL,
 }
