@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, linededup, simhash, warc
+from . import bpe, linededup, sharding, simhash, warc
 
 QUERIES = {
     "op1_byte_level_bpe": bpe.query,
     "op4_line_dedup": linededup.query,
     "op5_simhash": simhash.query,
+    "op8_sharding": sharding.query,
     "op10_warc": warc.query,
 }
 
