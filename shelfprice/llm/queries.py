@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, linededup, sharding, simhash, warc
+from . import bpe, linededup, sharding, simhash, topk, warc
 
 QUERIES = {
     "op1_byte_level_bpe": bpe.query,
+    "op3_exact_top_k": topk.query,
     "op4_line_dedup": linededup.query,
     "op5_simhash": simhash.query,
     "op8_sharding": sharding.query,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_exact_top_k": topk.SQL,
     "op4_line_dedup": linededup.SQL,
     "op10_warc": warc.SQL,
 }
