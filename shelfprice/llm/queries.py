@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, linededup, sharding, simhash, topk, warc
+from . import bpe, linededup, sharding, simhash, topk, toxicity, warc
 
 QUERIES = {
     "op1_byte_level_bpe": bpe.query,
+    "op2_toxicity": toxicity.query,
     "op3_exact_top_k": topk.query,
     "op4_line_dedup": linededup.query,
     "op5_simhash": simhash.query,
