@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, linededup, sharding, simhash, topk, toxicity, warc
+from . import bpe, chat, decontaminate, linededup, sharding, simhash, topk, toxicity, warc
 
 QUERIES = {
     "op1_byte_level_bpe": bpe.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_exact_top_k": topk.query,
     "op4_line_dedup": linededup.query,
     "op5_simhash": simhash.query,
+    "op6_chat_formatting": chat.query,
     "op8_sharding": sharding.query,
     "op9_decontamination": decontaminate.query,
     "op10_warc": warc.query,
