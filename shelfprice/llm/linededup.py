@@ -9,20 +9,24 @@ left out or replaced). Lines are judged on the input, not on what is left.
    and the hashes of its first and last m words (m: about half the words, the same
    for most neighbouring lengths). One edit cannot touch both ends, so a line with a
    partner shares one of these keys with a *different* line. Lines without such a
-   key can have no partner and emit no variants. This loses no pair.
-2. The words of the others are fetched by one join. Each distinct line emits its
-   deletion neighbourhood as hashed keys: for each word, (place, length, hash without
-   it) and (length, hash without it), and once (length, hash) of all its words.
-3. Equal keys are joined. Lines with an equal place key differ in that word only.
+   key can have no partner. This loses no pair.
+2. The words of the others are fetched by one join. The same test follows for blocks of
+   ``BLOCK`` words: an edit lies in one block, and partners agree before and after it.
+   A line goes on only with the blocks for which another line agrees.
+3. There it emits its deletion neighbourhood as hashed keys: for each word of the block,
+   (place, length, hash without it) and (length, hash without it), and once (length,
+   hash) of all its words. A line's other deletions can equal no other line's.
+4. Equal keys are joined. Lines with an equal place key differ in that word only.
    Lines with an equal length key are a whole line and lines that a word was put into.
    So a key needs no pairs: each member is compared with the earliest member only.
-4. Each (line, earliest partner) is verified on the words by edit distance.
-5. A line hash's limit is the earliest of its first position and its verified
+5. Each (line, earliest partner) is verified on the words by edit distance.
+6. A line hash's limit is the earliest of its first position and its verified
    partners'; every occurrence after the limit goes.
 
 All aggregates are minima and counts (map-side); joins on a line or variant hash are
 exchanged for themselves, so that a line that makes up a third of all rows is split.
-The text goes through one exchange, used both for step 2 and for the result.
+Before the join of step 2, rows are tested against a broadcast set of row-key buckets
+(``BUCKETS`` at most, whatever the input), so that few texts are exchanged for it.
 
 Defined results: a null text stays null, an empty one has one blank line. Blank lines
 are never removed. A null doc_id comes before all others. Rows that repeat a doc_id
@@ -41,6 +45,8 @@ from .common import join_spread, landed, table
 BLANK = "[ \\t\\r\\x0B\\f]+"
 ROW = ["_r1", "_r2"]
 LINE = ["_h1", "_h2"]
+BLOCK = 8
+BUCKETS = 1 << 20
 
 
 def _words(line: Column) -> Column:
@@ -49,7 +55,7 @@ def _words(line: Column) -> Column:
 
 def _half(n: Column) -> Column:
     """How many words at either end make a key; at most half of ``n``."""
-    return F.when(n < 16, 4).otherwise(F.floor(n / 16).cast("int") * 8)
+    return F.floor(n / 8).cast("int") * 4
 
 
 def _ends(w: Column, n: Column, m: Column) -> list[Column]:
@@ -70,14 +76,18 @@ def line_table(rows: DataFrame, min_words: int) -> DataFrame:
              .withColumn("_n", F.size("_w")).where("_n > 0"))
     w, n = F.col("_w"), F.col("_n")
     m, shorter = _half(n), _half(n - 1)
-    first = F.coalesce(F.col("_id").cast("decimal(20,0)"), F.lit("-9223372036854775809").cast("decimal(20,0)"))
     return lines.select(
-        *ROW, "_no", "_n", (first * F.lit(1 << 32).cast("decimal(10,0)") + F.col("_no")).alias("_pos"),
+        *ROW, "_id", "_no",
         F.xxhash64("_w").alias("_h1"), F.xxhash64(F.lit(1), "_w").alias("_h2"),
-        F.when(n >= min_words, F.concat(
-            F.array(*_ends(w, n, m)),
-            F.when((n > min_words) & (shorter != m), F.array(*_ends(w, n, shorter)))
-            .otherwise(F.array().cast("array<bigint>")))).alias("_keys"))
+        F.when(n >= min_words, F.when((n > min_words) & (shorter != m),
+                                      F.array(*_ends(w, n, m), *_ends(w, n, shorter)))
+               .otherwise(F.array(*_ends(w, n, m)))).alias("_keys"))
+
+
+def _pos() -> Column:
+    """(id, line number) as one number of a fixed width."""
+    first = F.coalesce(F.col("_id").cast("decimal(20,0)"), F.lit("-9223372036854775809").cast("decimal(20,0)"))
+    return first * F.lit(1 << 32).cast("decimal(10,0)") + F.col("_no")
 
 
 def edit_distance_is_one_or_less(a: Column, b: Column) -> Column:
@@ -93,40 +103,65 @@ def edit_distance_is_one_or_less(a: Column, b: Column) -> Column:
             .when(F.size(a) == F.size(b) + 1, put_in(b, a)).otherwise(False))
 
 
-def _partners(rows: DataFrame, lines: DataFrame) -> DataFrame:
-    """(line hash, position of an earlier line at edit distance one)."""
-    keyed = lines.where("_keys is not null").select(*LINE, *ROW, "_no", "_pos", F.explode("_keys").alias("_key"))
+def _lines_with_partners(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """(line hash, _pos, _i, _w) of the distinct lines that another line agrees with at
+    one end; ``_i`` numbers them in the order of their first positions."""
+    keyed = lines.where("_keys is not null").select(*LINE, *ROW, "_id", "_no", F.explode("_keys").alias("_key"))
     shared = (keyed.groupBy("_key").agg(F.min("_h1").alias("_lo"), F.max("_h1").alias("_hi"))
               .where("_lo < _hi").select("_key"))
     # the first occurrence stands for a line; its row gives the words
-    found = (join_spread(keyed, shared, "_key").groupBy(*LINE)
-             .agg(F.min(F.struct("_pos", "_no", *ROW)).alias("_s")).select(*LINE, "_s.*"))
+    found = landed(join_spread(keyed, shared, "_key").groupBy(*LINE)
+                   .agg(F.min(F.struct(_pos().alias("_pos"), "_no", *ROW)).alias("_s")).select(*LINE, "_s.*"),
+                   "line-places")
+    bucket = F.pmod(F.col("_r1"), F.lit(BUCKETS))
     wanted = found.groupBy(*ROW).agg(F.collect_list(F.struct(*LINE, "_pos", "_no")).alias("_at"))
-    texts = rows.join(wanted, ROW).select(F.split("_text", "\n").alias("_l"), F.explode("_at").alias("_s"))
+    some = rows.withColumn("_b", bucket).join(
+        F.broadcast(found.select(bucket.alias("_b")).distinct()), "_b", "left_semi")
+    texts = some.join(wanted, ROW).select(F.split("_text", "\n").alias("_l"), F.explode("_at").alias("_s"))
     # rows that repeat as a whole give their lines once
-    line = landed(texts.select("_s._h1", "_s._h2", "_s._pos", _words(F.col("_l")[F.col("_s._no")]).alias("_w"))
-                  .dropDuplicates(LINE), "line-words")
-    n = F.size("_w")
+    line = texts.select("_s._h1", "_s._h2", "_s._pos", _words(F.col("_l")[F.col("_s._no")]).alias("_w"))
+    return landed(line.dropDuplicates(LINE).orderBy("_pos").withColumn("_i", F.monotonically_increasing_id()),
+                  "line-words")
+
+
+def _partners(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """(line hash, position of an earlier line at edit distance one)."""
+    line = _lines_with_partners(rows, lines)
+    w, n = F.col("_w"), F.size("_w")
+    # blocks, in the frame of the line's own length and of the length one shorter
+    frames = line.select("_i", "_w", F.explode(F.array(n, n - 1)).alias("_n"))
+    after = F.greatest(F.col("_n") - (F.col("_b") + 1) * BLOCK, F.lit(0))
+    blocks = (frames.select("_i", "_w", "_n", F.explode(F.sequence(
+        F.lit(0), F.floor((F.col("_n") - 1) / BLOCK).cast("int"))).alias("_b"))
+        .select("_i", "_n", "_b", F.xxhash64(
+            "_n", "_b", F.slice(w, F.lit(1), F.col("_b") * BLOCK),
+            F.when(after > 0, F.slice(w, F.greatest(n - after, F.lit(0)) + 1, after))).alias("_key")))
+    agreed = (blocks.groupBy("_key").agg(F.min("_i").alias("_lo"), F.max("_i").alias("_hi"))
+              .where("_lo < _hi").select("_key"))
+    live = join_spread(blocks, agreed, "_key").select("_i", "_n", "_b")
 
     def without(i: Column) -> Column:
         return F.concat(F.slice("_w", F.lit(1), i), F.slice("_w", i + 2, n))
-    places = F.sequence(F.lit(0), n - 1)
-    variants = (
-        line.select(*LINE, "_pos", F.explode(F.transform(places, lambda i: F.struct(
-            F.xxhash64(F.lit("place"), i, n, without(i)).alias("_v"), F.lit(0).alias("_role")))).alias("_s"))
-        .union(line.select(*LINE, "_pos", F.explode(F.transform(places, lambda i: F.struct(
-            F.xxhash64(F.lit("length"), n - 1, without(i)), F.lit(1)))).alias("_s")))
-        .union(line.select(*LINE, "_pos", F.struct(F.xxhash64(F.lit("length"), n, "_w"), F.lit(2)))))
-    variants = variants.select(*LINE, "_pos", "_s._v", "_s._role")
+    live = live.join(line.select("_i", "_w"), "_i")
+    first = F.col("_b") * BLOCK
+    own = F.transform(F.sequence(first, F.least(first + BLOCK, n) - 1), lambda i: F.struct(
+        F.xxhash64(F.lit("place"), i, n, without(i)).alias("_v"), F.lit(0).alias("_put")))
+    longer = F.transform(F.sequence(first, F.least(first + BLOCK, n - 1)), lambda i: F.struct(
+        F.xxhash64(F.lit("length"), n - 1, without(i)).alias("_v"), F.lit(1).alias("_put")))
+    whole = F.array(F.struct(F.xxhash64(F.lit("length"), n, "_w").alias("_v"), F.lit(0).alias("_put")))
+    variants = landed(live.select("_i", F.explode(F.when(F.col("_n") == n, F.concat(own, whole))
+                                                  .otherwise(longer)).alias("_s"))
+                      .select("_i", "_s._v", "_s._put").distinct(), "line-variants")
     earliest = (variants.groupBy("_v")
-                .agg(F.min("_pos").alias("_any"), F.min(F.when(F.col("_role") == 2, F.col("_pos"))).alias("_whole"),
-                     F.max("_pos").alias("_last")).where("_any < _last"))
+                .agg(F.min("_i").alias("_any"), F.min(F.when(F.col("_put") == 0, F.col("_i"))).alias("_whole"),
+                     F.max("_i").alias("_last")).where("_any < _last").drop("_last"))
+    # a line that a word was put into is compared with the whole line, not with its like
     pairs = (join_spread(variants, earliest, "_v")
-             .select(*LINE, "_pos", F.when(F.col("_role") == 1, F.col("_whole")).otherwise(F.col("_any")).alias("_c"))
-             .where("_c < _pos").select(*LINE, "_c").distinct())
-    other = line.select(F.col("_pos").alias("_c"), F.col("_w").alias("_cw"))
-    return (pairs.join(line, LINE).join(other, "_c")
-            .where(edit_distance_is_one_or_less(F.col("_w"), F.col("_cw"))).select(*LINE, "_c"))
+             .select("_i", F.when(F.col("_put") == 1, F.col("_whole")).otherwise(F.col("_any")).alias("_e"))
+             .where("_e < _i").distinct())
+    other = line.select(F.col("_i").alias("_e"), F.col("_w").alias("_ew"), F.col("_pos").alias("_c"))
+    return (pairs.join(line.select(*LINE, "_i", "_w"), "_i").join(other, "_e")
+            .where(edit_distance_is_one_or_less(F.col("_w"), F.col("_ew"))).select(*LINE, "_c"))
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", min_words: int = 8) -> DataFrame:
@@ -136,12 +171,12 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", min_w
         raise ValueError("lines of under eight words are too short to lose one")
     rows = _rows(df, id_col, text)
     lines = landed(line_table(rows, min_words), "lines")
-    firsts = lines.groupBy(*LINE).agg(F.min("_pos").alias("_first"), F.max("_pos").alias("_last"))
+    firsts = lines.groupBy(*LINE).agg(F.min(_pos()).alias("_first"), F.max(_pos()).alias("_last"))
     near = _partners(rows, lines).groupBy(*LINE).agg(F.min("_c").alias("_c"))
     limits = (firsts.join(near, LINE, "left").where("_first < _last or _c is not null")
               .select(*LINE, F.least("_first", "_c").alias("_limit")))
-    gone = (join_spread(lines.select(*LINE, *ROW, "_no", "_pos"), limits, LINE)
-            .where(F.col("_pos") > F.col("_limit"))
+    gone = (join_spread(lines.select(*LINE, *ROW, "_id", "_no"), limits, LINE)
+            .where(_pos() > F.col("_limit"))
             .groupBy(*ROW).agg(F.sort_array(F.collect_set("_no")).alias("_gone")))
     split = F.split("_text", "\n")
     kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(
