@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, linededup, sharding, simhash, topk, toxicity, warc
+from . import bpe, chat, decontaminate, linededup, sharding, simhash, suffixdedup, topk, toxicity, warc
 
 QUERIES = {
     "op1_byte_level_bpe": bpe.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_line_dedup": linededup.query,
     "op5_simhash": simhash.query,
     "op6_chat_formatting": chat.query,
+    "op7_suffix_array_dedup": suffixdedup.query,
     "op8_sharding": sharding.query,
     "op9_decontamination": decontaminate.query,
     "op10_warc": warc.query,
