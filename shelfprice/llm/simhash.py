@@ -63,17 +63,19 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     return int(np.packbits(votes * 2 > count).view(">i8")[0])
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
-    """(id, fp): one row per input row."""
-    schema = T.StructType([df.schema[id_col], T.StructField("fp", T.LongType(), False)])
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 3,
+                 carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, columns of ``carry``, fp): one row per input row."""
+    kept = [id_col, *carry]
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField("fp", T.LongType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [fingerprint(t.as_py(), words) for t in batch.column(text)]
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(made, pa.int64())],
-                                             names=[id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(made, pa.int64())],
+                                             names=[*kept, "fp"])
 
-    return df.select(id_col, text).mapInArrow(run, schema)
+    return df.select(*kept, text).mapInArrow(run, schema)
 
 
 class Golay:
@@ -160,16 +162,28 @@ def links(fps: DataFrame, max_bits: int = 2, bucket: int = 32) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 3,
-                    max_bits: int = 2, bucket: int = 32) -> DataFrame:
-    """(id, fp, component_id) of every row."""
-    made = landed(fingerprints(df, id_col, text, words), "simhash")
+                    max_bits: int = 2, bucket: int = 32, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, columns of ``carry``, fp, component_id) of every row."""
+    made = landed(fingerprints(df, id_col, text, words, carry), "simhash")
     distinct = landed(made.groupBy("fp").agg(F.min(id_col).alias("rep")), "simhash-distinct")
     roots = cut(components(links(distinct, max_bits, bucket)))
     nodes = distinct.join(roots, distinct.fp == roots.node, "left") \
         .select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     smallest = nodes.groupBy("root").agg(F.min("rep").alias("component_id"))
     classes = landed(join_spread(nodes, smallest, "root").select("fp", "component_id"), "simhash-classes")
-    return made.join(classes, "fp").select(id_col, "fp", "component_id")
+    return made.join(classes, "fp").select(id_col, *carry, "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
+    """``docs``, its columns in order, with one document of each component: that of the
+    smallest id, and of several rows of that id the one of the smallest row hash (rows
+    that repeat it as a whole stay with it)."""
+    keyed = docs.select("*", F.xxhash64(*docs.columns).alias("_row"))
+    found = near_duplicates(keyed, words=words, max_bits=max_bits, carry=("_row",))
+    stays = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+             .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("_fp"))
+             .agg(F.min("_row").alias("_row")).select("_row").distinct())
+    return join_spread(keyed, stays, "_row", "left_semi").select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -303,9 +303,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 3000, id_col: str =
     return fit([r._t for r in rows], [r._y for r in rows], known.agg(F.avg("_y")).first()[0])
 
 
-def score(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """``df`` without ``text``, with ``score`` and ``predicted``."""
-    kept = [c for c in df.columns if c not in (text, "score", "predicted")]
+def score(df: DataFrame, model: Model | None, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``df`` with ``score`` and ``predicted``, without ``text`` unless ``keep_text``."""
+    kept = [c for c in df.columns if c not in ("score", "predicted") and (keep_text or c != text)]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField("score", T.DoubleType()),
                                                          T.StructField("predicted", T.IntegerType())])
     KNOWN = 200_000  # words whose decision a task keeps; then it starts afresh
@@ -329,7 +329,15 @@ def score(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
                     + [pa.array(scores, pa.float64()), pa.array((scores >= 0.5).astype(np.int32))],
                     names=kept + ["score", "predicted"])
 
-    return df.select(*kept, text).mapInArrow(run, schema)
+    return df.select(*kept, *([] if keep_text else [text])).mapInArrow(run, schema)
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> DataFrame:
+    """``docs``, its columns in order, without the rows scored as toxic."""
+    made = [F.col(c).alias(f"_{i}") for i, c in enumerate(docs.columns)]
+    at = docs.columns.index("text")
+    scored = score(docs.select(*made), train(docs, labels, sample), f"_{at}", keep_text=True)
+    return scored.where("predicted = 0").select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
