@@ -18,16 +18,20 @@ def period_ratio(cur: ColumnOrName, prev: ColumnOrName) -> Column:
     return F.try_divide(_col(cur) - p, F.when(p != 0, p))
 
 
+def shown_percent(c: ColumnOrName) -> Column:
+    """Ratio as a percentage rounded to the 3 decimals shown, half even on the exact
+    binary value of ratio * 100."""
+    return round_half_even_exact(_col(c) * 100, 3)
+
+
 def pct_label(c: ColumnOrName) -> Column:
     """Ratio as a percent label with 3 decimals ('12.500%'); null → ''."""
-    x = _col(c)
-    shown = F.bround(x * 100, 3)   # half even, like the reference's formatting
-    return F.when(x.isNotNull(), F.format_string("%.3f%%", shown)).otherwise(F.lit(""))
+    return F.when(_col(c).isNotNull(), F.format_string("%.3f%%", shown_percent(c))).otherwise(F.lit(""))
 
 
 def direction(c: ColumnOrName) -> Column:
     """+1 / -1 / 0 from the percent shown with 3 decimals; null stays null."""
-    return F.signum(F.round(_col(c) * 100, 3)).cast("int")
+    return F.signum(shown_percent(c)).cast("int")
 
 
 def single_unit_numeric(c: ColumnOrName) -> Column:

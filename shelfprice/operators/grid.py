@@ -17,13 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfprice.functions.dates import parse_dayfirst
-from shelfprice.functions.text import blank_to_null, norm_key
-from shelfprice.operators.sizing import broadcast_if_small
+from shelfprice.functions.text import norm_key
 
 SHEET = ("workbook", "sheet")
 
@@ -67,7 +65,7 @@ def detect_blocks(cells: DataFrame, name_row: int = 1,
         last_col = last_columns(cells)
     w = Window.partitionBy(*SHEET).orderBy("col_idx")
     return (names.withColumn("_next", F.lead("col_idx").over(w))
-            .join(broadcast_if_small(last_col), list(SHEET))
+            .join(last_col, list(SHEET))
             .select(*SHEET, F.col("col_idx").alias("block_start"),
                     F.coalesce(F.col("_next") - 1, F.col("_last")).alias("block_end"),
                     "block_name"))
@@ -79,18 +77,19 @@ def header_match(value: Column, contains: bool) -> Column:
 
 
 def detect_header(cells: DataFrame, blocks: DataFrame, contains: bool = False,
-                  search_rows: int = 299) -> DataFrame:
-    """Header row of each block: the first row (within the first ``search_rows``
-    sheet rows) whose cell in the block's first column is 'rubro' (normalised),
-    or contains it with ``contains=True``. Blocks without a header are dropped.
+                  search_rows: int | None = None) -> DataFrame:
+    """Header row of each block: the first row whose cell in the block's first
+    column is 'rubro' (normalised), or contains it with ``contains=True``. The whole
+    sheet is searched unless the caller gives a depth. Blocks without a header are
+    dropped.
 
     Returns the block columns plus ``header_row``."""
     first = blocks.select(*SHEET, F.col("block_start").alias("col_idx"))
-    # layout tables (blocks, block columns, header/date columns) hold one row per
-    # sheet column at most: bounded by sheets × sheet width, never by the row count.
-    # The sheet count grows with the data, so each is counted before it is broadcast
-    hits = (cells.where(F.col("row_idx") < search_rows)
-            .join(broadcast_if_small(first), [*SHEET, "col_idx"])
+    # layout tables (blocks, block columns, headers) have one row per sheet column at
+    # most; Spark picks the join from their measured size
+    if search_rows is not None:
+        cells = cells.where(F.col("row_idx") < search_rows)
+    hits = (cells.join(first, [*SHEET, "col_idx"])
             .where(F.col("value").isNotNull() & (F.trim(F.col("value")) != "")
                    & header_match(F.col("value"), contains))
             .groupBy(*SHEET, F.col("col_idx").alias("block_start"))
@@ -98,6 +97,25 @@ def detect_header(cells: DataFrame, blocks: DataFrame, contains: bool = False,
     return blocks.join(hits, [*SHEET, "block_start"], "inner")
 
 
+def detect_header_rows(rows: DataFrame, blocks: DataFrame, contains: bool = False,
+                       search_rows: int | None = None) -> DataFrame:
+    """:func:`detect_header` over sheet rows: each row is tested in the first column of
+    the sheet's blocks (a handful), without exploding it to cells."""
+    if search_rows is not None:
+        rows = rows.where(F.col("row_idx") < search_rows)
+    value = F.try_element_at("values", F.col("block_start") + 1)
+    hits = (rows.join(blocks.select(*SHEET, "block_start"), list(SHEET))
+            .where(value.isNotNull() & (F.trim(value) != "") & header_match(value, contains))
+            .groupBy(*SHEET, "block_start").agg(F.min("row_idx").alias("header_row")))
+    return blocks.join(hits, [*SHEET, "block_start"], "inner")
+
+
+def header_cells(rows: DataFrame, headers: DataFrame) -> DataFrame:
+    """Cells of the header rows only."""
+    at = headers.select(*SHEET, F.col("header_row").alias("row_idx")).distinct()
+    return cells_from_rows(rows.join(at, [*SHEET, "row_idx"], "left_semi"))
+
+
 def block_column_map(headers: DataFrame) -> DataFrame:
     """(workbook, sheet, col_idx) → its block; one row per block column."""
     return headers.select(*SHEET, "block_start", "header_row",
@@ -122,7 +140,7 @@ def resolve_columns(cells: DataFrame, headers: DataFrame,
     Returns (workbook, sheet, block_start, field, col_idx)."""
     spark = cells.sparkSession
     colmap = block_column_map(headers)
-    head = (cells.join(broadcast_if_small(colmap), [*SHEET, "col_idx"])
+    head = (cells.join(colmap, [*SHEET, "col_idx"])
             .where(F.col("row_idx") == F.col("header_row"))
             .select(*SHEET, "block_start", "col_idx", norm_key("value").alias("key")))
     # the alias parameter is a literal list of a few dozen names
@@ -132,36 +150,20 @@ def resolve_columns(cells: DataFrame, headers: DataFrame,
     return m.groupBy(*SHEET, "block_start", "field").agg(pick.alias("col_idx"))
 
 
-def header_zone(cells: DataFrame, search_rows: int, name_row: int = 1) -> DataFrame:
-    """The cells above the header search depth, persisted: every layout step
-    (names, header search, header texts) reads only these. Bounded by
-    sheets × search depth × sheet width, whatever the row count."""
-    return cells.where(F.col("row_idx") < max(search_rows, name_row + 1)) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def block_records(cells: DataFrame, headers: DataFrame,
-                  aliases: Mapping[str, Sequence[str]],
-                  zone: DataFrame | None = None) -> DataFrame:
+                  aliases: Mapping[str, Sequence[str]]) -> DataFrame:
     """Each block as a table: the rows below its header row become records with
     one column per canonical field (null when the block lacks it); rows whose
     cells in the block are all empty are dropped. Adds ``has_<field>`` flags.
 
-    Header rows lie above the search depth, so ``zone`` (the persisted
-    :func:`header_zone`) can stand in for ``cells`` when resolving headers.
-
     Returns (workbook, sheet, block_start, block_name, row_idx, <fields>,
     has_<fields>)."""
     fields = list(aliases)
-    # the layout tables are bounded by sheets × blocks × block width and are read by
-    # several branches below: keep them instead of re-deriving them from the cells
-    headers = headers.persist(StorageLevel.MEMORY_AND_DISK)
-    resolved = resolve_columns(zone if zone is not None else cells, headers, aliases) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    resolved = resolve_columns(cells, headers, aliases)
     colmap = block_column_map(headers).join(
         resolved, [*SHEET, "block_start", "col_idx"], "left")
     data = (cells.where(F.col("value").isNotNull())
-            .join(broadcast_if_small(colmap), [*SHEET, "col_idx"])
+            .join(colmap, [*SHEET, "col_idx"])
             .where(F.col("row_idx") > F.col("header_row")))
     recs = data.groupBy(*SHEET, "block_start", "row_idx").agg(
         *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields])
@@ -169,7 +171,7 @@ def block_records(cells: DataFrame, headers: DataFrame,
         *[F.max(F.col("field") == f).alias(f"has_{f}") for f in fields])
     info = headers.select(*SHEET, "block_start", "block_name").join(
         has, [*SHEET, "block_start"], "left").fillna(False, [f"has_{f}" for f in fields])
-    return recs.join(broadcast_if_small(info), [*SHEET, "block_start"]).select(
+    return recs.join(info, [*SHEET, "block_start"]).select(
         *SHEET, "block_start", "block_name", "row_idx", *fields,
         *[f"has_{f}" for f in fields])
 
@@ -178,8 +180,8 @@ def block_records(cells: DataFrame, headers: DataFrame,
 #
 # A sheet reader emits a sheet row by row: (workbook, sheet, row_idx,
 # values ARRAY<STRING>) with values[i] the cell in column i (null when blank).
-# Layout detection only needs the rows above the header search depth, which are
-# exploded to cells; the records are then a narrow projection of every data row
+# The name row and the header rows are exploded to cells; the header search tests one
+# element of each row per block. The records are a narrow projection of every data row
 # (``try_element_at`` per field) after a join with the per-block layout. There is
 # no aggregate or shuffle over the data rows, and string cells never reach an
 # aggregation buffer (which would force a sort-based aggregate).
@@ -215,13 +217,6 @@ def last_columns_rows(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*SHEET).agg(F.max(last).alias("_last"))
 
 
-def header_zone_rows(rows: DataFrame, search_rows: int, name_row: int = 1) -> DataFrame:
-    """Cells of the rows above the header search depth, persisted (bounded by
-    sheets × search depth × sheet width, whatever the row count)."""
-    top = rows.where(F.col("row_idx") < max(search_rows, name_row + 1))
-    return cells_from_rows(top).persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def block_layout(headers: DataFrame, resolved: DataFrame, fields: Sequence[str]) -> DataFrame:
     """One row per block: its span, name, header row and, per canonical field,
     the resolved column (``_c_<field>``, null when absent) and ``has_<field>``."""
@@ -233,16 +228,13 @@ def block_layout(headers: DataFrame, resolved: DataFrame, fields: Sequence[str])
 
 
 def block_records_rows(rows: DataFrame, headers: DataFrame,
-                       aliases: Mapping[str, Sequence[str]], zone: DataFrame) -> DataFrame:
-    """:func:`block_records` over sheet rows; same output. ``zone`` is the
-    persisted :func:`header_zone_rows` (header rows lie above the search depth)."""
+                       aliases: Mapping[str, Sequence[str]], heads: DataFrame) -> DataFrame:
+    """:func:`block_records` over sheet rows; same output. ``heads``: the cells of the
+    header rows (:func:`header_cells`)."""
     fields = list(aliases)
-    headers = headers.persist(StorageLevel.MEMORY_AND_DISK)
-    resolved = resolve_columns(zone, headers, aliases)
-    layout = block_layout(headers, resolved, fields).persist(StorageLevel.MEMORY_AND_DISK)
-    # one row per block: a handful per sheet; broadcast after a bounded count,
-    # otherwise a shuffle join on the sheet (AQE splits a hot sheet)
-    j = (rows.join(broadcast_if_small(layout), list(SHEET))
+    resolved = resolve_columns(heads, headers, aliases)
+    layout = block_layout(headers, resolved, fields)  # a handful of rows per sheet
+    j = (rows.join(layout, list(SHEET))
          .where(F.col("row_idx") > F.col("header_row")))
     span = F.slice("values", F.col("block_start") + 1, F.col("block_end") - F.col("block_start") + 1)
     j = j.where(F.exists(span, lambda x: x.isNotNull()))
@@ -275,7 +267,7 @@ def unpivot_history(cells: DataFrame, date_row: int = 3, data_row: int = 4,
             .agg(F.max(F.when(F.col("col_idx") == 0, F.col("value"))).alias("rubro"),
                  F.max(F.when(F.col("col_idx") == 1, F.col("value"))).alias("cod_text"),
                  F.max(F.when(F.col("col_idx") == 2, F.col("value"))).alias("producto")))
-    return (prices.join(broadcast_if_small(dates), [*SHEET, "col_idx"], "left")
+    return (prices.join(dates, [*SHEET, "col_idx"], "left")
             .join(base, [*SHEET, "row_idx"], "left"))
 
 
@@ -319,14 +311,7 @@ def melt_template(cells: DataFrame, code_col: int = 0, data_row: int = 3,
     vals = (cells.where((F.col("row_idx") >= data_row) & (F.col("col_idx") >= first_col))
             .select(*SHEET, "row_idx", "col_idx", F.col("value").alias("price_value"))
             .join(codes, [*SHEET, "row_idx"]))
-    # one row per filled column: persisted so that its size check and the join
-    # share one pass over the cells
-    filled = (vals.where(F.col("price_value").isNotNull())
-              .select(*SHEET, "col_idx").distinct().persist(StorageLevel.MEMORY_AND_DISK))
-    return (vals.join(broadcast_if_small(filled), [*SHEET, "col_idx"], "left_semi")
-            .join(broadcast_if_small(cols), [*SHEET, "col_idx"]))
-
-
-def blank_code_flags(code_text: Column, product: Column) -> Column:
-    """True when a history row has neither a code nor a product."""
-    return blank_to_null(code_text).isNull() & product.isNull()
+    # one row per filled column
+    filled = vals.where(F.col("price_value").isNotNull()).select(*SHEET, "col_idx").distinct()
+    return (vals.join(filled, [*SHEET, "col_idx"], "left_semi")
+            .join(cols, [*SHEET, "col_idx"]))

@@ -17,12 +17,14 @@ task) followed by one join with the target on the keys.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfprice.session import staging_path
+from shelfprice.session import delete_folder, staging_path
 
 # The price-history fact (column order of the target table) and its key
 HISTORY_COLUMNS = ("origen", "id_lista", "lista", "fecha", "product_id", "cod_art",
@@ -98,34 +100,45 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return j.select(*out)
 
 
-def merge_stats(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                upsert: bool) -> DataFrame:
-    """One row of load counts: source rows, inserted, updated, skipped
-    (a row per source row, as the per-row statements would have counted them)."""
+def merge_stats(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Load counts of both modes, a row each (a row per source row, as the per-row
+    statements would have counted them): mode, total, inserted, updated, skipped."""
     per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    matched = target.select(*keys).join(per_key.select(*keys), list(keys), "inner") \
-        .withColumn("_hit", F.lit(True))
-    k = per_key.join(matched, list(keys), "left")
+    known = target.select(*keys).distinct().withColumn("_hit", F.lit(True))
     inserted = F.when(F.col("_hit").isNull(), 1).otherwise(0)
-    rest = F.col("_n") - inserted
     zero = F.lit(0).cast("bigint")
-    return k.agg(
-        F.coalesce(F.sum("_n"), zero).cast("bigint").alias("rows_total"),
-        F.coalesce(F.sum(inserted), zero).cast("bigint").alias("rows_inserted"),
-        F.coalesce(F.sum(rest if upsert else F.lit(0)), zero).cast("bigint").alias("rows_updated"),
-        F.coalesce(F.sum(F.lit(0) if upsert else rest), zero).cast("bigint").alias("rows_skipped"),
-    )
-
-
-def replace_slices(existing: DataFrame, new: DataFrame, slice_cols: Sequence[str]) -> DataFrame:
-    """Table state after replacing every slice present in ``new``; an empty
-    ``new`` leaves ``existing`` unchanged."""
-    slices = new.select(*slice_cols).distinct()
-    # the slice keys of one load are a handful of calendar weeks: a bounded set
-    kept = existing.join(F.broadcast(slices), list(slice_cols), "left_anti")
+    counts = per_key.join(known, list(keys), "left").agg(
+        F.coalesce(F.sum("_n"), zero).cast("bigint").alias("t"),
+        F.coalesce(F.sum(inserted), zero).cast("bigint").alias("i"))
+    rest = F.col("t") - F.col("i")
+    modes = F.array(*[F.struct(F.lit(m).alias("mode"), F.col("t").alias("rows_total"), F.col("i").alias("rows_inserted"),
+                               u.alias("rows_updated"), k.alias("rows_skipped"))
+                      for m, u, k in (("upsert", rest, zero), ("insert_only", zero, rest))])
+    return counts.select(F.inline(modes))
+
+
+def replace_slices(existing: DataFrame, new: DataFrame, slices: Sequence[Mapping]) -> DataFrame:
+    """Table state after replacing the given slices (column → value each) by ``new``; a
+    load knows its slices, so ``existing`` is only filtered. An empty load replaces
+    nothing: its slices are none (:func:`load_slices`)."""
+    if not slices:
+        return existing
+    kept = existing.where(~_in_slices(slices))
     return kept.select(*existing.columns).unionByName(new.select(*existing.columns))
 
 
+def load_slices(new: DataFrame, slices: Sequence[Mapping]) -> Sequence[Mapping]:
+    """The slices a load replaces: ``slices``, or none when it has no rows (one row is
+    looked for)."""
+    return () if new.isEmpty() else slices
+
+
+def _in_slices(slices: Sequence[Mapping]) -> Column:
+    """True for the rows of any slice (never null)."""
+    tests = [reduce(and_, (F.col(c).eqNullSafe(F.lit(v)) for c, v in s.items())) for s in slices]
+    return reduce(or_, tests)
+
+
 # ------------------------------------------------------------------ writes
 
 def write_slices(new: DataFrame, path: str, slice_cols: Sequence[str]) -> None:
@@ -136,26 +149,37 @@ def write_slices(new: DataFrame, path: str, slice_cols: Sequence[str]) -> None:
         .partitionBy(*slice_cols).parquet(path))
 
 
+def touched_slices(source: DataFrame, partition_cols: Sequence[str]) -> list[dict]:
+    """The partitions a load touches (few: a load is a list or a week)."""
+    return [r.asDict() for r in source.select(*partition_cols).distinct().collect()]
+
+
 def write_insert_only(spark, path: str, source: DataFrame, keys: Sequence[str], seq: str,
                       partition_cols: Sequence[str]) -> None:
-    """Append the absent keys of ``source`` to the table at ``path``."""
-    target = spark.read.parquet(path)
+    """Append the absent keys of ``source`` to the table at ``path``; only the touched
+    partitions are read (literal partition filters)."""
+    slices = touched_slices(source, partition_cols)
+    if not slices:
+        return
+    target = spark.read.parquet(path).where(_in_slices(slices))
     rows = new_rows_insert_only(target, source, keys, seq)
     rows.write.mode("append").partitionBy(*partition_cols).parquet(path)
 
 
 def write_upsert(spark, path: str, source: DataFrame, keys: Sequence[str],
                  update_cols: Sequence[str], seq: str, partition_cols: Sequence[str]) -> None:
-    """Upsert into the partitioned Parquet table at ``path``: only the partitions
-    the source touches are read, merged, staged in the shared checkpoint folder
-    and then swapped in by dynamic partition overwrite (Spark cannot overwrite
-    the files it is reading)."""
-    target = spark.read.parquet(path)
-    touched = source.select(*partition_cols).distinct()
-    scope = target.join(touched, list(partition_cols), "left_semi")
-    merged = merge_upsert(scope.select(*target.columns), source, keys, update_cols, seq)
+    """Upsert into the partitioned Parquet table at ``path``. Only the partitions the
+    source touches are read (literal partition filters). The merged partitions are
+    first written whole to the shared folder, then swapped in by dynamic partition
+    overwrite; the staged copy is deleted after that. Needs ``spark.checkpoint.dir``."""
+    slices = touched_slices(source, partition_cols)
+    if not slices:
+        return
     stage = staging_path(spark, "upsert")
-    merged.write.mode("overwrite").parquet(stage)
+    target = spark.read.parquet(path)
+    merged = merge_upsert(target.where(_in_slices(slices)), source, keys, update_cols, seq)
+    merged.write.parquet(stage)
     staged = spark.read.parquet(stage).select(*target.columns)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols).parquet(path))
+    delete_folder(spark, stage)

@@ -1,7 +1,7 @@
-"""Dense 0-based position of every row in a total order, without a single-task
-window: rows are range-partitioned on the order, numbered inside each
-partition, and shifted by the row counts of the partitions before them (one
-small table of per-partition counts)."""
+"""Dense 0-based position of every row within and across groups, without a window
+over all rows: rows are numbered inside their group, and a group is shifted by the
+sizes of the groups before it. Both depend on values only, not on how Spark deals
+the rows out or whether it runs a stage twice."""
 
 from __future__ import annotations
 
@@ -11,21 +11,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def global_position(df: DataFrame, order_cols: Sequence[str], name: str = "pos",
-                    partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = 0-based rank of each row ordered by ``order_cols``
-    (rows should be distinct on ``order_cols`` for a deterministic result)."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              # documented layout: partition id in the upper 31 bits, row number in the lower 33
-              .withColumn("_local", F.monotonically_increasing_id()
-                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: bounded by the partition count
-    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    return (ranged.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, (F.col("_off") + F.col("_local")).cast("int"))
-            .drop("_pid", "_local", "_off"))
+def grouped_position(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+                     name: str = "pos") -> DataFrame:
+    """Add ``name`` = 0-based rank of each row ordered by ``group_cols``, then
+    ``order_cols`` (rows should be distinct on both). The offsets come from one row
+    per group, so ``group_cols`` should be a short dimension."""
+    inside = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    before = Window.orderBy(*group_cols).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return (df.withColumn("_in", F.row_number().over(inside) - 1)
+            .join(offsets, list(group_cols))
+            .withColumn(name, (F.col("_off") + F.col("_in")).cast("int"))
+            .drop("_off", "_in"))

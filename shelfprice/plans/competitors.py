@@ -2,8 +2,8 @@
 competitors' last-modified dates and the cluster header spans.
 
 The matrix is produced long — (article, cluster, competitor, col_pos, price) —
-because its width grows with the number of competitors; ``matrix_wide`` turns
-it into fixed columns only for a checked, small number of columns.
+because its width grows with the number of competitors; ``matrix_wide`` gives
+fixed columns for a list of positions that the caller states.
 
 Columns are keyed by (cluster, competitor) (a competitor present in two
 clusters gives two columns) and ordered by (cluster rank, cluster, competitor):
@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from shelfprice.functions.dates import date_text
 from shelfprice.operators.periods import last_n_periods
-from shelfprice.operators.position import global_position
+from shelfprice.operators.position import grouped_position
+from shelfprice.session import land
 
 ATTRS = ("description", "category", "article_type")
 UNLISTED_RANK = 999
@@ -43,7 +44,7 @@ def competitor_columns(rows: DataFrame, cluster_order: Sequence[str],
     ranks = F.broadcast(cluster_rank_table(spark, cluster_order))
     pairs = pairs.join(ranks, cluster, "left").withColumn(
         "cluster_rank", F.coalesce(F.col("cluster_rank"), F.lit(UNLISTED_RANK)))
-    return global_position(pairs, ["cluster_rank", cluster, competitor], "col_pos")
+    return grouped_position(pairs, ["cluster_rank", cluster], [competitor], "col_pos")
 
 
 def matrix_long(rows: DataFrame, cluster_order: Sequence[str], n_weeks: int | None = 1,
@@ -53,14 +54,16 @@ def matrix_long(rows: DataFrame, cluster_order: Sequence[str], n_weeks: int | No
     row) and the column position. Articles without any price do not appear."""
     if n_weeks is not None:
         rows = last_n_periods(rows, "week", n_weeks)
-    v = F.col(value)
-    cells = rows.where(F.col("cluster").isNotNull() & F.col("competitor").isNotNull()).groupBy(
-        key, "cluster", "competitor").agg(
-        F.min_by(v, F.when(v.isNotNull(), F.col(seq))).alias(value))
-    master = (rows.groupBy(key)
-              .agg(F.min_by(F.struct(*[F.col(a) for a in ATTRS]), F.col(seq)).alias("_m")))
-    cols = competitor_columns(rows, cluster_order)
-    present = cells.where(F.col(value).isNotNull() & F.col(key).isNotNull())
+    v, named = F.col(value), F.col("cluster").isNotNull() & F.col("competitor").isNotNull()
+    # one pass over the input: per (article, cluster, competitor) the first price and the
+    # first row's attributes with its place; the columns and the article's attributes
+    # follow from these cells
+    cells = land(rows.groupBy(key, "cluster", "competitor").agg(
+        F.min_by(v, F.when(v.isNotNull(), F.col(seq))).alias(value),
+        F.min(F.struct(F.col(seq).alias("s"), *[F.col(a) for a in ATTRS])).alias("_f")), "matrix-cells")
+    master = cells.groupBy(key).agg(F.min("_f").alias("_m"))
+    cols = competitor_columns(cells, cluster_order)
+    present = cells.where(named & v.isNotNull() & F.col(key).isNotNull())
     return (present.join(cols, ["cluster", "competitor"])
             .join(master, key)
             .select(key, *[F.col(f"_m.{a}").alias(a) for a in ATTRS], "cluster", "competitor",
@@ -97,14 +100,8 @@ def header_spans(columns: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("n_columns")))
 
 
-def matrix_wide(long: DataFrame, columns: DataFrame, max_columns: int = 512,
+def matrix_wide(long: DataFrame, positions: Sequence[int],
                 key: str = "cod_art", value: str = "price") -> DataFrame:
-    """Wide matrix with one column per competitor position ``c{pos}``. The
-    column count is checked first (one small aggregate): beyond ``max_columns``
-    the long form is the output contract."""
-    n = columns.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    if n > max_columns:
-        raise ValueError(f"{n} competitor columns exceed max_columns={max_columns}; "
-                         "use the long matrix")
-    aggs = [F.max(F.when(F.col("col_pos") == p, F.col(value))).alias(f"c{p}") for p in range(n)]
+    """Wide matrix with one column ``c{pos}`` for each of the given column positions."""
+    aggs = [F.max(F.when(F.col("col_pos") == p, F.col(value))).alias(f"c{p}") for p in positions]
     return long.groupBy(key, *ATTRS).agg(*aggs)

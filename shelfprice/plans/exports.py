@@ -10,15 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfprice.functions.flags import ends_in_99, sign_class, valid_price
 from shelfprice.functions.text import normalise_ratio, safe_name, strip_cluster_word, to_number
-from shelfprice.operators.grid import (block_records, block_records_rows, detect_blocks,
-                                       detect_header, header_zone, header_zone_rows, is_row_form,
-                                       last_columns, last_columns_rows)
+from shelfprice.operators.grid import (block_records, block_records_rows, cells_from_rows,
+                                       detect_blocks, detect_header, detect_header_rows,
+                                       header_cells, is_row_form, last_columns, last_columns_rows)
+from shelfprice.session import delete_folder
 
 # Fixed values (must equal the reference's behaviour).
 # Header aliases of the publication export, in priority order per field:
@@ -42,9 +42,6 @@ SALES_ALIASES = {
 PUBLICATION_TABS = {"Carnes": "Carnes", "Fiambres": "Fiambres", "Reventa": "Dira"}
 # Sales export files → the category value selected (upper-cased, trimmed):
 SALES_CATEGORIES = {"Carnes": "CARNES", "Fiambres": "FIAMBRES", "Dira": "DIRA"}
-# Header search depth in sheet rows: publication rows 1-299, sales rows 1-300
-PUBLICATION_SEARCH_ROWS = 299
-SALES_SEARCH_ROWS = 300
 # Fixed date text written in every sales row
 SALES_DATE_TEXT = "1/1/2019"
 
@@ -53,28 +50,27 @@ def _pairs(spark: SparkSession, mapping: Mapping[str, str], schema: str) -> Data
     return spark.createDataFrame(list(mapping.items()), schema)
 
 
-def _records(grid: DataFrame, contains: bool, search_rows: int,
-             aliases: Mapping[str, Sequence[str]], name_row: int) -> DataFrame:
-    """Layout from the persisted header zone (one pass), then one pass over the
-    grid for the records. ``grid`` is a cell table or sheet rows (``values``
-    array per row); sheet rows need no aggregate over the data rows."""
+def _records(grid: DataFrame, contains: bool, aliases: Mapping[str, Sequence[str]],
+             name_row: int, search_rows: int | None) -> DataFrame:
+    """``grid`` is a cell table or sheet rows (``values`` array per row); sheet rows
+    need no aggregate over the data rows."""
     if is_row_form(grid):
-        zone = header_zone_rows(grid, search_rows, name_row)
-        blocks = detect_blocks(zone, name_row, last_col=last_columns_rows(grid))
-        headers = detect_header(zone, blocks, contains=contains, search_rows=search_rows)
-        return block_records_rows(grid, headers, aliases, zone)
-    zone = header_zone(grid, search_rows, name_row)
-    blocks = detect_blocks(zone, name_row, last_col=last_columns(grid))
-    headers = detect_header(zone, blocks, contains=contains, search_rows=search_rows)
-    return block_records(grid, headers, aliases, zone=zone)
+        names = cells_from_rows(grid.where(F.col("row_idx") == name_row))
+        blocks = detect_blocks(names, name_row, last_col=last_columns_rows(grid))
+        headers = detect_header_rows(grid, blocks, contains, search_rows)
+        return block_records_rows(grid, headers, aliases, header_cells(grid, headers))
+    blocks = detect_blocks(grid, name_row, last_col=last_columns(grid))
+    headers = detect_header(grid, blocks, contains, search_rows)
+    return block_records(grid, headers, aliases)
 
 
-def publication_records(cells: DataFrame, name_row: int = 1) -> DataFrame:
-    return _records(cells, False, PUBLICATION_SEARCH_ROWS, PUBLICATION_ALIASES, name_row)
+def publication_records(cells: DataFrame, name_row: int = 1,
+                        search_rows: int | None = None) -> DataFrame:
+    return _records(cells, False, PUBLICATION_ALIASES, name_row, search_rows)
 
 
-def sales_records(cells: DataFrame, name_row: int = 1) -> DataFrame:
-    return _records(cells, True, SALES_SEARCH_ROWS, SALES_ALIASES, name_row)
+def sales_records(cells: DataFrame, name_row: int = 1, search_rows: int | None = None) -> DataFrame:
+    return _records(cells, True, SALES_ALIASES, name_row, search_rows)
 
 
 def enrich_missing_type(records: DataFrame) -> DataFrame:
@@ -82,26 +78,21 @@ def enrich_missing_type(records: DataFrame) -> DataFrame:
     first block of the same sheet that has both (first row per code; unknown
     code → ''). Blocks with a type column are left as they are.
 
-    Only the records that need a fill go through the (sheet, code) join; the
-    per-sheet flag is one row per sheet (size-checked broadcast)."""
-    from shelfprice.operators.sizing import broadcast_if_small
-    # records are a narrow projection of the landed rows: the branches re-derive
-    # them instead of caching a table that grows with the data
-    src = records.where(F.col("has_tipo") & F.col("has_codigo") & F.col("codigo").isNotNull())
-    first_block = (src.groupBy("workbook", "sheet").agg(F.min("block_start").alias("block_start"))
-                   .persist(StorageLevel.MEMORY_AND_DISK))
-    type_map = (src.join(broadcast_if_small(first_block), ["workbook", "sheet", "block_start"],
-                         "left_semi")
-                .groupBy("workbook", "sheet", "codigo")
-                .agg(F.min_by("tipo", "row_idx").alias("_map_tipo")))
-    sheets = broadcast_if_small(first_block.select("workbook", "sheet", F.lit(True).alias("_has_map")))
-    flagged = records.join(sheets, ["workbook", "sheet"], "left")
-    fill = ~F.col("has_tipo") & F.col("has_codigo") & F.coalesce(F.col("_has_map"), F.lit(False))
-    filled = (flagged.where(fill).join(type_map, ["workbook", "sheet", "codigo"], "left")
-              .withColumn("tipo", F.coalesce(F.col("_map_tipo"), F.lit("")))
-              .withColumn("has_tipo", F.lit(True)))
-    return (flagged.where(~fill).select(*records.columns)
-            .unionByName(filled.select(*records.columns)))
+    The type map has one row per (sheet, code); every record is joined with it once
+    and takes its type only where it needs one."""
+    key = ["workbook", "sheet"]
+    usable = F.col("has_tipo") & F.col("has_codigo") & F.col("codigo").isNotNull()
+    # per sheet the first block with both, per code of that block its first row
+    per_block = (records.where(usable).groupBy(*key, "block_start", "codigo")
+                 .agg(F.min_by("tipo", "row_idx").alias("_map_tipo")))
+    first = per_block.groupBy(*key).agg(F.min("block_start").alias("block_start"))
+    type_map = per_block.join(first, [*key, "block_start"], "left_semi").drop("block_start")
+    fill = ~F.col("has_tipo") & F.col("has_codigo") & F.col("_has_map").isNotNull()
+    return (records.join(first.select(*key, F.lit(True).alias("_has_map")), key, "left")
+            .join(type_map, [*key, "codigo"], "left")
+            .withColumns({"tipo": F.when(fill, F.coalesce("_map_tipo", F.lit(""))).otherwise(F.col("tipo")),
+                          "has_tipo": F.col("has_tipo") | fill})
+            .select(*records.columns))
 
 
 def publication_export(cells: DataFrame) -> DataFrame:
@@ -162,14 +153,47 @@ def export_manifest(exports: DataFrame, keys: Sequence[str], process_date: str)
             .withColumn("process_date", F.lit(process_date).cast("date")))
 
 
-def write_exports(exports: DataFrame, path: str, keys: Sequence[str], process_date: str,
-                  fmt: str = "csv") -> None:
-    """Write one folder per (process date, keys…) group; rerunning the same
-    process date replaces exactly its earlier files (dynamic overwrite)."""
-    out = exports.withColumn("process_date", F.lit(process_date))
-    writer = (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("process_date", *keys))
-    if fmt == "csv":
-        writer.option("header", "false").csv(path)
-    else:
-        writer.parquet(path)
+def _replace_date(out: DataFrame, path: str, keys: Sequence[str], process_date: str, write) -> None:
+    """Remove everything an earlier run of ``process_date`` left, then write one folder
+    per group. Groups that are empty this time leave no file behind."""
+    where = f"{path.rstrip('/')}/process_date={process_date}"
+    delete_folder(out.sparkSession, where)
+    write(out.write.partitionBy(*keys), where)
+
+
+def write_exports(exports: DataFrame, path: str, keys: Sequence[str], process_date: str) -> None:
+    """Write Parquet folders ``process_date=…/key=…``; a rerun of the same date replaces
+    the whole date."""
+    _replace_date(exports, path, keys, process_date, lambda w, where: w.parquet(where))
+
+
+def sales_file_lines(exports: DataFrame) -> DataFrame:
+    """The lines of every sales file, in the order (cluster, category, line): the list
+    code alone on line 0, then code, price, 0.00 and the date text of each row in sheet
+    order; no header."""
+    order = F.struct("workbook", "sheet", "block_start", "row_idx")
+    rows = exports.select("cluster", "category", order.alias("line"), F.col("codigo").alias("a"),
+                          F.format_string("%.2f", "precio").alias("b"), F.format_string("%.2f", "cero").alias("c"),
+                          F.col("fecha_texto").alias("d"))
+    none = F.lit(None).cast("string")
+    first = (exports.groupBy("cluster", "category").agg(F.max("list_code").alias("a"))
+             .select("cluster", "category", F.lit(None).cast(rows.schema["line"].dataType).alias("line"), "a",
+                     none.alias("b"), none.alias("c"), none.alias("d")))
+    return first.unionByName(rows)
+
+
+def write_sales_files(exports: DataFrame, path: str, process_date: str) -> None:
+    """Sales files as CSV of four columns under ``process_date=…/cluster=…/category=…``,
+    the list code first. A group's lines are written by one task, sorted."""
+    lines = (sales_file_lines(exports).repartition("cluster", "category")
+             .sortWithinPartitions("cluster", "category", F.asc_nulls_first("line")).drop("line"))
+    _replace_date(lines, path, ["cluster", "category"], process_date,
+                  lambda w, where: w.option("header", "false").option("emptyValue", "").csv(where))
+
+
+def written_manifest(spark: SparkSession, path: str, process_date: str) -> DataFrame:
+    """What lies on disk for a process date: one row per group with its data rows."""
+    where = f"{path.rstrip('/')}/process_date={process_date}"
+    back = spark.read.schema("a string, b string, c string, d string, cluster string, category string").csv(where)
+    return (back.groupBy("cluster", "category").agg(F.count("b").alias("n_rows"))
+            .withColumn("process_date", F.lit(process_date).cast("date")))

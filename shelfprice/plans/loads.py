@@ -4,20 +4,24 @@ current (year, week) slice."""
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfprice.functions.dates import calendar_year_iso_week, floor_minute, parse_dayfirst
-from shelfprice.functions.text import blank_to_null, code_or_zero, to_number, with_clean_price
+from shelfprice.functions.text import (blank_to_null, code_or_null, code_or_zero, to_number,
+                                       with_clean_price)
 from shelfprice.operators.grid import melt_template, unpivot_history
 from shelfprice.operators.merge import COMPETITOR_COLUMNS, COMPETITOR_KEYS, HISTORY_COLUMNS
 from shelfprice.operators.periods import keep_last
 from shelfprice.operators.quality import label_rejects
 
 # Reject rules of the history load, checked in order
-HISTORY_REJECT_RULES = ("no_price", "no_code_no_product", "bad_date")
+HISTORY_REJECT_RULES = ("no_price", "no_code_no_product", "bad_date", "unknown_list")
+# Loaded all the same, with code 0, and reported
+HISTORY_WARNINGS = ("bad_code",)
 
 
 def _history_parsed(cells: DataFrame) -> DataFrame:
@@ -30,28 +34,33 @@ def _history_parsed(cells: DataFrame) -> DataFrame:
     })
 
 
-def _history_rules():
-    return [
+def _history_tagged(cells: DataFrame, lists: DataFrame) -> DataFrame:
+    """Every history cell with its list and its first failing rule."""
+    known = lists.select(F.col("list_name").alias("sheet"), "list_id")
+    return label_rejects(_history_parsed(cells).join(known, "sheet", "left"), [
         ("no_price", F.col("_precio").isNull()),
         ("no_code_no_product", F.col("_code").isNull() & F.col("producto").isNull()),
         ("bad_date", F.col("_fecha").isNull()),
-    ]
+        ("unknown_list", F.col("list_id").isNull()),
+    ])
 
 
-def history_rejects(cells: DataFrame) -> DataFrame:
-    """Cells of the history sheets that do not load, with the first failing rule."""
-    tagged = label_rejects(_history_parsed(cells), _history_rules())
-    return tagged.where(F.col("reject_reason").isNotNull()).select(
-        "workbook", "sheet", "row_idx", "col_idx", "price_value", "date_value",
-        "reject_reason")
+def history_rejects(cells: DataFrame, lists: DataFrame) -> DataFrame:
+    """Cells of the history sheets that do not load, with the first failing rule, and
+    those that load with code 0 because theirs is no number (``bad_code``, with
+    ``loaded`` true)."""
+    tagged = _history_tagged(cells, lists)
+    bad_code = F.col("reject_reason").isNull() & F.col("_code").isNotNull() & code_or_null("_code").isNull()
+    return (tagged.withColumn("loaded", F.col("reject_reason").isNull())
+            .withColumn("reject_reason", F.when(bad_code, "bad_code").otherwise(F.col("reject_reason")))
+            .where(F.col("reject_reason").isNotNull())
+            .select("workbook", "sheet", "row_idx", "col_idx", "price_value", "date_value", "reject_reason", "loaded"))
 
 
 def history_load(cells: DataFrame, lists: DataFrame, origin: str = "excel") -> DataFrame:
     """Price-history fact rows (target column order) from history sheets; the
     sheet names the list through ``lists`` (list_id, list_name = sheet)."""
-    tagged = label_rejects(_history_parsed(cells), _history_rules())
-    ok = tagged.where(F.col("reject_reason").isNull())
-    j = ok.join(lists.select(F.col("list_name").alias("sheet"), "list_id"), "sheet")
+    j = _history_tagged(cells, lists).where(F.col("reject_reason").isNull())
     zero = F.lit(0.0)
     out = j.select(
         F.lit(origin).alias("origen"), F.col("list_id").alias("id_lista"),
@@ -65,6 +74,13 @@ def history_load(cells: DataFrame, lists: DataFrame, origin: str = "excel") -> D
     return out.select(*HISTORY_COLUMNS, "seq")
 
 
+def template_slices(as_of: str, iso_year: bool = False) -> list[dict[str, int]]:
+    """The (year, week) slice that a template load of ``as_of`` replaces."""
+    day = datetime.date.fromisoformat(as_of)
+    iso = day.isocalendar()
+    return [{"anio": iso.year if iso_year else day.year, "semana": iso.week}]
+
+
 def template_load(cells: DataFrame, sheets: Sequence[str], as_of: str,
                   iso_year: bool = False) -> DataFrame:
     """Competitor fact rows of the ``as_of`` week from the whitelisted template

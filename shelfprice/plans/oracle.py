@@ -23,7 +23,7 @@ def _slot_cols(n: int) -> list[str]:
 
 
 def _flag_cols(n: int) -> list[str]:
-    dirs = [f"CAST(sign(round((wk_{k} - wk_{k + 1}) / NULLIF(wk_{k + 1}, 0) * 100, 3)) AS INTEGER) AS dir_{k}"
+    dirs = [f"CAST(sign(CAST(printf('%.3f', (wk_{k} - wk_{k + 1}) / NULLIF(wk_{k + 1}, 0) * 100) AS DOUBLE)) AS INTEGER) AS dir_{k}"
             for k in range(n - 1)]
     zeros = [f"COALESCE(wk_{k} IS NOT NULL AND wk_{k + 1} = 0, false) AS prev_zero_{k}"
              for k in range(n - 1)]
@@ -112,7 +112,7 @@ j AS (
 )
 SELECT {by_sel}{rk}, week, slot, value, prev_value, pct_change,
        COALESCE(printf('%.3f%%', pct_change * 100), '') AS pct_label,
-       CAST(sign(round(pct_change * 100, 3)) AS INTEGER) AS direction,
+       CAST(sign(CAST(printf('%.3f', pct_change * 100) AS DOUBLE)) AS INTEGER) AS direction,
        COALESCE(prev_value = 0, false) AS prev_is_zero,
        lower(strftime(week, '%d-%b')) AS week_label
 FROM j
@@ -166,14 +166,14 @@ def code_or_null(x: str) -> str:
     return trunc_bigint(to_number(x))
 
 
-DAYFIRST_FORMATS = ("%d/%m/%Y %H:%M:%S", "%d/%m/%Y %H:%M", "%d/%m/%Y", "%d-%m-%Y %H:%M:%S",
-                    "%d-%m-%Y", "%d.%m.%Y", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S",
-                    "%Y-%m-%d %H:%M", "%Y-%m-%d")
+DATE_FORMATS = tuple(f"{d}{t}" for d in ("%d/%m/%Y", "%d-%m-%Y", "%d.%m.%Y", "%Y-%m-%d", "%Y/%m/%d",
+                                         "%d/%m/%y", "%d-%m-%y", "%d.%m.%y")
+                     for t in ("", " %H:%M", " %H:%M:%S", " %H:%M:%S.%f", "T%H:%M", "T%H:%M:%S", "T%H:%M:%S.%f"))
 
 
 def parse_dayfirst(x: str) -> str:
     t = f"trim(CAST({x} AS VARCHAR))"
-    return "COALESCE(" + ", ".join(f"try_strptime({t}, '{f}')" for f in DAYFIRST_FORMATS) + ")"
+    return "COALESCE(" + ", ".join(f"try_strptime({t}, '{f}')" for f in DATE_FORMATS) + ")"
 
 
 # ------------------------------------------------------------- grid oracles
@@ -182,8 +182,8 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def block_records_ctes(cells: str, aliases: dict, contains: bool, search_rows: int,
-                       prefix: str, name_row: int = 1) -> str:
+def block_records_ctes(cells: str, aliases: dict, contains: bool, prefix: str,
+                       name_row: int = 1) -> str:
     """CTEs ending in ``{prefix}rec``: one row per block record with the
     canonical fields and has_<field> flags."""
     p = prefix
@@ -209,7 +209,7 @@ def block_records_ctes(cells: str, aliases: dict, contains: bool, search_rows: i
     SELECT c.workbook, c.sheet, c.col_idx AS block_start, min(c.row_idx) AS header_row
     FROM {cells} c JOIN {p}blocks b
       ON c.workbook = b.workbook AND c.sheet = b.sheet AND c.col_idx = b.block_start
-    WHERE c.row_idx < {search_rows} AND c.value IS NOT NULL AND trim(c.value) <> '' AND {match}
+    WHERE c.value IS NOT NULL AND trim(c.value) <> '' AND {match}
     GROUP BY 1, 2, 3) h USING (workbook, sheet, block_start)
 ),
 {p}colmap AS (

@@ -316,10 +316,7 @@ FROM hit
 """)
 def q_merge_stats(spark, d):
     target, source = SI.merge_target_source(spark, d)
-    up = M.merge_stats(target, source, M.HISTORY_KEYS, upsert=True)
-    ins = M.merge_stats(target, source, M.HISTORY_KEYS, upsert=False)
-    return (up.select(F.lit("upsert").alias("mode"), "*")
-            .unionByName(ins.select(F.lit("insert_only").alias("mode"), "*")))
+    return M.merge_stats(target, source, M.HISTORY_KEYS)
 
 
 @register("weekly_price_fact", f"""{S.with_ctes(S.PRICE_LISTS, S.LINE_CUSTOMER, S.HISTORY_ROWS)}
@@ -352,32 +349,29 @@ from shelfprice.plans import exports as EX  # noqa: E402
 from shelfprice.plans import loads as LD  # noqa: E402
 from shelfprice.sources import grid_standins as GS  # noqa: E402
 from shelfprice.sources import grid_standins_sql as GQ  # noqa: E402
-from shelfprice.session import land_once  # noqa: E402
+from shelfprice.session import land  # noqa: E402
 
 
 def _cluster_cells(spark, d):
-    """The derived cluster sheets as sheet rows, landed as a Parquet table (the
-    plans read the grid in several branches; a stored landing table of sheet
-    rows is what a real load would read)."""
-    return land_once(spark, f"cluster-rows{d}", lambda: GS.cluster_sheet_rows(spark, d))
+    """The derived cluster sheets as sheet rows; a landing table where the session has a
+    shared folder, else derived within the plan."""
+    return land(GS.cluster_sheet_rows(spark, d), "cluster-rows")
 
 
 def _history_cells(spark, d):
-    """The derived price-history sheets as a cell table, landed once per session."""
-    return land_once(spark, f"history-cells{d}", lambda: GS.history_sheet_cells(spark, d))
+    return land(GS.history_sheet_cells(spark, d), "history-cells")
 
 
 def _template_cells(spark, d):
-    """The derived competitor templates as a cell table, landed once per session."""
-    return land_once(spark, f"template-cells{d}", lambda: GS.template_cells(spark, d))
+    return land(GS.template_cells(spark, d), "template-cells")
+
 
 # stand-in parameters: list code per cluster (cluster name without the word CLUSTER)
 LIST_CODES = {"NORTE": "PubNOR", "SUR": "PubSUR", "MAYORISTAS": "MayMAY", "HORECA": "HorHOR"}
 PROCESS_DATE = "2024-06-03"
 _CLUSTER = S.with_ctes(GQ.CLUSTER_CELLS)
-_PUB = O.block_records_ctes("cluster_cells", EX.PUBLICATION_ALIASES, False,
-                            EX.PUBLICATION_SEARCH_ROWS, "pub_")
-_SAL = O.block_records_ctes("cluster_cells", EX.SALES_ALIASES, True, EX.SALES_SEARCH_ROWS, "sal_")
+_PUB = O.block_records_ctes("cluster_cells", EX.PUBLICATION_ALIASES, False, "pub_")
+_SAL = O.block_records_ctes("cluster_cells", EX.SALES_ALIASES, True, "sal_")
 _PUB_FIELDS = list(EX.PUBLICATION_ALIASES)
 
 
@@ -440,11 +434,16 @@ def q_unpivot_price_history(spark, d):
 
 
 @register("split_rejects", f"""{_HIST}
-SELECT workbook, sheet, row_idx, col_idx, price_value, date_value, reject_reason
-FROM hp_tagged WHERE reject_reason IS NOT NULL
+SELECT t.workbook, t.sheet, row_idx, col_idx, price_value, date_value,
+       CASE WHEN reject_reason IS NOT NULL THEN reject_reason WHEN l.list_id IS NULL THEN 'unknown_list'
+            ELSE 'bad_code' END AS reject_reason,
+       reject_reason IS NULL AND l.list_id IS NOT NULL AS loaded
+FROM hp_tagged t LEFT JOIN price_lists l ON l.list_name = t.sheet
+WHERE reject_reason IS NOT NULL OR l.list_id IS NULL
+   OR (t._code IS NOT NULL AND {O.code_or_null('t._code')} IS NULL)
 """)
 def q_split_rejects(spark, d):
-    return LD.history_rejects(_history_cells(spark, d))
+    return LD.history_rejects(_history_cells(spark, d), SI.price_lists(spark, d))
 
 
 _TPL = (f"{S.with_ctes(S.LINE_CUSTOMER, GQ.TEMPLATE_CELLS)}"
@@ -473,4 +472,4 @@ def q_replace_week_slice(spark, d):
     existing = keep_last(SI.competitor_fact_rows(spark, d), M.COMPETITOR_KEYS,
                          ["precio", "fecha_modificacion"], "seq").select(*M.COMPETITOR_COLUMNS)
     new = LD.template_load(_template_cells(spark, d), GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)
-    return M.replace_slices(existing, new, M.COMPETITOR_SLICE)
+    return M.replace_slices(existing, new, LD.template_slices(SI.TEMPLATE_AS_OF))

@@ -64,7 +64,7 @@ def run_steps(spark: SparkSession, steps: Sequence[tuple[str, Callable[[], None]
             fn()
             rows.append((run_id, name, "OK", started, time.monotonic() - t0, ""))
         except Exception as e:  # noqa: BLE001 - the failure is the logged outcome
-            rows.append((run_id, name, "ERROR", started, time.monotonic() - t0, str(e)[:2000]))
+            rows.append((run_id, name, "ERROR", started, time.monotonic() - t0, str(e)))
             break
     log = spark.createDataFrame(rows, RUN_LOG_SCHEMA)
     log.write.mode("append").parquet(log_path)

@@ -1,12 +1,10 @@
-"""Session helpers: a local session for tests and the bench, and the shared
-checkpoint folder used to cut lineage (never a machine-local temp folder on a
-cluster: the folder comes from ``spark.checkpoint.dir`` when the cluster sets it).
+"""Session helpers: a local session for tests and the bench, and landing of derived
+inputs in the folder that all executors share (``spark.checkpoint.dir``). Nothing is
+ever staged in a machine-local folder: without a shared one, plans stay lazy.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,59 +32,36 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set one only when the session has none
-    (tests on one machine)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="shelfprice-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder shared by the driver and all executors, if the session names one."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for staged writes."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "staging", f"{name}-{uuid.uuid4().hex}")
+    """A new folder name under the shared folder; raises when there is none."""
+    base = shared_folder(spark)
+    if not base:
+        raise RuntimeError("this write needs a folder shared by all executors: "
+                           "set spark.checkpoint.dir")
+    return f"{base.rstrip('/')}/staging/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder through the file system it lies in."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def land(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it
-    back: lineage is cut (executor loss re-reads files, never recomputes the
-    producer) and later scans get column pruning and filter pushdown."""
-    path = staging_path(df.sparkSession, name)
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        # a narrow producer would give one file and a one-task scan downstream
-        df = df.repartition(parallelism)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-_LANDED: dict[tuple[str, str], DataFrame] = {}
-
-
-def land_once(spark: SparkSession, key: str, build) -> DataFrame:
-    """:func:`land` the DataFrame ``build()`` once per application and ``key``,
-    then reuse the landed table: a derived input that several plans read is
-    staged one time, as a real landing table would be."""
-    k = (spark.sparkContext.applicationId, key)
-    df = _LANDED.get(k)
-    if df is None or df.sparkSession is not spark:
-        df = land(build(), key.replace("/", "_"))
-        _LANDED[k] = df
-    return df
+    """Where a shared folder is configured, write ``df`` there as Parquet and read it
+    back (lineage is cut, later scans prune columns); else ``df`` itself."""
+    spark = df.sparkSession
+    if not shared_folder(spark):
+        return df
+    path = staging_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

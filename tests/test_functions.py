@@ -108,3 +108,28 @@ def test_dates(spark):
     assert [tuple(r) for r in df.select(y, w, iy).collect()] == [(2024, 1, 2025), (2027, 53, 2026)]
     assert [r[0] for r in df.select(FD.week_label("d")).collect()] == ["30-dec", "01-jan"]
     assert [r[0] for r in df.select(FD.date_text("d")).collect()] == ["30/12/2024", "01/01/2027"]
+
+
+def test_percent_label_of_the_exact_value(spark):
+    # 40001 / 40000 and 200001 / 200000 are stored just above the tie
+    x = [40001 / 40000 - 1, (40001.0 - 40000.0) / 40000.0, (200001.0 - 200000.0) / 200000.0, -0.000004, 0.0]
+    assert one_col(spark, x, "double", FL.pct_label) == [f"{v:.3%}" for v in x]
+    assert one_col(spark, x, "double", FL.direction) == [
+        (float(f"{v:.3%}"[:-1]) > 0) - (float(f"{v:.3%}"[:-1]) < 0) for v in x]
+
+
+def test_dates_by_text_and_type(spark):
+    import datetime as dt
+    texts = ["2024-01-02 03:04:05.5", "2024-01-02T03:04:05.250", "5/1/24", "5-1-2024 10:30", "2024/01/05",
+             "05.01.2024 10:30", " 1/2/2024 ", "31/2/2024", "5/1-2024", "1/13/2024", "", "junio", None, "5/1/99"]
+    d = dt.datetime
+    assert one_col(spark, texts, "string", FD.parse_dayfirst) == [
+        d(2024, 1, 2, 3, 4, 5, 500000), d(2024, 1, 2, 3, 4, 5, 250000), d(2024, 1, 5), d(2024, 1, 5, 10, 30),
+        d(2024, 1, 5), d(2024, 1, 5, 10, 30), d(2024, 2, 1), None, None, None, None, None, None, d(1999, 1, 5)]
+    stamps = [d(2024, 3, 10, 2, 30, 0, 500000)]
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        assert one_col(spark, stamps, "timestamp_ntz", FD.parse_dayfirst) == stamps
+        assert one_col(spark, ["10/3/2024 2:30"], "string", FD.parse_dayfirst) == [d(2024, 3, 10, 2, 30)]
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert one_col(spark, [dt.date(2024, 3, 10)], "date", FD.parse_dayfirst) == [d(2024, 3, 10)]

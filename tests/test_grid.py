@@ -2,7 +2,7 @@
 
 from shelfprice.operators.grid import (block_records, detect_blocks, detect_header,
                                        melt_template, unpivot_history)
-from shelfprice.operators.position import global_position
+from shelfprice.operators.position import grouped_position
 from shelfprice.plans.exports import (PUBLICATION_ALIASES, enrich_missing_type,
                                       publication_export, sales_export)
 from shelfprice.plans.loads import history_load, history_rejects, template_load
@@ -29,6 +29,9 @@ def test_detect_header_modes(spark):
     contains = {r.block_name: r.header_row for r in detect_header(df, blocks, True, 300).collect()}
     assert exact == {"A": 3}
     assert contains == {"A": 3, "B": 3}
+    # by default the whole sheet is searched
+    whole = {r.block_name: r.header_row for r in detect_header(df, blocks).collect()}
+    assert whole == {"A": 3, "C": 305}
 
 
 def test_aliases_first_candidate_and_later_column(spark):
@@ -83,13 +86,19 @@ def test_history_unpivot_rules(spark):
     got = sorted((r.cod_art, r.producto, r.precio) for r in history_load(df, lists).collect())
     # 10,5 is not numeric; '0' is kept; blank code with no product is dropped; 'junio' never parses
     assert got == []
-    raw = {(r.row_idx, r.col_idx): r.reject_reason for r in history_rejects(df).collect()}
+    raw = {(r.row_idx, r.col_idx): r.reject_reason for r in history_rejects(df, lists).collect()}
     assert raw[(4, 3)] == "no_price" and raw[(4, 6)] == "bad_date"
     assert raw[(5, 3)] == "no_code_no_product" and raw[(6, 3)] == "no_price"
     rows2 = [(3, 3, "1/2/2024"), (4, 1, "12.7"), (4, 2, "prod"), (4, 3, "10.5"),
              (5, 1, ""), (5, 2, "p5"), (5, 3, "0"), (6, 1, "x"), (6, 2, "p6"), (6, 3, "2")]
     got = sorted((r.cod_art, r.producto, r.precio) for r in history_load(cells(spark, rows2), lists).collect())
     assert got == [(0, "p5", 0.0), (0, "p6", 2.0), (12, "prod", 10.5)]
+    # the code 'x' loads as 0 and is reported; without its list nothing of a sheet loads
+    rej = [(r.row_idx, r.reject_reason, r.loaded) for r in history_rejects(cells(spark, rows2), lists).collect()]
+    assert rej == [(6, "bad_code", True)]
+    other = spark.createDataFrame([(7, "another")], "list_id int, list_name string")
+    assert history_load(cells(spark, rows2), other).count() == 0
+    assert {r.reject_reason for r in history_rejects(cells(spark, rows2), other).collect()} == {"unknown_list"}
 
 
 def test_template_melt_rules(spark):
@@ -109,10 +118,22 @@ def test_template_melt_rules(spark):
     assert {(r.anio, r.semana) for r in template_load(df, ["s"], "2024-12-30").collect()} == {(2024, 1)}
 
 
-def test_global_position_matches_rank(spark):
-    df = spark.createDataFrame([(i % 5, "c%03d" % i) for i in range(300)], "r int, c string")
-    got = sorted((r.r, r.c, r.pos) for r in global_position(df, ["r", "c"], "pos", 7).collect())
-    assert [g[2] for g in got] == list(range(300))
+def test_grouped_position_matches_rank(spark):
+    df = spark.createDataFrame([(i % 5, "c%03d" % i) for i in range(300)], "r int, c string").repartition(7)
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        got = sorted((r.r, r.c, r.pos) for r in grouped_position(df, ["r"], ["c"], "pos").collect())
+        assert [g[2] for g in got] == list(range(300))
+    spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_header_below_row_300_in_row_form(spark):
+    from shelfprice.operators.grid import rows_from_cells
+    rows = [(1, 0, "CLUSTER A"), (400, 0, "Rubro"), (400, 1, "Cod"), (400, 2, "sin iva"),
+            (401, 0, "Carnes"), (401, 1, "7"), (401, 2, "5")]
+    df = rows_from_cells(cells(spark, rows))
+    assert [(r.cluster, r.tab, r.codigo, r.sin_iva) for r in publication_export(df).collect()] == [("A", "Carnes", "7", 5)]
+    assert [(r.cluster, r.codigo) for r in sales_export(df, {}).collect()] == [("A", "7")]
 
 
 def test_row_form_matches_cell_form(spark):
@@ -134,17 +155,6 @@ def test_row_form_matches_cell_form(spark):
         assert sorted(map(tuple, fn(sheet_rows).collect())) == sorted(map(tuple, fn(df).collect()))
 
 
-def test_broadcast_only_below_measured_size(spark):
-    """Layout tables are hinted for broadcast only after a bounded count."""
-    from shelfprice.operators.sizing import broadcast_if_small
-    df = spark.range(5)
-    assert broadcast_if_small(df, max_rows=4) is df            # too big: left to the planner
-    hinted = broadcast_if_small(df, max_rows=5)
-    assert hinted is not df
-    plan = spark.range(100).join(hinted, "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan.lower()
-
-
 def test_row_form_last_column_ignores_trailing_blanks(spark):
     from shelfprice.operators.grid import cells_from_rows, last_columns_rows
     rows = spark.createDataFrame(

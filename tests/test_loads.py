@@ -28,8 +28,8 @@ def test_upsert_first_descriptive_last_price(spark):
 def test_merge_stats_counts(spark):
     target = spark.createDataFrame([(1, "old", 1.0)], "k int, producto string, precio double")
     src = spark.createDataFrame([(2, "p", 5.0, 1), (2, "q", 7.0, 2), (1, "z", 9.0, 3)], SCHEMA)
-    up = M.merge_stats(target, src, ["k"], upsert=True).first()
-    ins = M.merge_stats(target, src, ["k"], upsert=False).first()
+    both = {r["mode"]: r for r in M.merge_stats(target, src, ["k"]).collect()}
+    up, ins = both["upsert"], both["insert_only"]
     assert (up.rows_total, up.rows_inserted, up.rows_updated, up.rows_skipped) == (3, 1, 2, 0)
     assert (ins.rows_total, ins.rows_inserted, ins.rows_updated, ins.rows_skipped) == (3, 1, 0, 2)
     assert up.rows_inserted + up.rows_updated == up.rows_total
@@ -39,10 +39,11 @@ def test_replace_slices_state(spark):
     existing = spark.createDataFrame([(1, 2024, 1, 1.0), (2, 2024, 2, 2.0)],
                                      "k int, anio int, semana int, p double")
     new = spark.createDataFrame([(3, 2024, 2, 3.0)], "k int, anio int, semana int, p double")
-    got = sorted(tuple(r) for r in M.replace_slices(existing, new, ["anio", "semana"]).collect())
+    week = [{"anio": 2024, "semana": 2}]
+    got = sorted(tuple(r) for r in M.replace_slices(existing, new, M.load_slices(new, week)).collect())
     assert got == [(1, 2024, 1, 1.0), (3, 2024, 2, 3.0)]
     empty = new.limit(0)
-    same = sorted(tuple(r) for r in M.replace_slices(existing, empty, ["anio", "semana"]).collect())
+    same = sorted(tuple(r) for r in M.replace_slices(existing, empty, M.load_slices(empty, week)).collect())
     assert same == [(1, 2024, 1, 1.0), (2, 2024, 2, 2.0)]
 
 

@@ -1,15 +1,15 @@
-"""Report sinks, run log, export writers and the streaming refresh."""
+"""Report sinks, run log, export and merge writers."""
 
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfprice.operators import merge as M
 from shelfprice.plans import exports as EX
 from shelfprice.plans.publish import publish_report
 from shelfprice.plans.weekly import run_steps
-from shelfprice.streaming.refresh import start_weekly_refresh
 
 T = dt.datetime(2024, 1, 1, 10, 0)
 HIST = ("origen string, id_lista int, lista string, fecha timestamp_ntz, product_id int, "
@@ -47,28 +47,74 @@ def test_run_log_stops_at_first_failure(spark, tmp_path):
     assert got == [("costs", "ERROR"), ("prices", "OK")] and seen == [1]
 
 
-def test_export_writer_replaces_same_process_date(spark, tmp_path):
-    df = spark.createDataFrame([("NORTE", "Carnes", "7", 1.5)],
+def test_export_writer_replaces_the_whole_date(spark, tmp_path):
+    df = spark.createDataFrame([("NORTE", "Carnes", "7", 1.5), ("NORTE", "Dira", "8", 2.5)],
                                "cluster string, category string, codigo string, precio double")
     path = str(tmp_path / "exports")
-    EX.write_exports(df, path, ["cluster", "category"], "2024-06-03")
-    EX.write_exports(df, path, ["cluster", "category"], "2024-06-03")
-    EX.write_exports(df, path, ["cluster", "category"], "2024-06-04")
-    assert spark.read.csv(path).count() == 2
-    assert os.path.isdir(f"{path}/process_date=2024-06-03/cluster=NORTE/category=Carnes")
-
-
-def test_streaming_weekly_refresh(spark, tmp_path):
-    hist, fact, ck = (str(tmp_path / n) for n in ("hist", "fact", "ck"))
-    hist_rows(spark, [(1, 10, T, 5.0), (1, 10, T + dt.timedelta(days=1), 6.0)]) \
-        .write.partitionBy("id_lista").parquet(hist)
-    start_weekly_refresh(spark, hist, fact, ck).awaitTermination()
-    got = [(r.cod_art, r.precio, r.n_rows) for r in spark.read.parquet(fact).collect()]
-    assert got == [(10, 6.0, 2)]
-    # a later load appends a newer price in the same week and one in a new week
-    src = hist_rows(spark, [(1, 10, T + dt.timedelta(days=2), 7.0),
-                            (1, 10, T + dt.timedelta(days=9), 8.0)]).withColumn("seq", F.lit(1))
-    M.write_insert_only(spark, hist, src, ["id_lista", "cod_art", "fecha"], "seq", ["id_lista"])
-    start_weekly_refresh(spark, hist, fact, ck).awaitTermination()
-    got = sorted((str(r.week), r.precio, r.n_rows) for r in spark.read.parquet(fact).collect())
-    assert got == [("2024-01-01", 7.0, 3), ("2024-01-08", 8.0, 1)]
+    keys = ["cluster", "category"]
+    EX.write_exports(df, path, keys, "2024-06-03")
+    EX.write_exports(df, path, keys, "2024-06-04")
+    # rerun without the Dira group: its earlier file is gone, the other date stays
+    EX.write_exports(df.where("category = 'Carnes'"), path, keys, "2024-06-03")
+    got = sorted((str(r.process_date), r.category) for r in spark.read.parquet(path).collect())
+    assert got == [("2024-06-03", "Carnes"), ("2024-06-04", "Carnes"), ("2024-06-04", "Dira")]
+    assert not os.path.exists(f"{path}/process_date=2024-06-03/cluster=NORTE/category=Dira")
+
+
+def test_sales_files(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("NORTE", "Carnes", "PubN", "w", "s", 0, 5, "8", 2.5), ("NORTE", "Carnes", "PubN", "w", "s", 0, 4, "7", 1234.5),
+         ("SUR", "Dira", "", "w", "s", 3, 4, "9", 1.0)],
+        "cluster string, category string, list_code string, workbook string, sheet string, block_start int, "
+        "row_idx long, codigo string, precio double") \
+        .withColumns({"cero": F.lit(0.0), "fecha_texto": F.lit("1/1/2019")})
+    path = str(tmp_path / "sales")
+    for _ in range(2):
+        EX.write_sales_files(df, path, "2024-06-03")
+    folder = f"{path}/process_date=2024-06-03/cluster=NORTE/category=Carnes"
+    files = [f for f in os.listdir(folder) if f.endswith(".csv")]
+    assert len(files) == 1
+    with open(f"{folder}/{files[0]}") as f:
+        assert f.read().splitlines() == ["PubN,,,", "7,1234.50,0.00,1/1/2019", "8,2.50,0.00,1/1/2019"]
+    got = sorted((r.cluster, r.category, r.n_rows) for r in EX.written_manifest(spark, path, "2024-06-03").collect())
+    assert got == [("NORTE", "Carnes", 2), ("SUR", "Dira", 1)]
+
+
+def test_upsert_reads_only_touched_partitions(spark, tmp_path, monkeypatch):
+    import shelfprice.session as session
+    path = str(tmp_path / "hist")
+    hist_rows(spark, [(1, 10, T, 5.0), (2, 20, T, 6.0)]).write.partitionBy("id_lista").parquet(path)
+    scoped = spark.read.parquet(path).where(M._in_slices([{"id_lista": 1}]))
+    plan = scoped._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(id_lista" in plan or "(id_lista" in plan.split("PartitionFilters")[1][:40]
+    src = hist_rows(spark, [(1, 10, T, 7.0), (1, 11, T, 8.0)]).withColumn("seq", F.lit(1))
+    args = (spark, path, src, M.HISTORY_KEYS, M.HISTORY_UPDATE_COLS, "seq", ["id_lista"])
+    monkeypatch.setattr(session, "shared_folder", lambda s: None)
+    with pytest.raises(RuntimeError):
+        M.write_upsert(*args)
+    shared = str(tmp_path / "shared")
+    monkeypatch.setattr(session, "shared_folder", lambda s: shared)
+    for _ in range(2):
+        M.write_upsert(*args)
+    got = sorted((r.id_lista, r.cod_art, r.precio) for r in spark.read.parquet(path).collect())
+    assert got == [(1, 10, 7.0), (1, 11, 8.0), (2, 20, 6.0)]
+    assert os.listdir(f"{shared}/staging") == []
+    M.write_insert_only(spark, path, src.withColumn("cod_art", F.col("cod_art") + 1), M.HISTORY_KEYS, "seq", ["id_lista"])
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_replace_slices(spark):
+    old = spark.createDataFrame([(1, 2023, 5), (2, 2024, 1), (3, None, 1)], "x int, anio int, semana int")
+    new = spark.createDataFrame([(9, 2024, 1)], "x int, anio int, semana int")
+    got = M.replace_slices(old, new, [{"anio": 2024, "semana": 1}])
+    assert sorted(r.x for r in got.collect()) == [1, 3, 9]
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    assert M.replace_slices(old, new, []).count() == 3
+
+
+def test_run_log_keeps_the_whole_message(spark, tmp_path):
+    def boom():
+        raise RuntimeError("x" * 5000)
+    log = str(tmp_path / "log")
+    run_steps(spark, [("prices", boom)], log, run_id="r")
+    assert len(spark.read.parquet(log).first().message) == 5000
