@@ -167,15 +167,17 @@ def write_insert_only(spark, path: str, source: DataFrame, keys: Sequence[str],
 
 
 def write_upsert(spark, path: str, source: DataFrame, keys: Sequence[str],
-                 update_cols: Sequence[str], seq: str, partition_cols: Sequence[str]) -> None:
+                 update_cols: Sequence[str], seq: str, partition_cols: Sequence[str],
+                 stage: str | None = None) -> None:
     """Upsert into the partitioned Parquet table at ``path``. Only the partitions the
     source touches are read (literal partition filters). The merged partitions are
-    first written whole to the shared folder, then swapped in by dynamic partition
-    overwrite; the staged copy is deleted after that. Needs ``spark.checkpoint.dir``."""
+    first written whole to ``stage`` (a new folder under ``spark.checkpoint.dir`` unless
+    given), then swapped in by dynamic partition overwrite; the staged copy is deleted
+    after that."""
     slices = touched_slices(source, partition_cols)
     if not slices:
         return
-    stage = staging_path(spark, "upsert")
+    stage = stage or staging_path(spark, "upsert")
     target = spark.read.parquet(path)
     merged = merge_upsert(target.where(_in_slices(slices)), source, keys, update_cols, seq)
     merged.write.parquet(stage)

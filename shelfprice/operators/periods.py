@@ -70,43 +70,6 @@ def keep_last(df: DataFrame, keys: Sequence[str], cols: Sequence[str], seq: str)
     return df.groupBy(*keys).agg(row).select(*keys, "_row.*")
 
 
-def rank_periods(cells: DataFrame, period: str, by: Sequence[str] = (),
-                 slot: str = "slot") -> DataFrame:
-    """Dense rank of the distinct periods present in ``cells``, 0 = newest
-    (per ``by`` group). Returns (by..., period, slot)."""
-    periods = cells.select(*by, period).distinct()
-    w = Window.partitionBy(*by).orderBy(F.col(period).desc())
-    return periods.withColumn(slot, (F.dense_rank().over(w) - 1).cast("int"))
-
-
-def attach_slots(cells: DataFrame, period: str, by: Sequence[str] = (),
-                 slot: str = "slot") -> DataFrame:
-    ranked = rank_periods(cells, period, by, slot)
-    # the ranked set holds one row per period (per group): calendar-bounded
-    return cells.join(F.broadcast(ranked), [*by, period], "inner")
-
-
-def pivot_slots(cells: DataFrame, keys: Sequence[str], slot: str, value: str,
-                n: int, prefix: str = "wk_") -> DataFrame:
-    """One row per key with fixed columns prefix0..prefix{n-1} (null-padded)."""
-    aggs = [F.max(F.when(F.col(slot) == k, F.col(value))).alias(f"{prefix}{k}")
-            for k in range(n)]
-    return cells.groupBy(*keys).agg(*aggs)
-
-
-def add_changes(wide: DataFrame, n: int, prefix: str = "wk_") -> DataFrame:
-    """pct_k = (wk_k - wk_{k+1}) / wk_{k+1} against the next older slot of the
-    matrix, plus dir_k (+1/-1/0) and prev_zero_k (older slot is 0)."""
-    cols = {}
-    for k in range(n - 1):
-        cur, prev = F.col(f"{prefix}{k}"), F.col(f"{prefix}{k + 1}")
-        pct = period_ratio(cur, prev)
-        cols[f"pct_{k}"] = pct
-        cols[f"dir_{k}"] = direction(pct)
-        cols[f"prev_zero_{k}"] = F.coalesce(cur.isNotNull() & (prev == 0), F.lit(False))
-    return wide.withColumns(cols) if cols else wide
-
-
 def change_long(cells: DataFrame, keys: Sequence[str], period: str, slot: str,
                 value: str, prev: str = "prev_value") -> DataFrame:
     """Long form of the change: one row per present (key, slot) with the value of

@@ -40,6 +40,25 @@ def unknown_keys(df: DataFrame, dimension: DataFrame, keys: Sequence[str]) -> Da
     return df.join(dimension.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def gate_report(df: DataFrame, key: str, dimension: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The load gates as rows (gate, found, ok), in one pass over ``df`` and a join with
+    the dimension: it has rows, exactly one non-null ``key``, all ``columns``, and no key
+    that the dimension lacks."""
+    missing = len([c for c in columns if c not in df.columns])
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    known = dimension.select(key).distinct().withColumn("_known", F.lit(True))
+    found = per_key.join(known, key, "left").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"),
+        F.count(key).alias("keys"),
+        F.count(F.when(F.col(key).isNotNull() & F.col("_known").isNull(), 1)).alias("unknown"))
+    gates = (("require_rows", F.col("rows"), F.col("rows") > 0),
+             ("single_value", F.col("keys"), F.col("keys") == 1),
+             ("require_columns", F.lit(missing).cast("bigint"), F.lit(missing == 0)),
+             ("known_keys", F.col("unknown"), F.col("unknown") == 0))
+    return found.select(F.inline(F.array(*[
+        F.struct(F.lit(g).alias("gate"), n.alias("found"), ok.alias("ok")) for g, n, ok in gates])))
+
+
 def profile(df: DataFrame, key: str) -> DataFrame:
     """Row count and distinct key count (one row)."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"),

@@ -367,7 +367,7 @@ def _template_cells(spark, d):
 
 
 # stand-in parameters: list code per cluster (cluster name without the word CLUSTER)
-LIST_CODES = {"NORTE": "PubNOR", "SUR": "PubSUR", "MAYORISTAS": "MayMAY", "HORECA": "HorHOR"}
+LIST_CODES = {"ALFA": "L-01", "BETA": "L-02", "DELTA": "L-04"}
 PROCESS_DATE = "2024-06-03"
 _CLUSTER = S.with_ctes(GQ.CLUSTER_CELLS)
 _PUB = O.block_records_ctes("cluster_cells", EX.PUBLICATION_ALIASES, False, "pub_")
@@ -473,3 +473,7 @@ def q_replace_week_slice(spark, d):
                          ["precio", "fecha_modificacion"], "seq").select(*M.COMPETITOR_COLUMNS)
     new = LD.template_load(_template_cells(spark, d), GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)
     return M.replace_slices(existing, new, LD.template_slices(SI.TEMPLATE_AS_OF))
+
+
+# the written targets register themselves
+from shelfprice.plans import written  # noqa: E402, F401

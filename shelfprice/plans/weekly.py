@@ -69,3 +69,17 @@ def run_steps(spark: SparkSession, steps: Sequence[tuple[str, Callable[[], None]
     log = spark.createDataFrame(rows, RUN_LOG_SCHEMA)
     log.write.mode("append").parquet(log_path)
     return log
+
+
+def refresh_weekly(spark: SparkSession, history: DataFrame, costs: DataFrame, path: str,
+                   run_id: str | None = None) -> DataFrame:
+    """The weekly refresh as a batch: write the price fact, then the cost fact, each
+    replacing the weeks it holds, and the run log; a failed step ends the run."""
+    def write(fact: DataFrame, name: str) -> None:
+        # rows of a week meet before the write: one file each, not one per task and week
+        (fact.repartition("week").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("week").parquet(f"{path}/{name}"))
+    return run_steps(spark, [
+        ("price_fact", lambda: write(weekly_price_fact(history), "price_fact")),
+        ("cost_fact", lambda: write(weekly_cost_fact(costs), "cost_fact")),
+    ], f"{path}/run_log", run_id)

@@ -31,8 +31,7 @@ CLUSTER_LAYOUT = (
     (19, 3, "Sub Rubro", "rubro"), (20, 3, "Cód.", "cod"), (21, 3, "sin iva", "siniva"),
     (22, 3, "notas", "notas"),
 )
-CLUSTER_NAMES = ((1, "CLUSTER NORTE"), (9, "CLUSTER SUR"), (15, "MAYORISTAS"),
-                 (19, "HORECA CLUSTER"))
+CLUSTER_NAMES = ((1, "CLUSTER ALFA"), (9, "CLUSTER BETA"), (15, "GAMMA"), (19, "DELTA CLUSTER"))
 CLUSTER_NAME_ROW = 1
 CLUSTER_FIRST_DATA_ROW = 6
 # the stand-in template sheets in load order (a missing sheet is skipped)
@@ -108,12 +107,6 @@ def _row_array(cells: dict[int, Column], width: int) -> Column:
     return F.array(*[cells[i] if i in cells else F.lit(None).cast("string") for i in range(width)])
 
 
-def cluster_sheet_cells(spark: SparkSession, d: str) -> DataFrame:
-    """The cluster sheets as a cell table (non-null cells)."""
-    from shelfprice.operators.grid import cells_from_rows
-    return cells_from_rows(cluster_sheet_rows(spark, d))
-
-
 def _month_index(ts: Column) -> Column:
     return ((F.year(ts) - 1995) * 12 + F.month(ts) - 1).cast("int")
 
