@@ -273,45 +273,57 @@ def unpivot_history(cells: DataFrame, date_row: int = 3, data_row: int = 4,
 
 # ---------------------------------------------------- competitor template
 
-# Header texts that never name a competitor column
-TEMPLATE_BASE_HEADERS = ("Código", "Descripción")
+# Header texts of the code and description columns
+CODE_HEADER, DESCRIPTION_HEADER = "Código", "Descripción"
 
 
-def template_columns(cells: DataFrame, date_row: int = 1, header_row: int = 2,
-                     first_col: int = 3) -> DataFrame:
-    """Competitor columns of each template sheet with their last-modified date
-    (the cell above the header: a date or day-first text; unparsable → null).
+def _blank_as_null(c: Column) -> Column:
+    return F.when(F.trim(c) != "", c)
 
-    Returns (workbook, sheet, col_idx, competencia, fecha_modificacion)."""
-    heads = cells.where((F.col("row_idx") == header_row) & (F.col("col_idx") >= first_col)
-                        & F.col("value").isNotNull()) \
-        .select(*SHEET, "col_idx", F.col("value").alias("competencia"))
-    heads = heads.where((F.trim("competencia") != "")
-                        & ~F.trim("competencia").isin(*TEMPLATE_BASE_HEADERS))
-    dates = cells.where(F.col("row_idx") == date_row) \
-        .select(*SHEET, "col_idx", parse_dayfirst("value").cast("date").alias("fecha_modificacion"))
-    return heads.join(dates, [*SHEET, "col_idx"], "left")
 
+def template_layout(rows: DataFrame, date_row: int = 1, header_row: int = 2) -> DataFrame:
+    """One row per template sheet: the header and date rows as arrays (``_h``, ``_d``),
+    the sheet's width (``_w``) and the position of the code column (``_code``, by its
+    header; sheets without one are left out)."""
+    head = F.max(F.when(F.col("row_idx") == header_row, F.col("values"))).alias("_h")
+    dates = F.max(F.when(F.col("row_idx") == date_row, F.col("values"))).alias("_d")
+    top = rows.where(F.col("row_idx").isin(date_row, header_row)).groupBy(*SHEET).agg(head, dates)
+    width = rows.groupBy(*SHEET).agg(F.max(F.size("values")).alias("_w"))
+    code = F.array_position(F.transform("_h", lambda h: F.coalesce(F.trim(h), F.lit(""))), CODE_HEADER) - 1
+    return top.join(width, list(SHEET)).withColumn("_code", code.cast("int")).where("_code >= 0")
 
-def melt_template(cells: DataFrame, code_col: int = 0, data_row: int = 3,
-                  date_row: int = 1, header_row: int = 2, first_col: int = 3) -> DataFrame:
+
+def melt_template(grid: DataFrame, data_row: int = 3, date_row: int = 1, header_row: int = 2,
+                  first_col: int = 3) -> DataFrame:
     """Competitor template sheets → long (code, competitor, price text) rows.
 
-    Rows whose code is not numeric are dropped (codes truncate to integers);
-    competitor columns with no value on any remaining row are dropped; cells
-    present with an empty value give a row with a null price.
+    ``grid``: sheet rows, or cells (which become sheet rows first). The code column is
+    found by its header. Rows whose code is not numeric are dropped (codes truncate to
+    integers). Every column from ``first_col`` on with some value on a remaining row is
+    a competitor; each remaining row then gives a row, with a null price where the cell
+    is blank or absent. A column without header is named by its position, one with the
+    description header by that field; neither has a date. Other dates are the cell above
+    the header: a date or day-first text; unparsable → null.
 
     Returns (workbook, sheet, row_idx, col_idx, cod_art, competencia,
     price_value, fecha_modificacion)."""
     from shelfprice.functions.text import code_or_null
-    codes = (cells.where((F.col("row_idx") >= data_row) & (F.col("col_idx") == code_col))
-             .select(*SHEET, "row_idx", code_or_null("value").alias("cod_art"))
-             .where(F.col("cod_art").isNotNull()))
-    cols = template_columns(cells, date_row, header_row, first_col)
-    vals = (cells.where((F.col("row_idx") >= data_row) & (F.col("col_idx") >= first_col))
-            .select(*SHEET, "row_idx", "col_idx", F.col("value").alias("price_value"))
-            .join(codes, [*SHEET, "row_idx"]))
-    # one row per filled column
-    filled = vals.where(F.col("price_value").isNotNull()).select(*SHEET, "col_idx").distinct()
-    return (vals.join(filled, [*SHEET, "col_idx"], "left_semi")
-            .join(cols, [*SHEET, "col_idx"]))
+    rows = grid if is_row_form(grid) else rows_from_cells(grid)
+    data = rows.where(F.col("row_idx") >= data_row).join(
+        template_layout(rows, date_row, header_row), list(SHEET))
+    data = (data.withColumn("cod_art", code_or_null(F.try_element_at("values", F.col("_code") + 1)))
+            .where(F.col("cod_art").isNotNull() & (F.col("_w") > first_col)))
+    cells = data.select(*SHEET, "row_idx", "cod_art", "_h", "_d", "_code", "values", F.explode(
+        F.sequence(F.lit(first_col), F.col("_w") - 1)).alias("col_idx")).where("col_idx <> _code")
+    at = F.col("col_idx") + 1
+    head = _blank_as_null(F.try_element_at("_h", at))
+    base = F.trim(head) == DESCRIPTION_HEADER
+    cells = cells.select(
+        *SHEET, "row_idx", "col_idx", "cod_art",
+        F.when(head.isNull(), F.concat(F.lit("Unnamed: "), F.col("col_idx").cast("string")))
+        .when(base, "descripcion").otherwise(head).alias("competencia"),
+        _blank_as_null(F.try_element_at("values", at)).alias("price_value"),
+        F.when(head.isNotNull() & ~base, F.try_element_at("_d", at)).alias("_date"))
+    filled = (cells.where(F.col("price_value").isNotNull()).select(*SHEET, "col_idx").distinct())
+    return (cells.join(filled, [*SHEET, "col_idx"], "left_semi")
+            .withColumn("fecha_modificacion", parse_dayfirst("_date").cast("date")).drop("_date"))

@@ -81,17 +81,17 @@ def template_slices(as_of: str, iso_year: bool = False) -> list[dict[str, int]]:
     return [{"anio": iso.year if iso_year else day.year, "semana": iso.week}]
 
 
-def template_load(cells: DataFrame, sheets: Sequence[str], as_of: str,
+def template_load(grid: DataFrame, sheets: Sequence[str], as_of: str,
                   iso_year: bool = False) -> DataFrame:
     """Competitor fact rows of the ``as_of`` week from the whitelisted template
     sheets (in load order; missing sheets skipped). Repeated row keys keep the
     last value in load order (sheet order, column, row), nulls included."""
-    spark = cells.sparkSession
+    spark = grid.sparkSession
     order = spark.createDataFrame([(s, i) for i, s in enumerate(sheets)],
                                   "sheet string, sheet_rank int")
     # the sheet whitelist is a literal parameter of a few names
-    scoped = cells.join(F.broadcast(order), "sheet")
-    melted = melt_template(scoped.drop("sheet_rank")).join(F.broadcast(order), "sheet")
+    scoped = grid.join(F.broadcast(order), "sheet", "left_semi")
+    melted = melt_template(scoped).join(F.broadcast(order), "sheet")
     anio, semana = calendar_year_iso_week(F.lit(as_of).cast("date"), iso_year)
     rows = with_clean_price(melted, "price_value", "precio").select(
         "cod_art", F.col("sheet").alias("cluster"), "competencia",

@@ -331,16 +331,22 @@ def template_load_ctes(sheets, as_of: str, cells: str = "template_cells") -> str
     return f""",
 tl_ord(sheet, sheet_rank) AS (VALUES {order}),
 tl_sc AS (SELECT c.* FROM {cells} c JOIN tl_ord USING (sheet)),
-tl_codes AS (SELECT workbook, sheet, row_idx, {code_or_null('value')} AS cod_art FROM tl_sc
-             WHERE row_idx >= 3 AND col_idx = 0 AND {code_or_null('value')} IS NOT NULL),
-tl_heads AS (SELECT workbook, sheet, col_idx, value AS competencia FROM tl_sc
-             WHERE row_idx = 2 AND col_idx >= 3 AND value IS NOT NULL AND trim(value) <> ''
-               AND trim(value) NOT IN ('Código', 'Descripción')),
-tl_dates AS (SELECT workbook, sheet, col_idx, CAST({parse_dayfirst('value')} AS DATE) AS fecha_modificacion
-             FROM tl_sc WHERE row_idx = 1),
-tl_vals AS (SELECT v.workbook, v.sheet, v.row_idx, v.col_idx, v.value AS price_value, k.cod_art
-            FROM tl_sc v JOIN tl_codes k USING (workbook, sheet, row_idx)
-            WHERE v.row_idx >= 3 AND v.col_idx >= 3),
+tl_cc AS (SELECT workbook, sheet, min(col_idx) AS code_col FROM tl_sc
+          WHERE row_idx = 2 AND trim(value) = 'Código' GROUP BY 1, 2),
+tl_codes AS (SELECT c.workbook, c.sheet, c.row_idx, {code_or_null('c.value')} AS cod_art FROM tl_sc c
+             JOIN tl_cc k ON k.workbook = c.workbook AND k.sheet = c.sheet AND k.code_col = c.col_idx
+             WHERE c.row_idx >= 3 AND {code_or_null('c.value')} IS NOT NULL),
+tl_vals AS (SELECT v.workbook, v.sheet, v.row_idx, v.col_idx, CASE WHEN trim(v.value) <> '' THEN v.value END AS price_value, k.cod_art
+            FROM tl_sc v JOIN tl_codes k USING (workbook, sheet, row_idx) JOIN tl_cc c USING (workbook, sheet)
+            WHERE v.row_idx >= 3 AND v.col_idx >= 3 AND v.col_idx <> c.code_col),
+tl_heads AS (SELECT c.workbook, c.sheet, c.col_idx,
+                    CASE WHEN h.value IS NULL OR trim(h.value) = '' THEN 'Unnamed: ' || c.col_idx
+                         WHEN trim(h.value) = 'Descripción' THEN 'descripcion' ELSE h.value END AS competencia,
+                    h.value IS NOT NULL AND trim(h.value) NOT IN ('', 'Descripción') AS dated
+             FROM (SELECT DISTINCT workbook, sheet, col_idx FROM tl_vals) c
+             LEFT JOIN (SELECT * FROM tl_sc WHERE row_idx = 2) h USING (workbook, sheet, col_idx)),
+tl_dates AS (SELECT h.workbook, h.sheet, h.col_idx, CAST({parse_dayfirst('d.value')} AS DATE) AS fecha_modificacion
+             FROM tl_heads h JOIN tl_sc d USING (workbook, sheet, col_idx) WHERE d.row_idx = 1 AND h.dated),
 tl_filled AS (SELECT DISTINCT workbook, sheet, col_idx FROM tl_vals WHERE price_value IS NOT NULL),
 tl_rows AS (
   SELECT v.cod_art, v.sheet AS cluster, h.competencia, {clean_price('v.price_value')} AS precio,

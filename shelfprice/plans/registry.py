@@ -362,8 +362,8 @@ def _history_cells(spark, d):
     return land(GS.history_sheet_cells(spark, d), "history-cells")
 
 
-def _template_cells(spark, d):
-    return land(GS.template_cells(spark, d), "template-cells")
+def _template_rows(spark, d):
+    return land(GS.template_rows(spark, d), "template-rows")
 
 
 # stand-in parameters: list code per cluster (cluster name without the word CLUSTER)
@@ -454,7 +454,7 @@ _TPL = (f"{S.with_ctes(S.LINE_CUSTOMER, GQ.TEMPLATE_CELLS)}"
 SELECT * FROM tl_final
 """)
 def q_melt_competitor_template(spark, d):
-    return LD.template_load(_template_cells(spark, d), GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)
+    return LD.template_load(_template_rows(spark, d), GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)
 
 
 @register("replace_week_slice", f"""{_TPL}, {S.COMPETITOR_ROWS}, {S.COMPETITOR_FACT_ROWS},
@@ -471,7 +471,7 @@ SELECT * FROM tl_final
 def q_replace_week_slice(spark, d):
     existing = keep_last(SI.competitor_fact_rows(spark, d), M.COMPETITOR_KEYS,
                          ["precio", "fecha_modificacion"], "seq").select(*M.COMPETITOR_COLUMNS)
-    new = LD.template_load(_template_cells(spark, d), GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)
+    new = LD.template_load(_template_rows(spark, d), GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)
     return M.replace_slices(existing, new, LD.template_slices(SI.TEMPLATE_AS_OF))
 
 

@@ -156,15 +156,21 @@ def history_sheet_cells(spark: SparkSession, d: str) -> DataFrame:
             .where(F.col("value").isNotNull()))
 
 
-def template_cells(spark: SparkSession, d: str) -> DataFrame:
-    """Competitor template: sheet per region; row = 3 + part key; column
-    3 + supplier key; dates on row 1, headers on row 2; cells with an empty
-    value are kept (null value) so that null prices reach the load."""
+NATIONS = 25  # competitor columns of a template sheet: one per supplier nation
+
+
+def template_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Competitor template as sheet rows: sheet per customer region; row = 3 + part key;
+    column 3 + nation key of the supplier; dates on row 1, headers on row 2. In ASIA the
+    code column is not the first one; in EUROPE the last competitor column has the
+    description header, in AFRICA the last but one has none."""
     lc = _line_customer(spark, d)
     p = _part(spark, d)
-    s = read_table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    j = lc.join(p, F.col("l_partkey") == F.col("p_partkey"))
-    first = (j.groupBy(F.col("r_name").alias("sheet"), "p_partkey", "l_suppkey")
+    s = read_table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    n = read_table(spark, d, "nation").select("n_nationkey", "n_name")
+    j = (lc.join(p, F.col("l_partkey") == F.col("p_partkey"))
+         .join(s, F.col("l_suppkey") == F.col("s_suppkey")))
+    first = (j.groupBy(F.col("r_name").alias("sheet"), "p_partkey", "s_nationkey")
              .agg(F.min_by(F.struct("l_extendedprice", "l_linenumber"), seq_struct()).alias("f"),
                   F.max("o_orderdate").alias("last_order")))
     cents = F.round(F.col("f.l_extendedprice") * 100).cast("bigint")
@@ -173,27 +179,32 @@ def template_cells(spark: SparkSession, d: str) -> DataFrame:
             .when(ln == 3, F.replace(cents_text(cents), F.lit("."), F.lit(",")))
             .when(ln == 4, F.lit(None).cast("string"))
             .otherwise(cents_text(cents)))
-    wb = F.lit("template")
-    prices = first.select(wb.alias("workbook"), "sheet",
-                          (F.col("p_partkey") + 3).cast("bigint").alias("row_idx"),
-                          (F.col("l_suppkey") + 3).cast("int").alias("col_idx"), text.alias("value"))
-    comp = (first.groupBy("sheet", "l_suppkey").agg(F.max("last_order").alias("last_order"))
-            .join(s, F.col("l_suppkey") == F.col("s_suppkey")))
-    heads = comp.select(wb.alias("workbook"), "sheet", F.lit(2).cast("bigint").alias("row_idx"),
-                        (F.col("l_suppkey") + 3).cast("int").alias("col_idx"),
-                        F.col("s_name").alias("value"))
-    dtext = F.when(F.col("s_nationkey") == 0, F.lit("sin fecha")) \
-        .otherwise(F.date_format("last_order", "d/M/yyyy"))
-    dates = comp.select(wb.alias("workbook"), "sheet", F.lit(1).cast("bigint").alias("row_idx"),
-                        (F.col("l_suppkey") + 3).cast("int").alias("col_idx"), dtext.alias("value"))
-    rows = first.select("sheet", "p_partkey").distinct().join(p, "p_partkey")
+    wb, asia = F.lit("template").alias("workbook"), F.col("sheet") == "ASIA"
+
+    def values(code: Column, name: Column, kind: Column, cells: str) -> Column:
+        # at most one cell per nation
+        by = F.map_from_entries(cells)
+        return F.concat(F.when(asia, F.array(kind, code, name)).otherwise(F.array(code, name, kind)),
+                        F.transform(F.sequence(F.lit(0), F.lit(NATIONS - 1)), lambda k: F.try_element_at(by, k)))
+    cell = F.collect_list(F.struct(F.col("s_nationkey").cast("int").alias("k"), text.alias("v"))).alias("_c")
     code = (F.when(F.col("p_size") == 7, F.lit("N/A"))
-            .when(F.col("p_size") == 9,
-                  F.concat((F.col("p_partkey") - 1).cast("string"), F.lit(".5")))
+            .when(F.col("p_size") == 9, F.concat((F.col("p_partkey") - 1).cast("string"), F.lit(".5")))
             .otherwise(F.col("p_partkey").cast("string")))
-    base = _cells(rows, wb, F.col("sheet"), F.col("p_partkey") + 3,
-                  [(0, code), (1, F.col("p_name")), (2, F.col("p_type"))])
-    sheets = first.select("sheet").distinct()
-    fixed = _cells(sheets, wb, F.col("sheet"), F.lit(2),
-                   [(0, F.lit("Código")), (1, F.lit("Descripción")), (2, F.lit("Rubro"))])
-    return prices.unionByName(heads).unionByName(dates).unionByName(base).unionByName(fixed)
+    data = first.groupBy("sheet", "p_partkey").agg(cell).join(p, "p_partkey").select(
+        wb, "sheet", (F.col("p_partkey") + 3).cast("bigint").alias("row_idx"),
+        values(code, F.col("p_name"), F.col("p_type"), "_c").alias("values"))
+    comp = (first.groupBy("sheet", "s_nationkey").agg(F.max("last_order").alias("last_order"))
+            .join(n, F.col("s_nationkey") == F.col("n_nationkey")))
+    k = F.col("s_nationkey").cast("int").alias("k")
+    head = (F.when((F.col("sheet") == "EUROPE") & (F.col("s_nationkey") == NATIONS - 1), "Descripción")
+            .when((F.col("sheet") == "AFRICA") & (F.col("s_nationkey") == NATIONS - 2), F.lit(None).cast("string"))
+            .otherwise(F.col("n_name")))
+    date = F.when(F.col("s_nationkey") == 0, F.lit("sin fecha")).otherwise(F.date_format("last_order", "d/M/yyyy"))
+    none = F.lit(None).cast("string")
+    tops = comp.groupBy("sheet").agg(F.collect_list(F.struct(k, head.alias("v"))).alias("_h"),
+                                     F.collect_list(F.struct(k, date.alias("v"))).alias("_d"))
+    tops = tops.select(wb, "sheet", F.inline(F.array(
+        F.struct(F.lit(2).cast("bigint").alias("row_idx"),
+                 values(F.lit("Código"), F.lit("Descripción"), F.lit("Rubro"), "_h").alias("values")),
+        F.struct(F.lit(1).cast("bigint").alias("row_idx"), values(none, none, none, "_d").alias("values")))))
+    return data.unionByName(tops)

@@ -109,46 +109,45 @@ history_cells AS (
   SELECT 'history', list_name, CAST(0 AS BIGINT), 0, 'Lista de precios' FROM price_lists
 )"""
 
-# needs LINE_CUSTOMER
+# needs LINE_CUSTOMER; every cell of the grid is there, blank ones with a null value
 TEMPLATE_CELLS = f"""
 tp_first AS (
-  SELECT sheet, p_partkey, l_suppkey, l_extendedprice, l_linenumber, last_order FROM (
-    SELECT r_name AS sheet, p_partkey, l_suppkey, l_extendedprice, l_linenumber,
-           max(o_orderdate) OVER (PARTITION BY r_name, p_partkey, l_suppkey) AS last_order,
-           row_number() OVER (PARTITION BY r_name, p_partkey, l_suppkey ORDER BY {SEQ_ORDER}) AS rn
-    FROM line_customer JOIN part ON l_partkey = p_partkey) WHERE rn = 1
+  SELECT sheet, p_partkey, s_nationkey, l_extendedprice, l_linenumber, last_order FROM (
+    SELECT r_name AS sheet, p_partkey, s_nationkey, l_extendedprice, l_linenumber,
+           max(o_orderdate) OVER (PARTITION BY r_name, p_partkey, s_nationkey) AS last_order,
+           row_number() OVER (PARTITION BY r_name, p_partkey, s_nationkey ORDER BY {SEQ_ORDER}) AS rn
+    FROM line_customer JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey) WHERE rn = 1
 ),
 tp_comp AS (
-  SELECT sheet, l_suppkey, max(last_order) AS last_order, s_name, s_nationkey
-  FROM tp_first JOIN supplier ON l_suppkey = s_suppkey GROUP BY sheet, l_suppkey, s_name, s_nationkey
+  SELECT sheet, s_nationkey, max(last_order) AS last_order, n_name
+  FROM tp_first JOIN nation ON s_nationkey = n_nationkey GROUP BY sheet, s_nationkey, n_name
 ),
 tp_rows AS (SELECT DISTINCT sheet, p_partkey FROM tp_first),
-template_cells AS (
-  SELECT 'template' AS workbook, sheet, CAST(p_partkey + 3 AS BIGINT) AS row_idx,
-         CAST(l_suppkey + 3 AS INTEGER) AS col_idx,
+tp_text AS (
+  SELECT sheet, p_partkey, s_nationkey,
          CASE WHEN l_linenumber = 2 THEN {_thousands_text('CAST(round(l_extendedprice * 100) AS BIGINT)')}
               WHEN l_linenumber = 3 THEN replace({_cents_text('CAST(round(l_extendedprice * 100) AS BIGINT)')}, '.', ',')
               WHEN l_linenumber = 4 THEN NULL
               ELSE {_cents_text('CAST(round(l_extendedprice * 100) AS BIGINT)')} END AS value
   FROM tp_first
+),
+template_cells AS (
+  SELECT 'template' AS workbook, r.sheet, CAST(r.p_partkey + 3 AS BIGINT) AS row_idx,
+         CAST(n_nationkey + 3 AS INTEGER) AS col_idx, t.value
+  FROM tp_rows r CROSS JOIN nation n
+  LEFT JOIN tp_text t ON t.sheet = r.sheet AND t.p_partkey = r.p_partkey AND t.s_nationkey = n.n_nationkey
   UNION ALL
-  SELECT 'template', sheet, CAST(2 AS BIGINT), CAST(l_suppkey + 3 AS INTEGER), s_name FROM tp_comp
+  SELECT 'template', sheet, CAST(2 AS BIGINT), CAST(s_nationkey + 3 AS INTEGER),
+         CASE WHEN sheet = 'EUROPE' AND s_nationkey = 24 THEN 'Descripción'
+              WHEN sheet = 'AFRICA' AND s_nationkey = 23 THEN NULL ELSE n_name END FROM tp_comp
   UNION ALL
-  SELECT 'template', sheet, CAST(1 AS BIGINT), CAST(l_suppkey + 3 AS INTEGER),
+  SELECT 'template', sheet, CAST(1 AS BIGINT), CAST(s_nationkey + 3 AS INTEGER),
          CASE WHEN s_nationkey = 0 THEN 'sin fecha' ELSE strftime(last_order, '%-d/%-m/%Y') END FROM tp_comp
   UNION ALL
-  SELECT 'template', sheet, CAST(p_partkey + 3 AS BIGINT), 0,
+  SELECT 'template', sheet, CAST(p_partkey + 3 AS BIGINT), CASE WHEN sheet = 'ASIA' THEN 1 ELSE 0 END,
          CASE WHEN p_size = 7 THEN 'N/A' WHEN p_size = 9 THEN CAST(p_partkey - 1 AS VARCHAR) || '.5'
               ELSE CAST(p_partkey AS VARCHAR) END
   FROM tp_rows JOIN part USING (p_partkey)
   UNION ALL
-  SELECT 'template', sheet, CAST(p_partkey + 3 AS BIGINT), 1, p_name FROM tp_rows JOIN part USING (p_partkey)
-  UNION ALL
-  SELECT 'template', sheet, CAST(p_partkey + 3 AS BIGINT), 2, p_type FROM tp_rows JOIN part USING (p_partkey)
-  UNION ALL
-  SELECT DISTINCT 'template', sheet, CAST(2 AS BIGINT), 0, 'Código' FROM tp_rows
-  UNION ALL
-  SELECT DISTINCT 'template', sheet, CAST(2 AS BIGINT), 1, 'Descripción' FROM tp_rows
-  UNION ALL
-  SELECT DISTINCT 'template', sheet, CAST(2 AS BIGINT), 2, 'Rubro' FROM tp_rows
+  SELECT DISTINCT 'template', sheet, CAST(2 AS BIGINT), CASE WHEN sheet = 'ASIA' THEN 1 ELSE 0 END, 'Código' FROM tp_rows
 )"""

@@ -118,6 +118,19 @@ def test_template_melt_rules(spark):
     assert {(r.anio, r.semana) for r in template_load(df, ["s"], "2024-12-30").collect()} == {(2024, 1)}
 
 
+def test_template_blanks_headers_and_moved_code(spark):
+    base = [(1, 3, "5/10/2001"), (1, 4, "1/1/2001"), (1, 5, "2/2/2002"),
+            (2, 0, "Rubro"), (2, 1, "Descripción"), (2, 2, " Código "), (2, 3, "Comp A"), (2, 4, "Descripción"),
+            (3, 2, "10"), (3, 3, "5"), (3, 5, "8"), (4, 2, "11"), (4, 4, "7"), (5, 2, "10")]
+    blanks = [(3, 4, None), (4, 3, None), (5, 3, ""), (5, 4, None), (5, 5, None)]
+    want = [(10, "Comp A", None, True), (10, "Unnamed: 5", None, False), (10, "descripcion", None, False),
+            (11, "Comp A", None, True), (11, "Unnamed: 5", None, False), (11, "descripcion", 7.0, False)]
+    for rows in (base, base + blanks):  # a blank cell that is there and one that is not are the same
+        got = template_load(cells(spark, rows), ["s"], "2024-12-30").collect()
+        assert sorted((r.cod_art, r.competencia, None if r.precio is None else float(r.precio),
+                       r.fecha_modificacion is not None) for r in got) == want
+
+
 def test_grouped_position_matches_rank(spark):
     df = spark.createDataFrame([(i % 5, "c%03d" % i) for i in range(300)], "r int, c string").repartition(7)
     for reuse in ("true", "false"):
