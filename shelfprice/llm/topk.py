@@ -6,14 +6,14 @@ the order of their value (the postings), cut into segments of one quantised valu
 (``WIDTH`` wide). A segment's impact for a query is the query's component times the
 segment's best value, an upper bound for each of its postings.
 
-A query works on a block in rounds of falling impact: it processes every segment, of
-any dimension, whose impact is above the round's level. A vector's score is then at
-most the sum of the impacts of its processed postings and, for each other dimension,
-of the highest impact not yet processed there. The vectors with the best sums are
-scored exactly, which gives a floor under the k-th best score; all vectors whose bound
-is under the floor are proven out. Once few are left they are rescored exactly; the last
-level leaves no segment out, so the search always ends with a proof. Nothing is
-approximate, no list is cut.
+A query works on a block by falling impact: it processes the segments of all dimensions
+whose impact is above a level. A vector's score is then at most the sum of the impacts of
+its processed postings and, for each other dimension, of the highest impact not yet
+processed there. The vectors with the best bounds are scored exactly, which gives a floor
+under the k-th best score; all vectors whose bound is under the floor are proven out. If
+few are left, they are rescored exactly and the search stops; else it goes down to the
+next level. The last one leaves no segment out, so the search always ends with a proof.
+Nothing is approximate, no list is cut.
 
 Blocks of queries meet blocks of the index by an equal join on both block numbers; the
 k best per query and block go on to one ranked window per query.
@@ -37,10 +37,11 @@ from pyspark.sql import functions as F
 
 from .common import landed, table
 
-WIDTH = 16
+WIDTH = 4
 BLOCK = 8192          # vectors of a block
 QUERY_BLOCK = 2048    # queries of a block
-LEVELS = (0.12, 0.03, 0.0, -np.inf)  # of a query's highest impact
+LEVELS = (-0.05, -np.inf)  # of a query's highest impact
+FAR = 1 << 50
 FEW = 96              # this many vectors are rescored at any rate
 
 
@@ -50,52 +51,50 @@ class Block:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], np.ascontiguousarray(vectors[order])
-        level = self.vectors // WIDTH
-        self.postings = np.argsort(-level, axis=0, kind="stable").T.astype(np.int32)
-        self.levels = np.take_along_axis(level, self.postings.T, axis=0).T  # falling, by dimension
-
-    def segments(self, d: int, weight: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of dimension ``d``, best impact first: postings, and each one's impact."""
-        if weight >= 0:
-            return self.postings[d], weight * (self.levels[d] * WIDTH + WIDTH - 1)
-        return self.postings[d][::-1], weight * (self.levels[d][::-1] * WIDTH)
+        (n, dims), level = self.vectors.shape, self.vectors // WIDTH
+        postings = np.argsort(-level, axis=0, kind="stable").T
+        levels = np.take_along_axis(level, postings.T, axis=0).T  # falling, by dimension
+        begins = [np.flatnonzero(np.append(True, x[1:] != x[:-1])) for x in levels] if n else []
+        most = max(map(len, begins), default=0)
+        # for weights of either sign: postings by falling impact, and by segment its
+        # quantised value, size and the postings before it
+        self.sides = []
+        for sign in (1, -1):
+            value, size = np.zeros((dims, most), np.int64), np.zeros((dims, most), np.int64)
+            for d, at in enumerate(begins):
+                value[d, :len(at)] = levels[d][at][::sign]
+                size[d, :len(at)] = np.diff(at, append=n)[::sign]
+            self.sides.append((np.ascontiguousarray(postings[:, ::sign]), value, size,
+                               np.hstack([np.zeros((dims, 1), np.int64), size.cumsum(1)])))
+        self.counts = np.array([len(x) for x in begins], np.int64)
 
     def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
         """The k best (score, id) of the block, best first."""
         n, dims = self.vectors.shape
-        own_rows = self.ids == own
+        others = self.ids != own
         if n <= FEW or not dims:
-            return self.exact(np.flatnonzero(~own_rows), query, k)
-        bound = np.zeros(n, np.int64)
-        done = np.zeros(dims, np.int64)
-        lists = [self.segments(d, int(query[d])) for d in range(dims)]
-        rest = np.array([x[1][0] for x in lists], np.int64)
-        top, floor = max(int(rest.max()), 1), None
-        bound += rest.sum()
-        bound[own_rows] = np.iinfo(np.int64).min // 2
+            return self.exact(np.flatnonzero(others), query, k)
+        (up, value, size, before), (down, value2, size2, before2) = self.sides
+        rising = query[:, None] >= 0
+        impact = query[:, None] * np.where(rising, value * WIDTH + WIDTH - 1, value2 * WIDTH)
+        impact[np.arange(impact.shape[1]) >= self.counts[:, None]] = -FAR
+        size, before = np.where(rising, size, size2), np.where(rising, before, before2)
+        dim, top = np.arange(dims), max(1, int(impact[:, 0].max()))
+        floor, alive = -FAR * dims, np.flatnonzero(others)
         for level in LEVELS:
-            for d, (posted, impact) in enumerate(lists):
-                if np.isinf(level):
-                    end = n
-                else:  # impacts fall, so the processed postings are the first ones
-                    end = int(np.searchsorted(-impact, -level * top, side="left"))
-                low = int(impact[end]) if end < n else int(impact[-1])
-                start, old = int(done[d]), int(rest[d])
-                if low == old and start == end:
-                    continue
-                # all bounds fall by old - low, then processed postings get their own impact back
-                bound -= old - low
-                if start:
-                    bound[posted[:start]] += old - low
-                if end > start:
-                    bound[posted[start:end]] += impact[start:end] - low
-                done[d], rest[d] = end, low
-            best = np.argpartition(-bound, FEW)[:FEW]
-            scores = np.sort(self.vectors[best[~own_rows[best]]] @ query)
+            # by dimension: segments above the level, their postings, the best one left
+            upto = self.counts if np.isinf(level) else (impact > level * top).sum(1)
+            ends, rest = before[dim, upto], impact[dim, np.minimum(upto, self.counts - 1)]
+            bound = np.full(n, rest.sum())
+            for d in np.flatnonzero(ends):
+                posted = (up if rising[d, 0] else down)[d]
+                bound[posted[:ends[d]]] += np.repeat(impact[d, :upto[d]] - rest[d], size[d, :upto[d]])
+            best = np.argpartition(np.where(others, bound, -FAR * dims), n - FEW)[n - FEW:]
+            scores = np.sort(self.vectors[best[others[best]]] @ query)
             if len(scores) >= k:
-                floor = max(floor, int(scores[-k])) if floor is not None else int(scores[-k])
-            alive = np.flatnonzero(~own_rows & (bound >= floor)) if floor is not None else np.flatnonzero(~own_rows)
-            if len(alive) <= max(FEW, n // 32):
+                floor = max(floor, int(scores[-k]))
+                alive = np.flatnonzero((bound >= floor) & others)
+            if len(alive) <= max(FEW, n // 16):
                 break
         return self.exact(alive, query, k)
 
@@ -184,7 +183,7 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id",
                     return i, np.frombuffer(row[values], np.int64).reshape(len(i), row["dims"])
                 qids, qs = matrix("qids", "qvalues")
                 ids, vs = matrix("ids", "values")
-                if row["dims"] and float(np.abs(qs).max()) * float(np.abs(vs).max()) * row["dims"] * 4 >= 2.0 ** 62:
+                if row["dims"] and float(np.abs(qs).max()) * float(np.abs(vs).max()) * row["dims"] ** 2 >= 2.0 ** 48:
                     raise OverflowError("components too large for 64-bit scores")
                 block = Block(ids, vs)
                 out = [(int(i), q.tobytes(), s, c) for i, q in zip(qids, qs) for s, c in block.search(q, int(i), k)]
