@@ -74,6 +74,28 @@ def gram_hashes(first: np.ndarray) -> np.ndarray:
     return h
 
 
+def window_hashes(text: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the LENGTH bytes at every place (fewer at the end)."""
+    with np.errstate(over="ignore"):
+        out, width, base = np.zeros(len(text), np.uint64), 0, np.uint64(0x9E3779B97F4A7C15)
+        part = (text.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        part ^= part >> np.uint64(32)
+        size = 1
+        while True:  # ``part`` covers ``size`` bytes; LENGTH is put together from such parts
+            if LENGTH & size:
+                after = np.append(out[size:], np.zeros(min(size, len(out)), np.uint64))
+                out = part * base_power(base, width) + after
+                width += size
+            if width == LENGTH:
+                return out ^ (out >> np.uint64(31))
+            part = part * base_power(base, size) + np.append(part[size:], np.zeros(min(size, len(part)), np.uint64))
+            size *= 2
+
+
+def base_power(base: np.uint64, n: int) -> np.uint64:
+    return np.uint64(pow(int(base), n, 1 << 64))
+
+
 def joined(spans_from: np.ndarray, spans_to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Union of spans as maximal runs."""
     if not len(spans_from):
@@ -202,13 +224,22 @@ def _merge(contexts: DataFrame) -> DataFrame:
     def search(group: list[tuple]) -> pa.RecordBatch:
         group = sorted({r[:4]: r for r in group}.values(),
                        key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))  # id, u, place
-        strings = np.concatenate([np.lib.stride_tricks.sliding_window_view(np.frombuffer(r[4], np.uint8), LENGTH)
-                                  for r in group])
-        # one length, so that the type's way to pad with zeros sets no two equal
-        strings = np.ascontiguousarray(strings).view(f"S{LENGTH}").ravel()
-        known, earliest = np.unique(strings, return_index=True)
-        found = earliest[np.searchsorted(known, strings)]
-        again = np.flatnonzero(found < np.arange(len(strings)))
+        text = np.frombuffer(b"".join(r[4] for r in group), np.uint8)
+        sizes = np.array([len(r[4]) for r in group])
+        inside = np.arange(len(text)) + LENGTH <= np.repeat(np.cumsum(sizes), sizes)
+        place = np.flatnonzero(inside)
+        strings = np.lib.stride_tricks.sliding_window_view(text, LENGTH)
+        # sorted by hash, each is looked up by binary search and compared byte by byte;
+        # should two of one hash differ, the strings themselves are sorted
+        keys = window_hashes(text)[place]
+        known, earliest = np.unique(keys, return_index=True)
+        found = earliest[np.searchsorted(known, keys)]
+        other = np.flatnonzero(found < np.arange(len(keys)))
+        if not all((strings[place[x]] == strings[place[found[x]]]).all() for x in np.array_split(other, len(other) // 65536 + 1)):
+            whole = np.ascontiguousarray(strings[place]).view(f"S{LENGTH}").ravel()
+            known, earliest = np.unique(whole, return_index=True)
+            found = earliest[np.searchsorted(known, whole)]
+        again = np.flatnonzero(found < np.arange(len(keys)))
         many = np.array([len(r[4]) - LENGTH + 1 for r in group])
         row = np.repeat(np.arange(len(group)), many)[again]
         start = np.array([r[3] for r in group])[row] + again - (np.cumsum(many) - many)[row]

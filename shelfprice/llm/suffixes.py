@@ -17,9 +17,10 @@ def words8(text: np.ndarray) -> np.ndarray:
     return k[:len(text)]
 
 
-def suffix_array(first: np.ndarray, depth: int) -> np.ndarray:
+def suffix_array(first: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Places in the order of their suffixes' first ``depth`` bytes, or more, from
-    ``words8``. Larsson and Sadakane's refinement: the order by h bytes gives each place
+    ``words8``; and those places, in the order of the text, that the last round still had
+    to sort: any two that share ``depth`` bytes are among them. Larsson and Sadakane's refinement: the order by h bytes gives each place
     the rank of its group; groups of more than one place are sorted by the rank h
     places on, which orders them by 2 h bytes. Sorted groups are never touched again.
     The text must end with ``END``, so that no two of the last places tie."""
@@ -29,13 +30,14 @@ def suffix_array(first: np.ndarray, depth: int) -> np.ndarray:
     np.not_equal(first[order[1:]], first[order[:-1]], out=start[1:])
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(start, np.arange(n), 0))
-    h = 8
+    h, last = 8, np.zeros(0, np.int64)
     while h < depth and n:
         alone = start & np.append(start[1:], True)
         slots = np.flatnonzero(~alone)
+        places = order[slots]
+        last = places
         if not len(slots):
             break
-        places = order[slots]
         after = places + h
         key = (rank[places] << 32) | np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
         by = np.argsort(key)
@@ -46,30 +48,33 @@ def suffix_array(first: np.ndarray, depth: int) -> np.ndarray:
         start[slots] = new
         rank[places] = np.maximum.accumulate(np.where(new, slots, 0))
         h *= 2
-    return order
+    return order, np.sort(last)
 
 
-def shares_prefix(first: np.ndarray, order: np.ndarray, depth: int, lanes: int = 2048) -> np.ndarray:
+def shares_prefix(first: np.ndarray, order: np.ndarray, places: np.ndarray, depth: int,
+                  lanes: int = 2048) -> np.ndarray:
     """For every place: are its suffix and the one before it in ``order`` equal in their
-    first ``depth`` bytes? Kasai's scan: going on one place loses one byte of the common
-    prefix at most. The text is scanned by many lanes at a time, each on a stretch of
+    first ``depth`` bytes? Only ``places`` (in the order of the text) are asked about, the
+    answer for others is no. Kasai's scan: going on one place loses one byte of the common
+    prefix at most. The places are scanned by many lanes at a time, each on a stretch of
     its own, whose common prefixes are only followed up to ``depth`` bytes."""
     n = len(first)
     out = np.zeros(n, bool)
-    if n < 2:
+    if n < 2 or not len(places):
         return out
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
     padded = np.append(first, np.zeros(depth + 8, np.uint64))
-    stretch = -(-n // lanes)
-    begin = np.arange(0, n, stretch)
-    common = np.zeros(len(begin), np.int64)
+    stretch = -(-len(places) // lanes)
+    begin = np.arange(0, len(places), stretch)
+    common, at = np.zeros(len(begin), np.int64), np.full(len(begin), -2)
     for step in range(stretch):
-        at = begin + step
-        if at[-1] >= n:
+        if begin[-1] + step >= len(places):
             begin, common, at = begin[:-1], common[:-1], at[:-1]
             if not len(at):
                 break
+        came, at = at, places[begin + step]
+        common[at != came + 1] = 0
         other = before[at]
         # the order of suffixes equal in all that was sorted by is open, so after a
         # prefix of full depth the scan begins anew
@@ -96,8 +101,8 @@ def repeats(text: np.ndarray, valid: np.ndarray, depth: int) -> np.ndarray:
     n = len(text)
     text, valid = np.append(text, END), np.append(valid, np.zeros(len(END), bool))
     first = words8(text)
-    order = suffix_array(first, depth)
-    run = np.cumsum(~shares_prefix(first, order, depth)[order]) - 1
+    order, places = suffix_array(first, depth)
+    run = np.cumsum(~shares_prefix(first, order, places, depth)[order]) - 1
     place = np.where(valid[order], order, len(text))
     out = np.zeros(len(text), bool)
     earliest = np.minimum.reduceat(place, np.flatnonzero(np.append(True, run[1:] != run[:-1])))
