@@ -6,7 +6,7 @@ Design notes (scale):
   ``seq`` ordering column. These are aggregates with map-side partial
   aggregation, so a hot key never collects its rows into one task.
 * the set of periods is bounded by the calendar (52 per year) and by ``n``;
-  only that set is broadcast.
+  only that set is broadcast, if it isn't per group.
 * the change computation runs over per-(key, period) cells, whose count per key
   is bounded by the number of periods, never by the raw row count.
 """
@@ -42,8 +42,13 @@ def last_n_periods(df: DataFrame, period: str, n: int | None,
     periods = df.where(_not_null([*by, period])).select(*by, period).distinct()
     w = Window.partitionBy(*by).orderBy(F.col(period).desc())
     keep = periods.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
-    # at most n periods per group: a bounded set, broadcast for a map-side semi join
-    return df.join(F.broadcast(keep), [*by, period], "left_semi")
+    return df.join(by_calendar(keep, by), [*by, period], "left_semi")
+
+
+def by_calendar(periods: DataFrame, by: Sequence[str]) -> DataFrame:
+    """A table of periods, hinted for broadcast when it has one row per period (bounded
+    by the calendar). With groups its size is theirs too, and the planner decides."""
+    return periods if by else F.broadcast(periods)
 
 
 def first_valid(df: DataFrame, keys: Sequence[str], value: str, seq: str,

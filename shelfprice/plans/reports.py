@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfprice.functions.flags import direction, period_ratio, single_unit_numeric, single_unit_text
-from shelfprice.operators.periods import change_long
+from shelfprice.operators.periods import by_calendar, change_long
 
 ATTRS = ("description", "category", "article_type", "unit")
 DEFAULT_WEEKS = 4
@@ -60,7 +60,7 @@ def period_report(rows: DataFrame, *, value: str, n: int = DEFAULT_WEEKS,
     (semi join + slot); then ONE aggregate per row key computes every slot's first
     valid value and the first row — a single shuffle of partial aggregates."""
     slots = week_slots(rows, value=value, n=n, by=by, row_keys=row_keys, period=period)
-    j = rows.join(F.broadcast(slots), [*by, period], "inner")
+    j = rows.join(by_calendar(slots, by), [*by, period], "inner")
     v = F.col(value)
     aggs = [F.min_by(v, F.when((F.col("slot") == k) & v.isNotNull(), F.col(seq))).alias(f"wk_{k}")
             for k in range(n)]
@@ -104,7 +104,7 @@ def period_long(rows: DataFrame, *, value: str, n: int | None = DEFAULT_WEEKS,
     over every week of the input."""
     slots = week_slots(rows, value=value, n=n, by=by, row_keys=row_keys, period=period)
     slots = slots.where(F.col("slot").isNotNull())
-    j = rows.join(F.broadcast(slots), [*by, period], "inner")
+    j = rows.join(by_calendar(slots, by), [*by, period], "inner")
     v = F.col(value)
     cells = (j.groupBy(*by, *row_keys, period, "slot")
              .agg(F.min_by(v, F.when(v.isNotNull(), F.col(seq))).alias("value")))
