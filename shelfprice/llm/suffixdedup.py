@@ -191,23 +191,43 @@ def _contexts(rows: DataFrame, wanted: DataFrame, whole: bool) -> DataFrame:
                        *([("ctx", pa.binary())] if whole else [("d1", pa.int64()), ("d2", pa.int64())])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []  # (hash, reach, n, place, id, u) arrays of a document
+        parts: list[bytes] = []
+
+        def made() -> pa.RecordBatch:
+            hashes, reach, n, place = (np.concatenate([x[i] for x in held]) for i in range(4))
+            many = [len(x[0]) for x in held]
+            known = np.repeat([x[4] is not None for x in held], many)
+            ids = np.repeat(np.array([x[4] or 0 for x in held], np.int64), many)
+            if whole:
+                last = [pa.array(parts, pa.binary())]
+            else:
+                d = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), np.int64).reshape(-1, 2)
+                last = [pa.array(np.ascontiguousarray(d[:, 0])), pa.array(np.ascontiguousarray(d[:, 1]))]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(hashes), pa.array((reach & 0x3FFF).astype(np.int32)), pa.array(n), pa.array(ids, mask=~known),
+                 pa.array(np.repeat(np.array([x[5] for x in held], np.int64), many)), pa.array(place.astype(np.int32)), *last],
+                schema=kinds)
+
         for batch in batches:
-            for row in range(batch.num_rows):
-                at = batch.column("at")[row].values
-                place, reach, hashes, n = (at.field(x).to_numpy(zero_copy_only=False) for x in ("place", "reach", "hash", "n"))
-                mine = reach >> 14 == batch.column("c")[row].as_py()
-                place, reach, hashes, n = place[mine], reach[mine], hashes[mine], n[mine]
-                t = batch.column("t")[row].as_py()
-                parts = [t[a:b] for a, b in zip((place - (reach >> 7 & 127)).tolist(), (place - (reach & 127) + LENGTH).tolist())]
-                if whole:
-                    made = [pa.array(parts, pa.binary())]
-                else:
-                    d = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), np.int64).reshape(-1, 2)
-                    made = [pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())]
-                same = [pa.array([batch.column(x)[row].as_py()] * len(parts), pa.int64()) for x in ("id", "u")]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes, pa.int64()), pa.array(reach & 0x3FFF, pa.int32()), pa.array(n, pa.int64()), *same,
-                     pa.array(place, pa.int32()), *made], schema=kinds)
+            lists = batch.column("at")
+            edges = lists.offsets.to_numpy()
+            every = {x: lists.values.field(x).to_numpy(zero_copy_only=False) for x in ("hash", "reach", "n", "place")}
+            columns = zip(*(batch.column(x).to_pylist() for x in ("id", "u", "c")), batch.column("t"))
+            for row, (key, u, c, t) in enumerate(columns):
+                hashes, reach, n, place = (x[edges[row]:edges[row + 1]] for x in every.values())
+                mine = reach >> 14 == c
+                if not mine.all():
+                    hashes, reach, n, place = hashes[mine], reach[mine], n[mine], place[mine]
+                t = t.as_py()
+                parts += [t[a:b] for a, b in zip((place - (reach >> 7 & 127)).tolist(),
+                                                 (place - (reach & 127) + LENGTH).tolist())]
+                held.append((hashes, reach, n, place, key, u))
+                if len(parts) >= 16384:
+                    yield made()
+                    held, parts = [], []
+        if held:
+            yield made()
 
     schema = "hash long, reach int, n long, id long, u long, place int, " + ("ctx binary" if whole else "d1 long, d2 long")
     return _some(rows, wanted).join(wanted, "u").select("id", "u", "c", "t", "at").mapInArrow(run, schema)
