@@ -19,8 +19,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the lines that an earlier one nearly equals."""
-    out = linededup.drop_lines(docs)
+    """Every document, without the lines that an earlier one nearly equals (one word edit,
+    two from 20 words on)."""
+    out = linededup.drop_lines(docs, two_from=20)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 

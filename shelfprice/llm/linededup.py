@@ -3,7 +3,8 @@
 A line's words are its parts between white space. A line occurrence is removed when an
 earlier occurrence, by (doc_id, line number), holds the same words, or, if both lines
 have at least ``min_words`` words, words at an edit distance of one (one word put in,
-left out or replaced). Lines are judged on the input, not on what is left.
+left out or replaced); with ``two_from``, of two where both have that many words. Lines
+are judged on the input, not on what is left.
 
 1. Every line occurrence becomes one narrow row: 128-bit hash, position, word count
    and the hashes of its first and last m words (m: about half the words, the same
@@ -23,6 +24,15 @@ left out or replaced). Lines are judged on the input, not on what is left.
 6. A line hash's limit is the earliest of its first position and its verified
    partners'; every occurrence after the limit goes.
 
+Two edits (``two_from``) go the same way besides it. Of three parts of m words (m: about
+a third, anchored at the start, near the start and at the end) the first one intact
+after as many edits as parts shares its key, the middle one at a shift of one at most.
+A line that shares such a key is cut into pieces (``PIECES``): two edits lie in two
+pieces, and partners agree outside them at a shift. Of the lines that so agree each is
+verified against the earliest; only those that this does not settle are verified against
+all earlier ones. This loses no pair. A group whose lines agree outside two pieces and are
+yet further apart is compared pair by pair: its cost is the square of its size.
+
 All aggregates are minima and counts (map-side); joins on a line or variant hash are
 exchanged for themselves, so that a line that makes up a third of all rows is split.
 Before the join of step 2, rows are tested against a broadcast set of row-key buckets
@@ -37,6 +47,9 @@ an empty one.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +60,7 @@ ROW = ["_r1", "_r2"]
 LINE = ["_h1", "_h2"]
 BLOCK = 8
 BUCKETS = 1 << 20
+PIECES = 4
 
 
 def _words(line: Column) -> Column:
@@ -69,21 +83,44 @@ def _rows(df: DataFrame, id_col: str, text: str) -> DataFrame:
                      F.col(id_col).alias("_id"), F.col(text).alias("_text"))
 
 
+def _split(rows: DataFrame) -> DataFrame:
+    return (rows.select(*ROW, "_id", F.posexplode(F.split("_text", "\n")).alias("_no", "_line"))
+            .select(*ROW, "_id", "_no", _words(F.col("_line")).alias("_w"))
+            .withColumn("_n", F.size("_w")).where("_n > 0"))
+
+
+def _hashes() -> list[Column]:
+    return [F.xxhash64("_w").alias("_h1"), F.xxhash64(F.lit(1), "_w").alias("_h2")]
+
+
 def line_table(rows: DataFrame, min_words: int) -> DataFrame:
     """One narrow row per line with words."""
-    lines = (rows.select(*ROW, "_id", F.posexplode(F.split("_text", "\n")).alias("_no", "_line"))
-             .select(*ROW, "_id", "_no", _words(F.col("_line")).alias("_w"))
-             .withColumn("_n", F.size("_w")).where("_n > 0"))
+    lines = _split(rows)
     w, n = F.col("_w"), F.col("_n")
     m, shorter = _half(n), _half(n - 1)
     return lines.select(
-        *ROW, "_id", "_no",
-        F.xxhash64("_w").alias("_h1"), F.xxhash64(F.lit(1), "_w").alias("_h2"),
+        *ROW, "_id", "_no", *_hashes(),
         F.when(n >= min_words, F.when((n > min_words) & (shorter != m),
                                       F.array(*_ends(w, n, m), *_ends(w, n, shorter)))
                .otherwise(F.array(*_ends(w, n, m)))).alias("_keys"))
 
 
+def two_edit_table(rows: DataFrame, two_from: int) -> DataFrame:
+    """One row per line of ``two_from`` words or more, with keys of three of its parts."""
+    w, n = F.col("_w"), F.col("_n")
+
+    def third(words: Column) -> Column:
+        return F.floor(words / 9).cast("int") * 3
+
+    def parts(m: Column) -> list[Column]:
+        return [F.xxhash64(F.lit(3), m, F.slice(w, F.lit(1), m)), F.xxhash64(F.lit(5), m, F.slice(w, n - m + 1, m)),
+                *(F.xxhash64(F.lit(4), m, F.slice(w, m + k, m)) for k in range(3))]
+    m, shorter = third(n), third(F.greatest(n - 2, F.lit(two_from)))
+    return _split(rows).where(n >= two_from).select(
+        *ROW, "_id", "_no", *_hashes(),
+        F.when(shorter != m, F.array(*parts(m), *parts(shorter))).otherwise(F.array(*parts(m))).alias("_keys"))
+
+
 def _pos() -> Column:
     """(id, line number) as one number of a fixed width."""
     first = F.coalesce(F.col("_id").cast("decimal(20,0)"), F.lit("-9223372036854775809").cast("decimal(20,0)"))
@@ -103,17 +140,46 @@ def edit_distance_is_one_or_less(a: Column, b: Column) -> Column:
             .when(F.size(a) == F.size(b) + 1, put_in(b, a)).otherwise(False))
 
 
-def _lines_with_partners(rows: DataFrame, lines: DataFrame) -> DataFrame:
+def edit_distance_is_two_or_less(a: Column, b: Column) -> Column:
+    """Of two word arrays."""
+    def rest(s: Column, at: Column) -> Column:
+        return F.slice(s, at, F.size(s))
+    differs = F.array_position(F.zip_with(a, b, lambda p, q: ~p.eqNullSafe(q)), True).cast("int")
+    # 0: the arrays are equal; the first word that differs is replaced, left out or put in
+    after = [(1, 1), (0, 1), (1, 0)]
+    return F.when(differs == 0, True).when(F.abs(F.size(a) - F.size(b)) > 2, False).otherwise(reduce(or_, (
+        edit_distance_is_one_or_less(rest(a, differs + i), rest(b, differs + j)) for i, j in after)))
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.col(key), F.lit(BUCKETS))
+
+
+def _agreeing(keyed: DataFrame, member: str) -> DataFrame:
+    """The rows of ``keyed`` whose ``_key`` another ``member`` has too. Rows are first
+    tested against a broadcast set of key buckets, so that few are exchanged again."""
+    shared = landed(keyed.groupBy("_key").agg(F.min(member).alias("_lo"), F.max(member).alias("_hi"))
+                    .where("_lo < _hi").select("_key"), "line-shared")
+    some = (keyed.withColumn("_b", _bucket("_key"))
+            .join(F.broadcast(shared.select(_bucket("_key").alias("_b")).distinct()), "_b", "left_semi").drop("_b"))
+    return join_spread(some, shared, "_key")
+
+
+def _lines_with_partners(rows: DataFrame, lines: DataFrame, many_keys: bool = False) -> DataFrame:
     """(line hash, _pos, _i, _w) of the distinct lines that another line agrees with at
     one end; ``_i`` numbers them in the order of their first positions."""
     keyed = lines.where("_keys is not null").select(*LINE, *ROW, "_id", "_no", F.explode("_keys").alias("_key"))
-    shared = (keyed.groupBy("_key").agg(F.min("_h1").alias("_lo"), F.max("_h1").alias("_hi"))
-              .where("_lo < _hi").select("_key"))
+    if many_keys:
+        agreeing = _agreeing(keyed, "_h1")
+    else:
+        shared = (keyed.groupBy("_key").agg(F.min("_h1").alias("_lo"), F.max("_h1").alias("_hi"))
+                  .where("_lo < _hi").select("_key"))
+        agreeing = join_spread(keyed, shared, "_key")
     # the first occurrence stands for a line; its row gives the words
-    found = landed(join_spread(keyed, shared, "_key").groupBy(*LINE)
+    found = landed(agreeing.groupBy(*LINE)
                    .agg(F.min(F.struct(_pos().alias("_pos"), "_no", *ROW)).alias("_s")).select(*LINE, "_s.*"),
                    "line-places")
-    bucket = F.pmod(F.col("_r1"), F.lit(BUCKETS))
+    bucket = _bucket("_r1")
     wanted = found.groupBy(*ROW).agg(F.collect_list(F.struct(*LINE, "_pos", "_no")).alias("_at"))
     some = rows.withColumn("_b", bucket).join(
         F.broadcast(found.select(bucket.alias("_b")).distinct()), "_b", "left_semi")
@@ -164,15 +230,56 @@ def _partners(rows: DataFrame, lines: DataFrame) -> DataFrame:
             .where(edit_distance_is_one_or_less(F.col("_w"), F.col("_ew"))).select(*LINE, "_c"))
 
 
-def dedup_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", min_words: int = 8) -> DataFrame:
+def _piece_keys(line: DataFrame, two_from: int) -> DataFrame:
+    """(_i, _key): hashes of a line without two of its pieces (_p and _q), in the frame of
+    its own length and of ``_d`` words less, the words between the two at every shift."""
+    ways = [F.struct(F.lit(d).alias("_d"), F.lit(p).alias("_p"), F.lit(q).alias("_q"), F.lit(s).alias("_s"))
+            for d in range(3) for p in range(PIECES) for q in range(p + 1, PIECES)
+            for s in ([0] if q == p + 1 else [-1, 0, 1] if d == 0 else range(d + 1))]
+    w, n, d = F.col("_w"), F.size("_w"), F.col("_d")
+    frame = n - d
+
+    def cut(piece: Column) -> Column:
+        return F.floor(frame * piece / PIECES).cast("int")
+    start, end, last = cut(F.col("_p") + 1), cut(F.col("_q")), cut(F.col("_q") + 1)
+    return (line.select("_i", "_w", F.explode(F.array(*ways)).alias("_way")).select("_i", "_w", "_way.*")
+            .where(frame >= two_from).select("_i", F.xxhash64(
+                frame, "_p", "_q", F.slice(w, F.lit(1), cut(F.col("_p"))),
+                F.slice(w, start + F.col("_s") + 1, end - start), F.slice(w, last + d + 1, n)).alias("_key")))
+
+
+def _two_edit_partners(rows: DataFrame, two_from: int) -> DataFrame:
+    """(line hash, position of an earlier line at an edit distance of up to two), at
+    least one for each line that has such a line."""
+    line = _lines_with_partners(rows, two_edit_table(rows, two_from), many_keys=True)
+    member = landed(_agreeing(_piece_keys(line, two_from), "_i").distinct(), "line-members")
+    other = line.select(F.col("_i").alias("_e"), F.col("_w").alias("_ew"), F.col("_pos").alias("_c"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return (pairs.distinct().join(line, "_i").join(other, "_e").where("_c < _pos")
+                .where(edit_distance_is_two_or_less(F.col("_w"), F.col("_ew"))).select(*LINE, "_i", "_c"))
+    earliest = member.groupBy("_key").agg(F.min("_i").alias("_e"))
+    settled = landed(verified(join_spread(member, earliest, "_key").where("_e < _i").select("_i", "_e")), "line-settled")
+    open_ = member.join(settled.select("_i").distinct(), "_i", "left_anti")
+    rest = verified(open_.join(member.select("_key", F.col("_i").alias("_e")), "_key").where("_e < _i").select("_i", "_e"))
+    return settled.union(rest).select(*LINE, "_c")
+
+
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", min_words: int = 8,
+                two_from: int | None = None) -> DataFrame:
     """(id, n_lines, removed, kept_text) and the row key columns ``ROW``, one row per
     input row; ``removed`` is the sorted array of the line numbers that go."""
     if min_words < 8:
         raise ValueError("lines of under eight words are too short to lose one")
+    if two_from is not None and two_from < 16:
+        raise ValueError("lines of under sixteen words are too short to lose two")
     rows = _rows(df, id_col, text)
     lines = landed(line_table(rows, min_words), "lines")
     firsts = lines.groupBy(*LINE).agg(F.min(_pos()).alias("_first"), F.max(_pos()).alias("_last"))
-    near = _partners(rows, lines).groupBy(*LINE).agg(F.min("_c").alias("_c"))
+    partners = _partners(rows, lines)
+    if two_from is not None:
+        partners = partners.union(_two_edit_partners(rows, two_from))
+    near = partners.groupBy(*LINE).agg(F.min("_c").alias("_c"))
     limits = (firsts.join(near, LINE, "left").where("_first < _last or _c is not null")
               .select(*LINE, F.least("_first", "_c").alias("_limit")))
     gone = (join_spread(lines.select(*LINE, *ROW, "_id", "_no"), limits, LINE)
@@ -186,9 +293,10 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", min_w
         F.coalesce("_gone", F.array().cast("array<int>")).alias("removed"), kept.alias("kept_text"))
 
 
-def drop_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", min_words: int = 8) -> DataFrame:
+def drop_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", min_words: int = 8,
+               two_from: int | None = None) -> DataFrame:
     """``df``, its columns in order, with the removed lines taken out of ``text``."""
-    made = dedup_lines(df, id_col, text, min_words)
+    made = dedup_lines(df, id_col, text, min_words, two_from)
     # the other columns join by the row key; rows that repeat as a whole once
     rest = [c for c in df.columns if c not in (id_col, text)]
     if not rest:

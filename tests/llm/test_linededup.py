@@ -98,3 +98,36 @@ def test_edit_distance(spark, a, b, near):
         linededup.edit_distance_is_one_or_less(F.col("a"), F.col("b")).alias("x"),
         linededup.edit_distance_is_one_or_less(F.col("b"), F.col("a")).alias("y")).first()
     assert (row.x, row.y) == (bool(near), bool(near))
+
+
+def test_two_edits_against_brute_force(spark):
+    rnd = random.Random(5)
+    vocabulary = "a b c d".split()
+    base = [[rnd.choice(vocabulary) for _ in range(rnd.choice([18, 19, 20, 21, 22, 27, 36, 57, 300]))] for _ in range(25)]
+    lines = []
+    for _ in range(300):
+        w = list(rnd.choice(base))
+        for _ in range(rnd.choice([0, 1, 1, 2, 3])):
+            at = rnd.randrange(len(w))
+            w[at:at + rnd.randrange(2)] = [rnd.choice(vocabulary)] * rnd.randrange(2)
+        lines.append(w)
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(lines)], "doc_id long, text string")
+    kept = {}
+    for two_from in (None, 20):
+        made = {r.doc_id: r.text for r in linededup.drop_lines(df.repartition(3), two_from=two_from).collect()}
+        kept[two_from] = {d for d, t in made.items() if t}
+    want = {d for d, w in enumerate(lines) if not any(
+        abs(len(w) - len(v)) < 3 and distance(w, v) <= (2 if min(len(w), len(v)) >= 20 else 1) for v in lines[:d])}
+    assert kept[20] == want and len(kept[None]) > len(want) + 10
+    assert linededup.drop_lines(df.limit(0), two_from=20).count() == 0
+    with pytest.raises(ValueError):
+        linededup.drop_lines(df, two_from=15)
+
+
+def test_pipeline_drops_a_line_with_two_words_changed(spark):
+    import corpus_pipeline
+    line = [f"w{i}" for i in range(57)]
+    near = line[:9] + ["new"] + line[10:40] + line[41:]
+    df = spark.createDataFrame([(1, " ".join(line)), (2, " ".join(near)), (3, " ".join(near[:-2]))], "doc_id long, text string")
+    made = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, df, "").collect()}
+    assert made == {1: " ".join(line), 2: "", 3: ""}
