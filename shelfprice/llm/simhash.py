@@ -161,28 +161,34 @@ def links(fps: DataFrame, max_bits: int = 2, bucket: int = 32) -> DataFrame:
     return few.union(many).distinct()
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 3,
-                    max_bits: int = 2, bucket: int = 32, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(id, columns of ``carry``, fp, component_id) of every row."""
+def _rooted(df: DataFrame, id_col: str, text: str, words: int, max_bits: int, bucket: int,
+            carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, columns of ``carry``, fp, component_id, _root) of every row; ``_root`` is the
+    smallest fingerprint of the component, which no other component has."""
     made = landed(fingerprints(df, id_col, text, words, carry), "simhash")
     distinct = landed(made.groupBy("fp").agg(F.min(id_col).alias("rep")), "simhash-distinct")
     roots = cut(components(links(distinct, max_bits, bucket)))
     nodes = distinct.join(roots, distinct.fp == roots.node, "left") \
-        .select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    smallest = nodes.groupBy("root").agg(F.min("rep").alias("component_id"))
-    classes = landed(join_spread(nodes, smallest, "root").select("fp", "component_id"), "simhash-classes")
-    return made.join(classes, "fp").select(id_col, *carry, "fp", "component_id")
+        .select("fp", "rep", F.coalesce("root", "fp").alias("_root"))
+    smallest = nodes.groupBy("_root").agg(F.min("rep").alias("component_id"))
+    classes = landed(join_spread(nodes, smallest, "_root").select("fp", "component_id", "_root"), "simhash-classes")
+    return made.join(classes, "fp").select(id_col, *carry, "fp", "component_id", "_root")
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 3,
+                    max_bits: int = 2, bucket: int = 32) -> DataFrame:
+    """(id, fp, component_id) of every row."""
+    return _rooted(df, id_col, text, words, max_bits, bucket).drop("_root")
 
 
 def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
     """``docs``, its columns in order, with one document of each component: that of the
-    smallest id, and of several rows of that id the one of the smallest row hash (rows
-    that repeat it as a whole stay with it)."""
+    smallest id, and of several rows of that id, or where all ids are null, the one of the
+    smallest row hash (rows that repeat it as a whole stay with it)."""
     keyed = docs.select("*", F.xxhash64(*docs.columns).alias("_row"))
-    found = near_duplicates(keyed, words=words, max_bits=max_bits, carry=("_row",))
+    found = _rooted(keyed, "doc_id", "text", words, max_bits, 32, ("_row",))
     stays = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("_fp"))
-             .agg(F.min("_row").alias("_row")).select("_row").distinct())
+             .groupBy("_root").agg(F.min("_row").alias("_row")).select("_row").distinct())
     return join_spread(keyed, stays, "_row", "left_semi").select(*docs.columns)
 
 

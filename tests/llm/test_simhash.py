@@ -102,3 +102,20 @@ def test_chain_and_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (None, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "x long, y long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(50)}}
+
+
+def test_keep_one_with_repeated_and_null_ids(spark):
+    rnd = random.Random(4)
+
+    def linked():
+        base = [f"word{rnd.randrange(90)}" for _ in range(400)]
+        while True:
+            other = list(base)
+            other[rnd.randrange(400)] = "new"
+            if 1 <= (slow(" ".join(base)) ^ slow(" ".join(other))).bit_count() <= 2:
+                return " ".join(base), " ".join(other)
+    (a, a2), (b, b2), (c, c2) = linked(), linked(), linked()
+    rows = [(1, a), (2, a2), (1, b), (3, b2), (None, c), (None, c2)]
+    kept = [tuple(r) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert (1, a) in kept and (1, b) in kept and len(kept) == 3
+    assert [r for r in kept if r[0] is None][0][1] in (c, c2)
