@@ -12,7 +12,9 @@ its processed postings and, for each other dimension, of the highest impact not
 processed there. The vectors with the best bounds are scored exactly, which gives a floor
 under the k-th best score; all vectors whose bound is under the floor are proven out. If
 few are left, they are rescored exactly and the search stops; else it goes down to the
-next level. The last one leaves no segment out, so the search always ends with a proof.
+next level. There are two (``LEVELS``): all segments of an impact over -0.05 times the
+highest, in the order of dimensions, then the rest. So falling impact decides one early stop
+only. The last level leaves no segment out, so the search always ends with a proof.
 Nothing is approximate, no list is cut.
 
 Blocks of queries meet blocks of the index by an equal join on both block numbers; the
