@@ -55,3 +55,10 @@ def join_spread(left: DataFrame, right: DataFrame, key: str | list[str], how: st
     c, keys = "_spread", [key] if isinstance(key, str) else list(key)
     return (left.withColumn(c, F.xxhash64(*keys))
             .join(right.withColumn(c, F.xxhash64(*keys)), [*keys, c], how).drop(c))
+
+
+def crc32_sql(s: str) -> str:
+    """CRC-32 of an ASCII string in SQL: a byte is folded in, then eight bits are shifted out."""
+    bits = f"list_transform(range(1, length({s}) + 1), lambda i: [ascii(substr({s}, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])"
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], flatten({bits})), lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) "
+            "ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295::BIGINT)")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, linededup, sharding, simhash, suffixdedup, topk, toxicity, warc
+from . import (bpe, chat, decontaminate, imatch, linededup, merkle, prefixtrie, sharding, simhash, suffixdedup, topk,
+               toxicity, warc)
 
 QUERIES = {
     "op1_byte_level_bpe": bpe.query,
@@ -15,10 +16,16 @@ QUERIES = {
     "op8_sharding": sharding.query,
     "op9_decontamination": decontaminate.query,
     "op10_warc": warc.query,
+    "op11_prefix_trie": prefixtrie.query,
+    "op12_merkle_manifest": merkle.query,
+    "op13_imatch": imatch.query,
 }
 
 ORACLE: dict[str, str] = {
     "op3_exact_top_k": topk.SQL,
     "op4_line_dedup": linededup.SQL,
     "op10_warc": warc.SQL,
+    "op11_prefix_trie": prefixtrie.SQL,
+    "op12_merkle_manifest": merkle.SQL,
+    "op13_imatch": imatch.SQL,
 }

@@ -20,6 +20,12 @@ COLUMNS = {
     "op9_decontamination": {"doc_id": "bigint", "n_hits": "bigint", "item_ids": "array<bigint>", "contaminated": "int"},
     "op10_warc": {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string",
                   "refers_to": "bigint"},
+    "op11_prefix_trie": {"conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint",
+                         "n_children": "bigint", "n_leaves": "bigint", "saved_tokens": "bigint", "ends_sha256": "string"},
+    "op12_merkle_manifest": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string",
+                             "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
+    "op13_imatch": {"doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string",
+                    "edited_fingerprint": "string", "near_edited": "double", "near_next": "double"},
 }
 
 
