@@ -142,7 +142,8 @@ def with_next(df: DataFrame, key: str, text: str, buckets: int) -> DataFrame:
     rows = df.withColumn("_h", h)
     # one number in the order of (key, hash), rounded; null keys are before all others
     x = F.when(F.col(key).isNotNull(), F.col(key) * F.lit(2.0 ** 64) + F.col("_h"))
-    cuts = rows.select(x.alias("x")).where("x is not null").approxQuantile("x", [k / buckets for k in range(1, buckets)], 0.1 / buckets)
+    shares = [k / buckets for k in range(1, buckets)]
+    cuts = rows.select(x.alias("x")).where("x is not null").approxQuantile("x", shares, 0.1 / buckets) if shares else []
     edges = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))] or [F.lit(0.0)])
     steps = F.array(*[F.lit(1 << k) for k in range(buckets.bit_length(), -1, -1)])
     # binary search for the number of edges at or below x

@@ -67,7 +67,7 @@ def test_against_brute_force():
     assert [{h[0] for h in hits} for hits in got] == want(items, texts)
     for t, hits in zip(texts, got):
         for i, a, b, e in hits:
-            part = D.normal(t[a:b])
+            part = D.normal(f"x{t[a:b]}x")[1:-1]  # blanks at the edges count
             x = D.normal(dict(items)[i])
             starts = {*range(0, max(1, len(x) - D.UNIT + 1), D.STRIDE), max(0, len(x) - D.UNIT)}
             assert min(nearest(x[s:s + D.UNIT], part) for s in starts) <= e
