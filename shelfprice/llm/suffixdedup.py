@@ -4,9 +4,9 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier:
 document of smaller id, or earlier in the same one. Strings are judged on the input.
 
 1. Shards. Documents are gathered, where they lie, into shards of about ``SHARD`` bytes
-   (a longer document is cut into pieces that overlap by LENGTH - 1). A shard's suffix
-   array is made by Larsson-Sadakane refinement and its common prefixes by Kasai's scan
-   (``suffixes``). Runs of suffixes that share LENGTH bytes are the equal strings; all
+   (a longer document is cut into pieces that overlap by LENGTH - 1). The suffix array
+   of a shard, but for the stretches whose grams occur nowhere else in it, is made by
+   Larsson-Sadakane refinement and its common prefixes by Kasai's scan (``suffixes``). Runs of suffixes that share LENGTH bytes are the equal strings; all
    but a run's earliest are decided here, whatever other shards hold.
 2. What may repeat elsewhere. Every string has an anchor: its ``GRAM`` bytes of least
    hash, so equal strings have equal anchors at the same place. For each anchor of
@@ -106,6 +106,31 @@ def joined(spans_from: np.ndarray, spans_to: np.ndarray) -> tuple[np.ndarray, np
     return a[new], b[np.append(np.flatnonzero(new)[1:] - 1, len(a) - 1)]
 
 
+def again_in_shard(text: np.ndarray, valid: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """``repeats`` of a shard. A string can only repeat if each of its grams does, so the
+    suffix array is made of the stretches where all grams of a string share their bucket
+    (by ``h``) with another gram; that loses no repeat."""
+    bucket = (h >> np.uint64(41)).astype(np.int64)
+    many = np.bincount(bucket, minlength=1 << 23)[bucket] > 1
+    edges = np.flatnonzero(np.diff(many, prepend=False, append=False))
+    # the strings from begin to end - 1 have repeated grams only
+    begin, end = edges[::2], edges[1::2] - (LENGTH - GRAM)
+    begin, end = begin[end > begin], end[end > begin]
+    begin, stop = joined(begin, end + LENGTH - 1)
+    whole = np.zeros(len(text) + 1, np.int64)
+    np.add.at(whole, begin, 1)
+    np.add.at(whole, np.minimum(stop, len(text)), -1)
+    keep = np.flatnonzero(np.cumsum(whole[:-1]))
+    out = np.zeros(len(text), bool)
+    out[keep] = repeats(text[keep], valid[keep] & _all_after(many, LENGTH - GRAM + 1)[keep], LENGTH)
+    return out
+
+
+def _all_after(flags: np.ndarray, width: int) -> np.ndarray:
+    """Are the ``width`` flags from every place on all set (fewer at the end)?"""
+    return _slide(flags.view(np.uint8), width).astype(bool)
+
+
 def shard_rows(units: list[tuple]) -> list[dict]:
     """``units``: (id, u, check, piece, base, bytes). Steps 1 and 2 for one shard."""
     # rows that repeat as a whole have one key and are looked at once
@@ -114,9 +139,8 @@ def shard_rows(units: list[tuple]) -> list[dict]:
     ends = np.cumsum(sizes)
     text = np.frombuffer(b"".join(x[5] for x in units), np.uint8)
     valid = np.arange(len(text)) + LENGTH <= np.repeat(ends, sizes)
-    again = repeats(text, valid, LENGTH)
-    first = words8(np.append(text, END))[:len(text)]
-    h = gram_hashes(first)
+    h = gram_hashes(words8(np.append(text, END))[:len(text)])
+    again = again_in_shard(text, valid, h)
     order = _slide((h & ~PLACE) | np.arange(len(h), dtype=np.uint64), LENGTH - GRAM + 1)
     at = np.flatnonzero(valid & ~again)
     anchor = (order[at] & PLACE).astype(np.int64)
@@ -306,12 +330,15 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         F.arrays_zip("from", "to"), lambda s: F.struct(s["from"].alias("from"), s["to"].alias("to")))).alias("s"), "check")
     own = own.select("u", "s.from", "s.to", "check")
     # a piece of a document counts as a document of its own
-    anchors = shards.select("u", "piece", F.explode(F.arrays_zip("hash", "place", "reach")).alias("a")).select(
-        "u", "piece", "a.*")
     unit = F.when(F.col("piece") == 0, F.col("u")).otherwise(F.xxhash64("u", "piece"))
-    shared = (anchors.groupBy("hash").agg(F.min(unit).alias("_lo"), F.max(unit).alias("_hi"))
-              .where("_lo < _hi").select("hash"))
-    wanted = landed(_by_document(join_spread(anchors, shared, "hash"), F.lit(0).cast("long")), "shared-anchors")
+    shared = landed(shards.select(unit.alias("unit"), F.explode("hash").alias("hash")).groupBy("hash")
+                    .agg(F.min("unit").alias("_lo"), F.max("unit").alias("_hi")).where("_lo < _hi").select("hash"), "shared-hashes")
+    # narrow rows, exchanged for this join only (``shared`` is a table), so hot keys can be split
+    anchors = shards.select("u", F.explode(F.arrays_zip("hash", "place", "reach")).alias("a")).select(
+        "a.hash", "u", F.shiftleft(F.col("a.place").cast("long"), 32).bitwiseOR(F.col("a.reach").cast("long")).alias("at"))
+    found = anchors.join(shared, "hash").select("hash", "u", F.shiftright("at", 32).cast("int").alias("place"),
+                                                F.col("at").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("reach"))
+    wanted = landed(_by_document(found, F.lit(0).cast("long")), "shared-anchors")
     digests = landed(_contexts(rows, wanted, False), "contexts")
     same = ["hash", "reach", "d1", "d2"]
     reps = landed(digests.groupBy(*same).agg(F.min(F.struct("id", "u", "place")).alias("f")), "first-contexts")
