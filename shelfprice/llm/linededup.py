@@ -29,9 +29,11 @@ a third, anchored at the start, near the start and at the end) the first one int
 after as many edits as parts shares its key, the middle one at a shift of one at most.
 A line that shares such a key is cut into pieces (``PIECES``): two edits lie in two
 pieces, and partners agree outside them at a shift. Of the lines that so agree each is
-verified against the earliest; only those that this does not settle are verified against
-all earlier ones. This loses no pair. A group whose lines agree outside two pieces and are
-yet further apart is compared pair by pair: its cost is the square of its size.
+verified against the earliest. Those that this does not settle are verified against the
+earlier ones of their group, if the group leaves ``FEW`` of them at most. If it leaves more,
+all its lines emit their deletion neighbourhood of two words inside the two pieces, typed
+by place, so that here, too, a line is only compared with the earliest of equal keys.
+This loses no pair, and no group costs the square of its size.
 
 All aggregates are minima and counts (map-side); joins on a line or variant hash are
 exchanged for themselves, so that a line that makes up a third of all rows is split.
@@ -55,16 +57,20 @@ from pyspark.sql import functions as F
 
 from .common import join_spread, landed, table
 
-BLANK = "[ \\t\\r\\x0B\\f]+"
+BLANK, BLANKS = "[\\t\\r\\x0B\\f]", "\t\r\x0b\f"
 ROW = ["_r1", "_r2"]
 LINE = ["_h1", "_h2"]
 BLOCK = 8
 BUCKETS = 1 << 20
 PIECES = 4
+FEW = 256
 
 
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(line, BLANK), "")
+    """A split by one character is far faster than by a pattern, so the few lines with other
+    blanks get spaces for them."""
+    plain = F.when(line.rlike(BLANK), F.translate(line, BLANKS, " " * len(BLANKS))).otherwise(line)
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def _half(n: Column) -> Column:
@@ -77,6 +83,17 @@ def _ends(w: Column, n: Column, m: Column) -> list[Column]:
             F.xxhash64(F.lit(2), m, F.slice(w, n - m + 1, m))]
 
 
+def _part(tag: int, m: Column, start: Column) -> Column:
+    return F.struct(F.lit(tag).alias("tag"), m.cast("int").alias("m"), start.cast("int").alias("start"))
+
+
+def _hashed_parts(w: Column, parts: list[Column]) -> Column:
+    """The distinct hashes of many parts (tag, number of words, first word) of ``w``: one hash
+    in a function over the parts, as ten hash expressions make a method too long for
+    the JVM's compiler."""
+    return F.array_distinct(F.transform(F.array(*parts), lambda x: F.xxhash64(x["tag"], x["m"], F.slice(w, x["start"], x["m"]))))
+
+
 def _rows(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """The input with a 128-bit key of each row."""
     return df.select(F.xxhash64(*df.columns).alias("_r1"), F.xxhash64(F.lit(1), *df.columns).alias("_r2"),
@@ -93,32 +110,20 @@ def _hashes() -> list[Column]:
     return [F.xxhash64("_w").alias("_h1"), F.xxhash64(F.lit(1), "_w").alias("_h2")]
 
 
-def line_table(rows: DataFrame, min_words: int) -> DataFrame:
-    """One narrow row per line with words."""
-    lines = _split(rows)
+def line_table(rows: DataFrame, min_words: int, two_from: int | None = None) -> DataFrame:
+    """One narrow row per line with words: ``_keys`` of its ends, and with ``two_from``
+    ``_keys2`` of three of its parts, null for shorter lines."""
     w, n = F.col("_w"), F.col("_n")
     m, shorter = _half(n), _half(n - 1)
-    return lines.select(
-        *ROW, "_id", "_no", *_hashes(),
-        F.when(n >= min_words, F.when((n > min_words) & (shorter != m),
-                                      F.array(*_ends(w, n, m), *_ends(w, n, shorter)))
-               .otherwise(F.array(*_ends(w, n, m)))).alias("_keys"))
-
-
-def two_edit_table(rows: DataFrame, two_from: int) -> DataFrame:
-    """One row per line of ``two_from`` words or more, with keys of three of its parts."""
-    w, n = F.col("_w"), F.col("_n")
-
-    def third(words: Column) -> Column:
-        return F.floor(words / 9).cast("int") * 3
-
-    def parts(m: Column) -> list[Column]:
-        return [F.xxhash64(F.lit(3), m, F.slice(w, F.lit(1), m)), F.xxhash64(F.lit(5), m, F.slice(w, n - m + 1, m)),
-                *(F.xxhash64(F.lit(4), m, F.slice(w, m + k, m)) for k in range(3))]
-    m, shorter = third(n), third(F.greatest(n - 2, F.lit(two_from)))
-    return _split(rows).where(n >= two_from).select(
-        *ROW, "_id", "_no", *_hashes(),
-        F.when(shorter != m, F.array(*parts(m), *parts(shorter))).otherwise(F.array(*parts(m))).alias("_keys"))
+    out = [F.when(n >= min_words, F.when((n > min_words) & (shorter != m), F.array(*_ends(w, n, m), *_ends(w, n, shorter)))
+                  .otherwise(F.array(*_ends(w, n, m)))).alias("_keys")]
+    if two_from is not None:
+        def third(words: Column) -> Column:
+            return F.floor(words / 9).cast("int") * 3
+        thirds = third(n), third(F.greatest(n - 2, F.lit(two_from)))
+        parts = [p for m in thirds for p in (_part(3, m, F.lit(1)), _part(5, m, n - m + 1), *(_part(4, m, m + k) for k in range(3)))]
+        out.append(F.when(n >= two_from, _hashed_parts(w, parts)).alias("_keys2"))
+    return _split(rows).select(*ROW, "_id", "_no", *_hashes(), *out)
 
 
 def _pos() -> Column:
@@ -165,10 +170,10 @@ def _agreeing(keyed: DataFrame, member: str) -> DataFrame:
     return join_spread(some, shared, "_key")
 
 
-def _lines_with_partners(rows: DataFrame, lines: DataFrame, many_keys: bool = False) -> DataFrame:
-    """(line hash, _pos, _i, _w) of the distinct lines that another line agrees with at
-    one end; ``_i`` numbers them in the order of their first positions."""
-    keyed = lines.where("_keys is not null").select(*LINE, *ROW, "_id", "_no", F.explode("_keys").alias("_key"))
+def _lines_with_partners(rows: DataFrame, lines: DataFrame, keys: str, many_keys: bool = False) -> DataFrame:
+    """(line hash, _pos, _i, _w) of the distinct lines that another line agrees with in
+    one of ``keys``; ``_i`` numbers them in the order of their first positions."""
+    keyed = lines.where(F.col(keys).isNotNull()).select(*LINE, *ROW, "_id", "_no", F.explode(keys).alias("_key"))
     if many_keys:
         agreeing = _agreeing(keyed, "_h1")
     else:
@@ -192,7 +197,7 @@ def _lines_with_partners(rows: DataFrame, lines: DataFrame, many_keys: bool = Fa
 
 def _partners(rows: DataFrame, lines: DataFrame) -> DataFrame:
     """(line hash, position of an earlier line at edit distance one)."""
-    line = _lines_with_partners(rows, lines)
+    line = _lines_with_partners(rows, lines, "_keys")
     w, n = F.col("_w"), F.size("_w")
     # blocks, in the frame of the line's own length and of the length one shorter
     frames = line.select("_i", "_w", F.explode(F.array(n, n - 1)).alias("_n"))
@@ -230,38 +235,112 @@ def _partners(rows: DataFrame, lines: DataFrame) -> DataFrame:
             .where(edit_distance_is_one_or_less(F.col("_w"), F.col("_ew"))).select(*LINE, "_c"))
 
 
-def _piece_keys(line: DataFrame, two_from: int) -> DataFrame:
-    """(_i, _key): hashes of a line without two of its pieces (_p and _q), in the frame of
-    its own length and of ``_d`` words less, the words between the two at every shift."""
-    ways = [F.struct(F.lit(d).alias("_d"), F.lit(p).alias("_p"), F.lit(q).alias("_q"), F.lit(s).alias("_s"))
-            for d in range(3) for p in range(PIECES) for q in range(p + 1, PIECES)
-            for s in ([0] if q == p + 1 else [-1, 0, 1] if d == 0 else range(d + 1))]
-    w, n, d = F.col("_w"), F.size("_w"), F.col("_d")
-    frame = n - d
+def _pieces(n: Column) -> dict[str, Column]:
+    """Where a line of ``n`` words is cut for a way (_d, _p, _q, _s): the first piece that is
+    left out begins at ``a`` and ends at ``b``, the other one begins at ``c`` and ends at ``e``."""
+    d, frame = F.col("_d"), n - F.col("_d")
 
     def cut(piece: Column) -> Column:
         return F.floor(frame * piece / PIECES).cast("int")
-    start, end, last = cut(F.col("_p") + 1), cut(F.col("_q")), cut(F.col("_q") + 1)
-    return (line.select("_i", "_w", F.explode(F.array(*ways)).alias("_way")).select("_i", "_w", "_way.*")
-            .where(frame >= two_from).select("_i", F.xxhash64(
-                frame, "_p", "_q", F.slice(w, F.lit(1), cut(F.col("_p"))),
-                F.slice(w, start + F.col("_s") + 1, end - start), F.slice(w, last + d + 1, n)).alias("_key")))
+    p, q, s = F.col("_p"), F.col("_q"), F.col("_s")
+    return {"a": cut(p), "b": cut(p + 1) + s, "c": cut(q) + s, "e": cut(q + 1) + d}
 
 
-def _two_edit_partners(rows: DataFrame, two_from: int) -> DataFrame:
+WAYS = [(d, p, q, s) for d in range(3) for p in range(PIECES) for q in range(p + 1, PIECES)
+        for s in ([0] if q == p + 1 else [-1, 0, 1] if d == 0 else range(d + 1))]
+
+
+def _piece_keys(line: DataFrame, two_from: int) -> DataFrame:
+    """(_i, _keys): for each of ``WAYS`` the hash of a line without two of its pieces (_p and
+    _q), in the frame of its own length and of ``_d`` words less, the words between the two
+    at a shift ``_s``; null where the frame is too short. Words stand in by their hashes."""
+    n = F.size("_x")
+
+    def key(way: Column) -> Column:
+        d, p, q, s = (way[c] for c in "dpqs")
+        frame = n - d
+
+        def cut(piece: Column) -> Column:
+            return F.floor(frame * piece / PIECES).cast("int")
+        middle = F.slice("_x", cut(p + 1) + s + 1, cut(q) - cut(p + 1))
+        return F.when(frame >= two_from, F.xxhash64(frame, p, q, F.slice("_x", F.lit(1), cut(p)), middle,
+                                                    F.slice("_x", cut(q + 1) + d + 1, n)))
+    ways = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip("dpqs", way)]) for way in WAYS])
+    return line.select("_i", F.transform("_w", lambda x: F.xxhash64(x)).alias("_x")).select(
+        "_i", F.transform(ways, key).alias("_keys"))
+
+
+def _open_variants(member: DataFrame, line: DataFrame) -> DataFrame:
+    """(_i, _v, _role) of lines in a group: the hashed deletion variants of the words in the
+    two pieces, x (with a mark between the pieces), by which any two lines within two
+    edits are found without comparing pairs. Content of x: the whole (role 0), with
+    one word out (1), with two out (2). With a place: two words out and the place of one
+    of them (4), against one word out at that place (3). With two places (5)."""
+    way = F.element_at(F.array(*[F.struct(*[F.lit(v).alias(f"_{c}") for c, v in zip("dpqs", w)]) for w in WAYS]), F.col("_way") + 1)
+    rows = member.join(line.select("_i", F.transform("_w", lambda x: F.xxhash64(x)).alias("_x")), "_i").select(
+        "_i", "_key", "_x", F.size("_x").alias("_n"), way.alias("_y")).select("_i", "_key", "_x", "_n", "_y.*")
+    at = _pieces(F.col("_n"))
+    part = F.concat(F.slice("_x", at["a"] + 1, at["b"] - at["a"]), F.array(F.lit(0).cast("long")),
+                    F.slice("_x", at["c"] + 1, at["e"] - at["c"]))
+    rows = rows.select("_i", "_key", part.alias("_x"), (at["b"] - at["a"]).alias("_mark"))
+    n = F.size("_x")
+    places = F.filter(F.sequence(F.lit(0), n - 1), lambda i: i != F.col("_mark"))
+
+    def out(i: Column, j: Column | None = None) -> Column:
+        if j is None:
+            return F.concat(F.slice("_x", F.lit(1), i), F.slice("_x", i + 2, n))
+        return F.concat(F.slice("_x", F.lit(1), i), F.slice("_x", i + 2, j - i - 1), F.slice("_x", j + 2, n))
+
+    def variant(role: int, kind: int, content: Column, *where: Column) -> Column:
+        where = [*where, F.lit(-1), F.lit(-1)][:2]
+        return F.struct(F.xxhash64("_key", F.lit(kind), *where, content).alias("_v"), F.lit(role).alias("_role"))
+
+    def two(i: Column) -> Column:
+        later = F.filter(F.sequence(i, n - 1), lambda j: (j > i) & (j != F.col("_mark")))
+        return F.flatten(F.transform(later, lambda j: F.array(
+            variant(2, 0, out(i, j)), variant(4, 1, out(i, j), i), variant(4, 1, out(i, j), j - 1), variant(5, 2, out(i, j), i, j))))
+    one = F.flatten(F.transform(places, lambda i: F.array(variant(1, 0, out(i)), variant(3, 1, out(i), i))))
+    every = F.concat(F.array(variant(0, 0, F.col("_x"))), one, F.flatten(F.transform(places, two)))
+    return rows.select("_i", F.explode(every).alias("_s")).select("_i", "_s.*").distinct()
+
+
+def _variant_pairs(variants: DataFrame) -> DataFrame:
+    """(_i, _e): of each line the earliest that an equal variant shows to be close. Lines
+    with the same whole or one word out are two edits apart at most; so are lines with two
+    words out and the whole, or with one of these at the other's place, or both at equal ones."""
+    role = F.col("_role")
+    least = variants.groupBy("_v").agg(*[F.min(F.when(role == r, F.col("_i"))).alias(f"_m{r}") for r in range(6)],
+                                       F.min("_i").alias("_lo"), F.max("_i").alias("_hi")).where("_lo < _hi").drop("_lo", "_hi")
+    m = [F.col(f"_m{r}") for r in range(6)]
+    earliest = (F.when(role == 0, F.least(*m[:3])).when(role == 1, F.least(*m[:2])).when(role == 2, m[0])
+                .when(role == 3, F.least(*m[3:5])).when(role == 4, m[3]).otherwise(m[5]))
+    return join_spread(variants, least, "_v").select("_i", earliest.alias("_e")).where("_e < _i")
+
+
+def _two_edit_partners(rows: DataFrame, lines: DataFrame, two_from: int) -> DataFrame:
     """(line hash, position of an earlier line at an edit distance of up to two), at
     least one for each line that has such a line."""
-    line = _lines_with_partners(rows, two_edit_table(rows, two_from), many_keys=True)
-    member = landed(_agreeing(_piece_keys(line, two_from), "_i").distinct(), "line-members")
+    line = _lines_with_partners(rows, lines, "_keys2", many_keys=True)
+    keys = landed(_piece_keys(line, two_from), "line-pieces")
+    ways = keys.select("_i", F.posexplode("_keys").alias("_way", "_key")).where("_key is not null")
+    member = landed(_agreeing(ways, "_i"), "line-members")
     other = line.select(F.col("_i").alias("_e"), F.col("_w").alias("_ew"), F.col("_pos").alias("_c"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         return (pairs.distinct().join(line, "_i").join(other, "_e").where("_c < _pos")
                 .where(edit_distance_is_two_or_less(F.col("_w"), F.col("_ew"))).select(*LINE, "_i", "_c"))
-    earliest = member.groupBy("_key").agg(F.min("_i").alias("_e"))
-    settled = landed(verified(join_spread(member, earliest, "_key").where("_e < _i").select("_i", "_e")), "line-settled")
-    open_ = member.join(settled.select("_i").distinct(), "_i", "left_anti")
-    rest = verified(open_.join(member.select("_key", F.col("_i").alias("_e")), "_key").where("_e < _i").select("_i", "_e"))
+    groups = landed(member.groupBy("_key").agg(F.min("_i").alias("_e"), F.count("*").alias("_many")), "line-groups")
+    settled = landed(verified(join_spread(member, groups, "_key").where("_e < _i").select("_i", "_e")), "line-settled")
+    # what the earliest of the group doesn't settle, in groups of more than two lines
+    known = settled.select("_i").distinct()
+    left = landed(join_spread(member, groups.where("_many > 2"), "_key").where("_i > _e")
+                  .join(known, "_i", "left_anti").select("_i", "_key").distinct(), "line-open")
+    open_ = landed(left.groupBy("_key").agg(F.count("*").alias("_open")), "line-open-groups")
+    few = join_spread(left, open_.where(F.col("_open") <= FEW).select("_key"), "_key")
+    pairs = few.join(member.select("_key", F.col("_i").alias("_e")), "_key").where("_e < _i").select("_i", "_e")
+    large = open_.where(F.col("_open") > FEW).select("_key")
+    variants = landed(_open_variants(join_spread(member, large, "_key"), line), "line-open-variants")
+    rest = verified(pairs.union(_variant_pairs(variants)))
     return settled.union(rest).select(*LINE, "_c")
 
 
@@ -274,11 +353,11 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", min_w
     if two_from is not None and two_from < 16:
         raise ValueError("lines of under sixteen words are too short to lose two")
     rows = _rows(df, id_col, text)
-    lines = landed(line_table(rows, min_words), "lines")
+    lines = landed(line_table(rows, min_words, two_from), "lines")
     firsts = lines.groupBy(*LINE).agg(F.min(_pos()).alias("_first"), F.max(_pos()).alias("_last"))
     partners = _partners(rows, lines)
     if two_from is not None:
-        partners = partners.union(_two_edit_partners(rows, two_from))
+        partners = partners.union(_two_edit_partners(rows, lines, two_from))
     near = partners.groupBy(*LINE).agg(F.min("_c").alias("_c"))
     limits = (firsts.join(near, LINE, "left").where("_first < _last or _c is not null")
               .select(*LINE, F.least("_first", "_c").alias("_limit")))

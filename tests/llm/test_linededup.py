@@ -100,7 +100,9 @@ def test_edit_distance(spark, a, b, near):
     assert (row.x, row.y) == (bool(near), bool(near))
 
 
-def test_two_edits_against_brute_force(spark):
+@pytest.mark.parametrize("few", [256, 0])
+def test_two_edits_against_brute_force(spark, monkeypatch, few):
+    monkeypatch.setattr(linededup, "FEW", few)
     rnd = random.Random(5)
     vocabulary = "a b c d".split()
     base = [[rnd.choice(vocabulary) for _ in range(rnd.choice([18, 19, 20, 21, 22, 27, 36, 57, 300]))] for _ in range(25)]
@@ -124,6 +126,25 @@ def test_two_edits_against_brute_force(spark):
         linededup.drop_lines(df, two_from=15)
 
 
+def test_large_group_of_lines_further_apart(spark, monkeypatch):
+    """Lines that agree outside two quarters: by variants, without comparing pairs."""
+    monkeypatch.setattr(linededup, "FEW", 20)
+    rnd = random.Random(8)
+    outside = [f"w{i}" for i in range(24)]
+    lines = []
+    for _ in range(150):
+        w = list(outside)
+        w[7:11] = [rnd.choice("ab") for _ in range(rnd.randrange(3, 6))]
+        w[18:21] = [rnd.choice("abc") for _ in range(rnd.randrange(2, 5))]
+        lines.append(w)
+    want = {d for d, w in enumerate(lines) if not any(distance(w, v) <= 2 for v in lines[:d])}
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(lines)], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(linededup, "_variant_pairs", lambda v, f=linededup._variant_pairs: (seen.append(v.count()), f(v))[1])
+    made = {r.doc_id for r in linededup.drop_lines(df, two_from=20).collect() if r.text}
+    assert made == want and seen[0] > 1000
+
+
 def test_pipeline_drops_a_line_with_two_words_changed(spark):
     import corpus_pipeline
     line = [f"w{i}" for i in range(57)]
