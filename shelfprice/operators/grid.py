@@ -293,6 +293,29 @@ def template_layout(rows: DataFrame, date_row: int = 1, header_row: int = 2) ->
     return top.join(width, list(SHEET)).withColumn("_code", code.cast("int")).where("_code >= 0")
 
 
+def _column_names(first_col: int) -> Column:
+    """The competitor of every column of a sheet from ``first_col`` on, by the header array
+    ``_h`` and the width ``_w``: a header that stands further left already gets its
+    occurrence number, so that it names a competitor of its own."""
+    def name(i: Column) -> Column:
+        h = _blank_as_null(F.try_element_at("_h", i + 1))
+        again = F.size(F.filter(F.slice("_h", F.lit(1), i), lambda x: x == h))
+        return (F.when(h.isNull(), F.concat(F.lit("Unnamed: "), i.cast("string")))
+                .when(again > 0, F.concat(h, F.lit("."), again.cast("string")))
+                .when(F.trim(h) == DESCRIPTION_HEADER, "descripcion").otherwise(h))
+    return F.transform(F.sequence(F.lit(first_col), F.col("_w") - 1), name)
+
+
+def _column_dates() -> Column:
+    """The date cell of every name in ``_names``: that of the last column with this header
+    and a date above it. Base headers and numbered names have none of their own."""
+    columns = F.arrays_zip(F.col("_h").alias("h"), F.slice("_d", F.lit(1), F.size("_h")).alias("d"))
+    dated = F.filter(columns, lambda c: _blank_as_null(c["d"]).isNotNull()
+                     & ~F.trim(c["h"]).isin(CODE_HEADER, DESCRIPTION_HEADER))
+    return F.transform("_names", lambda n: F.try_element_at(
+        F.filter(dated, lambda c: F.trim(c["h"]) == F.trim(n)), F.lit(-1))["d"])
+
+
 def melt_template(grid: DataFrame, data_row: int = 3, date_row: int = 1, header_row: int = 2,
                   first_col: int = 3) -> DataFrame:
     """Competitor template sheets → long (code, competitor, price text) rows.
@@ -302,28 +325,26 @@ def melt_template(grid: DataFrame, data_row: int = 3, date_row: int = 1, header_
     integers). Every column from ``first_col`` on with some value on a remaining row is
     a competitor; each remaining row then gives a row, with a null price where the cell
     is blank or absent. A column without header is named by its position, one with the
-    description header by that field; neither has a date. Other dates are the cell above
-    the header: a date or day-first text; unparsable → null.
+    description header by that field, one whose header stands further left already by the
+    header and a number; none of these has a date. Other dates are the cell above the last
+    column of that header that has one: a date or day-first text; unparsable → null.
 
     Returns (workbook, sheet, row_idx, col_idx, cod_art, competencia,
     price_value, fecha_modificacion)."""
     from shelfprice.functions.text import code_or_null
     rows = grid if is_row_form(grid) else rows_from_cells(grid)
-    data = rows.where(F.col("row_idx") >= data_row).join(
-        template_layout(rows, date_row, header_row), list(SHEET))
+    layout = (template_layout(rows, date_row, header_row).where(F.col("_w") > first_col)
+              .withColumn("_names", _column_names(first_col)).withColumn("_dates", _column_dates())
+              .select(*SHEET, "_code", "_names", "_dates"))
+    data = rows.where(F.col("row_idx") >= data_row).join(layout, list(SHEET))
     data = (data.withColumn("cod_art", code_or_null(F.try_element_at("values", F.col("_code") + 1)))
-            .where(F.col("cod_art").isNotNull() & (F.col("_w") > first_col)))
-    cells = data.select(*SHEET, "row_idx", "cod_art", "_h", "_d", "_code", "values", F.explode(
-        F.sequence(F.lit(first_col), F.col("_w") - 1)).alias("col_idx")).where("col_idx <> _code")
-    at = F.col("col_idx") + 1
-    head = _blank_as_null(F.try_element_at("_h", at))
-    base = F.trim(head) == DESCRIPTION_HEADER
-    cells = cells.select(
-        *SHEET, "row_idx", "col_idx", "cod_art",
-        F.when(head.isNull(), F.concat(F.lit("Unnamed: "), F.col("col_idx").cast("string")))
-        .when(base, "descripcion").otherwise(head).alias("competencia"),
-        _blank_as_null(F.try_element_at("values", at)).alias("price_value"),
-        F.when(head.isNotNull() & ~base, F.try_element_at("_d", at)).alias("_date"))
+            .where(F.col("cod_art").isNotNull()))
+    cells = (data.select(*SHEET, "row_idx", "cod_art", "_code", "values", "_names", "_dates",
+                         F.posexplode("_names").alias("_k", "competencia"))
+             .withColumn("col_idx", F.col("_k") + first_col).where("col_idx <> _code")
+             .select(*SHEET, "row_idx", "col_idx", "cod_art", "competencia",
+                     _blank_as_null(F.try_element_at("values", F.col("col_idx") + 1)).alias("price_value"),
+                     F.try_element_at("_dates", F.col("_k") + 1).alias("_date")))
     filled = (cells.where(F.col("price_value").isNotNull()).select(*SHEET, "col_idx").distinct())
     return (cells.join(filled, [*SHEET, "col_idx"], "left_semi")
             .withColumn("fecha_modificacion", parse_dayfirst("_date").cast("date")).drop("_date"))

@@ -24,7 +24,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfprice.session import delete_folder, staging_path
+from shelfprice.operators import versions as V
 
 # The price-history fact (column order of the target table) and its key
 HISTORY_COLUMNS = ("origen", "id_lista", "lista", "fecha", "product_id", "cod_art",
@@ -52,14 +52,15 @@ def collapse_insert_only(source: DataFrame, keys: Sequence[str], seq: str) -> Da
 
 
 def collapse_upsert(source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
-                    seq: str) -> DataFrame:
-    """Per key: descriptive columns of the first row, update columns of the last."""
+                    seq: str, counts: bool = False) -> DataFrame:
+    """Per key: descriptive columns of the first row, update columns of the last (and with
+    ``counts`` the number of rows, ``_n``)."""
     desc = _others(source, [*keys, *update_cols, seq])
     return (source.groupBy(*keys)
             .agg(F.min_by(F.struct(*desc), F.col(seq)).alias("_d"),
                  F.max_by(F.struct(*update_cols), F.col(seq)).alias("_u"),
-                 F.min(seq).alias(seq))
-            .select(*keys, "_d.*", "_u.*", seq))
+                 F.min(seq).alias(seq), *([F.count(F.lit(1)).alias("_n")] if counts else []))
+            .select(*keys, "_d.*", "_u.*", seq, *(["_n"] if counts else [])))
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -80,14 +81,15 @@ def new_rows_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[st
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                 update_cols: Sequence[str], seq: str) -> DataFrame:
-    """New table state after the keyed upsert (full outer join on the keys)."""
+                 update_cols: Sequence[str], seq: str, counts: bool = False) -> DataFrame:
+    """New table state after the keyed upsert (full outer join on the keys). With ``counts``
+    two columns more: ``_m_rows`` source rows of the key, ``_m_new`` whether it is new."""
     cols = target.columns
-    src = collapse_upsert(source, keys, update_cols, seq).drop(seq)
+    src = collapse_upsert(source, keys, update_cols, seq, counts).drop(seq)
     t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in cols if c not in keys],
                       F.lit(True).alias("_in_t"))
     s = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in cols if c not in keys],
-                   F.lit(True).alias("_in_s"))
+                   F.lit(True).alias("_in_s"), *(["_n"] if counts else []))
     j = t.join(s, list(keys), "full_outer")
     out = []
     for c in cols:
@@ -97,6 +99,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
             out.append(F.when(F.col("_in_s"), F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c))
         else:
             out.append(F.when(F.col("_in_t"), F.col(f"_t_{c}")).otherwise(F.col(f"_s_{c}")).alias(c))
+    if counts:
+        out += [F.coalesce("_n", F.lit(0)).cast("bigint").alias("_m_rows"), F.col("_in_t").isNull().alias("_m_new")]
     return j.select(*out)
 
 
@@ -140,48 +144,47 @@ def _in_slices(slices: Sequence[Mapping]) -> Column:
 
 
 # ------------------------------------------------------------------ writes
-
-def write_slices(new: DataFrame, path: str, slice_cols: Sequence[str]) -> None:
-    """Replace the slices present in ``new`` in the Parquet table at ``path``
-    (dynamic partition overwrite: other slices untouched; rerun gives the same
-    state; an empty ``new`` changes nothing)."""
-    (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*slice_cols).parquet(path))
-
+#
+# Targets are tables in versions (``operators.versions``): a writer that dies leaves the
+# state before, a rerun gives the new one, and other partitions' files are taken over.
 
 def touched_slices(source: DataFrame, partition_cols: Sequence[str]) -> list[dict]:
-    """The partitions a load touches (few: a load is a list or a week)."""
+    """The partitions a load touches (few: a load is a list or a week). A load that knows
+    them passes them on instead."""
     return [r.asDict() for r in source.select(*partition_cols).distinct().collect()]
 
 
+def write_slices(new: DataFrame, path: str, slice_cols: Sequence[str], slices: Sequence[Mapping] | None = None,
+                 before_switch=None) -> V.Version | None:
+    """Replace ``slices`` (by default those present in ``new``) in the table at ``path`` by
+    ``new``. An empty load changes nothing: the slices it would replace stay (None)."""
+    base = V.current(new.sparkSession, path)
+    if base is not None and new.isEmpty():
+        return None
+    return V.commit(new, path, slice_cols, replaced=slices, before_switch=before_switch, base=base)
+
+
 def write_insert_only(spark, path: str, source: DataFrame, keys: Sequence[str], seq: str,
-                      partition_cols: Sequence[str]) -> None:
+                      slices: Sequence[Mapping] | None = None) -> V.Version:
     """Append the absent keys of ``source`` to the table at ``path``; only the touched
-    partitions are read (literal partition filters)."""
-    slices = touched_slices(source, partition_cols)
-    if not slices:
-        return
-    target = spark.read.parquet(path).where(_in_slices(slices))
-    rows = new_rows_insert_only(target, source, keys, seq)
-    rows.write.mode("append").partitionBy(*partition_cols).parquet(path)
-
-
-def write_upsert(spark, path: str, source: DataFrame, keys: Sequence[str],
-                 update_cols: Sequence[str], seq: str, partition_cols: Sequence[str],
-                 stage: str | None = None) -> None:
-    """Upsert into the partitioned Parquet table at ``path``. Only the partitions the
-    source touches are read (literal partition filters). The merged partitions are
-    first written whole to ``stage`` (a new folder under ``spark.checkpoint.dir`` unless
-    given), then swapped in by dynamic partition overwrite; the staged copy is deleted
-    after that."""
-    slices = touched_slices(source, partition_cols)
-    if not slices:
-        return
-    stage = stage or staging_path(spark, "upsert")
-    target = spark.read.parquet(path)
-    merged = merge_upsert(target.where(_in_slices(slices)), source, keys, update_cols, seq)
-    merged.write.parquet(stage)
-    staged = spark.read.parquet(stage).select(*target.columns)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_cols).parquet(path))
-    delete_folder(spark, stage)
+    partitions are read."""
+    base = V.current(spark, path)
+    slices = touched_slices(source, base.partition_cols) if slices is None else slices
+    target = V.read_table_version(spark, path, base.number, slices)
+    return V.commit(new_rows_insert_only(target, source, keys, seq), path, append=True, base=base)
+
+
+def write_upsert(spark, path: str, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str], seq: str,
+                 slices: Sequence[Mapping] | None = None, before_switch=None) -> V.Version:
+    """Upsert into the table at ``path``. Only the partitions the source touches are read and
+    written anew. The version's ``metrics`` are the load's counts, taken by the write: source
+    rows (``rows_total``), keys inserted, and the others, which updated."""
+    base = V.current(spark, path)
+    slices = touched_slices(source, base.partition_cols) if slices is None else slices
+    target = V.read_table_version(spark, path, base.number, slices)
+    merged = merge_upsert(target, source, keys, update_cols, seq, counts=True)
+    zero = F.lit(0).cast("bigint")
+    total, inserted = F.sum("_m_rows"), F.sum(F.when(F.col("_m_new"), 1).otherwise(0))
+    counts = {"rows_total": F.coalesce(total, zero), "rows_inserted": F.coalesce(inserted, zero),
+              "rows_updated": F.coalesce(total - inserted, zero)}
+    return V.commit(merged, path, replaced=slices, metrics=counts, before_switch=before_switch, base=base)

@@ -8,9 +8,10 @@ category) — written with ``partitionBy`` instead of one spreadsheet per group.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfprice.functions.flags import ends_in_99, sign_class, valid_price
@@ -18,7 +19,7 @@ from shelfprice.functions.text import normalise_ratio, safe_name, strip_cluster_
 from shelfprice.operators.grid import (block_records, block_records_rows, cells_from_rows,
                                        detect_blocks, detect_header, detect_header_rows,
                                        header_cells, is_row_form, last_columns, last_columns_rows)
-from shelfprice.session import delete_folder
+from shelfprice.session import delete_folder, list_folder, rename
 
 # Fixed values (must equal the reference's behaviour).
 # Header aliases of the publication export, in priority order per field:
@@ -153,27 +154,61 @@ def export_manifest(exports: DataFrame, keys: Sequence[str], process_date: str)
             .withColumn("process_date", F.lit(process_date).cast("date")))
 
 
-def _replace_date(out: DataFrame, path: str, keys: Sequence[str], process_date: str, write) -> None:
-    """Remove everything an earlier run of ``process_date`` left, then write one folder
-    per group. Groups that are empty this time leave no file behind."""
-    where = f"{path.rstrip('/')}/process_date={process_date}"
-    delete_folder(out.sparkSession, where)
-    write(out.write.partitionBy(*keys), where)
+class ExportMismatch(Exception):
+    """What lies in the staged folder is not what was to be written."""
+
+
+def _replace_date(out: DataFrame, path: str, keys: Sequence[str], process_date: str, write, read) -> None:
+    """Replace everything an earlier run of ``process_date`` left by one folder per group.
+    The files are written beside (names with an underscore are no data to readers), their
+    rows counted again from the files, and the folders switched by renames; the old one goes
+    last. A run that fails leaves the date as it was. Groups that are empty this time leave
+    no file behind; an export without any row removes the date."""
+    spark, root = out.sparkSession, path.rstrip("/")
+    where, run = f"{root}/process_date={process_date}", uuid.uuid4().hex
+    staged, old = f"{root}/_staged-{run}", f"{root}/_old-{run}"
+    seen = Observation()
+    try:
+        write(out.observe(seen, F.count(F.lit(1)).alias("n")).write.partitionBy(*keys), staged)
+        n = seen.get["n"] or 0
+        found = read(staged).count() if n else 0
+        if found != n:
+            raise ExportMismatch(f"{found} rows in the files of {process_date}, {n} written")
+    except BaseException:
+        delete_folder(spark, staged)
+        raise
+    kept = bool(list_folder(spark, where))
+    if kept:
+        rename(spark, where, old)
+    if n and not rename(spark, staged, where):
+        rename(spark, old, where)
+        delete_folder(spark, staged)
+        raise ExportMismatch(f"another run has written {process_date}")
+    delete_folder(spark, old)
+    if not n:
+        delete_folder(spark, staged)
 
 
 def write_exports(exports: DataFrame, path: str, keys: Sequence[str], process_date: str) -> None:
     """Write Parquet folders ``process_date=…/key=…``; a rerun of the same date replaces
     the whole date."""
-    _replace_date(exports, path, keys, process_date, lambda w, where: w.parquet(where))
+    _replace_date(exports, path, keys, process_date, lambda w, where: w.parquet(where),
+                  exports.sparkSession.read.schema(exports.schema).parquet)
+
+
+def plain_number(c: Column) -> Column:
+    """A number as text: all its digits, without exponent or trailing zeros."""
+    text = F.when(F.abs(c) < 1e7, c.cast("string")).otherwise(c.cast("decimal(38,6)").cast("string"))
+    return F.regexp_replace(text, r"\.0*$", "")
 
 
 def sales_file_lines(exports: DataFrame) -> DataFrame:
     """The lines of every sales file, in the order (cluster, category, line): the list
-    code alone on line 0, then code, price, 0.00 and the date text of each row in sheet
-    order; no header."""
+    code alone on line 0, then code, price (with all its digits), 0.00 and the date text of
+    each row in sheet order; no header."""
     order = F.struct("workbook", "sheet", "block_start", "row_idx")
     rows = exports.select("cluster", "category", order.alias("line"), F.col("codigo").alias("a"),
-                          F.format_string("%.2f", "precio").alias("b"), F.format_string("%.2f", "cero").alias("c"),
+                          plain_number(F.col("precio")).alias("b"), F.format_string("%.2f", "cero").alias("c"),
                           F.col("fecha_texto").alias("d"))
     none = F.lit(None).cast("string")
     first = (exports.groupBy("cluster", "category").agg(F.max("list_code").alias("a"))
@@ -188,12 +223,25 @@ def write_sales_files(exports: DataFrame, path: str, process_date: str) -> None:
     lines = (sales_file_lines(exports).repartition("cluster", "category")
              .sortWithinPartitions("cluster", "category", F.asc_nulls_first("line")).drop("line"))
     _replace_date(lines, path, ["cluster", "category"], process_date,
-                  lambda w, where: w.option("header", "false").option("emptyValue", "").csv(where))
+                  lambda w, where: w.option("header", "false").option("emptyValue", "").csv(where),
+                  lambda where: _read_lines(exports.sparkSession, where))
+
+
+def _read_lines(spark: SparkSession, where: str) -> DataFrame:
+    return spark.read.schema("a string, b string, c string, d string, cluster string, category string").csv(where)
+
+
+def written_lines(spark: SparkSession, path: str, process_date: str) -> DataFrame:
+    """The lines of a date's sales files with their place in the file, from 0 on."""
+    back = _read_lines(spark, f"{path.rstrip('/')}/process_date={process_date}")
+    at = back.select("*", F.input_file_name().alias("_f"), F.monotonically_increasing_id().alias("_m"))
+    # a file is one group's; its lines keep their order within each read split
+    order = Window.partitionBy("cluster", "category").orderBy("_m")
+    return at.select("cluster", "category", (F.row_number().over(order) - 1).cast("long").alias("line"), "a", "b", "c", "d")
 
 
 def written_manifest(spark: SparkSession, path: str, process_date: str) -> DataFrame:
     """What lies on disk for a process date: one row per group with its data rows."""
-    where = f"{path.rstrip('/')}/process_date={process_date}"
-    back = spark.read.schema("a string, b string, c string, d string, cluster string, category string").csv(where)
+    back = _read_lines(spark, f"{path.rstrip('/')}/process_date={process_date}")
     return (back.groupBy("cluster", "category").agg(F.count("b").alias("n_rows"))
             .withColumn("process_date", F.lit(process_date).cast("date")))

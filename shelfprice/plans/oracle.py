@@ -339,14 +339,19 @@ tl_codes AS (SELECT c.workbook, c.sheet, c.row_idx, {code_or_null('c.value')} AS
 tl_vals AS (SELECT v.workbook, v.sheet, v.row_idx, v.col_idx, CASE WHEN trim(v.value) <> '' THEN v.value END AS price_value, k.cod_art
             FROM tl_sc v JOIN tl_codes k USING (workbook, sheet, row_idx) JOIN tl_cc c USING (workbook, sheet)
             WHERE v.row_idx >= 3 AND v.col_idx >= 3 AND v.col_idx <> c.code_col),
+tl_top AS (SELECT workbook, sheet, col_idx, trim(value) AS h, value AS raw,
+                  row_number() OVER (PARTITION BY workbook, sheet, value ORDER BY col_idx) AS nth
+           FROM tl_sc WHERE row_idx = 2 AND trim(value) <> ''),
 tl_heads AS (SELECT c.workbook, c.sheet, c.col_idx,
-                    CASE WHEN h.value IS NULL OR trim(h.value) = '' THEN 'Unnamed: ' || c.col_idx
-                         WHEN trim(h.value) = 'Descripción' THEN 'descripcion' ELSE h.value END AS competencia,
-                    h.value IS NOT NULL AND trim(h.value) NOT IN ('', 'Descripción') AS dated
+                    CASE WHEN t.h IS NULL THEN 'Unnamed: ' || c.col_idx WHEN t.nth > 1 THEN t.raw || '.' || (t.nth - 1)
+                         WHEN t.h = 'Descripción' THEN 'descripcion' ELSE t.raw END AS competencia
              FROM (SELECT DISTINCT workbook, sheet, col_idx FROM tl_vals) c
-             LEFT JOIN (SELECT * FROM tl_sc WHERE row_idx = 2) h USING (workbook, sheet, col_idx)),
-tl_dates AS (SELECT h.workbook, h.sheet, h.col_idx, CAST({parse_dayfirst('d.value')} AS DATE) AS fecha_modificacion
-             FROM tl_heads h JOIN tl_sc d USING (workbook, sheet, col_idx) WHERE d.row_idx = 1 AND h.dated),
+             LEFT JOIN tl_top t USING (workbook, sheet, col_idx)),
+tl_above AS (SELECT t.workbook, t.sheet, t.h, arg_max(d.value, d.col_idx) AS date_text
+             FROM tl_top t JOIN tl_sc d USING (workbook, sheet, col_idx)
+             WHERE d.row_idx = 1 AND trim(d.value) <> '' AND t.h NOT IN ('Código', 'Descripción') GROUP BY 1, 2, 3),
+tl_dates AS (SELECT h.workbook, h.sheet, h.col_idx, CAST({parse_dayfirst('a.date_text')} AS DATE) AS fecha_modificacion
+             FROM tl_heads h JOIN tl_above a ON a.workbook = h.workbook AND a.sheet = h.sheet AND a.h = trim(h.competencia)),
 tl_filled AS (SELECT DISTINCT workbook, sheet, col_idx FROM tl_vals WHERE price_value IS NOT NULL),
 tl_rows AS (
   SELECT v.cod_art, v.sheet AS cluster, h.competencia, {clean_price('v.price_value')} AS precio,

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from shelfprice.operators import merge as M
 from shelfprice.operators import quality as Q
+from shelfprice.operators import versions as V
 from shelfprice.operators.grid import cells_from_wide
+from shelfprice.operators.periods import keep_last
 from shelfprice.plans import exports as EX
+from shelfprice.plans import loads as LD
 from shelfprice.plans import publish as PB
 from shelfprice.plans import registry as R
 from shelfprice.plans import reports as RP
@@ -90,23 +93,68 @@ def q_sales_file_manifest(spark, d):
     return EX.written_manifest(spark, path, R.PROCESS_DATE)
 
 
+_PRICE_TEXT = r"regexp_replace(CASE WHEN abs(precio) < 1e7 THEN CAST(precio AS VARCHAR) ELSE CAST(CAST(precio AS DECIMAL(38, 6)) AS VARCHAR) END, '\.0*$', '')"
+
+
+@R.register("sales_file_lines", f"""{R._CLUSTER},{R._SAL}{R.O.sales_export_ctes(R.LIST_CODES, EX.SALES_DATE_TEXT)},
+f AS (SELECT cluster, category, 0 AS line, max(nullif(list_code, '')) AS a, NULL AS b, NULL AS c, NULL AS d FROM sal_export GROUP BY 1, 2
+      UNION ALL
+      SELECT cluster, category, row_number() OVER (PARTITION BY cluster, category ORDER BY workbook, sheet, block_start, row_idx),
+             codigo, {_PRICE_TEXT}, '0.00', fecha_texto FROM sal_export)
+SELECT cluster, category, CAST(line AS BIGINT) AS line, a, b, c, d FROM f
+""")
+def q_sales_file_lines(spark, d):
+    path = target(spark, "sales-lines")
+    EX.write_sales_files(EX.sales_export(R._cluster_cells(spark, d), R.LIST_CODES), path, R.PROCESS_DATE)
+    return EX.written_lines(spark, path, R.PROCESS_DATE)
+
+
+def _history_table(spark, table) -> str:
+    path = target(spark, "history")
+    V.commit(table, path, ["id_lista"])
+    return path
+
+
 @R.register("written_upsert", R.ORACLE["merge_upsert"])
 def q_written_upsert(spark, d):
     table, source = SI.merge_target_source(spark, d)
-    path = target(spark, "history")
-    table.write.partitionBy("id_lista").parquet(path)
-    M.write_upsert(spark, path, source, M.HISTORY_KEYS, M.HISTORY_UPDATE_COLS, "seq", ["id_lista"], stage=f"{path}-stage")
-    return spark.read.schema(table.schema).parquet(path).select(*table.columns)
+    path = _history_table(spark, table)
+    for _ in range(2):  # a rerun gives the same state
+        M.write_upsert(spark, path, source, M.HISTORY_KEYS, M.HISTORY_UPDATE_COLS, "seq")
+    return V.read_table_version(spark, path)
+
+
+@R.register("written_upsert_counts", f"""
+SELECT rows_total, rows_inserted, rows_updated FROM ({R.ORACLE["merge_stats"]}) WHERE mode = 'upsert'
+""")
+def q_written_upsert_counts(spark, d):
+    """Counts of the load, taken by the job that wrote it."""
+    table, source = SI.merge_target_source(spark, d)
+    v = M.write_upsert(spark, _history_table(spark, table), source, M.HISTORY_KEYS, M.HISTORY_UPDATE_COLS, "seq")
+    names = ("rows_total", "rows_inserted", "rows_updated")
+    return spark.createDataFrame([tuple(v.metrics[n] for n in names)], ", ".join(f"{n} long" for n in names))
 
 
 @R.register("written_inserts", R.ORACLE["merge_insert_only"])
 def q_written_inserts(spark, d):
     table, source = SI.merge_target_source(spark, d)
-    path = target(spark, "history")
-    table.write.partitionBy("id_lista").parquet(path)
+    path = _history_table(spark, table)
     for _ in range(2):  # a rerun inserts nothing
-        M.write_insert_only(spark, path, source, M.HISTORY_KEYS, "seq", ["id_lista"])
-    return spark.read.schema(table.schema).parquet(path).select(*table.columns)
+        M.write_insert_only(spark, path, source, M.HISTORY_KEYS, "seq")
+    return V.read_table_version(spark, path)
+
+
+@R.register("written_week_slice", R.ORACLE["replace_week_slice"])
+def q_written_week_slice(spark, d):
+    """The competitor fact as a table in versions, its current week replaced by a template load."""
+    path = target(spark, "competitors")
+    fact = keep_last(SI.competitor_fact_rows(spark, d), M.COMPETITOR_KEYS, ["precio", "fecha_modificacion"], "seq")
+    # rows of a week meet before the write: a few files each, not one per task and week
+    V.commit(fact.select(*M.COMPETITOR_COLUMNS).repartition(*M.COMPETITOR_SLICE), path, M.COMPETITOR_SLICE)
+    new = LD.template_load(R._template_rows(spark, d), R.GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)
+    for _ in range(2):  # a rerun replaces the slice by itself
+        M.write_slices(new, path, M.COMPETITOR_SLICE, LD.template_slices(SI.TEMPLATE_AS_OF))
+    return V.read_table_version(spark, path)
 
 
 @R.register("weekly_refresh", f"""

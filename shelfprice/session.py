@@ -49,11 +49,69 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/staging/{name}-{uuid.uuid4().hex}"
 
 
+def _at(spark: SparkSession, path: str):
+    """(file system, its path object) of ``path``, whatever store it lies in."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
-    """Remove a staged folder through the file system it lies in."""
+    """Remove a folder or file through the file system it lies in."""
+    fs, where = _at(spark, path)
+    fs.delete(where, True)
+
+
+def list_folder(spark: SparkSession, path: str, changed_before: float | None = None) -> list[tuple[str, bool]]:
+    """(name, is it a folder) of what lies in ``path``; nothing where there is none."""
+    fs, where = _at(spark, path)
+    if not fs.exists(where):
+        return []
+    return [(f.getPath().getName(), f.isDirectory()) for f in fs.listStatus(where)
+            if changed_before is None or f.getModificationTime() / 1000 <= changed_before]
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    fs, where = _at(spark, path)
+    stream = fs.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def rename(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a file or folder; False where ``target`` is there already."""
+    from py4j.protocol import Py4JJavaError
     jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    _, old = _at(spark, source)
+    fs, new = _at(spark, target)
+    fs.mkdirs(new.getParent())
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    plain = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(fs.makeQualified(old), fs.makeQualified(new), plain)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in str(e.java_exception) or "rename destination" in str(e.java_exception):
+            return False
+        raise
+    return True
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that is seen whole or not at all; False where it is there
+    already."""
+    folder, name = path.rsplit("/", 1)
+    hidden = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    fs, where = _at(spark, hidden)
+    stream = fs.create(where, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if rename(spark, hidden, path):
+        return True
+    fs.delete(where, False)
+    return False
 
 
 def land(df: DataFrame, name: str) -> DataFrame:

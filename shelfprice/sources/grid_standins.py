@@ -163,7 +163,7 @@ def template_rows(spark: SparkSession, d: str) -> DataFrame:
     """Competitor template as sheet rows: sheet per customer region; row = 3 + part key;
     column 3 + nation key of the supplier; dates on row 1, headers on row 2. In ASIA the
     code column is not the first one; in EUROPE the last competitor column has the
-    description header, in AFRICA the last but one has none."""
+    description header, in AFRICA the last but one has none, in AMERICA three have one header."""
     lc = _line_customer(spark, d)
     p = _part(spark, d)
     s = read_table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
@@ -198,6 +198,7 @@ def template_rows(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("s_nationkey").cast("int").alias("k")
     head = (F.when((F.col("sheet") == "EUROPE") & (F.col("s_nationkey") == NATIONS - 1), "Descripción")
             .when((F.col("sheet") == "AFRICA") & (F.col("s_nationkey") == NATIONS - 2), F.lit(None).cast("string"))
+            .when((F.col("sheet") == "AMERICA") & F.col("s_nationkey").isin(1, 4, 7), "MARKET")
             .otherwise(F.col("n_name")))
     date = F.when(F.col("s_nationkey") == 0, F.lit("sin fecha")).otherwise(F.date_format("last_order", "d/M/yyyy"))
     none = F.lit(None).cast("string")

@@ -139,7 +139,12 @@ template_cells AS (
   UNION ALL
   SELECT 'template', sheet, CAST(2 AS BIGINT), CAST(s_nationkey + 3 AS INTEGER),
          CASE WHEN sheet = 'EUROPE' AND s_nationkey = 24 THEN 'Descripción'
-              WHEN sheet = 'AFRICA' AND s_nationkey = 23 THEN NULL ELSE n_name END FROM tp_comp
+              WHEN sheet = 'AFRICA' AND s_nationkey = 23 THEN NULL
+              WHEN sheet = 'AMERICA' AND s_nationkey IN (1, 4, 7) THEN 'MARKET' ELSE n_name END FROM tp_comp
+  UNION ALL
+  SELECT DISTINCT 'template', sheet, CAST(2 AS BIGINT), CASE WHEN sheet = 'ASIA' THEN 2 ELSE 1 END, 'Descripción' FROM tp_rows
+  UNION ALL
+  SELECT DISTINCT 'template', sheet, CAST(2 AS BIGINT), CASE WHEN sheet = 'ASIA' THEN 0 ELSE 2 END, 'Rubro' FROM tp_rows
   UNION ALL
   SELECT 'template', sheet, CAST(1 AS BIGINT), CAST(s_nationkey + 3 AS INTEGER),
          CASE WHEN s_nationkey = 0 THEN 'sin fecha' ELSE strftime(last_order, '%-d/%-m/%Y') END FROM tp_comp

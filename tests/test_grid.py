@@ -123,14 +123,27 @@ def test_template_blanks_headers_and_moved_code(spark):
             (2, 0, "Rubro"), (2, 1, "Descripción"), (2, 2, " Código "), (2, 3, "Comp A"), (2, 4, "Descripción"),
             (3, 2, "10"), (3, 3, "5"), (3, 5, "8"), (4, 2, "11"), (4, 4, "7"), (5, 2, "10")]
     blanks = [(3, 4, None), (4, 3, None), (5, 3, ""), (5, 4, None), (5, 5, None)]
-    want = [(10, "Comp A", None, True), (10, "Unnamed: 5", None, False), (10, "descripcion", None, False),
-            (11, "Comp A", None, True), (11, "Unnamed: 5", None, False), (11, "descripcion", 7.0, False)]
+    # the second description header is a repeated one: numbered, and no base column
+    want = [(10, "Comp A", None, True), (10, "Descripción.1", None, False), (10, "Unnamed: 5", None, False),
+            (11, "Comp A", None, True), (11, "Descripción.1", 7.0, False), (11, "Unnamed: 5", None, False)]
     for rows in (base, base + blanks):  # a blank cell that is there and one that is not are the same
         got = template_load(cells(spark, rows), ["s"], "2024-12-30").collect()
         assert sorted((r.cod_art, r.competencia, None if r.precio is None else float(r.precio),
                        r.fecha_modificacion is not None) for r in got) == want
 
 
+def test_template_repeated_headers(spark):
+    rows = [(1, 3, "1/1/2001"), (1, 4, "2/2/2002"), (1, 6, "3/3/2003"),
+            (2, 0, "Código"), (2, 1, "Descripción"), (2, 2, "Rubro"),
+            (2, 3, "X"), (2, 4, "X"), (2, 5, "X"), (2, 6, "Y "), (2, 7, "Código"), (2, 8, "Y "),
+            (3, 0, "10"), (3, 3, "5"), (3, 4, "7"), (3, 5, "9"), (3, 6, "1"), (3, 7, "2"), (3, 8, "3")]
+    got = {r.competencia: (float(r.precio), str(r.fecha_modificacion)) for r in
+           template_load(cells(spark, rows), ["s"], "2024-12-30").collect()}
+    # both columns load; the date of a header is that of its last dated column, numbered names have none
+    assert got == {"X": (5.0, "2002-02-02"), "X.1": (7.0, "None"), "X.2": (9.0, "None"), "Y ": (1.0, "2003-03-03"),
+                   "Código.1": (2.0, "None"), "Y .1": (3.0, "None")}
+
+
 def test_grouped_position_matches_rank(spark):
     df = spark.createDataFrame([(i % 5, "c%03d" % i) for i in range(300)], "r int, c string").repartition(7)
     for reuse in ("true", "false"):

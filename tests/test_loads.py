@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from shelfprice.operators import merge as M
+from shelfprice.operators import versions as V
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "k int, producto string, precio double, seq int"
@@ -48,7 +49,7 @@ def test_replace_slices_state(spark):
 
 
 def _state(spark, path):
-    return sorted(tuple(r) for r in spark.read.parquet(path).select("k", "anio", "semana", "p").collect())
+    return sorted(tuple(r) for r in V.read_table_version(spark, path).select("k", "anio", "semana", "p").collect())
 
 
 def test_write_slices_idempotent(spark, tmp_path):
@@ -69,14 +70,14 @@ def test_write_insert_only_and_upsert(spark, tmp_path):
     path = str(tmp_path / "hist")
     schema = "id_lista int, cod_art long, fecha timestamp_ntz, producto string, precio double"
     target = spark.createDataFrame([(1, 10, T0, "a", 1.0)], schema)
-    target.write.partitionBy("id_lista").parquet(path)
+    V.commit(target, path, ["id_lista"])
     src = spark.createDataFrame([(1, 10, T0, "b", 2.0, 1), (1, 11, T0, "c", 3.0, 2),
                                  (1, 11, T0, "d", 4.0, 3)], schema + ", seq int")
     keys = ["id_lista", "cod_art", "fecha"]
-    M.write_insert_only(spark, path, src, keys, "seq", ["id_lista"])
-    M.write_insert_only(spark, path, src, keys, "seq", ["id_lista"])   # second run inserts 0
-    got = sorted((r.cod_art, r.producto, r.precio) for r in spark.read.parquet(path).collect())
+    M.write_insert_only(spark, path, src, keys, "seq")
+    M.write_insert_only(spark, path, src, keys, "seq")   # second run inserts 0
+    got = sorted((r.cod_art, r.producto, r.precio) for r in V.read_table_version(spark, path).collect())
     assert got == [(10, "a", 1.0), (11, "c", 3.0)]
-    M.write_upsert(spark, path, src, keys, ["precio"], "seq", ["id_lista"])
-    got = sorted((r.cod_art, r.producto, r.precio) for r in spark.read.parquet(path).collect())
+    M.write_upsert(spark, path, src, keys, ["precio"], "seq")
+    got = sorted((r.cod_art, r.producto, r.precio) for r in V.read_table_version(spark, path).collect())
     assert got == [(10, "a", 2.0), (11, "c", 4.0)]

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfprice.operators import merge as M
+from shelfprice.operators import versions as V
 from shelfprice.plans import exports as EX
 from shelfprice.plans.publish import publish_report
 from shelfprice.plans.weekly import run_steps
@@ -75,32 +76,48 @@ def test_sales_files(spark, tmp_path):
     files = [f for f in os.listdir(folder) if f.endswith(".csv")]
     assert len(files) == 1
     with open(f"{folder}/{files[0]}") as f:
-        assert f.read().splitlines() == ["PubN,,,", "7,1234.50,0.00,1/1/2019", "8,2.50,0.00,1/1/2019"]
+        assert f.read().splitlines() == ["PubN,,,", "7,1234.5,0.00,1/1/2019", "8,2.5,0.00,1/1/2019"]
     got = sorted((r.cluster, r.category, r.n_rows) for r in EX.written_manifest(spark, path, "2024-06-03").collect())
     assert got == [("NORTE", "Carnes", 2), ("SUR", "Dira", 1)]
+    back = sorted(tuple(r) for r in EX.written_lines(spark, path, "2024-06-03").where("cluster = 'NORTE'").collect())
+    assert [(r[2], r[3], r[4]) for r in back] == [(0, "PubN", None), (1, "7", "1234.5"), (2, "8", "2.5")]
 
 
-def test_upsert_reads_only_touched_partitions(spark, tmp_path, monkeypatch):
-    import shelfprice.session as session
+def test_upsert_reads_only_touched_partitions(spark, tmp_path):
     path = str(tmp_path / "hist")
-    hist_rows(spark, [(1, 10, T, 5.0), (2, 20, T, 6.0)]).write.partitionBy("id_lista").parquet(path)
-    scoped = spark.read.parquet(path).where(M._in_slices([{"id_lista": 1}]))
-    plan = scoped._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(id_lista" in plan or "(id_lista" in plan.split("PartitionFilters")[1][:40]
+    V.commit(hist_rows(spark, [(1, 10, T, 5.0), (2, 20, T, 6.0)]), path, ["id_lista"])
     src = hist_rows(spark, [(1, 10, T, 7.0), (1, 11, T, 8.0)]).withColumn("seq", F.lit(1))
-    args = (spark, path, src, M.HISTORY_KEYS, M.HISTORY_UPDATE_COLS, "seq", ["id_lista"])
-    monkeypatch.setattr(session, "shared_folder", lambda s: None)
-    with pytest.raises(RuntimeError):
-        M.write_upsert(*args)
-    shared = str(tmp_path / "shared")
-    monkeypatch.setattr(session, "shared_folder", lambda s: shared)
+    assert M.touched_slices(src, ["id_lista"]) == [{"id_lista": 1}]
+    assert all("id_lista=1" in f for f in V.read_table_version(spark, path, partitions=[{"id_lista": 1}]).inputFiles())
     for _ in range(2):
-        M.write_upsert(*args)
-    got = sorted((r.id_lista, r.cod_art, r.precio) for r in spark.read.parquet(path).collect())
+        M.write_upsert(spark, path, src, M.HISTORY_KEYS, M.HISTORY_UPDATE_COLS, "seq")
+    got = sorted((r.id_lista, r.cod_art, r.precio) for r in V.read_table_version(spark, path).collect())
     assert got == [(1, 10, 7.0), (1, 11, 8.0), (2, 20, 6.0)]
-    assert os.listdir(f"{shared}/staging") == []
-    M.write_insert_only(spark, path, src.withColumn("cod_art", F.col("cod_art") + 1), M.HISTORY_KEYS, "seq", ["id_lista"])
-    assert spark.read.parquet(path).count() == 4
+    for n in (2, 0):  # a rerun inserts nothing
+        v = M.write_insert_only(spark, path, src.withColumn("cod_art", F.col("cod_art") + 5), M.HISTORY_KEYS, "seq")
+        assert v.metrics["rows_written"] == n
+    assert V.read_table_version(spark, path).count() == 5
+
+
+def test_a_failing_export_leaves_the_date_as_it_was(spark, tmp_path):
+    df = spark.createDataFrame([("NORTE", "Carnes", "7", 1.5)], "cluster string, category string, codigo string, precio double")
+    path, keys = str(tmp_path / "exports"), ["cluster", "category"]
+    EX.write_exports(df, path, keys, "2024-06-03")
+    with pytest.raises(Exception, match="no such code"):
+        EX.write_exports(df.withColumn("codigo", F.raise_error(F.lit("no such code")).cast("string")), path, keys, "2024-06-03")
+    assert os.listdir(path) == ["process_date=2024-06-03"]
+    assert [r.codigo for r in spark.read.parquet(path).collect()] == ["7"]
+    # an export that reads the date it replaces
+    EX.write_exports(spark.read.parquet(path).drop("process_date").withColumn("precio", F.lit(9.0)), path, keys, "2024-06-03")
+    assert [r.precio for r in spark.read.parquet(path).collect()] == [9.0]
+    EX.write_exports(df.limit(0), path, keys, "2024-06-03")
+    assert os.listdir(path) == []
+
+
+def test_prices_keep_their_digits(spark):
+    got = [r.t for r in spark.createDataFrame([(1234.567,), (5.0,), (0.1,), (98765432.25,), (-3.5,), (1000.0,)], "x double")
+           .select(EX.plain_number(F.col("x")).alias("t")).collect()]
+    assert got[:3] == ["1234.567", "5", "0.1"] and got[4:] == ["-3.5", "1000"] and float(got[3]) == 98765432.25
 
 
 def test_replace_slices(spark):
