@@ -280,9 +280,12 @@ def _open_variants(member: DataFrame, line: DataFrame) -> DataFrame:
     rows = member.join(line.select("_i", F.transform("_w", lambda x: F.xxhash64(x)).alias("_x")), "_i").select(
         "_i", "_key", "_x", F.size("_x").alias("_n"), way.alias("_y")).select("_i", "_key", "_x", "_n", "_y.*")
     at = _pieces(F.col("_n"))
-    part = F.concat(F.slice("_x", at["a"] + 1, at["b"] - at["a"]), F.array(F.lit(0).cast("long")),
-                    F.slice("_x", at["c"] + 1, at["e"] - at["c"]))
-    rows = rows.select("_i", "_key", part.alias("_x"), (at["b"] - at["a"]).alias("_mark"))
+    # neighbouring pieces have nothing between them that holds still, and so no mark
+    apart = F.col("_q") > F.col("_p") + 1
+    part = F.when(apart, F.concat(F.slice("_x", at["a"] + 1, at["b"] - at["a"]), F.array(F.lit(0).cast("long")),
+                                  F.slice("_x", at["c"] + 1, at["e"] - at["c"]))).otherwise(
+        F.slice("_x", at["a"] + 1, at["e"] - at["a"]))
+    rows = rows.select("_i", "_key", part.alias("_x"), F.when(apart, at["b"] - at["a"]).otherwise(-1).alias("_mark"))
     n = F.size("_x")
     places = F.filter(F.sequence(F.lit(0), n - 1), lambda i: i != F.col("_mark"))
 

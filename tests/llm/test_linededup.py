@@ -145,6 +145,22 @@ def test_large_group_of_lines_further_apart(spark, monkeypatch):
     assert made == want and seen[0] > 1000
 
 
+def test_open_groups_with_shifts_between_neighbouring_quarters(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "FEW", 0)
+    rnd = random.Random(21)
+    base, lines = [f"w{i}" for i in range(24)], []
+    for _ in range(120):
+        w = list(base)
+        for _ in range(rnd.choice([1, 2, 3, 4])):
+            at = rnd.randrange(4, 14)
+            w[at:at + rnd.randrange(2)] = [rnd.choice("ab")] * rnd.randrange(2)
+        lines.append(w)
+    want = {d for d, w in enumerate(lines) if not any(
+        w == v or min(len(w), len(v)) >= 20 and distance(w, v) <= 2 or distance(w, v) <= 1 for v in lines[:d])}
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(lines)], "doc_id long, text string")
+    assert {r.doc_id for r in linededup.drop_lines(df, two_from=20).collect() if r.text} == want
+
+
 def test_pipeline_drops_a_line_with_two_words_changed(spark):
     import corpus_pipeline
     line = [f"w{i}" for i in range(57)]
