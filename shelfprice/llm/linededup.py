@@ -101,9 +101,10 @@ def _rows(df: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def _split(rows: DataFrame) -> DataFrame:
+    # blank lines go before the split: a test of the number of words would split twice
     return (rows.select(*ROW, "_id", F.posexplode(F.split("_text", "\n")).alias("_no", "_line"))
-            .select(*ROW, "_id", "_no", _words(F.col("_line")).alias("_w"))
-            .withColumn("_n", F.size("_w")).where("_n > 0"))
+            .where(F.btrim("_line", F.lit(" " + BLANKS)) != "")
+            .select(*ROW, "_id", "_no", _words(F.col("_line")).alias("_w")).withColumn("_n", F.size("_w")))
 
 
 def _hashes() -> list[Column]:
@@ -188,9 +189,11 @@ def _lines_with_partners(rows: DataFrame, lines: DataFrame, keys: str, many_keys
     wanted = found.groupBy(*ROW).agg(F.collect_list(F.struct(*LINE, "_pos", "_no")).alias("_at"))
     some = rows.withColumn("_b", bucket).join(
         F.broadcast(found.select(bucket.alias("_b")).distinct()), "_b", "left_semi")
-    texts = some.join(wanted, ROW).select(F.split("_text", "\n").alias("_l"), F.explode("_at").alias("_s"))
+    # a text is split once, not once for each of its lines
+    texts = some.join(wanted, ROW).select("_at", F.split("_text", "\n").alias("_l")).select(F.explode(
+        F.when(F.size("_l") > 0, F.transform("_at", lambda s: F.struct(s.alias("_s"), F.get("_l", s["_no"]).alias("_line"))))).alias("_x"))
     # rows that repeat as a whole give their lines once
-    line = texts.select("_s._h1", "_s._h2", "_s._pos", _words(F.col("_l")[F.col("_s._no")]).alias("_w"))
+    line = texts.select("_x._s.*", "_x._line").select(*LINE, "_pos", _words(F.col("_line")).alias("_w"))
     return landed(line.dropDuplicates(LINE).orderBy("_pos").withColumn("_i", F.monotonically_increasing_id()),
                   "line-words")
 
@@ -367,11 +370,10 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", min_w
     gone = (join_spread(lines.select(*LINE, *ROW, "_id", "_no"), limits, LINE)
             .where(_pos() > F.col("_limit"))
             .groupBy(*ROW).agg(F.sort_array(F.collect_set("_no")).alias("_gone")))
-    split = F.split("_text", "\n")
     kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(
-        F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "_gone"), lambda i: split[i]), "\n"))
-    return rows.join(gone, ROW, "left").select(
-        *ROW, F.col("_id").alias("_id"), F.coalesce(F.size(split), F.lit(0)).alias("n_lines"),
+        F.transform(F.array_except(F.sequence(F.lit(0), F.size("_l") - 1), "_gone"), lambda i: F.get("_l", i)), "\n"))
+    return rows.join(gone, ROW, "left").withColumn("_l", F.split("_text", "\n")).select(
+        *ROW, F.col("_id").alias("_id"), F.coalesce(F.size("_l"), F.lit(0)).alias("n_lines"),
         F.coalesce("_gone", F.array().cast("array<int>")).alias("removed"), kept.alias("kept_text"))
 
 
