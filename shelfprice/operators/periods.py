@@ -15,11 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfprice.functions.dates import week_label
 from shelfprice.functions.flags import direction, pct_label, period_ratio
+from shelfprice.operators import versions as V
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
@@ -45,6 +46,17 @@ def last_n_periods(df: DataFrame, period: str, n: int | None,
     return df.join(by_calendar(keep, by), [*by, period], "left_semi")
 
 
+def last_n_of_table(spark: SparkSession, path: str, period: str, n: int | None,
+                    by: Sequence[str] = ()) -> DataFrame:
+    """:func:`last_n_periods` of a table in versions. Where ``period`` and ``by`` are partition
+    columns the newest periods come from its manifest and only their folders are read;
+    other tables are scanned."""
+    v = V.current(spark, path)
+    if v is not None and {period, *by} <= set(v.partition_cols):
+        return V.read_table_version(spark, path, v.number, V.newest_partitions(v, period, n, by))
+    return last_n_periods(V.read_table_version(spark, path, v and v.number), period, n, by)
+
+
 def by_calendar(periods: DataFrame, by: Sequence[str]) -> DataFrame:
     """A table of periods, hinted for broadcast when it has one row per period (bounded
     by the calendar). With groups its size is theirs too, and the planner decides."""

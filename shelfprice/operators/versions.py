@@ -45,16 +45,19 @@ class Version:
     # partition values as text in the order of ``partition_cols``, folder below data/
     parts: list[tuple[tuple[str | None, ...], str]] = field(default_factory=list)
     metrics: dict = field(default_factory=dict)
+    # what writers keep with the table (a ledger of loads, the source version a fact was made from)
+    notes: dict = field(default_factory=dict)
 
     def text(self) -> str:
         return json.dumps({"number": self.number, "schema": self.schema.jsonValue(), "partition_cols": self.partition_cols,
-                           "parts": [[list(values), folder] for values, folder in self.parts], "metrics": self.metrics})
+                           "parts": [[list(values), folder] for values, folder in self.parts], "metrics": self.metrics,
+                           "notes": self.notes})
 
     @staticmethod
     def of(text: str) -> Version:
         d = json.loads(text)
         return Version(d["number"], T.StructType.fromJson(d["schema"]), d["partition_cols"],
-                       [(tuple(values), folder) for values, folder in d["parts"]], d["metrics"])
+                       [(tuple(values), folder) for values, folder in d["parts"]], d["metrics"], d.get("notes", {}))
 
 
 def _name(number: int) -> str:
@@ -130,14 +133,16 @@ def _publish(spark: SparkSession, path: str, v: Version) -> Version:
 
 def commit(df: DataFrame, path: str, partition_cols: Sequence[str] = (), replaced: Sequence[Mapping] | None = None,
            append: bool = False, metrics: Mapping[str, Column] | None = None,
-           before_switch: Callable[[], None] | None = None, base: Version | None = None) -> Version:
+           before_switch: Callable[[], None] | None = None, base: Version | None = None,
+           notes: Mapping | None = None) -> Version:
     """Make a new version of the table at ``path``. By default ``df`` replaces the partitions
     it has rows in, and those in ``replaced`` (column → value each) whether it has rows in
     them or not; with ``append`` its rows are added to what is there. A first commit, or
     one without partition columns, makes the whole table. ``metrics`` are aggregates over
     ``df`` taken by the write (columns named ``_m_*`` serve them and are not written).
     ``base`` is the version the rows were derived from, where the caller has read one.
-    ``before_switch`` is called when everything is written and nothing visible."""
+    ``before_switch`` is called when everything is written and nothing visible. ``notes`` are
+    kept with the version and taken over by later ones."""
     spark = df.sparkSession
     base = base or current(spark, path)
     cols = list(base.partition_cols) if base else list(partition_cols)
@@ -150,7 +155,41 @@ def commit(df: DataFrame, path: str, partition_cols: Sequence[str] = (), replace
     if not append:
         gone = {values for values, _ in staged} | {_partition_text(p, cols) for p in replaced or ()}
         kept = [p for p in kept if p[0] not in gone]
-    return _publish(spark, path, Version(base.number + 1 if base else 0, schema, cols, kept + staged, counts))
+    return _publish(spark, path, Version(base.number + 1 if base else 0, schema, cols, kept + staged, counts,
+                                         {**(base.notes if base else {}), **(notes or {})}))
+
+
+def changed_partitions(spark: SparkSession, path: str, since: int, number: int | None = None) -> list[dict[str, str | None]]:
+    """The partitions (column → value as text) whose files differ between the version ``since``
+    and the one of ``number`` (the newest by default): new, added to, replaced or gone. The
+    manifests tell; no data is read."""
+    def folders(v: Version) -> dict:
+        found: dict = {}
+        for values, folder in v.parts:
+            found.setdefault(values, set()).add(folder)
+        return found
+    new = current(spark, path, number)
+    a, b = folders(current(spark, path, since)), folders(new)
+    changed = sorted((values for values in a.keys() | b.keys() if a.get(values) != b.get(values)), key=str)
+    return [dict(zip(new.partition_cols, values)) for values in changed]
+
+
+def newest_partitions(v: Version, col: str, n: int | None, by: Sequence[str] = ()) -> list[dict[str, str | None]]:
+    """The partitions that hold the ``n`` greatest values of the partition column ``col`` (per
+    values of the partition columns ``by``); null values are left out. A version lists only
+    partitions with rows, so these are the values a scan would find. ``n=None`` takes all."""
+    kind = v.schema[col].dataType
+    if not isinstance(kind, (T.IntegralType, T.DateType, T.StringType)):
+        raise TypeError(f"partitions by {col} ({kind.simpleString()}) have no order as text")
+    order = int if isinstance(kind, T.IntegralType) else str
+    parts = {values: dict(zip(v.partition_cols, values)) for values, _ in v.parts}
+    groups: dict = {}
+    for p in parts.values():
+        if all(p[c] is not None for c in (col, *by)):
+            groups.setdefault(tuple(p[c] for c in by), set()).add(order(p[col]))
+    newest = {g: set(sorted(values, reverse=True)[:n]) for g, values in groups.items()}
+    return [p for p in parts.values() if all(p[c] is not None for c in (col, *by))
+            and order(p[col]) in newest[tuple(p[c] for c in by)]]
 
 
 def clear_versions(spark: SparkSession, path: str, keep: int = 2, older_than: float = 86400.0) -> list[str]:

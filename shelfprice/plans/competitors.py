@@ -3,7 +3,7 @@ competitors' last-modified dates and the cluster header spans.
 
 The matrix is produced long — (article, cluster, competitor, col_pos, price) —
 because its width grows with the number of competitors; ``matrix_wide`` gives
-fixed columns for a list of positions that the caller states.
+it in groups of a fixed number of columns.
 
 Columns are keyed by (cluster, competitor) (a competitor present in two
 clusters gives two columns) and ordered by (cluster rank, cluster, competitor):
@@ -100,8 +100,10 @@ def header_spans(columns: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("n_columns")))
 
 
-def matrix_wide(long: DataFrame, positions: Sequence[int],
-                key: str = "cod_art", value: str = "price") -> DataFrame:
-    """Wide matrix with one column ``c{pos}`` for each of the given column positions."""
-    aggs = [F.max(F.when(F.col("col_pos") == p, F.col(value))).alias(f"c{p}") for p in positions]
-    return long.groupBy(key, *ATTRS).agg(*aggs)
+def matrix_wide(long: DataFrame, width: int = 16, key: str = "cod_art", value: str = "price") -> DataFrame:
+    """Wide matrix in groups of ``width`` columns, from one aggregate: a row per article and
+    group in which it has a price; column position = ``col_group`` * width + i for ``c{i}``.
+    The schema does not depend on the number of competitors."""
+    at = F.pmod(F.col("col_pos"), F.lit(width))
+    cells = [F.max(F.when(at == i, F.col(value))).alias(f"c{i}") for i in range(width)]
+    return long.groupBy(key, *ATTRS, F.floor(F.col("col_pos") / width).cast("int").alias("col_group")).agg(*cells)

@@ -8,11 +8,13 @@ import uuid
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from shelfprice.functions.dates import week_start
 from shelfprice.operators import merge as M
 from shelfprice.operators import quality as Q
 from shelfprice.operators import versions as V
 from shelfprice.operators.grid import cells_from_wide
-from shelfprice.operators.periods import keep_last
+from shelfprice.operators.periods import keep_last, last_n_of_table
+from shelfprice.plans import competitors as C
 from shelfprice.plans import exports as EX
 from shelfprice.plans import loads as LD
 from shelfprice.plans import publish as PB
@@ -169,3 +171,65 @@ def q_weekly_refresh(spark, d):
              for f in ("price_fact", "cost_fact")]
     return log.join(facts[0].union(facts[1]), "step")
 
+
+# Rows of weeks from this one on come as a second load
+LATE_WEEK = "1998-06-01"
+
+
+def _refreshed(spark, name, rows, fact):
+    """A weekly fact made from a first load, and brought up to date after a late one."""
+    path = target(spark, name)
+    late = F.coalesce(F.col("week") >= F.lit(LATE_WEEK).cast("date"), F.lit(False))
+    for load_id, part in (("first", ~late), ("late", late), ("late", late)):  # a load that comes again adds nothing
+        WK.append_load(rows.where(part), f"{path}/history", load_id)
+        WK.refresh_changed(spark, f"{path}/history", f"{path}/fact", fact)
+    return V.read_table_version(spark, f"{path}/fact")
+
+
+@R.register("changed_weeks_price_fact", R.ORACLE["weekly_price_fact"])
+def q_changed_weeks_price_fact(spark, d):
+    rows = SI.history_rows(spark, d).select("id_lista", "cod_art", "fecha", "precio", "seq", week_start("fecha").alias("week"))
+    return _refreshed(spark, "price-fact", rows, WK.weekly_price_fact)
+
+
+@R.register("changed_weeks_cost_fact", R.ORACLE["weekly_cost_fact"])
+def q_changed_weeks_cost_fact(spark, d):
+    rows = SI.weekly_rows(spark, d).select("article", "week", "cost", "commercial_cost", "seq")
+    return _refreshed(spark, "cost-fact", rows, WK.weekly_cost_fact)
+
+
+@R.register("last_n_weeks_by_manifest", R.ORACLE["last_n_weeks_cost"])
+def q_last_n_weeks_by_manifest(spark, d):
+    """The newest weeks of a fact by week, found without a scan; only their folders are read."""
+    path = target(spark, "weekly-rows")
+    V.commit(WK.by_week(SI.weekly_rows(spark, d).drop("seq", "commercial_cost")), path, ["week"])
+    return last_n_of_table(spark, path, "week", R.REPORT_WEEKS).select(
+        "article", "description", "category", "article_type", "unit", "week", "cost")
+
+
+def _history_outcomes(spark, d) -> str:
+    path = target(spark, "history-outcomes")
+    LD.write_history(R._history_cells(spark, d), SI.price_lists(spark, d), path)
+    return path
+
+
+@R.register("written_history_load", R.ORACLE["unpivot_price_history"])
+def q_written_history_load(spark, d):
+    return LD.written_load(spark, _history_outcomes(spark, d)).drop("seq")
+
+
+@R.register("written_history_rejects", R.ORACLE["split_rejects"])
+def q_written_history_rejects(spark, d):
+    return LD.written_rejects(spark, _history_outcomes(spark, d))
+
+
+_WIDTH = 16
+_WIDE = ", ".join(f"max(CASE WHEN col_pos % {_WIDTH} = {i} THEN price END) AS c{i}" for i in range(_WIDTH))
+
+
+@R.register("competitor_matrix_wide", f"""
+SELECT cod_art, description, category, article_type, CAST(col_pos // {_WIDTH} AS INTEGER) AS col_group, {_WIDE}
+FROM ({R.ORACLE["competitor_matrix"]}) GROUP BY 1, 2, 3, 4, 5
+""")
+def q_competitor_matrix_wide(spark, d):
+    return C.matrix_wide(R.QUERIES["competitor_matrix"](spark, d), _WIDTH)
