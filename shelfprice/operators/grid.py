@@ -68,7 +68,7 @@ def detect_blocks(cells: DataFrame, name_row: int = 1,
             .join(last_col, list(SHEET))
             .select(*SHEET, F.col("col_idx").alias("block_start"),
                     F.coalesce(F.col("_next") - 1, F.col("_last")).alias("block_end"),
-                    "block_name"))
+                    "block_name", *[c for c in last_col.columns if c == "_bottom"]))
 
 
 def header_match(value: Column, contains: bool) -> Column:
@@ -104,7 +104,7 @@ def detect_header_rows(rows: DataFrame, blocks: DataFrame, contains: bool = Fals
     if search_rows is not None:
         rows = rows.where(F.col("row_idx") < search_rows)
     value = F.try_element_at("values", F.col("block_start") + 1)
-    hits = (rows.join(blocks.select(*SHEET, "block_start"), list(SHEET))
+    hits = (join_layout(rows, blocks.drop("block_end", "block_name"))
             .where(value.isNotNull() & (F.trim(value) != "") & header_match(value, contains))
             .groupBy(*SHEET, "block_start").agg(F.min("row_idx").alias("header_row")))
     return blocks.join(hits, [*SHEET, "block_start"], "inner")
@@ -182,9 +182,29 @@ def block_records(cells: DataFrame, headers: DataFrame,
 # values ARRAY<STRING>) with values[i] the cell in column i (null when blank).
 # The name row and the header rows are exploded to cells; the header search tests one
 # element of each row per block. The records are a narrow projection of every data row
-# (``try_element_at`` per field) after a join with the per-block layout. There is
-# no aggregate or shuffle over the data rows, and string cells never reach an
-# aggregation buffer (which would force a sort-based aggregate).
+# (``try_element_at`` per field) after a join with the per-block layout. String cells
+# never reach an aggregation buffer (which would force a sort-based aggregate).
+#
+# Where the layout holds each sheet's last row index, data rows meet it by sheet and row
+# range: it is copied to every range of ``RANGE_ROWS`` rows of its sheet, so that one huge
+# sheet is spread over all tasks by the join's own keys, whatever AQE does. Row indexes
+# count from 0. Many small sheets are better joined by sheet alone.
+
+RANGE_ROWS = 1 << 13
+
+
+def join_layout(rows: DataFrame, layout: DataFrame, range_rows: int = RANGE_ROWS,
+                how: str = "inner") -> DataFrame:
+    """``rows`` with the layout rows of their sheet, joined by (workbook, sheet, row
+    range). ``layout`` holds the sheet's last row index as ``_bottom``; without it the
+    join is by sheet alone. Rows without a workbook, sheet or row index meet none."""
+    if "_bottom" not in layout.columns:
+        return rows.join(layout, list(SHEET), how)
+    copies = layout.withColumn("_range", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.floor(F.col("_bottom") / range_rows).cast("bigint"))))
+    ranged = rows.withColumn("_range", F.floor(F.col("row_idx") / range_rows).cast("bigint"))
+    return ranged.join(copies, [*SHEET, "_range"], how).drop("_range")
+
 
 def is_row_form(grid: DataFrame) -> bool:
     return "values" in grid.columns
@@ -211,10 +231,12 @@ def rows_from_cells(cells: DataFrame) -> DataFrame:
     return got.select(*SHEET, "row_idx", values.alias("values"))
 
 
-def last_columns_rows(rows: DataFrame) -> DataFrame:
-    """(workbook, sheet, _last): last column holding a value in each sheet."""
+def last_columns_rows(rows: DataFrame, bottom: bool = False) -> DataFrame:
+    """(workbook, sheet, _last): last column holding a value in each sheet; with ``bottom``
+    also its last row index, ``_bottom``."""
     last = F.array_max(F.transform("values", lambda x, i: F.when(x.isNotNull(), i)))
-    return rows.groupBy(*SHEET).agg(F.max(last).alias("_last"))
+    return rows.groupBy(*SHEET).agg(F.max(last).alias("_last"),
+                                    *([F.max("row_idx").alias("_bottom")] if bottom else []))
 
 
 def block_layout(headers: DataFrame, resolved: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -222,7 +244,8 @@ def block_layout(headers: DataFrame, resolved: DataFrame, fields: Sequence[str])
     the resolved column (``_c_<field>``, null when absent) and ``has_<field>``."""
     cols = resolved.groupBy(*SHEET, "block_start").agg(
         *[F.max(F.when(F.col("field") == f, F.col("col_idx"))).alias(f"_c_{f}") for f in fields])
-    return (headers.select(*SHEET, "block_start", "block_end", "block_name", "header_row")
+    return (headers.select(*SHEET, "block_start", "block_end", "block_name", "header_row",
+                           *[c for c in headers.columns if c == "_bottom"])
             .join(cols, [*SHEET, "block_start"], "left")
             .select("*", *[F.col(f"_c_{f}").isNotNull().alias(f"has_{f}") for f in fields]))
 
@@ -234,8 +257,7 @@ def block_records_rows(rows: DataFrame, headers: DataFrame,
     fields = list(aliases)
     resolved = resolve_columns(heads, headers, aliases)
     layout = block_layout(headers, resolved, fields)  # a handful of rows per sheet
-    j = (rows.join(layout, list(SHEET))
-         .where(F.col("row_idx") > F.col("header_row")))
+    j = join_layout(rows, layout).where(F.col("row_idx") > F.col("header_row"))
     span = F.slice("values", F.col("block_start") + 1, F.col("block_end") - F.col("block_start") + 1)
     j = j.where(F.exists(span, lambda x: x.isNotNull()))
     return j.select(
@@ -246,15 +268,38 @@ def block_records_rows(rows: DataFrame, headers: DataFrame,
 
 # ------------------------------------------------------ dated price history
 
+def unpivot_history_rows(rows: DataFrame, date_row: int = 3, data_row: int = 4,
+                         first_price_col: int = 3, step: int = 3,
+                         range_rows: int = RANGE_ROWS) -> DataFrame:
+    """:func:`unpivot_history` over sheet rows: each row meets its sheet's date row once and
+    gives its price cells; base columns are elements of the row itself."""
+    dates = (rows.where(F.col("row_idx") == date_row).groupBy(*SHEET)
+             .agg(F.max("values").alias("_dates")))  # one row per sheet
+    layout = (rows.groupBy(*SHEET).agg(F.max("row_idx").alias("_bottom"))
+              .join(dates, list(SHEET), "left"))
+    data = join_layout(rows.where(F.col("row_idx") >= data_row), layout, range_rows)
+    cells = F.transform("values", lambda x, i: F.struct(
+        i.cast("int").alias("col_idx"), F.try_element_at("_dates", i + 1).alias("date_value"),
+        x.alias("price_value")))
+    priced = F.filter(cells, lambda c: c["price_value"].isNotNull() & (c["col_idx"] >= first_price_col)
+                      & ((c["col_idx"] - first_price_col) % step == 0))
+    base = [F.try_element_at("values", F.lit(i + 1)).alias(n)
+            for i, n in enumerate(("rubro", "cod_text", "producto"))]
+    return data.select(*SHEET, "row_idx", *base, F.inline(priced))
+
+
 def unpivot_history(cells: DataFrame, date_row: int = 3, data_row: int = 4,
                     first_price_col: int = 3, step: int = 3) -> DataFrame:
     """A wide dated price sheet → long rows. Base columns 0-2 are (rubro,
     cod_art, producto); price columns are ``first_price_col`` and every ``step``-th
     after it, each dated by its cell on ``date_row``; data starts on ``data_row``.
-    Empty price cells produce no row.
+    Empty price cells produce no row. ``cells``: a cell table, or sheet rows (no
+    aggregate over cells then).
 
     Returns (workbook, sheet, row_idx, col_idx, rubro, cod_text, producto,
     date_value, price_value)."""
+    if is_row_form(cells):
+        return unpivot_history_rows(cells, date_row, data_row, first_price_col, step)
     is_price_col = (F.col("col_idx") >= first_price_col) & \
         (((F.col("col_idx") - first_price_col) % step) == 0)
     prices = cells.where((F.col("row_idx") >= data_row) & is_price_col

@@ -52,12 +52,13 @@ def _pairs(spark: SparkSession, mapping: Mapping[str, str], schema: str) -> Data
 
 
 def _records(grid: DataFrame, contains: bool, aliases: Mapping[str, Sequence[str]],
-             name_row: int, search_rows: int | None) -> DataFrame:
+             name_row: int, search_rows: int | None, ranges: bool = False) -> DataFrame:
     """``grid`` is a cell table or sheet rows (``values`` array per row); sheet rows
-    need no aggregate over the data rows."""
+    need no aggregate over the data rows. With ``ranges`` sheet rows meet their sheet's
+    layout by row ranges (for sheets so large that one task can't hold one)."""
     if is_row_form(grid):
         names = cells_from_rows(grid.where(F.col("row_idx") == name_row))
-        blocks = detect_blocks(names, name_row, last_col=last_columns_rows(grid))
+        blocks = detect_blocks(names, name_row, last_col=last_columns_rows(grid, bottom=ranges))
         headers = detect_header_rows(grid, blocks, contains, search_rows)
         return block_records_rows(grid, headers, aliases, header_cells(grid, headers))
     blocks = detect_blocks(grid, name_row, last_col=last_columns(grid))
@@ -66,12 +67,13 @@ def _records(grid: DataFrame, contains: bool, aliases: Mapping[str, Sequence[str
 
 
 def publication_records(cells: DataFrame, name_row: int = 1,
-                        search_rows: int | None = None) -> DataFrame:
-    return _records(cells, False, PUBLICATION_ALIASES, name_row, search_rows)
+                        search_rows: int | None = None, ranges: bool = False) -> DataFrame:
+    return _records(cells, False, PUBLICATION_ALIASES, name_row, search_rows, ranges)
 
 
-def sales_records(cells: DataFrame, name_row: int = 1, search_rows: int | None = None) -> DataFrame:
-    return _records(cells, True, SALES_ALIASES, name_row, search_rows)
+def sales_records(cells: DataFrame, name_row: int = 1, search_rows: int | None = None,
+                  ranges: bool = False) -> DataFrame:
+    return _records(cells, True, SALES_ALIASES, name_row, search_rows, ranges)
 
 
 def enrich_missing_type(records: DataFrame) -> DataFrame:

@@ -433,6 +433,13 @@ def q_unpivot_price_history(spark, d):
     return LD.history_load(cells, SI.price_lists(spark, d)).drop("seq")
 
 
+@register("unpivot_price_history_rows", ORACLE["unpivot_price_history"])
+def q_unpivot_price_history_rows(spark, d):
+    """The same sheets as sheet rows."""
+    rows = land(GS.history_sheet_rows(spark, d), "history-rows")
+    return LD.history_load(rows, SI.price_lists(spark, d)).drop("seq")
+
+
 @register("split_rejects", f"""{_HIST}
 SELECT t.workbook, t.sheet, row_idx, col_idx, price_value, date_value,
        CASE WHEN reject_reason IS NOT NULL THEN reject_reason WHEN l.list_id IS NULL THEN 'unknown_list'

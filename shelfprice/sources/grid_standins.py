@@ -156,6 +156,54 @@ def history_sheet_cells(spark: SparkSession, d: str) -> DataFrame:
             .where(F.col("value").isNotNull()))
 
 
+def history_sheet_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The sheets of :func:`history_sheet_cells` as sheet rows."""
+    from shelfprice.sources.standins import price_lists
+    lc = _line_customer(spark, d)
+    p = _part(spark, d)
+    k = _month_index(F.col("l_shipdate")).alias("k")
+    first = (lc.groupBy(F.col("c_mktsegment").alias("sheet"), F.col("l_partkey").alias("p_partkey"), k)
+             .agg(F.min_by(F.struct("l_extendedprice", "l_returnflag", "l_linestatus",
+                                    "l_linenumber"), seq_struct()).alias("f")))
+    cents = F.round(F.col("f.l_extendedprice") * 100).cast("bigint")
+    price_text = (F.when((F.col("f.l_returnflag") == "R") & (F.col("f.l_linestatus") == "O"), "s/p")
+                  .when(F.col("f.l_linenumber") == 7, "0")
+                  .otherwise(cents_text(cents)))
+    wb, none = F.lit("history").alias("workbook"), F.lit(None).cast("string")
+
+    def months(values) -> Column:
+        """Three cells for each month up to the last one of ``_s``, the row's cells in order;
+        months between two of them are blank."""
+        def part(v: Column, i: Column) -> Column:
+            before = F.when(i > 0, F.try_element_at("_s", i)["k"]).otherwise(F.lit(-1))
+            return F.concat(F.array_repeat(none, (v["k"] - before - 1) * 3), values(v))
+        return F.flatten(F.transform("_s", part))
+    cell = F.struct("k", price_text.alias("price"), F.col("f.l_linenumber").cast("string").alias("n"))
+    code = (F.when(F.col("p_size") == 7, F.concat(F.lit("X"), F.col("p_partkey").cast("string")))
+            .when(F.col("p_size") == 8, F.lit(""))
+            .otherwise(F.col("p_partkey").cast("string")))
+    product = F.when((F.col("p_size") == 8) & (F.col("p_brand") == "Brand#1"), F.lit(None)) \
+        .otherwise(F.col("p_name"))
+    # sorted below the join: above it, they would be sorted anew for every month
+    data = (first.groupBy("sheet", "p_partkey")
+            .agg(F.sort_array(F.collect_list(F.when(F.col("k").isNotNull(), cell))).alias("_s"))
+            .join(p, "p_partkey")
+            .select(wb, "sheet", (F.col("p_partkey") + 4).cast("bigint").alias("row_idx"),
+                    F.concat(F.array(F.col("p_type"), code, product),
+                             months(lambda v: F.array(v["price"], v["n"], none))).alias("values")))
+    # the date of a month's column: its first day
+    day = F.make_date(F.floor(F.col("k") / 12).cast("int") + 1995, F.pmod("k", F.lit(12)) + 1, F.lit(1))
+    text = F.when(F.pmod("k", F.lit(12)) == 5, F.lit("junio")).otherwise(F.date_format(day, "d/M/yyyy"))
+    dates = (first.where(F.col("k").isNotNull()).select("sheet", "k").distinct()
+             .groupBy("sheet").agg(F.sort_array(F.collect_list(F.struct("k", text.alias("v")))).alias("_s"))
+             .select(wb, "sheet", F.lit(3).cast("bigint").alias("row_idx"),
+                     F.concat(F.array(none, none, none),
+                              months(lambda v: F.array(v["v"], none, none))).alias("values")))
+    title = price_lists(spark, d).select(wb, F.col("list_name").alias("sheet"), F.lit(0).cast("bigint").alias("row_idx"),
+                                         F.array(F.lit("Lista de precios")).alias("values"))
+    return data.unionByName(dates).unionByName(title)
+
+
 NATIONS = 25  # competitor columns of a template sheet: one per supplier nation
 
 

@@ -191,3 +191,48 @@ def test_row_form_last_column_ignores_trailing_blanks(spark):
     assert last == {"s": 2, "t": None}
     assert sorted((r.row_idx, r.col_idx, r.value) for r in cells_from_rows(rows).collect()) == \
         [(1, 0, "A"), (1, 2, "B"), (2, 1, "x")]
+
+
+def test_history_row_form_matches_cell_form(spark):
+    from shelfprice.operators.grid import rows_from_cells, unpivot_history_rows
+    rows = [(0, 0, "title"), (3, 3, "1/2/2024"), (3, 6, "junio"),
+            (4, 0, "r"), (4, 1, "12.7"), (4, 2, "prod"), (4, 3, "10.5"), (4, 4, "1"), (4, 6, "3"),
+            (5, 1, ""), (5, 3, "0"), (9000, 2, "p2"), (9000, 3, "s/p"), (9000, 9, "no date")]
+    df = cells(spark, rows)
+    bare = spark.createDataFrame([("w", "t", 4, 3, "5"), ("w", "t", 4, 1, "8")], CELL)  # a sheet without dates
+    df = df.unionByName(bare)
+    want = unpivot_history(df)
+    for n in (1, 2, 8192):
+        got = unpivot_history_rows(rows_from_cells(df), range_rows=n).select(want.columns)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert unpivot_history(rows_from_cells(df.limit(0))).count() == 0
+
+
+def test_hot_sheet_is_spread_by_row_ranges(spark):
+    """One sheet with nearly all rows: its rows meet the layout in many tasks without AQE."""
+    from pyspark.sql import functions as F
+    from shelfprice.operators.grid import join_layout
+    from shelfprice.plans.exports import publication_records
+    heads = [("w", s, r, v) for s in ("hot", "small") for r, v in
+             ((1, ["CLUSTER A", None, None]), (2, ["Rubro", "Cod", "sin iva"]))]
+    sheet = "workbook string, sheet string, row_idx long, values array<string>"
+    data = spark.range(3, 40003).select(
+        F.lit("w").alias("workbook"), F.when(F.col("id") % 10 == 0, "small").otherwise("hot").alias("sheet"),
+        F.col("id").alias("row_idx"), F.array(F.lit("Carnes"), F.col("id").cast("string"), F.lit("5")).alias("values"))
+    grid = spark.createDataFrame(heads, sheet).unionByName(data)
+    plain, ranged = publication_records(grid), publication_records(grid, ranges=True)
+    assert ranged.columns == plain.columns
+    assert ranged.exceptAll(plain).isEmpty() and plain.exceptAll(ranged).isEmpty() and plain.count() == 40000
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        layout = spark.createDataFrame([("w", "hot", 40002, 7), ("w", "small", 40000, 8)],
+                                       "workbook string, sheet string, _bottom long, x int")
+        joined = join_layout(grid, layout, 256)
+        assert joined.count() == grid.count()
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < grid.count() / 4
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
