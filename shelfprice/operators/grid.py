@@ -97,10 +97,20 @@ def detect_header(cells: DataFrame, blocks: DataFrame, contains: bool = False,
     return blocks.join(hits, [*SHEET, "block_start"], "inner")
 
 
+def top_rows(rows: DataFrame, name_row: int = 1) -> DataFrame:
+    """The sheet rows that the layout is read from: the name row, and every row that may be a
+    header row (some cell contains 'rubro'). Each row is judged by itself, so that the rows
+    below are neither joined nor shuffled in search of the layout."""
+    # a line break between cells: no match spans two of them
+    may_be_header = F.lower(F.array_join("values", "\n")).contains("rubro")
+    return rows.where((F.col("row_idx") == name_row) | may_be_header)
+
+
 def detect_header_rows(rows: DataFrame, blocks: DataFrame, contains: bool = False,
                        search_rows: int | None = None) -> DataFrame:
     """:func:`detect_header` over sheet rows: each row is tested in the first column of
-    the sheet's blocks (a handful), without exploding it to cells."""
+    the sheet's blocks (a handful), without exploding it to cells. ``rows`` may be just the
+    :func:`top_rows`."""
     if search_rows is not None:
         rows = rows.where(F.col("row_idx") < search_rows)
     value = F.try_element_at("values", F.col("block_start") + 1)
@@ -111,7 +121,7 @@ def detect_header_rows(rows: DataFrame, blocks: DataFrame, contains: bool = Fals
 
 
 def header_cells(rows: DataFrame, headers: DataFrame) -> DataFrame:
-    """Cells of the header rows only."""
+    """Cells of the header rows only (``rows``: all, or the :func:`top_rows`)."""
     at = headers.select(*SHEET, F.col("header_row").alias("row_idx")).distinct()
     return cells_from_rows(rows.join(at, [*SHEET, "row_idx"], "left_semi"))
 
@@ -256,7 +266,8 @@ def block_records_rows(rows: DataFrame, headers: DataFrame,
     header rows (:func:`header_cells`)."""
     fields = list(aliases)
     resolved = resolve_columns(heads, headers, aliases)
-    layout = block_layout(headers, resolved, fields)  # a handful of rows per sheet
+    # a handful of rows per sheet: the hash side, so that the sheet rows need no sort
+    layout = block_layout(headers, resolved, fields).hint("shuffle_hash")
     j = join_layout(rows, layout).where(F.col("row_idx") > F.col("header_row"))
     span = F.slice("values", F.col("block_start") + 1, F.col("block_end") - F.col("block_start") + 1)
     j = j.where(F.exists(span, lambda x: x.isNotNull()))

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,8 +20,9 @@ from shelfprice.functions.flags import ends_in_99, sign_class, valid_price
 from shelfprice.functions.text import normalise_ratio, safe_name, strip_cluster_word, to_number
 from shelfprice.operators.grid import (block_records, block_records_rows, cells_from_rows,
                                        detect_blocks, detect_header, detect_header_rows,
-                                       header_cells, is_row_form, last_columns, last_columns_rows)
-from shelfprice.session import delete_folder, list_folder, rename
+                                       header_cells, is_row_form, last_columns, last_columns_rows,
+                                       top_rows)
+from shelfprice.session import delete_folder, land, list_folder, rename
 
 # Fixed values (must equal the reference's behaviour).
 # Header aliases of the publication export, in priority order per field:
@@ -52,15 +55,19 @@ def _pairs(spark: SparkSession, mapping: Mapping[str, str], schema: str) -> Data
 
 
 def _records(grid: DataFrame, contains: bool, aliases: Mapping[str, Sequence[str]],
-             name_row: int, search_rows: int | None, ranges: bool = False) -> DataFrame:
+             name_row: int, search_rows: int | None, ranges: bool = False,
+             data: Column | None = None) -> DataFrame:
     """``grid`` is a cell table or sheet rows (``values`` array per row); sheet rows
-    need no aggregate over the data rows. With ``ranges`` sheet rows meet their sheet's
-    layout by row ranges (for sheets so large that one task can't hold one)."""
+    need no aggregate over the data rows, and are shuffled once, to meet their layout. With
+    ``ranges`` they meet it by row ranges (for sheets so large that one task can't hold one).
+    ``data`` tells by ``values`` which sheet rows may give a record the caller keeps."""
     if is_row_form(grid):
-        names = cells_from_rows(grid.where(F.col("row_idx") == name_row))
+        tops = land(top_rows(grid, name_row), "sheet-tops")
+        names = cells_from_rows(tops.where(F.col("row_idx") == name_row))
         blocks = detect_blocks(names, name_row, last_col=last_columns_rows(grid, bottom=ranges))
-        headers = detect_header_rows(grid, blocks, contains, search_rows)
-        return block_records_rows(grid, headers, aliases, header_cells(grid, headers))
+        headers = land(detect_header_rows(tops, blocks, contains, search_rows), "sheet-headers")
+        rows = grid if data is None else grid.where(data)
+        return block_records_rows(rows, headers, aliases, header_cells(tops, headers))
     blocks = detect_blocks(grid, name_row, last_col=last_columns(grid))
     headers = detect_header(grid, blocks, contains, search_rows)
     return block_records(grid, headers, aliases)
@@ -72,44 +79,60 @@ def publication_records(cells: DataFrame, name_row: int = 1,
 
 
 def sales_records(cells: DataFrame, name_row: int = 1, search_rows: int | None = None,
-                  ranges: bool = False) -> DataFrame:
-    return _records(cells, True, SALES_ALIASES, name_row, search_rows, ranges)
+                  ranges: bool = False, data: Column | None = None) -> DataFrame:
+    return _records(cells, True, SALES_ALIASES, name_row, search_rows, ranges, data)
 
 
-def enrich_missing_type(records: DataFrame) -> DataFrame:
+def _gives_types() -> Column:
+    """True for the records that a sheet's type map is made from."""
+    return F.col("has_tipo") & F.col("has_codigo") & F.col("codigo").isNotNull()
+
+
+def enrich_missing_type(records: DataFrame, kept: Column | None = None) -> DataFrame:
     """Blocks without a type column but with a code column get the type from the
     first block of the same sheet that has both (first row per code; unknown
     code → ''). Blocks with a type column are left as they are.
 
-    The type map has one row per (sheet, code); every record is joined with it once
-    and takes its type only where it needs one."""
+    With ``kept`` only those records are returned; the map still comes from all. Only
+    records that lack a type are joined, once, with the types asked for: one row per
+    (sheet, code), looked up in the map before."""
     key = ["workbook", "sheet"]
-    usable = F.col("has_tipo") & F.col("has_codigo") & F.col("codigo").isNotNull()
     # per sheet the first block with both, per code of that block its first row
-    per_block = (records.where(usable).groupBy(*key, "block_start", "codigo")
-                 .agg(F.min_by("tipo", "row_idx").alias("_map_tipo")))
+    per_block = land(records.where(_gives_types()).groupBy(*key, "block_start", "codigo")
+                     .agg(F.min_by("tipo", "row_idx").alias("_map_tipo")), "block-types")
     first = per_block.groupBy(*key).agg(F.min("block_start").alias("block_start"))
     type_map = per_block.join(first, [*key, "block_start"], "left_semi").drop("block_start")
-    fill = ~F.col("has_tipo") & F.col("has_codigo") & F.col("_has_map").isNotNull()
-    return (records.join(first.select(*key, F.lit(True).alias("_has_map")), key, "left")
-            .join(type_map, [*key, "codigo"], "left")
-            .withColumns({"tipo": F.when(fill, F.coalesce("_map_tipo", F.lit(""))).otherwise(F.col("tipo")),
-                          "has_tipo": F.col("has_tipo") | fill})
-            .select(*records.columns))
+    out = records if kept is None else records.where(kept)
+    lacks = ~F.col("has_tipo") & F.col("has_codigo")
+    asked = out.where(lacks).select(*key, "codigo").distinct()
+    # sheets without a map fill nothing; an unknown code, or none, gives ''
+    fills = (asked.join(first.select(*key), key).join(type_map, [*key, "codigo"], "left")
+             .select(*[F.col(c).alias(f"_k_{c}") for c in (*key, "codigo")],
+                     F.coalesce("_map_tipo", F.lit("")).alias("_fill")))
+    filled = (out.where(lacks)
+              .join(fills, (F.col("workbook") == F.col("_k_workbook")) & (F.col("sheet") == F.col("_k_sheet"))
+                    & F.col("codigo").eqNullSafe(F.col("_k_codigo")), "left")
+              .withColumns({"tipo": F.coalesce("_fill", "tipo"),
+                            "has_tipo": F.col("_fill").isNotNull()})
+              .select(*records.columns))
+    return out.where(~lacks).unionByName(filled)
 
 
 def publication_export(cells: DataFrame) -> DataFrame:
     """Rows of every (cluster, tab) publication file with their flags. Without a
     rubro column a block's rows go to every tab; with a 'sin iva' column only
     rows whose rounded value is non-zero stay."""
-    recs = enrich_missing_type(publication_records(cells))
+    sin_iva, keep = valid_price("sin_iva", round_first=True)
+    kept = ((~F.col("has_rubro") | F.col("rubro").isin(*PUBLICATION_TABS.values()))
+            & (~F.col("has_sin_iva") | keep))
+    # records of no tab serve the type map at most
+    recs = land(publication_records(cells).where(_gives_types() | F.coalesce(kept, F.lit(False))), "publication-records")
+    recs = enrich_missing_type(recs, kept)
     # every record is offered to each of the (three) tabs: a fixed fan-out
     tabs = F.array(*[F.struct(F.lit(t).alias("tab"), F.lit(r).alias("tab_rubro"))
                      for t, r in PUBLICATION_TABS.items()])
     j = recs.select("*", F.inline(tabs))
     j = j.where(~F.col("has_rubro") | (F.col("rubro") == F.col("tab_rubro")))
-    sin_iva, keep = valid_price("sin_iva", round_first=True)
-    j = j.where(~F.col("has_sin_iva") | keep)
     precio = F.bround(to_number("precio"), 0)
     return j.select(
         safe_name(strip_cluster_word(F.col("block_name"))).alias("cluster"), "tab",
@@ -130,7 +153,10 @@ def sales_export(cells: DataFrame, list_codes: Mapping[str, str],
     the fixed date text and the cluster's list code ('' when unknown). Blocks
     lacking any of rubro / code / 'sin iva' produce nothing."""
     spark = cells.sparkSession
-    recs = sales_records(cells).where(F.col("has_rubro") & F.col("has_codigo") & F.col("has_sin_iva"))
+    # rows of no category's value give nothing, whatever their layout
+    text = F.upper(F.array_join("values", "\n"))
+    listed = reduce(or_, (text.contains(v) for v in SALES_CATEGORIES.values()))
+    recs = sales_records(cells, data=listed).where(F.col("has_rubro") & F.col("has_codigo") & F.col("has_sin_iva"))
     # both parameters are literal lists of a few rows
     cats = F.broadcast(_pairs(spark, SALES_CATEGORIES, "category string, cat_value string"))
     codes = F.broadcast(_pairs(spark, list_codes, "code_key string, list_code string"))

@@ -236,3 +236,33 @@ def test_hot_sheet_is_spread_by_row_ranges(spark):
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)
+
+
+def _moves(df, column):
+    """How many exchanges of the plan carry ``column``."""
+    text = df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    import re
+    return len(re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[[^\]]*\b" + column + "#", text))
+
+
+def test_sheet_rows_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """Finding the layout moves no data rows; the type map and its use move records once."""
+    from shelfprice.operators.grid import rows_from_cells
+    from shelfprice.plans.exports import publication_records, sales_records
+    from shelfprice.session import land
+    monkeypatch.setattr("shelfprice.session.shared_folder", lambda s: str(tmp_path))
+    rows = [(1, 0, "CLUSTER A"), (1, 3, "CLUSTER B"), (2, 0, "Rubro"), (2, 1, "Tipo"), (2, 2, "Cód."),
+            (2, 3, "Rubro"), (2, 4, "Cod"), (2, 5, "sin iva"), (3, 0, "Carnes"), (3, 1, "T1"), (3, 2, "7"),
+            (3, 3, "Carnes"), (3, 4, "7"), (3, 5, "20"), (4, 3, "Dira"), (4, 4, "8"), (4, 5, "12.6"),
+            (5, 3, "Dira"), (5, 5, "3"), (6, 3, "Otros"), (6, 4, "7"), (6, 5, "3")]
+    df = cells(spark, rows)
+    grid = land(rows_from_cells(df), "rows")
+    for fn in (publication_records, sales_records):
+        assert _moves(fn(grid), "values") == 1
+    got = publication_export(grid)
+    assert _moves(got, "descripcion") <= 1
+    # block A has no 'sin iva' column; B takes A's types ('' for an unknown code or none)
+    assert sorted((r.cluster, r.row_idx, r.tipo) for r in got.collect()) == \
+        [("A", 3, "T1"), ("B", 3, "T1"), ("B", 4, ""), ("B", 5, "")]
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, publication_export(df).collect()))
