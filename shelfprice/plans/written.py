@@ -21,6 +21,7 @@ from shelfprice.plans import publish as PB
 from shelfprice.plans import registry as R
 from shelfprice.plans import reports as RP
 from shelfprice.plans import weekly as WK
+from shelfprice.session import land
 from shelfprice.sources import standins as SI
 from shelfprice.sources import standins_sql as S
 from shelfprice.sources.tables import read_table
@@ -80,7 +81,7 @@ def q_published_competitor_matrix(spark, d):
 SELECT cluster, category, codigo, precio FROM sal_export WHERE category <> 'Dira'
 """)
 def q_rewritten_exports(spark, d):
-    out = EX.sales_export(R._cluster_cells(spark, d), R.LIST_CODES)
+    out = land(EX.sales_export(R._cluster_cells(spark, d), R.LIST_CODES), "sales-export")  # written twice
     path = target(spark, "exports")
     EX.write_exports(out, path, ["cluster", "category"], R.PROCESS_DATE)
     # the group Dira is empty in the rerun: nothing of it stays
