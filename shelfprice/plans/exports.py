@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -239,17 +239,28 @@ def sales_file_lines(exports: DataFrame) -> DataFrame:
                           plain_number(F.col("precio")).alias("b"), F.format_string("%.2f", "cero").alias("c"),
                           F.col("fecha_texto").alias("d"))
     none = F.lit(None).cast("string")
-    first = (exports.groupBy("cluster", "category").agg(F.max("list_code").alias("a"))
+    # a group's codes (one, as a rule) are made few before the greatest text is sought
+    first = (exports.select("cluster", "category", "list_code").distinct()
+             .groupBy("cluster", "category").agg(F.max("list_code").alias("a"))
              .select("cluster", "category", F.lit(None).cast(rows.schema["line"].dataType).alias("line"), "a",
                      none.alias("b"), none.alias("c"), none.alias("d")))
     return first.unionByName(rows)
 
 
-def write_sales_files(exports: DataFrame, path: str, process_date: str) -> None:
+# Lines that one task of a sales write sorts and writes
+LINES_PER_TASK = 1 << 20
+
+
+def write_sales_files(exports: DataFrame, path: str, process_date: str, lines_per_task: int = LINES_PER_TASK) -> None:
     """Sales files as CSV of four columns under ``process_date=…/cluster=…/category=…``,
-    the list code first. A group's lines are written by one task, sorted."""
-    lines = (sales_file_lines(exports).repartition("cluster", "category")
-             .sortWithinPartitions("cluster", "category", F.asc_nulls_first("line")).drop("line"))
+    the list code first. The lines of all groups are cut into ranges of about
+    ``lines_per_task`` in their order, a task each: a group is one file, or, where ranges cut
+    it, several that continue each other in the order of their names."""
+    exports = land(exports, "sales-rows")  # read for the count, the ranges and the lines
+    at = ("cluster", "category", F.asc_nulls_first("line"))
+    lines = sales_file_lines(exports)
+    tasks = max(1, -(-exports.count() // lines_per_task))
+    lines = lines.repartitionByRange(tasks, *at).sortWithinPartitions(*at).drop("line")
     _replace_date(lines, path, ["cluster", "category"], process_date,
                   lambda w, where: w.option("header", "false").option("emptyValue", "").csv(where),
                   lambda where: _read_lines(exports.sparkSession, where))
@@ -262,10 +273,17 @@ def _read_lines(spark: SparkSession, where: str) -> DataFrame:
 def written_lines(spark: SparkSession, path: str, process_date: str) -> DataFrame:
     """The lines of a date's sales files with their place in the file, from 0 on."""
     back = _read_lines(spark, f"{path.rstrip('/')}/process_date={process_date}")
-    at = back.select("*", F.input_file_name().alias("_f"), F.monotonically_increasing_id().alias("_m"))
-    # a file is one group's; its lines keep their order within each read split
-    order = Window.partitionBy("cluster", "category").orderBy("_m")
-    return at.select("cluster", "category", (F.row_number().over(order) - 1).cast("long").alias("line"), "a", "b", "c", "d")
+    # a read split holds lines of one file, in order; the splits, not the lines, are put in a row
+    split = ["cluster", "category", "_f", "_b"]
+    at = back.select("*", F.col("_metadata.file_name").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
+                     F.monotonically_increasing_id().alias("_m"))
+    before = Window.partitionBy("cluster", "category").orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (at.groupBy(*split).agg(F.min("_m").alias("_first"), F.count(F.lit(1)).alias("_n"))
+              .withColumn("_from", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"s.{c}")) for c in split]
+    # a row per read split, of 128 MB as a rule
+    return (at.alias("l").join(F.broadcast(splits.alias("s")), reduce(and_, same))
+            .select("l.cluster", "l.category", (F.col("_m") + F.col("_from")).alias("line"), "a", "b", "c", "d"))
 
 
 def written_manifest(spark: SparkSession, path: str, process_date: str) -> DataFrame:

@@ -135,3 +135,27 @@ def test_run_log_keeps_the_whole_message(spark, tmp_path):
     log = str(tmp_path / "log")
     run_steps(spark, [("prices", boom)], log, run_id="r")
     assert len(spark.read.parquet(log).first().message) == 5000
+
+
+def test_sales_lines_of_a_group_over_several_files(spark, tmp_path):
+    """A group of more lines than a task should hold is cut into files that continue each
+    other; its lines are numbered without a window over them."""
+    df = spark.range(5000).select(
+        F.lit("SUR").alias("cluster"), F.when(F.col("id") < 4900, "Carnes").otherwise("Dira").alias("category"),
+        F.lit("L").alias("list_code"), F.lit("w").alias("workbook"), F.lit("s").alias("sheet"), F.lit(0).alias("block_start"),
+        (9999 - F.col("id")).alias("row_idx"), F.col("id").cast("string").alias("codigo"), F.lit(2.5).alias("precio"),
+        F.lit(0.0).alias("cero"), F.lit("d").alias("fecha_texto"))
+    path = str(tmp_path / "sales")
+    EX.write_sales_files(df, path, "2024-06-03", lines_per_task=1000)
+    files = sorted(f for f in os.listdir(f"{path}/process_date=2024-06-03/cluster=SUR/category=Carnes") if f.endswith(".csv"))
+    assert len(files) >= 4
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")  # files in several read splits
+    try:
+        back = EX.written_lines(spark, path, "2024-06-03")
+        got = sorted((r.category, r.line, r.a) for r in back.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == sorted([("Carnes", 0, "L"), ("Dira", 0, "L")] + [("Carnes", 4900 - i, str(i)) for i in range(4900)]
+                         + [("Dira", 5000 - i, str(i)) for i in range(4900, 5000)])
+    assert [(r.category, r.n_rows) for r in EX.written_manifest(spark, path, "2024-06-03").orderBy("category").collect()] == \
+        [("Carnes", 4900), ("Dira", 100)]
