@@ -15,13 +15,14 @@ an aggregate.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfprice.functions.dates import parse_dayfirst
 from shelfprice.functions.text import norm_key
+from shelfprice.session import land
 
 SHEET = ("workbook", "sheet")
 
@@ -281,36 +282,45 @@ def block_records_rows(rows: DataFrame, headers: DataFrame,
 
 def unpivot_history_rows(rows: DataFrame, date_row: int = 3, data_row: int = 4,
                          first_price_col: int = 3, step: int = 3,
-                         range_rows: int = RANGE_ROWS) -> DataFrame:
+                         range_rows: int = RANGE_ROWS,
+                         parse_date: Callable[[Column], Column] | None = None) -> DataFrame:
     """:func:`unpivot_history` over sheet rows: each row meets its sheet's date row once and
     gives its price cells; base columns are elements of the row itself."""
     dates = (rows.where(F.col("row_idx") == date_row).groupBy(*SHEET)
              .agg(F.max("values").alias("_dates")))  # one row per sheet
-    layout = (rows.groupBy(*SHEET).agg(F.max("row_idx").alias("_bottom"))
-              .join(dates, list(SHEET), "left"))
+    if parse_date is not None:
+        dates = dates.withColumn("_parsed", F.transform("_dates", parse_date))
+    # landed, its size is known: while it is small, the sheet rows are not shuffled to meet it
+    layout = land(rows.groupBy(*SHEET).agg(F.max("row_idx").alias("_bottom"))
+                  .join(dates, list(SHEET), "left"), "history-layout")
     data = join_layout(rows.where(F.col("row_idx") >= data_row), layout, range_rows)
-    cells = F.transform("values", lambda x, i: F.struct(
+    # only price columns are looked at, and only cells with a price are built
+    columns = F.when(F.size("values") > first_price_col,
+                     F.sequence(F.lit(first_price_col), F.size("values") - 1, F.lit(step)))
+    present = F.filter(columns, lambda i: F.try_element_at("values", i + 1).isNotNull())
+    priced = F.transform(present, lambda i: F.struct(
         i.cast("int").alias("col_idx"), F.try_element_at("_dates", i + 1).alias("date_value"),
-        x.alias("price_value")))
-    priced = F.filter(cells, lambda c: c["price_value"].isNotNull() & (c["col_idx"] >= first_price_col)
-                      & ((c["col_idx"] - first_price_col) % step == 0))
+        F.try_element_at("values", i + 1).alias("price_value"),
+        *([F.try_element_at("_parsed", i + 1).alias("date_parsed")] if parse_date is not None else [])))
     base = [F.try_element_at("values", F.lit(i + 1)).alias(n)
             for i, n in enumerate(("rubro", "cod_text", "producto"))]
     return data.select(*SHEET, "row_idx", *base, F.inline(priced))
 
 
 def unpivot_history(cells: DataFrame, date_row: int = 3, data_row: int = 4,
-                    first_price_col: int = 3, step: int = 3) -> DataFrame:
+                    first_price_col: int = 3, step: int = 3,
+                    parse_date: Callable[[Column], Column] | None = None) -> DataFrame:
     """A wide dated price sheet → long rows. Base columns 0-2 are (rubro,
     cod_art, producto); price columns are ``first_price_col`` and every ``step``-th
     after it, each dated by its cell on ``date_row``; data starts on ``data_row``.
     Empty price cells produce no row. ``cells``: a cell table, or sheet rows (no
-    aggregate over cells then).
+    aggregate over cells then). ``parse_date`` is applied to every date cell, once for its
+    whole column.
 
     Returns (workbook, sheet, row_idx, col_idx, rubro, cod_text, producto,
-    date_value, price_value)."""
+    date_value, price_value), and ``date_parsed`` with ``parse_date``."""
     if is_row_form(cells):
-        return unpivot_history_rows(cells, date_row, data_row, first_price_col, step)
+        return unpivot_history_rows(cells, date_row, data_row, first_price_col, step, parse_date=parse_date)
     is_price_col = (F.col("col_idx") >= first_price_col) & \
         (((F.col("col_idx") - first_price_col) % step) == 0)
     prices = cells.where((F.col("row_idx") >= data_row) & is_price_col
@@ -318,6 +328,11 @@ def unpivot_history(cells: DataFrame, date_row: int = 3, data_row: int = 4,
         .select(*SHEET, "row_idx", "col_idx", F.col("value").alias("price_value"))
     dates = cells.where((F.col("row_idx") == date_row) & is_price_col) \
         .select(*SHEET, "col_idx", F.col("value").alias("date_value"))
+    if parse_date is not None:
+        dates = dates.withColumn("date_parsed", parse_date(F.col("date_value")))
+    # a row per price column of a sheet. Landed, its size is known: while it is small, prices
+    # are not shuffled by column, of which there are few
+    dates = land(dates, "history-dates")
     base = (cells.where((F.col("row_idx") >= data_row) & (F.col("col_idx") < first_price_col))
             .groupBy(*SHEET, "row_idx")
             .agg(F.max(F.when(F.col("col_idx") == 0, F.col("value"))).alias("rubro"),
@@ -373,7 +388,7 @@ def _column_dates() -> Column:
 
 
 def melt_template(grid: DataFrame, data_row: int = 3, date_row: int = 1, header_row: int = 2,
-                  first_col: int = 3) -> DataFrame:
+                  first_col: int = 3, by_code: bool = False) -> DataFrame:
     """Competitor template sheets → long (code, competitor, price text) rows.
 
     ``grid``: sheet rows, or cells (which become sheet rows first). The code column is
@@ -383,7 +398,9 @@ def melt_template(grid: DataFrame, data_row: int = 3, date_row: int = 1, header_
     is blank or absent. A column without header is named by its position, one with the
     description header by that field, one whose header stands further left already by the
     header and a number; none of these has a date. Other dates are the cell above the last
-    column of that header that has one: a date or day-first text; unparsable → null.
+    column of that header that has one: a date or day-first text; unparsable → null. With
+    ``by_code`` the rows of a sheet name and code meet in one task while they are sheet rows:
+    an aggregate by code over the result needs no exchange of its many cells.
 
     Returns (workbook, sheet, row_idx, col_idx, cod_art, competencia,
     price_value, fecha_modificacion)."""
@@ -391,16 +408,30 @@ def melt_template(grid: DataFrame, data_row: int = 3, date_row: int = 1, header_
     rows = grid if is_row_form(grid) else rows_from_cells(grid)
     layout = (template_layout(rows, date_row, header_row).where(F.col("_w") > first_col)
               .withColumn("_names", _column_names(first_col)).withColumn("_dates", _column_dates())
-              .select(*SHEET, "_code", "_names", "_dates"))
+              .select(*SHEET, "_code", "_names",
+                      F.transform("_dates", lambda d: parse_dayfirst(d).cast("date")).alias("_dates")))
+    # a row per sheet. Landed, its size is known: while it is small, the sheet rows are not
+    # shuffled by sheet, of which there are few
+    layout = land(layout, "template-layout")
     data = rows.where(F.col("row_idx") >= data_row).join(layout, list(SHEET))
     data = (data.withColumn("cod_art", code_or_null(F.try_element_at("values", F.col("_code") + 1)))
             .where(F.col("cod_art").isNotNull()))
-    cells = (data.select(*SHEET, "row_idx", "cod_art", "_code", "values", "_names", "_dates",
-                         F.posexplode("_names").alias("_k", "competencia"))
-             .withColumn("col_idx", F.col("_k") + first_col).where("col_idx <> _code")
-             .select(*SHEET, "row_idx", "col_idx", "cod_art", "competencia",
-                     _blank_as_null(F.try_element_at("values", F.col("col_idx") + 1)).alias("price_value"),
-                     F.try_element_at("_dates", F.col("_k") + 1).alias("_date")))
-    filled = (cells.where(F.col("price_value").isNotNull()).select(*SHEET, "col_idx").distinct())
-    return (cells.join(filled, [*SHEET, "col_idx"], "left_semi")
-            .withColumn("fecha_modificacion", parse_dayfirst("_date").cast("date")).drop("_date"))
+
+    def cells(data: DataFrame) -> DataFrame:
+        return (data.select(*SHEET, "row_idx", "cod_art", "_code", "values", "_names", "_dates",
+                            F.posexplode("_names").alias("_k", "competencia"))
+                .withColumn("col_idx", F.col("_k") + first_col).where("col_idx <> _code")
+                .select(*SHEET, "row_idx", "col_idx", "cod_art", "competencia",
+                        _blank_as_null(F.try_element_at("values", F.col("col_idx") + 1)).alias("price_value"),
+                        F.try_element_at("_dates", F.col("_k") + 1).alias("fecha_modificacion")))
+    # likewise: a row per column
+    filled = land(cells(data).where(F.col("price_value").isNotNull()).select(*SHEET, "col_idx").distinct(),
+                  "template-columns")
+    if by_code:
+        # the number is given: few bytes of sheet rows are many cells, so tasks are not merged
+        tasks = int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # the layout's arrays do not travel with the rows: they are met again behind the exchange
+        rows_by_code = (data.drop("_names", "_dates").repartition(tasks, "sheet", "cod_art")
+                        .join(layout.drop("_code"), list(SHEET)))
+        return cells(rows_by_code).join(filled, [*SHEET, "col_idx"], "left_semi")
+    return cells(data).join(filled, [*SHEET, "col_idx"], "left_semi")

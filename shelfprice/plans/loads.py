@@ -29,13 +29,12 @@ REPORT_COLUMNS = ("workbook", "sheet", "row_idx", "col_idx", "price_value", "dat
 
 
 def _history_parsed(cells: DataFrame) -> DataFrame:
-    raw = unpivot_history(cells)
+    raw = unpivot_history(cells, parse_date=lambda c: floor_minute(parse_dayfirst(c)))
     code = blank_to_null("cod_text")
     return raw.withColumns({
         "_precio": to_number("price_value"),
-        "_fecha": floor_minute(parse_dayfirst("date_value")),
         "_code": code,
-    })
+    }).withColumnRenamed("date_parsed", "_fecha")
 
 
 def _history_tagged(cells: DataFrame, lists: DataFrame) -> DataFrame:
@@ -131,7 +130,7 @@ def template_load(grid: DataFrame, sheets: Sequence[str], as_of: str,
                                   "sheet string, sheet_rank int")
     # the sheet whitelist is a literal parameter of a few names
     scoped = grid.join(F.broadcast(order), "sheet", "left_semi")
-    melted = melt_template(scoped).join(F.broadcast(order), "sheet")
+    melted = melt_template(scoped, by_code=True).join(F.broadcast(order), "sheet")
     anio, semana = calendar_year_iso_week(F.lit(as_of).cast("date"), iso_year)
     rows = with_clean_price(melted, "price_value", "precio").select(
         "cod_art", F.col("sheet").alias("cluster"), "competencia",

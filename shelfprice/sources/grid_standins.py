@@ -216,8 +216,8 @@ def template_rows(spark: SparkSession, d: str) -> DataFrame:
     p = _part(spark, d)
     s = read_table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     n = read_table(spark, d, "nation").select("n_nationkey", "n_name")
-    j = (lc.join(p, F.col("l_partkey") == F.col("p_partkey"))
-         .join(s, F.col("l_suppkey") == F.col("s_suppkey")))
+    j = (lc.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+         .join(p, F.col("l_partkey") == F.col("p_partkey")))
     first = (j.groupBy(F.col("r_name").alias("sheet"), "p_partkey", "s_nationkey")
              .agg(F.min_by(F.struct("l_extendedprice", "l_linenumber"), seq_struct()).alias("f"),
                   F.max("o_orderdate").alias("last_order")))
@@ -231,10 +231,11 @@ def template_rows(spark: SparkSession, d: str) -> DataFrame:
 
     def values(code: Column, name: Column, kind: Column, cells: str) -> Column:
         # at most one cell per nation
-        by = F.map_from_entries(cells)
+        by = F.col(cells)
         return F.concat(F.when(asia, F.array(kind, code, name)).otherwise(F.array(code, name, kind)),
                         F.transform(F.sequence(F.lit(0), F.lit(NATIONS - 1)), lambda k: F.try_element_at(by, k)))
-    cell = F.collect_list(F.struct(F.col("s_nationkey").cast("int").alias("k"), text.alias("v"))).alias("_c")
+    # the maps are made by the aggregates: above, they would be made anew for every column
+    cell = F.map_from_entries(F.collect_list(F.struct(F.col("s_nationkey").cast("int").alias("k"), text.alias("v")))).alias("_c")
     code = (F.when(F.col("p_size") == 7, F.lit("N/A"))
             .when(F.col("p_size") == 9, F.concat((F.col("p_partkey") - 1).cast("string"), F.lit(".5")))
             .otherwise(F.col("p_partkey").cast("string")))
@@ -250,8 +251,8 @@ def template_rows(spark: SparkSession, d: str) -> DataFrame:
             .otherwise(F.col("n_name")))
     date = F.when(F.col("s_nationkey") == 0, F.lit("sin fecha")).otherwise(F.date_format("last_order", "d/M/yyyy"))
     none = F.lit(None).cast("string")
-    tops = comp.groupBy("sheet").agg(F.collect_list(F.struct(k, head.alias("v"))).alias("_h"),
-                                     F.collect_list(F.struct(k, date.alias("v"))).alias("_d"))
+    tops = comp.groupBy("sheet").agg(F.map_from_entries(F.collect_list(F.struct(k, head.alias("v")))).alias("_h"),
+                                     F.map_from_entries(F.collect_list(F.struct(k, date.alias("v")))).alias("_d"))
     tops = tops.select(wb, "sheet", F.inline(F.array(
         F.struct(F.lit(2).cast("bigint").alias("row_idx"),
                  values(F.lit("Código"), F.lit("Descripción"), F.lit("Rubro"), "_h").alias("values")),

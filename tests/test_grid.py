@@ -266,3 +266,30 @@ def test_sheet_rows_are_shuffled_once(spark, tmp_path, monkeypatch):
     assert sorted((r.cluster, r.row_idx, r.tipo) for r in got.collect()) == \
         [("A", 3, "T1"), ("B", 3, "T1"), ("B", 4, ""), ("B", 5, "")]
     assert sorted(map(repr, got.collect())) == sorted(map(repr, publication_export(df).collect()))
+
+
+def test_few_sheets_do_not_bound_the_tasks(spark, tmp_path, monkeypatch):
+    """Rows and prices of a handful of sheets are not shuffled by sheet or by date column;
+    template rows move before they become cells, and dates are parsed once for a column."""
+    from shelfprice.operators.grid import cells_from_rows, rows_from_cells
+    from shelfprice.session import land
+    monkeypatch.setattr("shelfprice.session.shared_folder", lambda s: str(tmp_path))
+    lists = spark.createDataFrame([("s", 7)], "list_name string, list_id int")
+    history = land(cells(spark, [(3, 3, "1/2/2024"), (3, 6, "junio"), (4, 0, "r"), (4, 1, "12"), (4, 2, "p"),
+                                 (4, 3, "10.5"), (4, 6, "3"), (5, 1, "8"), (5, 3, "2")]), "history")
+    by_rows = land(rows_from_cells(history), "history-rows")
+    want = [(8, "2024-02-01 00:00:00", 2.0), (12, "2024-02-01 00:00:00", 10.5)]
+    for grid, n in ((history, 1), (by_rows, 0)):
+        got = history_load(grid, lists)
+        # cells meet their base columns by row; sheet rows have all they need
+        assert _moves(got, "price_value") <= n and _moves(got, "values") == 0
+        assert sorted((r.cod_art, str(r.fecha), r.precio) for r in got.collect()) == want
+        assert [(r.col_idx, r.reject_reason) for r in history_rejects(grid, lists).collect()] == [(6, "bad_date")]
+    template = land(rows_from_cells(cells(spark, [
+        (1, 3, "5/1/2024"), (2, 0, "Código"), (2, 1, "Descripción"), (2, 2, "Rubro"), (2, 3, "M"), (2, 4, "N"),
+        (3, 0, "7"), (3, 3, "10"), (4, 0, "7"), (4, 3, "11"), (5, 0, "8"), (5, 4, "3")])), "template")
+    assert cells_from_rows(template).count() == 12
+    got = template_load(template, ["s"], "2024-12-30")
+    assert _moves(got, "price_value") == 0 and _moves(got, "precio") == 0 and _moves(got, "competencia") == 0
+    assert sorted((r.cod_art, r.competencia, float(r.precio or 0), str(r.fecha_modificacion)) for r in got.collect()) == \
+        [(7, "M", 11.0, "2024-01-05"), (7, "N", 0.0, "None"), (8, "M", 0.0, "2024-01-05"), (8, "N", 3.0, "None")]
