@@ -13,7 +13,7 @@ from shelfprice.operators import merge as M
 from shelfprice.operators import quality as Q
 from shelfprice.operators import versions as V
 from shelfprice.operators.grid import cells_from_wide
-from shelfprice.operators.periods import keep_last, last_n_of_table
+from shelfprice.operators.periods import keep_last, last_n_of_table, last_n_periods
 from shelfprice.plans import competitors as C
 from shelfprice.plans import exports as EX
 from shelfprice.plans import loads as LD
@@ -71,7 +71,11 @@ def q_published_report(spark, d):
 
 @R.register("published_competitor_matrix", R.ORACLE["competitor_matrix"])
 def q_published_competitor_matrix(spark, d):
-    matrix, columns, spans = (R.QUERIES[q](spark, d) for q in ("competitor_matrix", "competitor_columns", "competitor_spans"))
+    # the rows of the last week are found once, for the matrix, its columns and their spans
+    rows = land(last_n_periods(SI.competitor_rows(spark, d), "week", 1), "competitor-rows")
+    matrix = C.matrix_long(rows, R.CLUSTER_ORDER, n_weeks=None)
+    columns = C.columns_with_dates(rows, SI.competitor_fact_rows(spark, d), R.CLUSTER_ORDER, n_weeks=None)
+    spans = C.header_spans(C.competitor_columns(rows, R.CLUSTER_ORDER))
     path = target(spark, "matrix")
     PB.publish_competitor_matrix(matrix, columns, spans, path, "competitors")
     return spark.read.parquet(f"{path}/matrix").select(*matrix.columns)
@@ -121,7 +125,7 @@ def _history_table(spark, table) -> str:
 @R.register("written_upsert", R.ORACLE["merge_upsert"])
 def q_written_upsert(spark, d):
     table, source = SI.merge_target_source(spark, d)
-    path = _history_table(spark, table)
+    path, source = _history_table(spark, table), land(source, "history-source")
     for _ in range(2):  # a rerun gives the same state
         M.write_upsert(spark, path, source, M.HISTORY_KEYS, M.HISTORY_UPDATE_COLS, "seq")
     return V.read_table_version(spark, path)
@@ -133,6 +137,7 @@ SELECT rows_total, rows_inserted, rows_updated FROM ({R.ORACLE["merge_stats"]})
 def q_written_upsert_counts(spark, d):
     """Counts of the load, taken by the job that wrote it."""
     table, source = SI.merge_target_source(spark, d)
+    source = land(source, "history-source")
     v = M.write_upsert(spark, _history_table(spark, table), source, M.HISTORY_KEYS, M.HISTORY_UPDATE_COLS, "seq")
     names = ("rows_total", "rows_inserted", "rows_updated")
     return spark.createDataFrame([tuple(v.metrics[n] for n in names)], ", ".join(f"{n} long" for n in names))
@@ -141,7 +146,7 @@ def q_written_upsert_counts(spark, d):
 @R.register("written_inserts", R.ORACLE["merge_insert_only"])
 def q_written_inserts(spark, d):
     table, source = SI.merge_target_source(spark, d)
-    path = _history_table(spark, table)
+    path, source = _history_table(spark, table), land(source, "history-source")
     for _ in range(2):  # a rerun inserts nothing
         M.write_insert_only(spark, path, source, M.HISTORY_KEYS, "seq")
     return V.read_table_version(spark, path)
@@ -154,7 +159,8 @@ def q_written_week_slice(spark, d):
     fact = keep_last(SI.competitor_fact_rows(spark, d), M.COMPETITOR_KEYS, ["precio", "fecha_modificacion"], "seq")
     # rows of a week meet before the write: a few files each, not one per task and week
     V.commit(fact.select(*M.COMPETITOR_COLUMNS).repartition(*M.COMPETITOR_SLICE), path, M.COMPETITOR_SLICE)
-    new = LD.template_load(R._template_rows(spark, d), R.GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)
+    # the load is made once, for its emptiness test and two writes
+    new = land(LD.template_load(R._template_rows(spark, d), R.GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF), "template-load")
     for _ in range(2):  # a rerun replaces the slice by itself
         M.write_slices(new, path, M.COMPETITOR_SLICE, LD.template_slices(SI.TEMPLATE_AS_OF))
     return V.read_table_version(spark, path)

@@ -82,10 +82,11 @@ def _line_customer(spark: SparkSession, d: str) -> DataFrame:
     c = read_table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = read_table(spark, d, "nation").select("n_nationkey", "n_regionkey")
     r = read_table(spark, d, "region").select("r_regionkey", "r_name")
-    return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(c, F.col("o_custkey") == F.col("c_custkey"))
-              .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-              .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
+    # the narrow orders meet their customers first: lineitem moves once, by order
+    by_order = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+                .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+                .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
+    return li.join(by_order, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def weekly_price_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -114,8 +115,9 @@ def competitor_rows(spark: SparkSession, d: str) -> DataFrame:
     lc = _line_customer(spark, d)
     p = _part(spark, d)
     s = read_table(spark, d, "supplier").select("s_suppkey", "s_name")
-    j = (lc.join(p, F.col("l_partkey") == F.col("p_partkey"))
-           .join(s, F.col("l_suppkey") == F.col("s_suppkey")))
+    # the part last: aggregates by article take over that join's distribution
+    j = (lc.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+           .join(p, F.col("l_partkey") == F.col("p_partkey")))
     return j.select(
         F.col("l_partkey").alias("cod_art"),
         F.col("p_name").alias("description"),

@@ -38,3 +38,18 @@ def test_weekly_refresh_stops_at_the_first_failure(spark, tmp_path):
     refresh_weekly(spark, history.drop("precio"), costs, str(tmp_path / "bad"), "r2")
     log = spark.read.parquet(str(tmp_path / "bad/run_log")).collect()
     assert [(r.step, r.status) for r in log] == [("price_fact", "ERROR")]
+
+
+def test_lineitem_moves_once_to_its_customer(spark):
+    """Orders meet their customers first; lineitem is exchanged by order alone, whatever is
+    too large for a broadcast."""
+    import re
+    from shelfprice.sources.standins import _line_customer
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _line_customer(spark, "/root/testdata/sf0.001")._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert len(re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[[^\]]*\bl_extendedprice#", plan)) == 1
