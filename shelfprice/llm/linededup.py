@@ -29,11 +29,14 @@ a third, anchored at the start, near the start and at the end) the first one int
 after as many edits as parts shares its key, the middle one at a shift of one at most.
 A line that shares such a key is cut into pieces (``PIECES``): two edits lie in two
 pieces, and partners agree outside them at a shift. Of the lines that so agree each is
-verified against the earliest. Those that this does not settle are verified against the
-earlier ones of their group, if the group leaves ``FEW`` of them at most. If it leaves more,
-all its lines emit their deletion neighbourhood of two words inside the two pieces, typed
-by place, so that here, too, a line is only compared with the earliest of equal keys.
-This loses no pair, and no group costs the square of its size.
+verified against the earliest. A group that this does not settle is divided by rare words:
+in any one order of the words inside the two pieces, lines within two edits share one of
+their first three; here words that the earliest lacks come first, by thirds of their
+hashes, the rarest in the group ahead. Open lines are verified against the earlier ones of their division, if it holds
+``FEW`` open lines at most. If it holds more, all its lines emit their deletion neighbourhood
+of two words inside the two pieces, typed by place, so that here, too, a line is only
+compared with the earliest of equal keys. This loses no pair, and no group costs the
+square of its size.
 
 All aggregates are minima and counts (map-side); joins on a line or variant hash are
 exchanged for themselves, so that a line that makes up a third of all rows is split.
@@ -63,7 +66,7 @@ LINE = ["_h1", "_h2"]
 BLOCK = 8
 BUCKETS = 1 << 20
 PIECES = 4
-FEW = 256
+FEW = 32
 
 
 def _words(line: Column) -> Column:
@@ -273,22 +276,58 @@ def _piece_keys(line: DataFrame, two_from: int) -> DataFrame:
         "_i", F.transform(ways, key).alias("_keys"))
 
 
-def _open_variants(member: DataFrame, line: DataFrame) -> DataFrame:
-    """(_i, _v, _role) of lines in a group: the hashed deletion variants of the words in the
-    two pieces, x (with a mark between the pieces), by which any two lines within two
-    edits are found without comparing pairs. Content of x: the whole (role 0), with
-    one word out (1), with two out (2). With a place: two words out and the place of one
-    of them (4), against one word out at that place (3). With two places (5)."""
+def _inside(member: DataFrame, line: DataFrame) -> DataFrame:
+    """(_i, _key, _way, _x, _mark) of lines in a group: the hashed words in the two pieces, with
+    a mark between the pieces (at ``_mark``, -1 for none)."""
     way = F.element_at(F.array(*[F.struct(*[F.lit(v).alias(f"_{c}") for c, v in zip("dpqs", w)]) for w in WAYS]), F.col("_way") + 1)
     rows = member.join(line.select("_i", F.transform("_w", lambda x: F.xxhash64(x)).alias("_x")), "_i").select(
-        "_i", "_key", "_x", F.size("_x").alias("_n"), way.alias("_y")).select("_i", "_key", "_x", "_n", "_y.*")
+        "_i", "_key", "_way", "_x", F.size("_x").alias("_n"), way.alias("_y")).select("_i", "_key", "_way", "_x", "_n", "_y.*")
     at = _pieces(F.col("_n"))
     # neighbouring pieces have nothing between them that holds still, and so no mark
     apart = F.col("_q") > F.col("_p") + 1
     part = F.when(apart, F.concat(F.slice("_x", at["a"] + 1, at["b"] - at["a"]), F.array(F.lit(0).cast("long")),
                                   F.slice("_x", at["c"] + 1, at["e"] - at["c"]))).otherwise(
         F.slice("_x", at["a"] + 1, at["e"] - at["a"]))
-    rows = rows.select("_i", "_key", part.alias("_x"), F.when(apart, at["b"] - at["a"]).otherwise(-1).alias("_mark"))
+    return rows.select("_i", "_key", "_way", part.alias("_x"), F.when(apart, at["b"] - at["a"]).otherwise(-1).alias("_mark"))
+
+
+def _third(word: Column) -> Column:
+    return F.pmod(word, F.lit(3).cast("long"))
+
+
+def _divided(member: DataFrame, line: DataFrame) -> DataFrame:
+    """(_i, _key, _way, _part): the divisions of its group that a line is in, three at most.
+    Two edits take two words from a line at most, so of the words that two lines within
+    two edits have in common the first is among either's first three, in whatever order
+    holds for the whole group. Repeated words count once."""
+    words = landed(_inside(member, line).select("_i", "_key", "_way", F.array_distinct("_x").alias("_x")), "line-inside")
+    early = (words.join(member.groupBy("_key").agg(F.min("_i").alias("_i")), ["_key", "_i"])
+             .groupBy("_key").agg(F.min("_x").alias("_ex")))
+    # the order: words that the earliest lacks, by thirds of their hashes so that a line need not
+    # count all of them, the rarest of a third ahead; then the earliest's words, by hash
+    split = join_spread(words, early, "_key").select(
+        "_i", "_key", "_way", F.array_except("_x", "_ex").alias("_new"),
+        F.slice(F.array_sort(F.array_intersect("_x", "_ex")), 1, 3).alias("_old"))
+    split = split.withColumn("_to", F.coalesce(F.get(F.array_sort(F.transform("_new", _third)), F.lit(2)), F.lit(2)))
+    word = landed(split.select("_i", "_key", "_way", F.explode(F.concat(
+        F.transform(F.filter("_new", lambda w: _third(w) <= F.col("_to")), lambda w: F.struct(_third(w).alias("_class"), w.alias("_t"))),
+        F.transform("_old", lambda w: F.struct(F.lit(3).cast("long").alias("_class"), w.alias("_t"))))).alias("_s"))
+        .select("_i", "_key", "_way", "_s.*"), "line-rare")
+    often = word.groupBy("_key", "_t").agg(F.count("*").alias("_often"))
+    rank = F.struct("_class", F.when(F.col("_class") == 3, 0).otherwise(F.col("_often")).alias("_often"), "_t")
+    return (join_spread(word, often, ["_key", "_t"]).groupBy("_i", "_key", "_way")
+            .agg(F.slice(F.array_sort(F.collect_list(rank)), 1, 3).alias("_first"))
+            .select("_i", "_key", "_way", F.explode("_first").alias("_s"))
+            .select("_i", "_key", "_way", F.xxhash64("_key", "_s._t").alias("_part")))
+
+
+def _open_variants(member: DataFrame, line: DataFrame) -> DataFrame:
+    """(_i, _v, _role) of lines in a group: the hashed deletion variants of the words in the
+    two pieces, x (with a mark between the pieces), by which any two lines within two
+    edits are found without comparing pairs. Content of x: the whole (role 0), with
+    one word out (1), with two out (2). With a place: two words out and the place of one
+    of them (4), against one word out at that place (3). With two places (5)."""
+    rows = _inside(member, line).select("_i", "_key", "_x", "_mark")
     n = F.size("_x")
     places = F.filter(F.sequence(F.lit(0), n - 1), lambda i: i != F.col("_mark"))
 
@@ -339,15 +378,20 @@ def _two_edit_partners(rows: DataFrame, lines: DataFrame, two_from: int) -> Data
     settled = landed(verified(join_spread(member, groups, "_key").where("_e < _i").select("_i", "_e")), "line-settled")
     # what the earliest of the group doesn't settle, in groups of more than two lines
     known = settled.select("_i").distinct()
-    left = landed(join_spread(member, groups.where("_many > 2"), "_key").where("_i > _e")
+    left = landed(join_spread(member.select("_i", "_key"), groups.where("_many > 2"), "_key").where("_i > _e")
                   .join(known, "_i", "left_anti").select("_i", "_key").distinct(), "line-open")
-    open_ = landed(left.groupBy("_key").agg(F.count("*").alias("_open")), "line-open-groups")
-    few = join_spread(left, open_.where(F.col("_open") <= FEW).select("_key"), "_key")
-    pairs = few.join(member.select("_key", F.col("_i").alias("_e")), "_key").where("_e < _i").select("_i", "_e")
-    large = open_.where(F.col("_open") > FEW).select("_key")
-    variants = landed(_open_variants(join_spread(member, large, "_key"), line), "line-open-variants")
-    rest = verified(pairs.union(_variant_pairs(variants)))
-    return settled.union(rest).select(*LINE, "_c")
+    divided = landed(_divided(join_spread(member, left.select("_key").distinct(), "_key"), line), "line-divided")
+    opened = divided.join(left, ["_i", "_key"]).select("_i", "_part").distinct()
+    parts = landed(opened.groupBy("_part").agg(F.count("*").alias("_open")), "line-open-parts")
+    few = join_spread(opened, parts.where(F.col("_open") <= FEW).select("_part"), "_part")
+    found = [settled, landed(verified(few.join(divided.select("_part", F.col("_i").alias("_e")), "_part")
+                                      .where("_e < _i").select("_i", "_e")), "line-near")]
+    large = parts.where(F.col("_open") > FEW).select("_part")
+    if not large.isEmpty():
+        crowd = join_spread(divided, large, "_part").select("_i", "_key", "_way").distinct()
+        variants = landed(_open_variants(crowd, line), "line-open-variants")
+        found.append(landed(verified(_variant_pairs(variants)), "line-near"))
+    return reduce(DataFrame.union, found).select(*LINE, "_c")
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", min_words: int = 8,
@@ -363,7 +407,7 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", min_w
     firsts = lines.groupBy(*LINE).agg(F.min(_pos()).alias("_first"), F.max(_pos()).alias("_last"))
     partners = _partners(rows, lines)
     if two_from is not None:
-        partners = partners.union(_two_edit_partners(rows, lines, two_from))
+        partners = landed(partners, "line-partners").union(_two_edit_partners(rows, lines, two_from))
     near = partners.groupBy(*LINE).agg(F.min("_c").alias("_c"))
     limits = (firsts.join(near, LINE, "left").where("_first < _last or _c is not null")
               .select(*LINE, F.least("_first", "_c").alias("_limit")))

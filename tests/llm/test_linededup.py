@@ -168,3 +168,23 @@ def test_pipeline_drops_a_line_with_two_words_changed(spark):
     df = spark.createDataFrame([(1, " ".join(line)), (2, " ".join(near)), (3, " ".join(near[:-2]))], "doc_id long, text string")
     made = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, df, "").collect()}
     assert made == {1: " ".join(line), 2: "", 3: ""}
+
+
+def test_pairs_of_a_large_group_grow_no_faster_than_the_group(spark, monkeypatch):
+    """Near copies of one long line, up to seven words apart: a third of them is open."""
+    rnd = random.Random(4)
+    base, lines = [f"w{i}" for i in range(60)], []
+    for _ in range(400):
+        w = list(base)
+        for _ in range(rnd.choice([0, 1, 1, 2, 3, 4, 5, 6, 7])):
+            at = rnd.randrange(15, 45)
+            w[at:at + rnd.choice([0, 1, 1, 1])] = [f"n{rnd.randrange(150)}"] * rnd.choice([0, 1, 1, 1])
+        lines.append(w)
+    want = {d for d, w in enumerate(lines) if not any(
+        abs(len(w) - len(v)) < 3 and distance(w, v) <= 2 for v in lines[:d])}
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(lines)], "doc_id long, text string")
+    pairs, distinct = [], type(df).distinct
+    monkeypatch.setattr(type(df), "distinct", lambda f: (pairs.append(f.count()) if f.columns == ["_i", "_e"] else None, distinct(f))[1])
+    got = {r.doc_id for r in linededup.drop_lines(df, two_from=20).collect() if r.text}
+    assert got == want and len(want) > 100
+    assert sum(pairs) < 100 * len(lines)
