@@ -296,7 +296,7 @@ def _third(word: Column) -> Column:
 
 
 def _divided(member: DataFrame, line: DataFrame) -> DataFrame:
-    """(_i, _key, _way, _part): the divisions of its group that a line is in, three at most.
+    """(_i, _key, _way, _parts, _part): the divisions of its group that a line is in, three at most.
     Two edits take two words from a line at most, so of the words that two lines within
     two edits have in common the first is among either's first three, in whatever order
     holds for the whole group. Repeated words count once."""
@@ -317,8 +317,8 @@ def _divided(member: DataFrame, line: DataFrame) -> DataFrame:
     rank = F.struct("_class", F.when(F.col("_class") == 3, 0).otherwise(F.col("_often")).alias("_often"), "_t")
     return (join_spread(word, often, ["_key", "_t"]).groupBy("_i", "_key", "_way")
             .agg(F.slice(F.array_sort(F.collect_list(rank)), 1, 3).alias("_first"))
-            .select("_i", "_key", "_way", F.explode("_first").alias("_s"))
-            .select("_i", "_key", "_way", F.xxhash64("_key", "_s._t").alias("_part")))
+            .select("_i", "_key", "_way", F.transform("_first", lambda x: F.xxhash64("_key", x["_t"])).alias("_parts"))
+            .select("*", F.explode("_parts").alias("_part")))
 
 
 def _open_variants(member: DataFrame, line: DataFrame) -> DataFrame:
@@ -381,11 +381,14 @@ def _two_edit_partners(rows: DataFrame, lines: DataFrame, two_from: int) -> Data
     left = landed(join_spread(member.select("_i", "_key"), groups.where("_many > 2"), "_key").where("_i > _e")
                   .join(known, "_i", "left_anti").select("_i", "_key").distinct(), "line-open")
     divided = landed(_divided(join_spread(member, left.select("_key").distinct(), "_key"), line), "line-divided")
-    opened = divided.join(left, ["_i", "_key"]).select("_i", "_part").distinct()
+    opened = divided.join(left, ["_i", "_key"]).select("_i", "_part", "_parts").distinct()
     parts = landed(opened.groupBy("_part").agg(F.count("*").alias("_open")), "line-open-parts")
     few = join_spread(opened, parts.where(F.col("_open") <= FEW).select("_part"), "_part")
-    found = [settled, landed(verified(few.join(divided.select("_part", F.col("_i").alias("_e")), "_part")
-                                      .where("_e < _i").select("_i", "_e")), "line-near")]
+    # lines that share several divisions are compared in one of them
+    earlier = divided.select("_part", F.col("_i").alias("_e"), F.col("_parts").alias("_theirs"))
+    once = F.array_min(F.array_intersect("_parts", "_theirs")) == F.col("_part")
+    found = [settled, landed(verified(few.join(earlier, "_part").where((F.col("_e") < F.col("_i")) & once).select("_i", "_e")),
+                             "line-near")]
     large = parts.where(F.col("_open") > FEW).select("_part")
     if not large.isEmpty():
         crowd = join_spread(divided, large, "_part").select("_i", "_key", "_way").distinct()
