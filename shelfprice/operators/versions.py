@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfprice.session import create_file, delete_folder, list_folder, read_file
+from shelfprice.session import create_file, delete_folder, freeing_shuffles, list_folder, read_file
 
 WRITE_ID = "_v"
 
@@ -120,7 +120,8 @@ def _stage(df: DataFrame, path: str, cols: Sequence[str], metrics: Mapping[str,
     helpers = [c for c in df.columns if c.startswith("_m_")]  # columns for counts only
     writer = out.drop(*helpers).write
     root = f"{path}/data/{WRITE_ID}={write_id}"
-    (writer.partitionBy(*cols) if cols else writer).parquet(root)
+    with freeing_shuffles(df.sparkSession):
+        (writer.partitionBy(*cols) if cols else writer).parquet(root)
     parts = [(values, f"{WRITE_ID}={write_id}{below}") for values, below in _folders(df.sparkSession, root, cols)]
     return parts, {k: v or 0 for k, v in seen.get.items()}
 

@@ -22,7 +22,7 @@ from shelfprice.operators.grid import (block_records, block_records_rows, cells_
                                        detect_blocks, detect_header, detect_header_rows,
                                        header_cells, is_row_form, last_columns, last_columns_rows,
                                        top_rows)
-from shelfprice.session import delete_folder, land, list_folder, rename
+from shelfprice.session import delete_folder, freeing_shuffles, land, list_folder, rename
 
 # Fixed values (must equal the reference's behaviour).
 # Header aliases of the publication export, in priority order per field:
@@ -197,7 +197,8 @@ def _replace_date(out: DataFrame, path: str, keys: Sequence[str], process_date:
     staged, old = f"{root}/_staged-{run}", f"{root}/_old-{run}"
     seen = Observation()
     try:
-        write(out.observe(seen, F.count(F.lit(1)).alias("n")).write.partitionBy(*keys), staged)
+        with freeing_shuffles(spark):
+            write(out.observe(seen, F.count(F.lit(1)).alias("n")).write.partitionBy(*keys), staged)
         n = seen.get["n"] or 0
         found = read(staged).count() if n else 0
         if found != n:

@@ -260,7 +260,7 @@ SELECT {', '.join(M.COMPETITOR_COLUMNS)} FROM (
   FROM competitor_fact_rows) WHERE rn = 1
 """)
 def q_dedup_keep_last(spark, d):
-    rows = SI.competitor_fact_rows(spark, d)
+    rows = SI.competitor_fact_rows(spark, d, by_article=True)
     return keep_last(rows, M.COMPETITOR_KEYS, ["precio", "fecha_modificacion"], "seq").select(
         *M.COMPETITOR_COLUMNS)
 
@@ -363,7 +363,7 @@ def _history_cells(spark, d):
 
 
 def _template_rows(spark, d):
-    return land(GS.template_rows(spark, d), "template-rows")
+    return GS.template_rows(spark, d)  # landed by itself
 
 
 # stand-in parameters: list code per cluster (cluster name without the word CLUSTER)
@@ -476,7 +476,7 @@ UNION ALL
 SELECT * FROM tl_final
 """)
 def q_replace_week_slice(spark, d):
-    existing = keep_last(SI.competitor_fact_rows(spark, d), M.COMPETITOR_KEYS,
+    existing = keep_last(SI.competitor_fact_rows(spark, d, by_article=True), M.COMPETITOR_KEYS,
                          ["precio", "fecha_modificacion"], "seq").select(*M.COMPETITOR_COLUMNS)
     new = LD.template_load(_template_rows(spark, d), GS.TEMPLATE_SHEETS, SI.TEMPLATE_AS_OF)
     return M.replace_slices(existing, new, LD.template_slices(SI.TEMPLATE_AS_OF))

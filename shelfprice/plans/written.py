@@ -156,7 +156,7 @@ def q_written_inserts(spark, d):
 def q_written_week_slice(spark, d):
     """The competitor fact as a table in versions, its current week replaced by a template load."""
     path = target(spark, "competitors")
-    fact = keep_last(SI.competitor_fact_rows(spark, d), M.COMPETITOR_KEYS, ["precio", "fecha_modificacion"], "seq")
+    fact = keep_last(SI.competitor_fact_rows(spark, d, by_article=True), M.COMPETITOR_KEYS, ["precio", "fecha_modificacion"], "seq")
     # rows of a week meet before the write: a few files each, not one per task and week
     V.commit(fact.select(*M.COMPETITOR_COLUMNS).repartition(*M.COMPETITOR_SLICE), path, M.COMPETITOR_SLICE)
     # the load is made once, for its emptiness test and two writes

@@ -6,6 +6,7 @@ ever staged in a machine-local folder: without a shared one, plans stay lazy.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -114,6 +115,23 @@ def create_file(spark: SparkSession, path: str, text: str) -> bool:
     return False
 
 
+@contextmanager
+def freeing_shuffles(spark: SparkSession):
+    """What is executed within leaves no shuffle files: without this they lie on the
+    executors' disks until the driver happens to collect its garbage, so that the steps of a
+    job add up. For writes, which nothing reads again but from their files."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def land(df: DataFrame, name: str) -> DataFrame:
     """Where a shared folder is configured, write ``df`` there as Parquet and read it
     back (lineage is cut, later scans prune columns); else ``df`` itself."""
@@ -121,5 +139,6 @@ def land(df: DataFrame, name: str) -> DataFrame:
     if not shared_folder(spark):
         return df
     path = staging_path(spark, name)
-    df.write.parquet(path)
+    with freeing_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

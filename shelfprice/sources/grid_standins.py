@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfprice.session import land
 from shelfprice.sources.standins import _line_customer, _part, cents_text, seq_struct, thousands_text
 from shelfprice.sources.tables import read_table
 
@@ -211,14 +212,17 @@ def template_rows(spark: SparkSession, d: str) -> DataFrame:
     """Competitor template as sheet rows: sheet per customer region; row = 3 + part key;
     column 3 + nation key of the supplier; dates on row 1, headers on row 2. In ASIA the
     code column is not the first one; in EUROPE the last competitor column has the
-    description header, in AFRICA the last but one has none, in AMERICA three have one header."""
+    description header, in AFRICA the last but one has none, in AMERICA three have one header.
+
+    The lines of a part meet in one task, by one exchange: its cells, its rows and its
+    attributes follow there. The data rows are landed with the dates of their cells, from
+    which the top rows are made: lineitem is not joined a second time for them."""
     lc = _line_customer(spark, d)
     p = _part(spark, d)
     s = read_table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     n = read_table(spark, d, "nation").select("n_nationkey", "n_name")
-    j = (lc.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
-         .join(p, F.col("l_partkey") == F.col("p_partkey")))
-    first = (j.groupBy(F.col("r_name").alias("sheet"), "p_partkey", "s_nationkey")
+    j = lc.join(s, F.col("l_suppkey") == F.col("s_suppkey")).repartition("l_partkey")
+    first = (j.groupBy(F.col("r_name").alias("sheet"), F.col("l_partkey").alias("p_partkey"), "s_nationkey")
              .agg(F.min_by(F.struct("l_extendedprice", "l_linenumber"), seq_struct()).alias("f"),
                   F.max("o_orderdate").alias("last_order")))
     cents = F.round(F.col("f.l_extendedprice") * 100).cast("bigint")
@@ -239,10 +243,11 @@ def template_rows(spark: SparkSession, d: str) -> DataFrame:
     code = (F.when(F.col("p_size") == 7, F.lit("N/A"))
             .when(F.col("p_size") == 9, F.concat((F.col("p_partkey") - 1).cast("string"), F.lit(".5")))
             .otherwise(F.col("p_partkey").cast("string")))
-    data = first.groupBy("sheet", "p_partkey").agg(cell).join(p, "p_partkey").select(
+    dates = F.collect_list(F.struct("s_nationkey", "last_order")).alias("_last")
+    data = land(first.groupBy("sheet", "p_partkey").agg(cell, dates).join(p.hint("shuffle_hash"), "p_partkey").select(
         wb, "sheet", (F.col("p_partkey") + 3).cast("bigint").alias("row_idx"),
-        values(code, F.col("p_name"), F.col("p_type"), "_c").alias("values"))
-    comp = (first.groupBy("sheet", "s_nationkey").agg(F.max("last_order").alias("last_order"))
+        values(code, F.col("p_name"), F.col("p_type"), "_c").alias("values"), "_last"), "template-data")
+    comp = (data.select("sheet", F.inline("_last")).groupBy("sheet", "s_nationkey").agg(F.max("last_order").alias("last_order"))
             .join(n, F.col("s_nationkey") == F.col("n_nationkey")))
     k = F.col("s_nationkey").cast("int").alias("k")
     head = (F.when((F.col("sheet") == "EUROPE") & (F.col("s_nationkey") == NATIONS - 1), "Descripción")
@@ -257,4 +262,4 @@ def template_rows(spark: SparkSession, d: str) -> DataFrame:
         F.struct(F.lit(2).cast("bigint").alias("row_idx"),
                  values(F.lit("Código"), F.lit("Descripción"), F.lit("Rubro"), "_h").alias("values")),
         F.struct(F.lit(1).cast("bigint").alias("row_idx"), values(none, none, none, "_d").alias("values")))))
-    return data.unionByName(tops)
+    return data.drop("_last").unionByName(land(tops, "template-tops"))
