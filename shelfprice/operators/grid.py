@@ -51,6 +51,13 @@ def last_columns(cells: DataFrame) -> DataFrame:
     return cells.groupBy(*SHEET).agg(F.max("col_idx").alias("_last"))
 
 
+def by_exchange(layout: DataFrame) -> DataFrame:
+    """A layout table (its rows grow with the number of sheets) as a side of a join: it is never
+    sent whole through the driver. Repeated texts make a landed one hundreds of times smaller
+    as a file than in memory, so the size of the file says nothing."""
+    return layout.hint("merge")
+
+
 def detect_blocks(cells: DataFrame, name_row: int = 1,
                   last_col: DataFrame | None = None) -> DataFrame:
     """Blocks laid out side by side: on ``name_row`` a non-empty cell opens a
@@ -66,7 +73,7 @@ def detect_blocks(cells: DataFrame, name_row: int = 1,
         last_col = last_columns(cells)
     w = Window.partitionBy(*SHEET).orderBy("col_idx")
     return (names.withColumn("_next", F.lead("col_idx").over(w))
-            .join(last_col, list(SHEET))
+            .join(by_exchange(last_col), list(SHEET))
             .select(*SHEET, F.col("col_idx").alias("block_start"),
                     F.coalesce(F.col("_next") - 1, F.col("_last")).alias("block_end"),
                     "block_name", *[c for c in last_col.columns if c == "_bottom"]))
@@ -86,16 +93,14 @@ def detect_header(cells: DataFrame, blocks: DataFrame, contains: bool = False,
 
     Returns the block columns plus ``header_row``."""
     first = blocks.select(*SHEET, F.col("block_start").alias("col_idx"))
-    # layout tables (blocks, block columns, headers) have one row per sheet column at
-    # most; Spark picks the join from their measured size
     if search_rows is not None:
         cells = cells.where(F.col("row_idx") < search_rows)
-    hits = (cells.join(first, [*SHEET, "col_idx"])
+    hits = (cells.join(by_exchange(first), [*SHEET, "col_idx"])
             .where(F.col("value").isNotNull() & (F.trim(F.col("value")) != "")
                    & header_match(F.col("value"), contains))
             .groupBy(*SHEET, F.col("col_idx").alias("block_start"))
             .agg(F.min("row_idx").alias("header_row")))
-    return blocks.join(hits, [*SHEET, "block_start"], "inner")
+    return blocks.join(by_exchange(hits), [*SHEET, "block_start"], "inner")
 
 
 def top_rows(rows: DataFrame, name_row: int = 1) -> DataFrame:
@@ -115,16 +120,16 @@ def detect_header_rows(rows: DataFrame, blocks: DataFrame, contains: bool = Fals
     if search_rows is not None:
         rows = rows.where(F.col("row_idx") < search_rows)
     value = F.try_element_at("values", F.col("block_start") + 1)
-    hits = (join_layout(rows, blocks.drop("block_end", "block_name"))
+    hits = (join_layout(rows, by_exchange(blocks.drop("block_end", "block_name")))
             .where(value.isNotNull() & (F.trim(value) != "") & header_match(value, contains))
             .groupBy(*SHEET, "block_start").agg(F.min("row_idx").alias("header_row")))
-    return blocks.join(hits, [*SHEET, "block_start"], "inner")
+    return blocks.join(by_exchange(hits), [*SHEET, "block_start"], "inner")
 
 
 def header_cells(rows: DataFrame, headers: DataFrame) -> DataFrame:
     """Cells of the header rows only (``rows``: all, or the :func:`top_rows`)."""
     at = headers.select(*SHEET, F.col("header_row").alias("row_idx")).distinct()
-    return cells_from_rows(rows.join(at, [*SHEET, "row_idx"], "left_semi"))
+    return cells_from_rows(rows.join(by_exchange(at), [*SHEET, "row_idx"], "left_semi"))
 
 
 def block_column_map(headers: DataFrame) -> DataFrame:
@@ -151,7 +156,7 @@ def resolve_columns(cells: DataFrame, headers: DataFrame,
     Returns (workbook, sheet, block_start, field, col_idx)."""
     spark = cells.sparkSession
     colmap = block_column_map(headers)
-    head = (cells.join(colmap, [*SHEET, "col_idx"])
+    head = (cells.join(by_exchange(colmap), [*SHEET, "col_idx"])
             .where(F.col("row_idx") == F.col("header_row"))
             .select(*SHEET, "block_start", "col_idx", norm_key("value").alias("key")))
     # the alias parameter is a literal list of a few dozen names
@@ -172,17 +177,17 @@ def block_records(cells: DataFrame, headers: DataFrame,
     fields = list(aliases)
     resolved = resolve_columns(cells, headers, aliases)
     colmap = block_column_map(headers).join(
-        resolved, [*SHEET, "block_start", "col_idx"], "left")
+        by_exchange(resolved), [*SHEET, "block_start", "col_idx"], "left")
     data = (cells.where(F.col("value").isNotNull())
-            .join(colmap, [*SHEET, "col_idx"])
+            .join(by_exchange(colmap), [*SHEET, "col_idx"])
             .where(F.col("row_idx") > F.col("header_row")))
     recs = data.groupBy(*SHEET, "block_start", "row_idx").agg(
         *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields])
     has = resolved.groupBy(*SHEET, "block_start").agg(
         *[F.max(F.col("field") == f).alias(f"has_{f}") for f in fields])
     info = headers.select(*SHEET, "block_start", "block_name").join(
-        has, [*SHEET, "block_start"], "left").fillna(False, [f"has_{f}" for f in fields])
-    return recs.join(info, [*SHEET, "block_start"]).select(
+        by_exchange(has), [*SHEET, "block_start"], "left").fillna(False, [f"has_{f}" for f in fields])
+    return recs.join(by_exchange(info), [*SHEET, "block_start"]).select(
         *SHEET, "block_start", "block_name", "row_idx", *fields,
         *[f"has_{f}" for f in fields])
 
@@ -257,7 +262,7 @@ def block_layout(headers: DataFrame, resolved: DataFrame, fields: Sequence[str])
         *[F.max(F.when(F.col("field") == f, F.col("col_idx"))).alias(f"_c_{f}") for f in fields])
     return (headers.select(*SHEET, "block_start", "block_end", "block_name", "header_row",
                            *[c for c in headers.columns if c == "_bottom"])
-            .join(cols, [*SHEET, "block_start"], "left")
+            .join(by_exchange(cols), [*SHEET, "block_start"], "left")
             .select("*", *[F.col(f"_c_{f}").isNotNull().alias(f"has_{f}") for f in fields]))
 
 

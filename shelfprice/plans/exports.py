@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from shelfprice.functions.flags import ends_in_99, sign_class, valid_price
 from shelfprice.functions.text import normalise_ratio, safe_name, strip_cluster_word, to_number
-from shelfprice.operators.grid import (block_records, block_records_rows, cells_from_rows,
+from shelfprice.operators.grid import (block_records, block_records_rows, by_exchange, cells_from_rows,
                                        detect_blocks, detect_header, detect_header_rows,
                                        header_cells, is_row_form, last_columns, last_columns_rows,
                                        top_rows)
@@ -66,8 +66,9 @@ def _records(grid: DataFrame, contains: bool, aliases: Mapping[str, Sequence[str
         names = cells_from_rows(tops.where(F.col("row_idx") == name_row))
         blocks = detect_blocks(names, name_row, last_col=last_columns_rows(grid, bottom=ranges))
         headers = land(detect_header_rows(tops, blocks, contains, search_rows), "sheet-headers")
+        heads = land(header_cells(tops, headers), "header-cells")
         rows = grid if data is None else grid.where(data)
-        return block_records_rows(rows, headers, aliases, header_cells(tops, headers))
+        return block_records_rows(rows, headers, aliases, heads)
     blocks = detect_blocks(grid, name_row, last_col=last_columns(grid))
     headers = detect_header(grid, blocks, contains, search_rows)
     return block_records(grid, headers, aliases)
@@ -100,17 +101,17 @@ def enrich_missing_type(records: DataFrame, kept: Column | None = None) -> DataF
     # per sheet the first block with both, per code of that block its first row
     per_block = land(records.where(_gives_types()).groupBy(*key, "block_start", "codigo")
                      .agg(F.min_by("tipo", "row_idx").alias("_map_tipo")), "block-types")
-    first = per_block.groupBy(*key).agg(F.min("block_start").alias("block_start"))
+    first = by_exchange(per_block.groupBy(*key).agg(F.min("block_start").alias("block_start")))
     type_map = per_block.join(first, [*key, "block_start"], "left_semi").drop("block_start")
     out = records if kept is None else records.where(kept)
     lacks = ~F.col("has_tipo") & F.col("has_codigo")
     asked = out.where(lacks).select(*key, "codigo").distinct()
     # sheets without a map fill nothing; an unknown code, or none, gives ''
-    fills = (asked.join(first.select(*key), key).join(type_map, [*key, "codigo"], "left")
+    fills = (asked.join(first.select(*key), key).join(by_exchange(type_map), [*key, "codigo"], "left")
              .select(*[F.col(c).alias(f"_k_{c}") for c in (*key, "codigo")],
                      F.coalesce("_map_tipo", F.lit("")).alias("_fill")))
     filled = (out.where(lacks)
-              .join(fills, (F.col("workbook") == F.col("_k_workbook")) & (F.col("sheet") == F.col("_k_sheet"))
+              .join(by_exchange(fills), (F.col("workbook") == F.col("_k_workbook")) & (F.col("sheet") == F.col("_k_sheet"))
                     & F.col("codigo").eqNullSafe(F.col("_k_codigo")), "left")
               .withColumns({"tipo": F.coalesce("_fill", "tipo"),
                             "has_tipo": F.col("_fill").isNotNull()})

@@ -1,5 +1,7 @@
 """Cell-table operators: blocks, headers, aliases, records, history unpivot, template."""
 
+import pytest
+
 from shelfprice.operators.grid import (block_records, detect_blocks, detect_header,
                                        melt_template, unpivot_history)
 from shelfprice.operators.position import grouped_position
@@ -293,3 +295,39 @@ def test_few_sheets_do_not_bound_the_tasks(spark, tmp_path, monkeypatch):
     assert _moves(got, "price_value") == 0 and _moves(got, "precio") == 0 and _moves(got, "competencia") == 0
     assert sorted((r.cod_art, r.competencia, float(r.precio or 0), str(r.fecha_modificacion)) for r in got.collect()) == \
         [(7, "M", 11.0, "2024-01-05"), (7, "N", 0.0, "None"), (8, "M", 0.0, "2024-01-05"), (8, "N", 3.0, "None")]
+
+
+def _broadcast(plans, column):
+    """How many broadcasts of the plans carry ``column``."""
+    import re
+    return sum(len(re.findall(r"\(\d+\) BroadcastExchange\nInput \[\d+\]: \[[^\]]*\b" + column + "#", p)) for p in plans)
+
+
+@pytest.mark.parametrize("query", ["publication_export", "sales_export", "rewritten_exports",
+                                   "sales_file_manifest", "sales_file_lines"])
+def test_layout_does_not_go_through_the_driver(spark, tmp_path, monkeypatch, query):
+    """A table with rows for every sheet is never broadcast, however few bytes its file has."""
+    from shelfprice.operators.grid import rows_from_cells
+    from shelfprice.plans import exports, registry, written
+    from shelfprice.session import land
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plans = []
+
+    def spy(df, name):
+        plans.append(df._jdf.queryExecution().explainString(mode))
+        return land(df, name)
+    monkeypatch.setattr("shelfprice.session.shared_folder", lambda s: str(tmp_path))
+    grid = land(rows_from_cells(cells(spark, [
+        (1, 0, "CLUSTER ALFA"), (1, 3, "CLUSTER B"), (2, 0, "Rubro"), (2, 1, "Cod"), (2, 2, "sin iva"), (2, 3, "Rubro"),
+        (2, 4, "Cod"), (2, 5, "sin iva"), (3, 0, "Carnes"), (3, 1, "7"), (3, 2, "20"), (3, 3, "Dira"), (3, 4, "8"),
+        (3, 5, "12.6"), (4, 0, "Otros"), (4, 1, "9"), (4, 2, "4")])), "rows")
+    for module in (exports, written):
+        monkeypatch.setattr(module, "land", spy)
+    monkeypatch.setattr(registry, "_cluster_cells", lambda s, d: grid)
+    monkeypatch.setattr(written, "target", lambda s, name: str(tmp_path / name))
+    got = registry.QUERIES[query](spark, "")
+    plans.append(got._jdf.queryExecution().explainString(mode))
+    assert _broadcast(plans, "sheet") == 0 and _broadcast(plans, "field") == 1 and len(plans) > 2
+    # rewritten_exports writes the group Dira empty the second time; a file of lines has its list code first
+    assert got.count() == {"publication_export": 2, "sales_export": 2, "rewritten_exports": 1,
+                           "sales_file_manifest": 2, "sales_file_lines": 4}[query]
